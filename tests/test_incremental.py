@@ -1,0 +1,244 @@
+"""Maintained tables equal their whole-table query, whatever happened on the way."""
+
+import random
+from dataclasses import replace
+
+import pytest
+from feeds import (
+    bag,
+    events_frame,
+    land_events,
+    land_positions,
+    land_trades,
+    positions,
+    random_events,
+    random_positions,
+    random_trades,
+    trade,
+    trades,
+)
+from pyspark.sql import functions as F
+
+from tradeflow.operators import enrich, rollups
+from tradeflow.plans import jobs, reports
+from tradeflow.streaming import changes, ingest, maintained, refresh
+
+ENRICHED = refresh.EnrichedTable(parts=4)
+ROLLUPS = {
+    "trades": (refresh.TRADE_METRICS_DT, rollups.TRADE_METRICS),
+    "market_events": (refresh.MARKET_EVENT_SUMMARY_DT, rollups.EVENT_SUMMARY),
+    "positions": (refresh.POSITION_SUMMARY_DT, rollups.POSITION_SUMMARY),
+}
+
+
+def land(spark, feed, stage, batch, rng):
+    """Write a random batch as a file and return it as rows too."""
+    if feed == "trades":
+        rows = random_trades(rng, 60, batch, hot="AAPL")
+        land_trades(stage, f"trades_{batch}.csv", rows)
+        return trades(spark, *rows)
+    if feed == "market_events":
+        rows = random_events(rng, 60)
+        land_events(stage, f"events_{batch}.json", rows)
+        return events_frame(spark, rows)
+    rows = random_positions(rng, 40)
+    land_positions(stage, f"positions_{batch}.parquet", rows)
+    return positions(spark, *rows)
+
+
+def load(spark, feed, stage, root, **options):
+    ingest.load_new_files(spark, feed, stage, root, **options)
+
+
+@pytest.mark.parametrize("feed", list(ROLLUPS))
+@pytest.mark.parametrize("merge_after", [1, 32])
+def test_rollup_equals_query(spark, root, tmp_path, feed, merge_after):
+    """Four batches, one refresh covering two of them, parts merged on the way."""
+    table, rollup = ROLLUPS[feed]
+    table, rng, stage = replace(table, merge_after=merge_after), random.Random(1), str(tmp_path)
+    everything = None
+    for batch in range(4):
+        rows = land(spark, feed, stage, batch, rng)
+        everything = rows if everything is None else everything.unionByName(rows)
+        load(spark, feed, stage, root)
+        if batch != 1:
+            assert table.refresh(spark, root)
+            assert bag(table.read(spark, root)) == bag(rollup.query(everything))
+    assert not table.refresh(spark, root)
+    table.compact(spark, root)
+    assert bag(table.read(spark, root)) == bag(rollup.query(everything))
+    table.refresh_fully(spark, root)
+    assert bag(table.read(spark, root)) == bag(rollup.query(everything))
+    actions = [r["refresh_action"] for r in table.table.log(spark, root).orderBy("version").collect()]
+    assert actions == ["INCREMENTAL"] * 3 + ["COMPACT", "FULL"]
+
+
+def test_merging_shrinks_a_part(spark, root, tmp_path):
+    table, rng = replace(refresh.TRADE_METRICS_DT, merge_after=2), random.Random(2)
+    for batch in range(4):
+        land(spark, "trades", str(tmp_path), batch, rng)
+        load(spark, "trades", str(tmp_path), root)
+        table.refresh(spark, root)
+    stored, groups = table.table.read(spark, root).count(), table.read(spark, root).count()
+    assert groups <= stored < 2 * groups
+    assert table.table.last_refresh(spark, root)["first_version"]
+
+
+def test_enriched_equals_query(spark, root, tmp_path):
+    """New trades, changed positions, both at once, and neither."""
+    rng, stage = random.Random(7), str(tmp_path)
+    every = {"trades": [], "positions": []}
+    steps = [["trades"], ["positions"], ["trades", "positions"], ["trades"], ["positions"], []]
+    for batch, feeds in enumerate(steps):
+        for feed in feeds:
+            every[feed].append(land(spark, feed, stage, batch, rng))
+            load(spark, feed, stage, root)
+        assert ENRICHED.refresh(spark, root) == bool(feeds)
+        held = union(every["positions"]) if every["positions"] else positions(spark)
+        want = enrich.enrich_trades(union(every["trades"]), held)
+        assert bag(ENRICHED.read(spark, root)) == bag(want)
+    ENRICHED.refresh_fully(spark, root)
+    assert bag(ENRICHED.read(spark, root)) == bag(want)
+
+
+def union(frames):
+    first, *rest = frames
+    for frame in rest:
+        first = first.unionByName(frame)
+    return first
+
+
+def test_position_change_rewrites_only_its_parts(spark, root, tmp_path):
+    rng, stage = random.Random(8), str(tmp_path)
+    land(spark, "trades", stage, 0, rng)
+    land(spark, "positions", stage, 0, rng)
+    for feed in ("trades", "positions"):
+        load(spark, feed, stage, root)
+    ENRICHED.refresh(spark, root)
+    moved = [r for r in random_positions(rng, 40) if r[0] == "MSFT"]
+    land_positions(stage, "positions_1.parquet", moved)
+    load(spark, "positions", stage, root)
+    ENRICHED.refresh(spark, root)
+    part = ENRICHED.table.parts_of(positions(spark, *moved))
+    assert ENRICHED.table.last_refresh(spark, root)["first_version"] == {part[0]: 2}
+
+
+@pytest.mark.parametrize("lost", ["log", "data"])
+def test_interrupted_refresh_leaves_no_trace(spark, root, tmp_path, monkeypatch, lost):
+    """Killed with its rows stored but not logged, then run again over more batches."""
+    table, rollup = ROLLUPS["positions"]
+    rng, stage = random.Random(9), str(tmp_path)
+    first = land(spark, "positions", stage, 0, rng)
+    load(spark, "positions", stage, root)
+    table.refresh(spark, root)
+
+    second = land(spark, "positions", stage, 1, rng)
+    load(spark, "positions", stage, root)
+    with monkeypatch.context() as broken:
+        attribute = "log_path" if lost == "log" else "_data"
+        real = getattr(maintained.MaintainedTable, attribute)
+        calls = []
+
+        def dies(self, at):
+            # The first call reads what is there; the one that writes fails.
+            calls.append(at)
+            if len(calls) > 1:
+                raise KeyboardInterrupt
+            return real(self, at)
+
+        if lost == "data":
+            calls.append(None)
+        broken.setattr(maintained.MaintainedTable, attribute, dies)
+        with pytest.raises(KeyboardInterrupt):
+            table.refresh(spark, root)
+    assert bag(table.read(spark, root)) == bag(rollup.query(first))
+
+    third = land(spark, "positions", stage, 2, rng)
+    load(spark, "positions", stage, root)
+    table.refresh(spark, root)
+    assert bag(table.read(spark, root)) == bag(rollup.query(union([first, second, third])))
+
+
+def test_refresh_after_every_batch_of_a_pipe(spark, root, tmp_path):
+    rng, stage = random.Random(10), str(tmp_path)
+    rows = union([land(spark, "trades", stage, b, rng) for b in range(3)])
+    table = refresh.TRADE_METRICS_DT
+    load(
+        spark, "trades", stage, root, files_per_batch=1,
+        then=lambda session, at, batch: table.refresh(session, at),
+    )
+    assert table.table.last_refresh(spark, root)["version"] == 3
+    assert bag(table.read(spark, root)) == bag(rollups.TRADE_METRICS.query(rows))
+
+
+def test_change_stream_and_gate(spark, root, tmp_path):
+    rng, stage = random.Random(11), str(tmp_path)
+    runs = []
+
+    def step(session, at):
+        runs.append(changes.changes(session, at, "c", "trades_raw").count())
+
+    assert not changes.has_data(spark, root, "c", "trades_raw")
+    assert not changes.run_if_new(spark, root, "c", "trades_raw", step)
+    for batch in range(2):
+        land(spark, "trades", stage, batch, rng)
+        load(spark, "trades", stage, root)
+        assert changes.has_data(spark, root, "c", "trades_raw")
+        assert changes.run_if_new(spark, root, "c", "trades_raw", step)
+        assert not changes.run_if_new(spark, root, "c", "trades_raw", step)
+    assert runs == [60, 60]
+    assert changes.changes(spark, root, "other", "trades_raw").count() == 120
+
+
+def test_failed_step_sees_its_changes_again(spark, root, tmp_path):
+    land(spark, "trades", str(tmp_path), 0, random.Random(12))
+    load(spark, "trades", str(tmp_path), root)
+    with pytest.raises(ZeroDivisionError):
+        changes.run_if_new(spark, root, "c", "trades_raw", lambda *_: 1 / 0)
+    assert changes.has_data(spark, root, "c", "trades_raw")
+
+
+def test_chain_replaces_instead_of_appending(spark, root, tmp_path):
+    rng, stage = random.Random(13), str(tmp_path)
+    every = []
+    for batch in range(2):
+        every.append(land(spark, "trades", stage, batch, rng))
+        load(spark, "trades", stage, root)
+        assert jobs.run_chain(spark, root)
+        assert not jobs.run_chain(spark, root)
+        assert bag(jobs.read_metrics(spark, root)) == bag(rollups.TRADE_METRICS.query(union(every)))
+    assert jobs.read_enriched(spark, root).count() == 120
+
+
+def test_upsert(spark, root):
+    def enriched(*rows):
+        return enrich.enrich_trades(trades(spark, *rows), positions(spark))
+
+    a, b = trade(trade_id="A"), trade(trade_id="B")
+    jobs.upsert_enriched(spark, root, enriched(a, b), version=0, parts=4)
+    changed, new = trade(trade_id="B", status="cancelled"), trade(trade_id="C")
+    for _ in range(2):
+        jobs.upsert_enriched(spark, root, enriched(changed, new), version=1, parts=4)
+    assert bag(jobs.upsert_table(4).read(spark, root), "trade_id", "status") == {
+        ("A", "filled"): 1, ("B", "cancelled"): 1, ("C", "filled"): 1,
+    }
+    with pytest.raises(ValueError, match="occurs twice"):
+        jobs.upsert_enriched(spark, root, enriched(a, a), version=2, parts=4)
+
+
+def test_reports_on_empty_and_lagging_tables(spark, root, tmp_path):
+    rng, stage = random.Random(14), str(tmp_path)
+    assert reports.load_history(spark, root, "trades_raw").count() == 0
+    assert reports.refresh_history(spark, root, [refresh.POSITION_SUMMARY_DT.table]).count() == 0
+    for batch in range(2):
+        land(spark, "positions", stage, batch, rng)
+        load(spark, "positions", stage, root)
+        if batch == 0:
+            refresh.POSITION_SUMMARY_DT.refresh(spark, root)
+    lag = reports.table_lag(spark, root, [refresh.POSITION_SUMMARY_DT.table]).first()
+    assert lag["batches_behind"] == 1
+    history = reports.load_history(spark, root, "positions_raw", hours=1)
+    assert [r["row_count"] for r in history.collect()] == [40, 40]
+    assert reports.load_history(spark, root, "positions_raw", n=1).first()["_batch"] == 1
+    used = reports.pipe_usage(spark, root).where(F.col("pipe_name") == "positions_pipe")
+    assert used.agg(F.sum("rows_inserted"), F.sum("files_inserted")).first() == (80, 2)

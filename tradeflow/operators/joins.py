@@ -82,13 +82,12 @@ def lookup_join(
     if fits_broadcast(lookup, limit):
         return rows.join(F.broadcast(lookup), key, how)
     hot = frequent_keys(key_source if key_source is not None else rows, key)
-    salts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Several salts per shuffle partition, so that chance does not pile them up.
+    salts = 8 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
     # Rows without a key have no partner wherever they are, but may be many.
-    salt = F.when(
-        is_hot | F.col(key).isNull(), F.pmod(F.xxhash64(spread_by), F.lit(salts))
-    ).otherwise(F.lit(0))
+    own_salt = F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
+    salt = F.when(is_hot | F.col(key).isNull(), own_salt).otherwise(F.lit(0))
     last_salt = F.when(is_hot, F.lit(salts - 1)).otherwise(F.lit(0))
-    every_salt = F.explode(F.sequence(F.lit(0), last_salt))
-    salted = lookup.withColumn("_salt", every_salt.cast("bigint"))
+    salted = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), last_salt)))
     return rows.withColumn("_salt", salt).join(salted, [key, "_salt"], how).drop("_salt")

@@ -11,6 +11,7 @@ readers look no further than the log.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,7 +35,7 @@ LOAD_LOG = StructType(
         StructField("file_size", LongType()),
         StructField("row_count", LongType()),
         StructField("last_load_time", TimestampType()),
-        _BATCH,
+        _BATCH,  # the folder's name
     ]
 )
 # Fixed value: what Spark's binaryFile source offers of each file.
@@ -73,22 +74,14 @@ def _load_batch(spark: SparkSession, feed: Feed, stage: str, root: str, found: D
     rows = scan(spark, feed, stage, files=[f["path"] for f in files])
     rows.withColumn("_load_ts", F.current_timestamp()).write.mode("overwrite").parquet(target)
 
-    # Counted from what was stored, reading one column of it.
-    counted = (
-        spark.read.schema(LINEAGE).parquet(target).groupBy(F.col("_src_file").alias("file_name"))
-        .agg(F.count(F.lit(1)).alias("row_count"))
-    )
-    listed = spark.createDataFrame(
-        [(f["file_name"], f["file_size"]) for f in files], "file_name string, file_size bigint"
-    )
-    entries = listed.join(counted, "file_name", "left").select(
-        "file_name",
-        "file_size",
-        F.coalesce("row_count", F.lit(0)).alias("row_count"),
-        F.current_timestamp().alias("last_load_time"),
-    )
-    log = f"{load_log_path(root, feed.table)}/_batch={batch}"
-    entries.coalesce(1).write.mode("overwrite").parquet(log)
+    # Counted from what was stored, reading one column of it. A file without
+    # rows is in the listing only, and is logged with none.
+    stored = spark.read.schema(LINEAGE).parquet(target)
+    counts = {r["_src_file"]: r["count"] for r in stored.groupBy("_src_file").count().collect()}
+    now = datetime.now(timezone.utc)
+    entries = [(f["file_name"], f["file_size"], counts.get(f["file_name"], 0), now) for f in files]
+    log = spark.createDataFrame(entries, StructType(LOAD_LOG.fields[:-1])).coalesce(1)
+    log.write.mode("overwrite").parquet(f"{load_log_path(root, feed.table)}/_batch={batch}")
 
 
 def start_pipe(
@@ -153,8 +146,21 @@ def load_new_files(
 def raw_rows(
     spark: SparkSession, root: str, table: str, *, after: int = -1, upto: int | None = None
 ) -> DataFrame:
-    """Loaded rows of the batches in (after, upto]; whole batches only."""
+    """Loaded rows of the batches in (after, upto]; whole batches only.
+
+    Reading on from a batch opens the folders of the later ones by name, so its
+    cost does not grow with the history that is listed but not wanted.
+    """
     schema = StructType(RAW_TABLES[table].fields + LINEAGE.fields + [_BATCH])
-    last = latest_batch(spark, root, table) if upto is None else upto
-    rows = read_or_empty(spark, raw_path(root, table), schema)
-    return rows.where((F.col("_batch") > after) & (F.col("_batch") <= last))
+    path, log = raw_path(root, table), load_log(spark, root, table)
+    if upto is not None:
+        log = log.where(F.col("_batch") <= upto)
+    if after >= 0:
+        newer = log.where(F.col("_batch") > after).select("_batch").distinct().collect()
+        if not newer:
+            return spark.createDataFrame([], schema)
+        folders = [f"{path}/_batch={r['_batch']}" for r in newer]
+        return spark.read.schema(schema).option("basePath", path).parquet(*folders)
+    last = log.agg(F.max("_batch")).first()[0]
+    rows = read_or_empty(spark, path, schema)
+    return rows.where(F.col("_batch") <= (-1 if last is None else last))
