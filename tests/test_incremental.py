@@ -84,8 +84,10 @@ def test_merging_shrinks_a_part(spark, root, tmp_path):
     assert table.table.last_refresh(spark, root)["first_version"]
 
 
-def test_enriched_equals_query(spark, root, tmp_path):
+@pytest.mark.parametrize("merge_after", [1, 32])
+def test_enriched_equals_query(spark, root, tmp_path, merge_after):
     """New trades, changed positions, both at once, and neither."""
+    table = replace(ENRICHED, merge_after=merge_after)
     rng, stage = random.Random(7), str(tmp_path)
     every = {"trades": [], "positions": []}
     steps = [["trades"], ["positions"], ["trades", "positions"], ["trades"], ["positions"], []]
@@ -93,12 +95,12 @@ def test_enriched_equals_query(spark, root, tmp_path):
         for feed in feeds:
             every[feed].append(land(spark, feed, stage, batch, rng))
             load(spark, feed, stage, root)
-        assert ENRICHED.refresh(spark, root) == bool(feeds)
+        assert table.refresh(spark, root) == bool(feeds)
         held = union(every["positions"]) if every["positions"] else positions(spark)
         want = enrich.enrich_trades(union(every["trades"]), held)
-        assert bag(ENRICHED.read(spark, root)) == bag(want)
-    ENRICHED.refresh_fully(spark, root)
-    assert bag(ENRICHED.read(spark, root)) == bag(want)
+        assert bag(table.read(spark, root)) == bag(want)
+    table.refresh_fully(spark, root)
+    assert bag(table.read(spark, root)) == bag(want)
 
 
 def union(frames):
@@ -119,8 +121,21 @@ def test_position_change_rewrites_only_its_parts(spark, root, tmp_path):
     land_positions(stage, "positions_1.parquet", moved)
     load(spark, "positions", stage, root)
     ENRICHED.refresh(spark, root)
-    part = ENRICHED.table.parts_of(positions(spark, *moved))
-    assert ENRICHED.table.last_refresh(spark, root)["first_version"] == {part[0]: 2}
+    (part,) = ENRICHED.table.parts_of(positions(spark, *moved))
+    first_version = ENRICHED.table.last_refresh(spark, root)["first_version"]
+    assert first_version[part] == first_version[refresh.FRESH] == 2
+
+
+def test_new_trades_gather_before_they_are_spread(spark, root, tmp_path):
+    table, rng, stage = replace(ENRICHED, merge_after=2), random.Random(8), str(tmp_path)
+    homes = []
+    for batch in range(3):
+        land(spark, "trades", stage, batch, rng)
+        load(spark, "trades", stage, root)
+        table.refresh(spark, root)
+        homes.append(table.table.read(spark, root, parts=[refresh.FRESH]).count())
+    assert homes == [60, 120, 0]
+    assert table.read(spark, root).count() == 180
 
 
 @pytest.mark.parametrize("lost", ["log", "data"])

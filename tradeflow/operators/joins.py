@@ -21,7 +21,7 @@ from pyspark.sql.types import (
     VariantType,
 )
 
-BROADCAST_BYTES = 32 * 1024 * 1024
+BROADCAST_BYTES = 64 * 1024 * 1024
 # A key is worth salting when it may hold more than about 1/HOT_KEYS of the rows.
 HOT_KEYS = 256
 SAMPLE_SHARE = 0.01

@@ -24,10 +24,22 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """Give all cores work when the input is a file or two, which one task reads."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    few = len(rows.inputFiles()) < cores
+    return rows.repartition(cores, *rows.columns) if few else rows
+
+
 def _orders_of_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus",
-        F.expr(_TRADE_ID).alias("trade_id"), F.expr(_TRADE_TS).alias("trade_ts"),
+    lines = _spread(
+        _table(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+            "l_returnflag", "l_linestatus", "l_shipdate",
+        )
+    )
+    lines = lines.select(
+        "*", F.expr(_TRADE_ID).alias("trade_id"), F.expr(_TRADE_TS).alias("trade_ts")
     )
     orders = _table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderstatus"
