@@ -176,8 +176,11 @@ def test_salt_spreads_the_hot_and_the_missing_key(spark, no_planned_broadcast):
     assert max(sizes) < 30000 / 4
 
 
-def test_frequent_keys_finds_the_hot_key(spark):
-    assert joins.frequent_keys(skewed(spark), "k")[0] == "HOT"
+def test_frequent_keys_are_those_above_an_even_share(spark):
+    ((key, salts),) = joins.frequent_keys(skewed(spark), "k", 8)
+    assert key == "HOT" and 25 < salts < 40
+    assert joins.frequent_keys(spark.range(30000), "id", 8) == []
+    assert joins.frequent_keys(spark.range(0), "id", 8) == []
 
 
 def test_broadcast_only_below_the_limit(spark):

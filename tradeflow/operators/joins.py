@@ -10,20 +10,23 @@ Two sizes decide the plan, and neither is guessed:
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
     BinaryType,
+    IntegerType,
     MapType,
     StringType,
+    StructField,
     StructType,
     VariantType,
 )
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-# A key is worth salting when it may hold more than about 1/HOT_KEYS of the rows.
-HOT_KEYS = 256
+# The part of the key column that is read to find keys worth salting.
 SAMPLE_SHARE = 0.01
 
 
@@ -44,23 +47,21 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     return size + df.agg(sum(lengths, F.lit(0)).alias("bytes")).first()["bytes"] <= limit
 
 
-def frequent_keys(rows: DataFrame, key: str, share: float = SAMPLE_SHARE) -> list:
-    """At most ``HOT_KEYS`` keys, among them every one that dominates ``rows``.
+def frequent_keys(
+    rows: DataFrame, key: str, partitions: int, share: float = SAMPLE_SHARE
+) -> list[tuple[object, int]]:
+    """Keys that hold more than an even partition's rows, and how often to split each.
 
-    The sample only decides which keys get salted: a wrong guess costs time,
-    never a row.
+    There are at most ``partitions`` of them. The sample only decides what gets
+    salted: a wrong guess costs time, never a row.
     """
-    top = (
-        rows.select(key)
-        .where(F.col(key).isNotNull())
-        .sample(fraction=share, seed=11)
-        .groupBy(key)
-        .count()
-        .where("count > 1")
-        .orderBy(F.desc("count"))
-        .limit(HOT_KEYS)
+    sampled = rows.select(key).where(F.col(key).isNotNull()).sample(fraction=share, seed=11)
+    total = sampled.count()
+    most = sampled.groupBy(key).count().where(
+        (F.col("count") > 1) & (F.col("count") * partitions >= total)
     )
-    return [row[key] for row in top.collect()]
+    # Several salts per even share, so that chance does not pile them up.
+    return [(r[key], math.ceil(8 * partitions * r["count"] / total)) for r in most.collect()]
 
 
 def lookup_join(
@@ -81,13 +82,17 @@ def lookup_join(
     """
     if fits_broadcast(lookup, limit):
         return rows.join(F.broadcast(lookup), key, how)
-    hot = frequent_keys(key_source if key_source is not None else rows, key)
-    # Several salts per shuffle partition, so that chance does not pile them up.
-    salts = 8 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+    spark = rows.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = frequent_keys(key_source if key_source is not None else rows, key, partitions)
+    hot_schema = StructType(
+        [StructField(key, rows.schema[key].dataType), StructField("_salts", IntegerType())]
+    )
+    hot = F.broadcast(spark.createDataFrame(found, hot_schema))
     # Rows without a key have no partner wherever they are, but may be many.
-    own_salt = F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
-    salt = F.when(is_hot | F.col(key).isNull(), own_salt).otherwise(F.lit(0))
-    last_salt = F.when(is_hot, F.lit(salts - 1)).otherwise(F.lit(0))
-    salted = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), last_salt)))
-    return rows.withColumn("_salt", salt).join(salted, [key, "_salt"], how).drop("_salt")
+    salts = F.when(F.col(key).isNull(), 8 * partitions).otherwise(F.coalesce("_salts", F.lit(1)))
+    own_salt = F.pmod(F.xxhash64(spread_by), salts).cast("int")
+    every_salt = F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
+    salted_rows = rows.join(hot, key, "left").withColumn("_salt", own_salt).drop("_salts")
+    salted = lookup.join(hot, key, "left").withColumn("_salt", every_salt).drop("_salts")
+    return salted_rows.join(salted, [key, "_salt"], how).drop("_salt")
