@@ -1,0 +1,9 @@
+"""Operators for preparing training data; nothing else in the library imports them."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel by value, so the package need not
+# be installed on the executors.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
