@@ -4,6 +4,8 @@ import pytest
 from check_oracles import connect, difference
 
 import __spark_entry__ as entry
+from bindings.oracles import ORACLES
+from bindings.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -14,10 +16,10 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, con, name):
     assert difference(spark, con, name, SF_DIR) is None
 
