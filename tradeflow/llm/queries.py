@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradeflow.llm import substrings
+from tradeflow.llm import phrases, substrings
+from tradeflow.workspace import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,3 +26,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op3_substring_dedup(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return substrings.without_repeats(docs).drop("text")
+
+
+@query
+def op5_benchmark_decontamination(spark, sf_dir):
+    index = new_folder(spark, "phrase-index")
+    phrases.write_index(_table(spark, sf_dir, "documents"), index)
+    return phrases.contamination(phrases.search(spark, index, _table(spark, sf_dir, "benchmark")))
