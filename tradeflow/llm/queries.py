@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradeflow.llm import phrases, substrings
+from tradeflow.llm import near_duplicates, phrases, substrings
 from tradeflow.workspace import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,3 +33,9 @@ def op5_benchmark_decontamination(spark, sf_dir):
     index = new_folder(spark, "phrase-index")
     phrases.write_index(_table(spark, sf_dir, "documents"), index)
     return phrases.contamination(phrases.search(spark, index, _table(spark, sf_dir, "benchmark")))
+
+
+@query
+def op4_ngram_jaccard_join(spark, sf_dir):
+    found = near_duplicates.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "n_links", "n_copies")
