@@ -256,3 +256,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.when(F.col("worded"), F.col("copies")).otherwise(1).alias("n_copies"),
         (~F.col("worded") | F.when(F.col("class_id").isNotNull(), F.col("doc_id").eqNullSafe(F.col("class_id")))
          .otherwise(F.col("_hash") == F.col("first_hash"))).alias("is_kept"), F.col("_hash").alias("text_hash"))
+
+
+def one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+    """The rows of ``docs`` that stand for their class, with their columns."""
+    kept = near_duplicates(docs, id_col, text_col, **settings).where("is_kept").select(
+        F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash"))
+    same = F.col(id_col).eqNullSafe(F.col("_kept_id")) & (F.xxhash64(text_col) == F.col("_kept_hash"))
+    return docs.join(kept, same, "left_semi")

@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeflow.llm.text import ALNUM, chunks, slices, split_words
+from tradeflow.workspace import new_folder
 
 WINDOW = 10
 BLOCK = 50_000  # phrases sent to the tasks at once: 4 MB of terms
@@ -222,3 +223,15 @@ def contamination(found: DataFrame) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("_items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("_items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+def without_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                         item_text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text holds no phrase of ``items``, with their columns.
+
+    Texts are told apart by a 64-bit hash, so ids may be null or repeat.
+    """
+    folder = new_folder(docs.sparkSession, "phrase-index")
+    write_index(docs.select(F.xxhash64(text_col).alias("_hash"), F.col(text_col).alias("text")), folder, "_hash")
+    hit = search(docs.sparkSession, folder, items, item_col, item_text_col).where(F.size("matches") > 0)
+    return docs.join(hit.select(F.col("doc_id").alias("_hit")), F.xxhash64(text_col) == F.col("_hit"), "left_anti")
