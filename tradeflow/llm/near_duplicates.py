@@ -37,7 +37,7 @@ THRESHOLD = 0.8
 TREES = 32
 DEPTH = 8
 RECALL = 0.9999
-BLOCK_TEXTS = 1024
+BLOCK_TEXTS = 512
 BLOCK_BYTES = 8 << 20
 _COLUMNS = 2048
 
@@ -232,7 +232,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS), F.ceil(F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("blocks"))
     placed = members.select("_hash", "_key", "comp", "copies").join(cut, "comp").withColumn(
         "own", F.pmod(F.xxhash64(F.lit(7), "_hash"), F.col("blocks")).cast("int"))
-    met = rows.select(F.coalesce("doc_id", "_hash").alias("_key"), "_hash", "text").join(placed, ["_key", "_hash"])
+    # Always a shuffle join: candidates grow with the input, so they are never broadcast.
+    met = rows.select(F.coalesce("doc_id", "_hash").alias("_key"), "_hash", "text").join(
+        placed.hint("merge"), ["_key", "_hash"])
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "comp", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
         (F.col("own") > F.col("other")).alias("second"), "_hash", "copies", "text")
