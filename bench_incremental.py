@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from bench import build_session, timed  # noqa: E402
+from bindings.landing import deliver  # noqa: E402
 from tradeflow.sources.driver_tables import raw_table  # noqa: E402
 from tradeflow.sources.formats import FEEDS  # noqa: E402
-from tradeflow.sources.landing import deliver  # noqa: E402
 from tradeflow.streaming import refresh  # noqa: E402
 from tradeflow.streaming.ingest import load_new_files  # noqa: E402
 from tradeflow.workspace import new_folder  # noqa: E402

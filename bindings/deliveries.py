@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from bindings.landing import deliver
 from tradeflow.sources.driver_tables import raw_table
 from tradeflow.sources.formats import FEEDS
-from tradeflow.sources.landing import deliver
 from tradeflow.streaming.ingest import load_new_files
 from tradeflow.workspace import new_folder
 
@@ -20,7 +20,7 @@ _roots: dict[tuple[str, str], str] = {}
 def delivery_of(feed: str) -> Column:
     """Which delivery, from 1, a row of the feed arrives in. Every row has one."""
     if feed == "market_events":
-        return F.minute("event_ts") % DELIVERIES + 1
+        return F.coalesce(F.minute("event_ts"), F.lit(0)) % DELIVERIES + 1
     return F.col("account_id").cast("bigint") % DELIVERIES + 1
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -14,26 +15,37 @@ from pyspark.sql import functions as F
 # Fixed value: how a delivery is named; parts of one share a folder.
 _DELIVERY = "{feed}_20260108_0930{batch:02d}_batch{batch:03d}"
 
+ROWS_PER_FILE = 200_000
+
 
 def _array_files(folder: str):
-    """A task that writes its partition's JSON objects as one array file.
+    """A task that writes its partition's JSON objects as array files.
 
-    Spark's JSON writer only makes one object per line. The name depends on the
-    partition alone, so a task run again replaces its own file.
+    Spark's JSON writer only makes one object per line. A file's rows are
+    bounded. It is written under a name of its own and renamed, so a copy of the task can't spoil it; the final name depends on
+    the partition alone, so a task run again replaces its own files.
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         store, base = fs.FileSystem.from_uri(re.sub("^file:/+", "/", folder))
         store.create_dir(base)
-        n = 0
-        with store.open_output_stream(f"{base}/part-{part:05d}.json") as out:
-            out.write(b"[")
-            for batch in batches:
-                for line in batch.column(0).to_pylist():
-                    out.write((",\n" if n else "\n").encode() + line.encode())
-                    n += 1
-            out.write(b"\n]\n")
+        held, n, number = [], 0, 0
+
+        def put() -> None:
+            own = f"{base}/_{uuid.uuid4().hex}"
+            with store.open_output_stream(own) as out:
+                out.write(("[\n" + ",\n".join(held) + "\n]\n").encode())
+            store.move(own, f"{base}/part-{part:05d}-{number:05d}.json")
+
+        for batch in batches:
+            held += batch.column(0).to_pylist()
+            n += batch.num_rows
+            if len(held) >= ROWS_PER_FILE:
+                put()
+                held, number = [], number + 1
+        if held or not n:
+            put()
         yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
 
     return write

@@ -10,13 +10,15 @@ _TRADE_ID = """'TRD-' || l_orderkey || '-' || l_linenumber || '-' || l_partkey |
              || '-' || CAST(CAST(l_shipdate AS DATE) AS VARCHAR)"""
 _TRADE_TS = "l_shipdate + to_seconds((l_orderkey * 7919 + l_linenumber * 613) % 86400)"
 
+_FEED_TS = f"CASE WHEN l_orderkey % 97 <> 0 THEN {_TRADE_TS} END"
+
 _TRADES = f"""
 trades AS (
   SELECT {_TRADE_ID} AS trade_id,
          CAST(o_custkey AS VARCHAR) AS account_id,
          CASE WHEN p_type = 'PROMO' THEN l_partkey || '-WI' ELSE CAST(l_partkey AS VARCHAR) END
            AS symbol,
-         {_TRADE_TS} AS trade_ts,
+         {_FEED_TS} AS trade_ts,
          CASE l_returnflag WHEN 'A' THEN 'BUY' WHEN 'R' THEN 'SELL' END AS side,
          CAST(l_quantity AS DECIMAL(38, 0)) AS quantity,
          CAST(p_retailprice AS DECIMAL(18, 4)) AS price,
@@ -67,7 +69,7 @@ market_events AS (
          CAST(value AS DECIMAL(18, 4)) AS current_price
   FROM events
   UNION ALL
-  SELECT {_TRADE_TS}, CAST(l_partkey AS VARCHAR),
+  SELECT {_FEED_TS}, CAST(l_partkey AS VARCHAR),
          CASE o_orderstatus WHEN 'F' THEN 'order_filled' WHEN 'O' THEN 'order_placed'
                             ELSE 'order_cancelled' END,
          'trading_system', {_TRADE_ID}, CAST(o_custkey AS VARCHAR), NULL, NULL, NULL
@@ -140,9 +142,18 @@ delivered AS (
   UNION ALL
   SELECT 'positions', CAST(CAST(account_id AS BIGINT) % 3 + 1 AS INTEGER) FROM positions
   UNION ALL
-  SELECT 'market_events', CAST(minute(event_ts) % 3 + 1 AS INTEGER) FROM market_events
+  SELECT 'market_events', CAST(coalesce(minute(event_ts), 0) % 3 + 1 AS INTEGER) FROM market_events
 )"""
 
+# Positions arrive in three deliveries, loaded as batches 0 to 2.
+_BATCHES = "batches AS (SELECT CAST(account_id AS BIGINT) % 3 AS batch FROM positions)"
+_TAKEN = f"""WITH {_TRADES}, {_POSITIONS}, taken AS (
+  SELECT 'trades_enriched_dt' AS name, (SELECT count(*) FROM trades) + (SELECT count(*) FROM positions) AS rows_taken
+  UNION ALL SELECT 'trade_metrics_dt', (SELECT count(*) FROM trades)
+  UNION ALL SELECT 'position_summary_dt', (SELECT count(*) FROM positions)
+)
+"""
+
 ORACLES: dict[str, str] = {
     "scan_csv_trades": _ALL_TRADES,
     "scan_json_events": _ALL_EVENTS,
@@ -185,12 +196,12 @@ SELECT symbol, current_price AS latest_price, updated_at AS priced_at
 FROM positions
 QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY updated_at DESC, current_price DESC) = 1""",
     "events_flattened": f"""WITH {_EVENTS}
-SELECT event_ts, symbol, event_type, source, CAST(NULL AS VARCHAR) AS priority, alert_type,
+SELECT event_ts, symbol, event_type, source, alert_type AS priority, alert_type,
        threshold_price, current_price, trade_id, account_id,
-       CAST(NULL AS DECIMAL(18, 4)) AS dividend_amount, CAST(NULL AS DATE) AS ex_date,
-       CAST(NULL AS DECIMAL(18, 4)) AS eps_actual, CAST(NULL AS DECIMAL(18, 4)) AS eps_estimate,
-       CAST(NULL AS DECIMAL(18, 4)) AS surprise_pct,
-       CAST(NULL AS DECIMAL(18, 2)) AS required_amount
+       current_price AS dividend_amount,
+       CASE WHEN source = 'market_data' THEN CAST(event_ts AS DATE) END AS ex_date,
+       current_price AS eps_actual, threshold_price AS eps_estimate, threshold_price AS surprise_pct,
+       CAST(threshold_price AS DECIMAL(18, 2)) AS required_amount
 FROM market_events""",
     "order_event_join": f"""WITH {_TRADES}, {_EVENTS}
 SELECT e.trade_id, e.event_ts, e.event_type, t.symbol, t.side, t.quantity, t.amount, t.status
@@ -237,13 +248,19 @@ FROM delivered GROUP BY feed""",
 SELECT 'trades_pipe' AS pipe_name, 'STOPPED' AS execution_state, true AS healthy,
        count(*) AS rows_inserted, true AS all_files_logged
 FROM trades""",
-    "refresh_history": """
+    "refresh_history": f"""WITH {_POSITIONS}, {_BATCHES}
 SELECT name, CAST(version AS BIGINT) AS version, 'INCREMENTAL' AS refresh_action,
-       CAST(upto AS BIGINT) AS upto_batch, true AS finished
-FROM (VALUES ('position_summary_dt', 1, 0), ('position_summary_dt', 2, 1),
-             ('position_context', 1, 2)) AS log(name, version, upto)""",
-    "table_lag": """
-SELECT name, 'positions_raw' AS source, CAST(behind AS BIGINT) AS batches_behind,
-       CAST(0 AS BIGINT) AS seconds_behind
-FROM (VALUES ('position_summary_dt', 1), ('position_context', 0)) AS lag(name, behind)""",
+       CAST(upto AS BIGINT) AS upto_batch, true AS finished,
+       (SELECT count(*) FROM batches WHERE batch > since AND batch <= upto) AS rows_taken
+FROM (VALUES ('position_summary_dt', 1, -1, 0), ('position_summary_dt', 2, 0, 1),
+             ('position_context', 1, -1, 2)) AS log(name, version, since, upto)""",
+    "table_lag": f"""WITH {_POSITIONS}, {_BATCHES}
+SELECT name, 'positions_raw' AS source,
+       (SELECT count(DISTINCT batch) FROM batches WHERE batch > upto) AS batches_behind,
+       (SELECT count(*) FROM batches WHERE batch > upto) AS rows_behind,
+       CASE WHEN upto >= 0 THEN upto < 2 END AS late
+FROM (VALUES ('position_summary_dt', 1), ('position_context', 2), ('never_refreshed', -1)) AS lag(name, upto)""",
+    "lag_due": _TAKEN + "SELECT name, CAST(1 AS BIGINT) AS refreshes, rows_taken FROM taken",
+    "suspend_table": _TAKEN + """SELECT name, CAST(1 AS BIGINT) AS refreshes, rows_taken FROM taken
+WHERE name <> 'trade_metrics_dt'""",
 }

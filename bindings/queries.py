@@ -131,7 +131,8 @@ def stop_resume(spark, sf_dir):
     pipe = ingest.start_pipe(
         spark, "trades", stage, root, every="10 seconds", files_per_batch=per_batch
     )
-    while ingest.latest_batch(spark, root, "trades_raw") < 0 and pipe.isActive:
+    until = time.monotonic() + 300
+    while ingest.latest_batch(spark, root, "trades_raw") < 0 and pipe.isActive and time.monotonic() < until:
         time.sleep(0.2)
     pipe.stop()
     ingest.load_new_files(spark, "trades", stage, root, files_per_batch=per_batch)
@@ -266,11 +267,11 @@ def run_if_new(spark, sf_dir):
     root = deliveries.loaded_root(spark, sf_dir)
     consumer, target = f"gate-{uuid.uuid4().hex[:8]}", new_folder(spark, "gated")
 
-    def step(session, at_root):
-        counted = ingest.raw_rows(session, at_root, "trades_raw").groupBy("side").agg(
+    def step(session, at_root, upto):
+        counted = ingest.raw_rows(session, at_root, "trades_raw", upto=upto).groupBy("side").agg(
             F.count(F.lit(1)).alias("trade_count")
         )
-        counted.write.mode("append").parquet(target)
+        counted.write.mode("overwrite").parquet(target)
 
     ran = [changes.run_if_new(spark, root, consumer, "trades_raw", step) for _ in range(2)]
     return spark.read.parquet(target).select(
@@ -296,7 +297,7 @@ def chain_enrich_metrics(spark, sf_dir):
 def enrich_incremental(spark, sf_dir):
     """Enriched trades kept up with trades first, then with positions that change them."""
     root = new_folder(spark, "enriched-dt")
-    table = refresh.EnrichedTable(parts=8)
+    table = refresh.TRADES_ENRICHED_DT
     for feed in ("trades", "positions"):
         deliveries.load_by_delivery(
             spark, sf_dir, feed, root, then=lambda session, at, batch: table.refresh(session, at)
@@ -314,7 +315,41 @@ def _maintained(spark, sf_dir, table: refresh.RollupTable, feed: str) -> DataFra
 
 @query
 def metrics_incremental(spark, sf_dir):
-    return _maintained(spark, sf_dir, refresh.TRADE_METRICS_DT, "trades")
+    """Metrics kept on top of the enriched trades, which are kept on top of the loaded ones."""
+    root = new_folder(spark, "metrics-dt")
+
+    def refresh_both(session, at, batch):
+        refresh.TRADES_ENRICHED_DT.refresh(session, at)
+        refresh.TRADE_METRICS_DT.refresh(session, at)
+
+    deliveries.load_by_delivery(spark, sf_dir, "trades", root, then=refresh_both)
+    return refresh.TRADE_METRICS_DT.read(spark, root)
+
+
+def _refreshed_as_due(spark, sf_dir, suspended: bool) -> DataFrame:
+    """Which tables a due refresh took up, and how many rows each has taken in."""
+    root = new_folder(spark, "due")
+    for feed in ("trades", "positions"):
+        deliveries.load_by_delivery(spark, sf_dir, feed, root)
+    if suspended:
+        refresh.suspend(spark, root, refresh.TRADE_METRICS_DT.table.name)
+        refresh.suspend(spark, root, refresh.POSITION_SUMMARY_DT.table.name)
+        refresh.suspend(spark, root, refresh.POSITION_SUMMARY_DT.table.name, suspended=False)
+    refresh.refresh_due(spark, root)
+    refresh.refresh_due(spark, root)  # nothing is due so soon
+    tables = [made.table for made, _ in refresh.TARGET_LAGS]
+    return reports.refresh_history(spark, root, tables).groupBy("name").agg(
+        F.count(F.lit(1)).alias("refreshes"), F.sum("rows_taken").alias("rows_taken"))
+
+
+@query
+def lag_due(spark, sf_dir):
+    return _refreshed_as_due(spark, sf_dir, suspended=False)
+
+
+@query
+def suspend_table(spark, sf_dir):
+    return _refreshed_as_due(spark, sf_dir, suspended=True)
 
 
 @query
@@ -406,7 +441,7 @@ def pipe_status(spark, sf_dir):
     """The state of a trades pipe that has finished, next to what it loaded."""
     stage, root = deliveries.stage_with_everything(spark, sf_dir), new_folder(spark, "status")
     pipe = ingest.load_new_files(spark, "trades", stage, root)
-    status = reports.pipe_status(spark, pipe).first()
+    status = reports.pipe_status(spark, root, pipe).first()
     return ingest.load_log(spark, root, "trades_raw").agg(
         F.lit(status["pipe_name"]).alias("pipe_name"),
         F.lit(status["execution_state"]).alias("execution_state"),
@@ -426,6 +461,7 @@ def _root_with_lagging_tables(spark, sf_dir) -> str:
 
 
 _LAGGING = [refresh.POSITION_SUMMARY_DT.table, refresh.POSITION_CONTEXT.table]
+_NEVER = refresh.MaintainedTable("never_refreshed", "stage", POSITIONS, "0")
 
 
 @query
@@ -434,7 +470,7 @@ def refresh_history(spark, sf_dir):
     history = reports.refresh_history(spark, root, _LAGGING)
     return history.select(
         "name", "version", "refresh_action",
-        F.col("inputs")["positions_raw"].alias("upto_batch"),
+        F.col("inputs")["positions_raw"].alias("upto_batch"), "rows_taken",
         (F.col("refresh_end_time") >= F.col("refresh_start_time")).alias("finished"),
     )
 
@@ -442,4 +478,5 @@ def refresh_history(spark, sf_dir):
 @query
 def table_lag(spark, sf_dir):
     root = _root_with_lagging_tables(spark, sf_dir)
-    return reports.table_lag(spark, root, _LAGGING)
+    lag = reports.table_lag(spark, root, {t: ["positions_raw"] for t in [*_LAGGING, _NEVER]})
+    return lag.select("name", "source", "batches_behind", "rows_behind", (F.col("seconds_behind") > 0).alias("late"))

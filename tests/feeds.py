@@ -12,7 +12,7 @@ import pyarrow.parquet as pq
 
 from tradeflow.schemas import MARKET_EVENTS, POSITIONS, TRADES
 
-SYMBOLS = ["AAPL", "MSFT", "SPY", "T-NOTE-10Y", "UNHELD", None]
+SYMBOLS = ["QRX", "LMN", "ETF1", "BOND-7", "UNHELD", None]
 
 
 def bag(df, *columns):
@@ -23,9 +23,9 @@ def bag(df, *columns):
 
 def trade(**over):
     row = dict(
-        trade_id="T1", account_id="ACCT-0001", symbol="AAPL",
-        trade_ts=datetime(2026, 1, 8, 9, 30, 15), side="BUY", quantity=Decimal(100),
-        price=Decimal("185.5000"), amount=Decimal("18550.00"), exchange="NASDAQ", status="filled",
+        trade_id="T1", account_id="K-0001", symbol="QRX",
+        trade_ts=datetime(2025, 11, 3, 9, 41, 27), side="BUY", quantity=Decimal(100),
+        price=Decimal("47.2500"), amount=Decimal("4725.00"), exchange="XETR", status="filled",
     )
     row.update(over)
     return tuple(row[name] for name in TRADES.names)
@@ -33,10 +33,10 @@ def trade(**over):
 
 def position(**over):
     row = dict(
-        symbol="AAPL", account_id="ACCT-0001", quantity=Decimal(10), avg_cost=Decimal("100.0000"),
+        symbol="QRX", account_id="K-0001", quantity=Decimal(10), avg_cost=Decimal("100.0000"),
         cost_basis=Decimal("1000.00"), current_price=Decimal("110.0000"),
         market_value=Decimal("1100.00"), unrealized_pnl=Decimal("100.00"),
-        updated_at=datetime(2026, 1, 8, 8, 0),
+        updated_at=datetime(2025, 11, 3, 8, 0),
     )
     row.update(over)
     return tuple(row[name] for name in POSITIONS.names)
@@ -57,7 +57,7 @@ def random_trades(rng: random.Random, n: int, batch: int, hot: str | None = None
         symbol = hot if hot and rng.random() < 0.4 else rng.choice(SYMBOLS)
         rows.append(
             trade(
-                trade_id=f"TRD-{batch:03d}-{i:04d}", account_id=f"ACCT-{rng.randint(1, 9):04d}",
+                trade_id=f"TRD-{batch:03d}-{i:04d}", account_id=f"K-{rng.randint(1, 9):04d}",
                 symbol=symbol, side=rng.choice(["BUY", "SELL", "buy", None]),
                 trade_ts=datetime(2026, 1, 30, 22) + timedelta(seconds=rng.randint(0, 5 * 3600)),
                 quantity=Decimal(quantity), price=Decimal(cents) / 100,
@@ -75,7 +75,7 @@ def random_positions(rng: random.Random, n: int):
         rows.append(
             position(
                 symbol=rng.choice([s for s in SYMBOLS if s != "UNHELD"]),
-                account_id=rng.choice(["ACCT-0001", "ACCT-0002", "ACCT-0003", None]),
+                account_id=rng.choice(["K-0001", "K-0002", "K-0003", None]),
                 quantity=Decimal(quantity), avg_cost=Decimal(cost) / 100,
                 cost_basis=Decimal(quantity * cost) / 100, current_price=Decimal(now) / 100,
                 market_value=Decimal(quantity * now) / 100,

@@ -2,6 +2,7 @@
 
 import random
 from dataclasses import replace
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from feeds import (
@@ -22,10 +23,12 @@ from pyspark.sql import functions as F
 from tradeflow.operators import enrich, rollups
 from tradeflow.plans import jobs, reports
 from tradeflow.streaming import changes, ingest, maintained, refresh
+from tradeflow.workspace import subfolders
 
-ENRICHED = refresh.EnrichedTable(parts=4)
+ENRICHED = refresh.TRADES_ENRICHED_DT
+METRICS = replace(refresh.TRADE_METRICS_DT, source="trades_raw")
 ROLLUPS = {
-    "trades": (refresh.TRADE_METRICS_DT, rollups.TRADE_METRICS),
+    "trades": (METRICS, rollups.TRADE_METRICS),
     "market_events": (refresh.MARKET_EVENT_SUMMARY_DT, rollups.EVENT_SUMMARY),
     "positions": (refresh.POSITION_SUMMARY_DT, rollups.POSITION_SUMMARY),
 }
@@ -34,7 +37,7 @@ ROLLUPS = {
 def land(spark, feed, stage, batch, rng):
     """Write a random batch as a file and return it as rows too."""
     if feed == "trades":
-        rows = random_trades(rng, 60, batch, hot="AAPL")
+        rows = random_trades(rng, 60, batch, hot="QRX")
         land_trades(stage, f"trades_{batch}.csv", rows)
         return trades(spark, *rows)
     if feed == "market_events":
@@ -75,7 +78,7 @@ def test_rollup_equals_query(spark, root, tmp_path, feed, merge_after):
 
 
 def test_additions_gather_and_then_merge(spark, root, tmp_path):
-    table, rng = replace(refresh.TRADE_METRICS_DT, merge_after=2), random.Random(2)
+    table, rng = replace(METRICS, merge_after=2), random.Random(2)
     gathered, spare = [], []
     for batch in range(4):
         land(spark, "trades", str(tmp_path), batch, rng)
@@ -87,10 +90,9 @@ def test_additions_gather_and_then_merge(spark, root, tmp_path):
     assert spare[0] == spare[3] == 0 < spare[2]
 
 
-@pytest.mark.parametrize("merge_after", [1, 32])
-def test_enriched_equals_query(spark, root, tmp_path, merge_after):
+def test_enriched_equals_query(spark, root, tmp_path):
     """New trades, changed positions, both at once, and neither."""
-    table = replace(ENRICHED, merge_after=merge_after)
+    table = ENRICHED
     rng, stage = random.Random(7), str(tmp_path)
     every = {"trades": [], "positions": []}
     steps = [["trades"], ["positions"], ["trades", "positions"], ["trades"], ["positions"], []]
@@ -113,32 +115,97 @@ def union(frames):
     return first
 
 
-def test_position_change_rewrites_only_its_parts(spark, root, tmp_path):
+def test_position_change_writes_no_trade(spark, root, tmp_path):
     rng, stage = random.Random(8), str(tmp_path)
-    land(spark, "trades", stage, 0, rng)
-    land(spark, "positions", stage, 0, rng)
     for feed in ("trades", "positions"):
+        land(spark, feed, stage, 0, rng)
         load(spark, feed, stage, root)
     ENRICHED.refresh(spark, root)
-    moved = [r for r in random_positions(rng, 40) if r[0] == "MSFT"]
-    land_positions(stage, "positions_1.parquet", moved)
+    land_positions(stage, "positions_1.parquet", random_positions(rng, 40))
     load(spark, "positions", stage, root)
+    assert ENRICHED.refresh(spark, root)
+    assert subfolders(f"{root}/stage/trades_enriched_dt") == []
+    assert ENRICHED.table.last_refresh(spark, root)["rows_taken"] == 40
+
+
+def test_metrics_on_top_of_enriched_trades(spark, root, tmp_path):
+    rng, stage = random.Random(15), str(tmp_path)
+    rows = union([land(spark, "trades", stage, b, rng) for b in range(2)])
+    load(spark, "trades", stage, root)
+    assert not refresh.TRADE_METRICS_DT.refresh(spark, root)  # its source has taken in nothing yet
     ENRICHED.refresh(spark, root)
-    (part,) = ENRICHED.table.parts_of(positions(spark, *moved))
-    first_version = ENRICHED.table.last_refresh(spark, root)["first_version"]
-    assert {p for p, v in first_version.items() if v == 2} == {part, refresh.FRESH}
+    assert refresh.TRADE_METRICS_DT.refresh(spark, root)
+    assert bag(refresh.TRADE_METRICS_DT.read(spark, root)) == bag(rollups.TRADE_METRICS.query(rows))
 
 
-def test_new_trades_gather_before_they_are_spread(spark, root, tmp_path):
-    table, rng, stage = replace(ENRICHED, merge_after=2), random.Random(8), str(tmp_path)
-    homes = []
-    for batch in range(4):
+@pytest.mark.parametrize("merge_after", [1, 32])
+def test_rows_without_a_time_or_symbol(spark, root, tmp_path, merge_after):
+    stage, every = str(tmp_path), {"trades": [], "market_events": [], "positions": []}
+    tables = {feed: (replace(table, merge_after=merge_after), rollup) for feed, (table, rollup) in ROLLUPS.items()}
+    for batch in range(3):
+        rows = [trade(trade_id=f"{batch}a", trade_ts=None), trade(trade_id=f"{batch}b", symbol=None), trade(trade_id=f"{batch}c")]
+        land_trades(stage, f"trades_{batch}.csv", rows)
+        every["trades"].append(trades(spark, *rows))
+        events = [{"EVENT_TS": t, "SYMBOL": s, "EVENT_TYPE": "x", "EVENT_ATTR": {}} for t, s in [(None, "A"), ("2025-11-03 10:00:00", None)]]
+        land_events(stage, f"events_{batch}.json", events)
+        every["market_events"].append(events_frame(spark, events))
+        held = [r for r in random_positions(random.Random(batch), 30) if r[0] is None]
+        land_positions(stage, f"positions_{batch}.parquet", held)
+        every["positions"].append(positions(spark, *held))
+        for feed, (table, rollup) in tables.items():
+            load(spark, feed, stage, root)
+            assert table.refresh(spark, root)
+            assert bag(table.read(spark, root)) == bag(rollup.query(union(every[feed])))
+
+
+def test_refresh_does_not_run_ahead_of_what_is_loaded(spark, root, tmp_path):
+    rng, stage, every = random.Random(16), str(tmp_path), []
+    for batch in range(2):
+        every.append(land(spark, "trades", stage, batch, rng))
+        load(spark, "trades", stage, root)
+        assert METRICS.refresh(spark, root, upto=5)
+        assert ENRICHED.refresh(spark, root, upto=5)
+        assert bag(METRICS.read(spark, root)) == bag(rollups.TRADE_METRICS.query(union(every)))
+        assert ENRICHED.read(spark, root).count() == 60 * (batch + 1)
+
+
+def test_replaced_folders_are_deleted(spark, root, tmp_path):
+    """Many refreshes leave as many folders as few do, and a reader reads one log entry."""
+    table, rng, stage, counts = replace(METRICS, merge_after=1), random.Random(17), str(tmp_path), []
+    data = f"{root}/curated/trade_metrics_dt"
+    for batch in range(8):
         land(spark, "trades", stage, batch, rng)
         load(spark, "trades", stage, root)
         table.refresh(spark, root)
-        homes.append(table.table.read(spark, root, parts=[refresh.FRESH]).count())
-    assert homes == [0, 60, 120, 0]
-    assert table.read(spark, root).count() == 240
+        counts.append(sum(len(subfolders(f"{data}/{v}")) for v in subfolders(data)))
+    assert max(counts) <= 2 * counts[0] + 2 and len(subfolders(data)) <= 3
+    assert table.read(spark, root).agg(F.sum("trade_count")).first()[0] == 8 * 60
+
+
+def test_lag_and_suspension(spark, root, tmp_path):
+    rng, stage = random.Random(18), str(tmp_path)
+    table, raw = refresh.POSITION_SUMMARY_DT, "positions_raw"
+    for batch in range(2):
+        land(spark, "positions", stage, batch, rng)
+        load(spark, "positions", stage, root)
+    table.refresh(spark, root, upto=0)
+    never = replace(table.table, name="never")
+    lag = {r["name"]: r for r in reports.table_lag(spark, root, {table.table: [raw], never: [raw]}).collect()}
+    times = [r[0] for r in ingest.load_log(spark, root, raw).orderBy("_batch").select("last_load_time").collect()]
+    behind = lag[table.table.name]
+    assert (behind["batches_behind"], behind["rows_behind"]) == (1, 40)
+    assert behind["seconds_behind"] == pytest.approx((times[1] - times[0]).total_seconds())
+    assert (lag["never"]["batches_behind"], lag["never"]["seconds_behind"]) == (2, None)
+    assert reports.table_lag(spark, root, {}).count() == 0
+
+    now = datetime.now(timezone.utc)
+    due = lambda seconds: refresh.refresh_due(spark, root, now + timedelta(seconds=seconds), [(table, 300)])
+    assert due(200) == []
+    refresh.suspend(spark, root, table.table.name)
+    assert due(400) == []
+    refresh.suspend(spark, root, table.table.name, suspended=False)
+    assert due(400) == [table.table.name]
+    assert due(2000) == []  # nothing new
 
 
 @pytest.mark.parametrize("lost", ["log", "data"])
@@ -180,7 +247,7 @@ def test_interrupted_refresh_leaves_no_trace(spark, root, tmp_path, monkeypatch,
 def test_refresh_after_every_batch_of_a_pipe(spark, root, tmp_path):
     rng, stage = random.Random(10), str(tmp_path)
     rows = union([land(spark, "trades", stage, b, rng) for b in range(3)])
-    table = refresh.TRADE_METRICS_DT
+    table = METRICS
     load(
         spark, "trades", stage, root, files_per_batch=1,
         then=lambda session, at, batch: table.refresh(session, at),
@@ -193,7 +260,7 @@ def test_change_stream_and_gate(spark, root, tmp_path):
     rng, stage = random.Random(11), str(tmp_path)
     runs = []
 
-    def step(session, at):
+    def step(session, at, upto):
         runs.append(changes.changes(session, at, "c", "trades_raw").count())
 
     assert not changes.has_data(spark, root, "c", "trades_raw")
@@ -225,7 +292,7 @@ def test_chain_replaces_instead_of_appending(spark, root, tmp_path):
         assert jobs.run_chain(spark, root)
         assert not jobs.run_chain(spark, root)
         assert bag(jobs.read_metrics(spark, root)) == bag(rollups.TRADE_METRICS.query(union(every)))
-    assert jobs.read_enriched(spark, root).count() == 120
+    assert ENRICHED.read(spark, root).count() == 120
 
 
 def test_upsert(spark, root):
@@ -253,7 +320,7 @@ def test_reports_on_empty_and_lagging_tables(spark, root, tmp_path):
         load(spark, "positions", stage, root)
         if batch == 0:
             refresh.POSITION_SUMMARY_DT.refresh(spark, root)
-    lag = reports.table_lag(spark, root, [refresh.POSITION_SUMMARY_DT.table]).first()
+    lag = reports.table_lag(spark, root, {refresh.POSITION_SUMMARY_DT.table: ["positions_raw"]}).first()
     assert lag["batches_behind"] == 1
     history = reports.load_history(spark, root, "positions_raw", hours=1)
     assert [r["row_count"] for r in history.collect()] == [40, 40]

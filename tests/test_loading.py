@@ -22,6 +22,8 @@ from feeds import (
 from pyspark.sql import functions as F
 
 from tradeflow.schemas import MARKET_EVENTS, POSITIONS, TRADES, conform
+from tradeflow.plans import reports
+from tradeflow.sources import json_arrays
 from tradeflow.sources.formats import FEEDS, scan
 from tradeflow.streaming import ingest
 
@@ -44,12 +46,12 @@ def loaded(spark, root, table, *columns):
 def test_csv_quotes_positions_and_empty_fields(spark, stage):
     Path(stage, "trades_1.csv").write_text(
         "A,B,C,D,E,F,G,H,I,J\n"
-        'T1,A1,"X ""q"", y",2026-01-08 09:30:15,BUY,100,185.50,18550.00,NYSE,filled\n'
+        'T1,A1,"X ""q"", y",2025-11-03 09:41:27,BUY,100,47.25,4725.00,XLON,filled\n'
         'T2,A1,,2026-03-08 02:30:00,,7,1.00005,,"",filled\n'
     )
     rows = scan(spark, FEEDS["trades"], stage).orderBy("trade_id").collect()
     assert rows[0]["symbol"] == 'X "q", y'
-    assert rows[0]["price"] == Decimal("185.5000")
+    assert rows[0]["price"] == Decimal("47.2500")
     assert rows[1]["symbol"] is None and rows[1]["side"] is None and rows[1]["amount"] is None
     assert rows[1]["trade_ts"] == datetime(2026, 3, 8, 2, 30)
 
@@ -66,7 +68,7 @@ def test_csv_time_in_a_zone_that_skips_it(spark, stage):
 @pytest.mark.parametrize("quantity", ["xx", "1.2.3"])
 def test_bad_number_stops_the_load(spark, stage, root, quantity):
     Path(stage, "trades_1.csv").write_text(
-        f"{HEADER}\nT1,A1,AAPL,2026-01-08 09:30:15,BUY,{quantity},1,1,NYSE,filled\n"
+        f"{HEADER}\nT1,A1,QRX,2025-11-03 09:41:27,BUY,{quantity},1,1,XLON,filled\n"
     )
     with pytest.raises(Exception, match="(?i)malformed"):
         scan(spark, FEEDS["trades"], stage).collect()
@@ -79,9 +81,9 @@ def test_bad_number_stops_the_load(spark, stage, root, quantity):
 def test_json_keys_in_any_case_and_order(spark, stage):
     attr = {"trade_id": "T1", "nested": [1, {"x": None}]}
     land_events(stage, "events_1.json", [
-        {"EVENT_TS": "2026-01-08 09:30:00", "SYMBOL": "AAPL", "EVENT_TYPE": "t", "EVENT_ATTR": attr},
-        {"event_attr": attr, "event_type": "t", "symbol": "AAPL", "event_ts": "2026-01-08 09:30:00"},
-        {"Event_Ts": "2026-01-08 09:30:00", "Symbol": "AAPL", "Event_Type": "t", "eVENT_aTTR": attr, "x": 1},
+        {"EVENT_TS": "2025-11-03 09:41:00", "SYMBOL": "QRX", "EVENT_TYPE": "t", "EVENT_ATTR": attr},
+        {"event_attr": attr, "event_type": "t", "symbol": "QRX", "event_ts": "2025-11-03 09:41:00"},
+        {"Event_Ts": "2025-11-03 09:41:00", "Symbol": "QRX", "Event_Type": "t", "eVENT_aTTR": attr, "x": 1},
         {"EVENT_TS": None, "EVENT_TYPE": "t"},
     ])
     Path(stage, "events_empty.json").write_text("[]")
@@ -89,13 +91,13 @@ def test_json_keys_in_any_case_and_order(spark, stage):
     assert rows.schema[:4] == MARKET_EVENTS[:4]
     found = bag(rows.select("event_ts", "symbol", "event_type", F.to_json("event_attr")))
     assert found == {
-        (datetime(2026, 1, 8, 9, 30), "AAPL", "t", json.dumps(dict(sorted(attr.items())), separators=(",", ":"))): 3,
+        (datetime(2025, 11, 3, 9, 41), "QRX", "t", json.dumps(dict(sorted(attr.items())), separators=(",", ":"))): 3,
         (None, None, "t", None): 1,
     }
 
 
 def test_json_that_is_cut_off_stops_the_load(spark, stage):
-    Path(stage, "events_1.json").write_text('[{"EVENT_TS": "2026-01-08 09:30:00", "SYM')
+    Path(stage, "events_1.json").write_text('[{"EVENT_TS": "2025-11-03 09:41:00", "SYM')
     with pytest.raises(Exception, match="(?i)malformed"):
         scan(spark, FEEDS["market_events"], stage).collect()
 
@@ -188,3 +190,81 @@ def test_file_without_rows_is_logged(spark, stage, root):
     assert bag(log.select(F.element_at(F.split("file_name", "/"), -1), "row_count")) == {
         ("trades_empty.csv", 0): 1, ("trades_1.csv", 1): 1,
     }
+
+
+def test_names_that_look_like_globs(spark, stage, root):
+    for i, name in enumerate(["trades[1].csv", "trades{a,b}.csv", "trades *?.csv", "trades %41é.csv"]):
+        land_trades(stage, name, [trade(trade_id=f"T{i}")])
+    ingest.load_new_files(spark, "trades", stage, root)
+    assert sorted(x for (x,) in loaded(spark, root, "trades_raw", "trade_id")) == ["T0", "T1", "T2", "T3"]
+    assert scan(spark, FEEDS["trades"], stage).count() == 4
+
+
+@pytest.mark.parametrize("above", ["trades.csv x", "trades.csv [1]", "trades.csv %20"])
+def test_pattern_below_a_stage_that_is_spelled_otherwise(spark, tmp_path, above):
+    folder = tmp_path / above / "my stage"
+    land_trades(folder, "other.csv", [trade()])
+    land_trades(folder, "trades 1.csv", [trade()])
+    land_events(folder, "events 1.json", [{"EVENT_TYPE": "x"}])
+    assert scan(spark, FEEDS["trades"], str(folder)).count() == 1
+    assert scan(spark, FEEDS["market_events"], str(folder)).count() == 1
+
+
+def test_parquet_files_that_disagree_on_a_type(spark, stage, root):
+    for name, quantity in [("a", pa.array([1, 2])), ("b", pa.array([1.0, None])), ("c", pa.array(["3", "4"]))]:
+        pq.write_table(pa.table({"SYMBOL": ["X", "Y"], "QUANTITY": quantity}), Path(stage, f"positions_{name}.parquet"))
+    ingest.load_new_files(spark, "positions", stage, root)
+    assert loaded(spark, root, "positions_raw", "quantity") == {(Decimal(1),): 2, (Decimal(2),): 1, (None,): 1, (Decimal(3),): 1, (Decimal(4),): 1}
+    assert scan(spark, FEEDS["positions"], stage).count() == 6
+
+
+@pytest.mark.parametrize("feed, good, bad", [
+    ("trades", f"{HEADER}\nT1,A1,S,2025-11-03 09:41:27,BUY,1,1,1,XLON,filled\n", f"{HEADER}\nT1,A1,S,2025-11-03 09:41:27,BUY,x,1,1,XLON,filled\n"),
+    ("market_events", '[{"EVENT_TYPE": "x"}]', '[{"EVENT_TYPE": "x"}, {"EVENT'),
+])
+def test_pipe_skips_bad_files_and_says_so(spark, stage, root, feed, good, bad):
+    table, kind = FEEDS[feed].table, FEEDS[feed].name_glob[1:]
+    word = feed.split("_")[-1]
+    for i in range(5):
+        Path(stage, f"{word}_{i}{kind}").write_text(bad if i == 2 else good)
+    pipe = ingest.start_pipe(spark, feed, stage, root, every="1 second")
+    pipe.processAllAvailable()
+    pipe.stop()
+    assert sum(loaded(spark, root, table).values()) == 4
+    history = reports.load_history(spark, root, table).collect()
+    assert sorted(r["status"] for r in history) == ["FAILED"] + ["LOADED"] * 4
+    (failed,) = [r for r in history if r["status"] == "FAILED"]
+    assert f"{word}_2" in failed["file_name"] and failed["row_count"] == 0 and failed["error"]
+
+
+def elements(text, size):
+    data = text.encode()
+    pieces = [data[i : i + size] for i in range(0, len(data), size)]
+    return [x.decode() for found in json_arrays.elements(pieces) for x in found]
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 1000])
+def test_array_elements_in_pieces(size):
+    values = [{"a": 'x,]}"\\'}, [1, [2, "}"]], "a\\\"[b", None, 3.5, {"é漢": {"b": []}}, "\\\\", {}]
+    for text in (json.dumps(values), json.dumps(values, indent=2, ensure_ascii=False), "\ufeff " + json.dumps(values) + "\n "):
+        assert [json.loads(x) for x in elements(text, size)] == values
+    assert elements(" [ ] ", size) == []
+    for broken in ("", " ", "{}", "[1", "[1] 2", "[1]]", '["a]'):
+        with pytest.raises(ValueError, match="malformed"):
+            elements(broken, size)
+
+
+def test_large_array_takes_little_memory(tmp_path):
+    """A reader's memory follows the piece, not the file."""
+    import resource
+
+    def pieces():
+        yield b"["
+        part = b",".join(b'{"EVENT_TYPE": "x", "EVENT_ATTR": {"k": [1, 2, 3]}}' for _ in range(80_000))
+        for i in range(150):
+            yield (b"," if i else b"") + part
+        yield b"]"
+
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    assert sum(len(x) for x in json_arrays.elements(pieces())) == 150 * 80_000
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 400_000

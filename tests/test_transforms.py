@@ -23,10 +23,10 @@ def metrics_of(spark, *rows):
 def test_hour_edges(spark):
     found = metrics_of(
         spark,
-        trade(trade_ts=datetime(2026, 1, 8, 9, 59, 59, 999999)),
-        trade(trade_ts=datetime(2026, 1, 8, 10, 0, 0)),
+        trade(trade_ts=datetime(2025, 11, 3, 9, 59, 59, 999999)),
+        trade(trade_ts=datetime(2025, 11, 3, 10, 0, 0)),
     )
-    assert sorted(found) == [(datetime(2026, 1, 8, 9), "AAPL"), (datetime(2026, 1, 8, 10), "AAPL")]
+    assert sorted(found) == [(datetime(2025, 11, 3, 9), "QRX"), (datetime(2025, 11, 3, 10), "QRX")]
 
 
 def test_hour_that_the_session_zone_skips(spark):
@@ -53,8 +53,8 @@ def test_cancelled_trades_count(spark):
 
 def test_null_symbol_and_null_hour_are_groups(spark):
     found = metrics_of(spark, trade(symbol=None), trade(trade_ts=None), trade(symbol=None))
-    assert found[(datetime(2026, 1, 8, 9), None)]["trade_count"] == 2
-    assert found[(None, "AAPL")]["trade_count"] == 1
+    assert found[(datetime(2025, 11, 3, 9), None)]["trade_count"] == 2
+    assert found[(None, "QRX")]["trade_count"] == 1
 
 
 def test_sums_of_only_nulls_are_null(spark):
@@ -107,7 +107,7 @@ def test_latest_price_prefers_newest_then_highest(spark):
         spark, position(current_price=D(900)), position(current_price=D(5), updated_at=late),
         position(current_price=D(7), updated_at=late), position(updated_at=None, current_price=D(99)),
     )
-    assert bag(enrich.latest_price(held)) == {("AAPL", D("7.0000"), late): 1}
+    assert bag(enrich.latest_price(held)) == {("QRX", D("7.0000"), late): 1}
 
 
 def test_event_attributes_by_type(spark):
@@ -119,7 +119,7 @@ def test_event_attributes_by_type(spark):
         ("price_alert", '{"threshold_price": "not a number"}'),
     ]
     df = spark.createDataFrame(rows, "event_type string, attr string").select(
-        F.lit(None).cast("timestamp_ntz").alias("event_ts"), F.lit("AAPL").alias("symbol"),
+        F.lit(None).cast("timestamp_ntz").alias("event_ts"), F.lit("QRX").alias("symbol"),
         "event_type", F.parse_json("attr").alias("event_attr"),
     )
     found = {r["event_type"]: r for r in events.flatten(df).collect()}
@@ -193,7 +193,7 @@ def test_broadcast_only_below_the_limit(spark):
 
 def test_enrich_by_shuffle_equals_enrich_by_broadcast(spark, no_planned_broadcast):
     rng = random.Random(5)
-    rows = trades(spark, *random_trades(rng, 400, 1, hot="AAPL"))
+    rows = trades(spark, *random_trades(rng, 400, 1, hot="QRX"))
     context = enrich.positions_agg(positions(spark, *random_positions(rng, 60)))
     assert bag(enrich.with_context(rows, context, limit=0)) == bag(enrich.with_context(rows, context))
 
@@ -204,7 +204,7 @@ def test_enrich_by_shuffle_equals_enrich_by_broadcast(spark, no_planned_broadcas
 @pytest.mark.parametrize("seed", range(3))
 def test_random_feeds_equal_sql(spark, seed):
     rng = random.Random(seed)
-    rows = trades(spark, *random_trades(rng, 500, 1, hot="AAPL"))
+    rows = trades(spark, *random_trades(rng, 500, 1, hot="QRX"))
     held = positions(spark, *random_positions(rng, 80))
     con = duckdb.connect()
     con.register("trades", rows.toArrow())

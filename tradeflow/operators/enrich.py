@@ -11,25 +11,6 @@ from tradeflow.schemas import POSITION_CONTEXT as CONTEXT_COLUMNS
 from tradeflow.schemas import TRADES
 from tradeflow.workspace import new_folder, settled
 
-ENRICH_SQL = """
-WITH positions_agg AS (
-  SELECT symbol,
-         CAST(try_divide(CAST(sum(current_price) AS DECIMAL(24, 4)),
-                         CAST(count(current_price) AS DECIMAL(13, 0))) AS DECIMAL(18, 4))
-           AS avg_market_price,
-         sum(quantity) AS total_position_qty,
-         CAST(sum(market_value) AS DECIMAL(38, 2)) AS total_market_value
-  FROM {positions}
-  GROUP BY symbol
-)
-SELECT t.trade_id, t.account_id, t.symbol, t.trade_ts, t.side,
-       t.quantity, t.price, t.amount, t.exchange, t.status,
-       p.avg_market_price, p.total_position_qty, p.total_market_value
-FROM {trades} t
-LEFT JOIN positions_agg p ON t.symbol = p.symbol
-"""
-
-
 def positions_agg(positions: DataFrame) -> DataFrame:
     return POSITION_CONTEXT.query(positions)
 
@@ -54,15 +35,25 @@ def enrich_trades(trades: DataFrame, positions: DataFrame) -> DataFrame:
 
 
 def enrich_trades_sql(trades: DataFrame, positions: DataFrame) -> DataFrame:
-    """SQL form; adaptive execution picks the join once it knows the sizes."""
-    return trades.sparkSession.sql(ENRICH_SQL, trades=trades, positions=positions)
+    """SQL form, from the same definitions; adaptive execution picks the join and splits hot symbols."""
+    spark = trades.sparkSession
+    sums = ", ".join(
+        f"CAST({sql} AS {kind.simpleString()}) AS {name}" for name, (sql, kind) in POSITION_CONTEXT.measures.items())
+    partial = spark.sql(f"SELECT symbol, {sums} FROM {{positions}} GROUP BY symbol", positions=positions)
+    columns = ", ".join([*TRADES.names, *CONTEXT_COLUMNS.names])
+    return spark.sql(
+        f"SELECT {columns} FROM {{trades}} LEFT JOIN {{context}} USING (symbol)",
+        trades=trades, context=POSITION_CONTEXT.publish(partial),
+    )
 
 
 def latest_price(positions: DataFrame) -> DataFrame:
-    """Each symbol's price at its newest update; the higher one if two tie."""
-    newest = F.struct("updated_at", "current_price")
-    priced = positions.where(F.col("updated_at").isNotNull() & F.col("current_price").isNotNull())
-    return priced.groupBy("symbol").agg(
-        F.max_by("current_price", newest).alias("latest_price"),
-        F.max("updated_at").alias("priced_at"),
-    )
+    """Each symbol's price at its newest update; the higher one if two tie.
+
+    NULLs for a symbol of which no position has both a price and a time.
+    """
+    known = F.col("updated_at").isNotNull() & F.col("current_price").isNotNull()
+    newest = positions.groupBy("symbol").agg(
+        F.max(F.when(known, F.struct("updated_at", "current_price"))).alias("newest"))
+    return newest.select(
+        "symbol", F.col("newest.current_price").alias("latest_price"), F.col("newest.updated_at").alias("priced_at"))

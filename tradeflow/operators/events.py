@@ -47,5 +47,7 @@ def order_events_with_trades(events: DataFrame, trades: DataFrame) -> DataFrame:
         "event_type",
         F.try_variant_get("event_attr", "$.trade_id", "string").alias("trade_id"),
     )
-    known = trades.select("trade_id", "symbol", "side", "quantity", "amount", "status")
+    # A trade delivered twice must not double its events.
+    columns = ["symbol", "side", "quantity", "amount", "status"]
+    known = trades.groupBy("trade_id").agg(F.max(F.struct(*columns)).alias("t")).select("trade_id", "t.*")
     return lookup_join(orders, known, "trade_id", "left", spread_by="event_ts")

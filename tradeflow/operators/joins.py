@@ -52,14 +52,12 @@ def frequent_keys(
 ) -> list[tuple[object, int]]:
     """Keys that hold more than an even partition's rows, and how often to split each.
 
-    There are at most ``partitions`` of them. The sample only decides what gets
+    NULL is one of them if it is that frequent. There are at most ``partitions`` of them. The sample only decides what gets
     salted: a wrong guess costs time, never a row.
     """
-    sampled = rows.select(key).where(F.col(key).isNotNull()).sample(fraction=share, seed=11)
+    sampled = rows.select(key).sample(fraction=share, seed=11)
     total = sampled.count()
-    most = sampled.groupBy(key).count().where(
-        (F.col("count") > 1) & (F.col("count") * partitions >= total)
-    )
+    most = sampled.groupBy(key).count().where((F.col("count") > 1) & (F.col("count") * partitions >= total))
     # Several salts per even share, so that chance does not pile them up.
     return [(r[key], math.ceil(8 * partitions * r["count"] / total)) for r in most.collect()]
 
@@ -80,11 +78,16 @@ def lookup_join(
     a salt that stays the same when a lost task is run again. ``key_source``
     may name a cheaper table with the same keys to look for frequent ones.
     """
+    if how not in ("left", "inner"):
+        raise ValueError(f"a lookup join is left or inner, not {how}")
     if fits_broadcast(lookup, limit):
         return rows.join(F.broadcast(lookup), key, how)
     spark = rows.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = frequent_keys(key_source if key_source is not None else rows, key, partitions)
+    if not found:
+        return rows.join(lookup, key, how)
+    found = [(k, n) for k, n in found if k is not None]
     hot_schema = StructType(
         [StructField(key, rows.schema[key].dataType), StructField("_salts", IntegerType())]
     )

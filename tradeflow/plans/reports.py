@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from datetime import datetime
 from functools import reduce
 
@@ -48,7 +48,7 @@ def load_history(
     """One row per loaded file of ``table``, by default of the last 24 hours."""
     start = F.lit(since) if since is not None else before(None, hours=hours)
     loaded = load_log(spark, root, table).where(F.col("last_load_time") >= start)
-    rows = loaded.select("*", F.lit(table).alias("table_name"), F.lit("LOADED").alias("status"))
+    rows = loaded.select("*", F.lit(table).alias("table_name"))
     return rows if n is None else newest(rows, "last_load_time", n, "file_name")
 
 
@@ -72,45 +72,49 @@ def pipe_usage(
     return rows if n is None else newest(rows, "start_time", n, "pipe_name", "_batch")
 
 
-def pipe_status(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """A pipe's state and what its last micro-batches took in, as one row."""
-    files = sum(progress.numInputRows for progress in query.recentProgress)
-    return spark.range(1).select(
+def pipe_status(spark: SparkSession, root: str, query: StreamingQuery) -> DataFrame:
+    """A pipe's state and all files it has taken in, by the load log, as one row."""
+    feed = FEEDS[query.name.removesuffix("_pipe")]
+    return load_log(spark, root, feed.table).agg(
         F.lit(query.name).alias("pipe_name"),
         F.lit("RUNNING" if query.isActive else "STOPPED").alias("execution_state"),
         F.lit(query.exception() is None).alias("healthy"),
-        F.lit(files).cast("bigint").alias("files_seen"),
+        F.count(F.lit(1)).alias("files_seen"),
     )
 
 
 def refresh_history(
     spark: SparkSession, root: str, tables: Iterable[MaintainedTable], n: int | None = 50
 ) -> DataFrame:
+    """One row per refresh, with the loaded rows that were new to it."""
     logs = reduce(DataFrame.unionByName, [table.log(spark, root) for table in tables])
     rows = logs.drop("first_version")
     return rows if n is None else newest(rows, "refresh_end_time", n, "name", "version")
 
 
-def table_lag(spark: SparkSession, root: str, tables: Iterable[MaintainedTable]) -> DataFrame:
-    """How far each table is behind its inputs, in batches and in seconds.
+def table_lag(spark: SparkSession, root: str, tables: Mapping[MaintainedTable, Iterable[str]]) -> DataFrame:
+    """How far each table is behind each RAW table it is made from.
 
-    The seconds run from the oldest load the table has not taken in to the
-    newest one; a table that has everything has a lag of zero.
+    Seconds from the newest load it has taken in to the newest load there is;
+    NULL if it has taken in none, though there are loads. A table that has
+    everything has a lag of zero.
     """
     rows = []
-    for table in tables:
-        for source, reached in table.last_refresh(spark, root)["inputs"].items():
-            missing = load_log(spark, root, source).where(F.col("_batch") > reached)
-            seconds = F.unix_timestamp(F.max("last_load_time")) - F.unix_timestamp(
-                F.min("last_load_time")
-            )
-            rows.append(
-                missing.agg(
-                    F.count_distinct("_batch").alias("batches_behind"),
-                    F.coalesce(seconds, F.lit(0)).alias("seconds_behind"),
-                ).select(
-                    F.lit(table.name).alias("name"), F.lit(source).alias("source"),
-                    "batches_behind", "seconds_behind",
-                )
-            )
+    for table, sources in tables.items():
+        reached = table.last_refresh(spark, root)["inputs"]
+        for source in sources:
+            upto = reached.get(source, -1)
+            loads = load_log(spark, root, source)
+            newer = F.col("_batch") > upto
+            at = lambda some: F.max(F.when(some, F.unix_micros("last_load_time")))
+            rows.append(loads.agg(
+                F.count_distinct(F.when(newer, F.col("_batch"))).alias("batches_behind"),
+                F.coalesce(F.sum(F.when(newer, F.col("row_count"))), F.lit(0)).alias("rows_behind"),
+                (at(F.lit(True)) - at(~newer)).alias("_micros"),
+            ).select(
+                F.lit(table.name).alias("name"), F.lit(source).alias("source"), "batches_behind", "rows_behind",
+                F.when(F.col("batches_behind") == 0, F.lit(0.0)).otherwise(F.col("_micros") / 1e6).alias("seconds_behind"),
+            ))
+    if not rows:
+        return spark.createDataFrame([], "name string, source string, batches_behind bigint, rows_behind bigint, seconds_behind double")
     return reduce(DataFrame.unionByName, rows)

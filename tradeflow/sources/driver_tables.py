@@ -18,6 +18,8 @@ _TRADE_ID = """concat_ws('-', 'TRD', l_orderkey, l_linenumber, l_partkey, l_supp
 # l_shipdate is always midnight; spread the trades over the day.
 _TRADE_TS = """l_shipdate + make_dt_interval(
     0, 0, 0, CAST((l_orderkey * 7919 + l_linenumber * 613) % 86400 AS DECIMAL(18, 6)))"""
+# Some trades and their order events arrive without a time.
+_FEED_TS = f"CASE WHEN l_orderkey % 97 <> 0 THEN {_TRADE_TS} END"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,7 +41,7 @@ def _orders_of_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     lines = lines.select(
-        "*", F.expr(_TRADE_ID).alias("trade_id"), F.expr(_TRADE_TS).alias("trade_ts")
+        "*", F.expr(_TRADE_ID).alias("trade_id"), F.expr(_FEED_TS).alias("trade_ts")
     )
     orders = _table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderstatus"
@@ -127,8 +129,11 @@ def market_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.struct(
                 F.lit("market_data").alias("source"),
                 F.col("event_type").alias("alert_type"),
-                F.get_json_object("props", "$.k").cast("int").alias("threshold_price"),
-                F.col("value").alias("current_price"),
+                F.col("event_type").alias("priority"),
+                F.to_date("ts").cast("string").alias("ex_date"),
+                *[F.get_json_object("props", "$.k").cast("int").alias(n)
+                  for n in ("threshold_price", "eps_estimate", "surprise_pct", "required_amount")],
+                *[F.col("value").alias(n) for n in ("current_price", "dividend_amount", "eps_actual")],
             )
         ).alias("event_attr"),
     )

@@ -3,13 +3,20 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import reduce
+from urllib.parse import unquote
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tradeflow.schemas import MARKET_EVENTS, POSITIONS, TRADES, conform
+from tradeflow.sources.json_arrays import read_elements
+from tradeflow.workspace import open_store
 
 
 @dataclass(frozen=True)
@@ -26,13 +33,13 @@ FORMATS = {
         "csv",
         {"header": True, "enforceSchema": True, "quote": '"', "escape": '"', "mode": "FAILFAST"},
     ),
-    # One array per file. Read as a variant, because Spark matches JSON keys by
-    # exact case and the feed may spell them in any.
-    "json_events": FileFormat(
-        "json", {"multiLine": True, "singleVariantColumn": "_doc", "mode": "FAILFAST"}
-    ),
-    # Files may lack columns that others have, so no single footer speaks for all.
-    "parquet_positions": FileFormat("parquet", {"mergeSchema": True}),
+    # One array per file, decoded piece by piece. Each element is parsed as a
+    # variant, because Spark matches JSON keys by exact case and the feed may
+    # spell them in any.
+    "json_events": FileFormat("json"),
+    # Files may lack columns that others have, or have them in another type, so
+    # files of one footer are read together and then cast to the table.
+    "parquet_positions": FileFormat("parquet"),
 }
 
 
@@ -59,24 +66,33 @@ FEEDS = {
 }
 
 
+def encoded(path: str) -> str:
+    """A path as file metadata spells it: what a URI may not hold is percent-coded."""
+    return re.sub(r"""[\x00-\x20"#%<>?\[\]\\^`{|}\x7F]""", lambda m: f"%{ord(m[0]):02X}", path)
+
+
+def literal(path: str) -> str:
+    """A path that a reader takes as it is, with no character standing for others."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def below(stage: str, path: Column) -> Column:
     """The part of a file's path under ``stage``.
 
     A folder above the stage must not decide whether a file matches.
     """
-    bare = re.sub(r"^[a-z0-9]+:/*", "", stage.strip()).strip("/")
-    return F.regexp_replace(path, f"^.*?{re.escape(bare)}/", "/")
+    bare = encoded(re.sub(r"^[a-z0-9]+:/*", "", stage.strip()).strip("/"))
+    at = F.instr(path, f"{bare}/")
+    return F.when(at > 0, F.substr(path, at + F.lit(len(bare)))).otherwise(F.raise_error(F.concat(F.lit("not below the stage: "), path)))
 
 
 def matches(stage: str, pattern: str, path: Column) -> Column:
     return below(stage, path).rlike(f"^(?:{pattern})$")
 
 
-def _split_array(docs: DataFrame, schema: StructType) -> DataFrame:
-    """One row per element of each file's array, keys matched ignoring case."""
-    rows = docs.select(
-        F.explode(F.col("_doc").cast("array<map<string,variant>>")).alias("_row"), "_src_file"
-    )
+def _events(elements: DataFrame, schema: StructType) -> DataFrame:
+    """One row per array element, keys matched ignoring case."""
+    rows = elements.select(F.parse_json("element").cast("map<string,variant>").alias("_row"), "_src_file")
 
     def field_of(name: str) -> Column:
         # The usual spellings are a plain lookup; any other falls through to a
@@ -95,6 +111,42 @@ def _split_array(docs: DataFrame, schema: StructType) -> DataFrame:
     return rows.select(*columns, "_src_file")
 
 
+def list_files(spark: SparkSession, feed: Feed, stage: str, pattern: str | None = None) -> DataFrame:
+    """``_src_file`` of the feed's files below ``stage``; no file is opened."""
+    listing = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter=feed.name_glob)
+    rows = listing.load(literal(stage)).select(F.col("_metadata.file_path").alias("_src_file"))
+    return rows.where(matches(stage, pattern or feed.pattern, F.col("_src_file")))
+
+
+def _plain(path: str) -> str:
+    """A file's path from its metadata spelling, without percent codes."""
+    return unquote(path)
+
+
+def _footers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        paths = batch.column("_src_file").to_pylist()
+        kinds = []
+        for path in paths:
+            store, local = open_store(path)
+            with store.open_input_file(local) as file:
+                found = pq.read_schema(file).remove_metadata()
+            kinds.append("\n".join(sorted(f"{f.name} {f.type}" for f in found)))
+        yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(kinds, pa.string())], names=["_src_file", "kind"])
+
+
+def _parquet_rows(spark: SparkSession, files: DataFrame, schema: StructType) -> DataFrame:
+    """Rows of Parquet files whose columns differ in presence or type."""
+    kinds = files.mapInArrow(_footers, "_src_file string, kind string").groupBy("kind").agg(F.collect_list("_src_file"))
+    groups = [
+        spark.read.parquet(*[literal(_plain(path)) for path in paths]).select("*", F.col("_metadata.file_path").alias("_src_file"))
+        for _, paths in sorted(kinds.collect())
+    ]
+    declared = StructType([*schema.fields, StructField("_src_file", StringType())])
+    rows = [conform(group, declared) for group in groups]
+    return reduce(DataFrame.unionByName, rows) if rows else spark.createDataFrame([], declared)
+
+
 def scan(
     spark: SparkSession,
     feed: Feed,
@@ -107,17 +159,23 @@ def scan(
 
     The glob keeps other file types out of the listing. The pattern is a
     condition on the file's path alone, so files it rejects are never opened.
-    ``files`` reads just those, whatever else the stage holds.
+    ``files`` reads just those, by their path in file metadata, whatever else
+    the stage holds.
     """
     fmt = FORMATS[feed.file_format]
-    reader = spark.read.format(fmt.kind).options(**fmt.options)
     if fmt.kind == "csv":
-        reader = reader.schema(feed.schema)
-    if files is None:
-        reader = reader.options(recursiveFileLookup=True, pathGlobFilter=feed.name_glob)
-    rows = reader.load(files or stage).select("*", F.col("_metadata.file_path").alias("_src_file"))
+        reader = spark.read.format("csv").options(**fmt.options).schema(feed.schema)
+        if files is None:
+            reader = reader.options(recursiveFileLookup=True, pathGlobFilter=feed.name_glob)
+        rows = reader.load([literal(_plain(f)) for f in files] if files is not None else literal(stage))
+        rows = rows.select("*", F.col("_metadata.file_path").alias("_src_file"))
+        if files is None:
+            rows = rows.where(matches(stage, pattern or feed.pattern, F.col("_src_file")))
+        return conform(rows, StructType(feed.schema.fields + [rows.schema["_src_file"]]))
     if files is None:
-        rows = rows.where(matches(stage, pattern or feed.pattern, F.col("_src_file")))
+        named = list_files(spark, feed, stage, pattern)
+    else:
+        named = spark.createDataFrame([(f,) for f in files], "_src_file string").repartition(max(1, len(files)))
     if fmt.kind == "json":
-        return _split_array(rows, feed.schema)
-    return conform(rows, StructType(feed.schema.fields + [rows.schema["_src_file"]]))
+        return _events(named.mapInArrow(read_elements, "element string, _src_file string"), feed.schema)
+    return _parquet_rows(spark, named, feed.schema)

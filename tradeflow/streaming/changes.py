@@ -68,12 +68,15 @@ def run_if_new(
     root: str,
     consumer: str,
     table: str,
-    step: Callable[[SparkSession, str], object],
+    step: Callable[[SparkSession, str, int], object],
 ) -> bool:
-    """Run ``step`` only when ``table`` has unseen rows, then move the mark."""
+    """Run ``step`` only when ``table`` has unseen rows, then move the mark.
+
+    The step is told the last batch it may take in; later ones are for next time.
+    """
     upto = latest_batch(spark, root, table)
     if upto <= seen(spark, root, consumer, table):
         return False
-    step(spark, root)
+    step(spark, root, upto)
     mark_seen(spark, root, consumer, {table: upto})
     return True

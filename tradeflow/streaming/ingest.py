@@ -13,6 +13,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -25,7 +27,7 @@ from pyspark.sql.types import (
 )
 
 from tradeflow.schemas import LINEAGE, RAW_TABLES
-from tradeflow.sources.formats import FEEDS, Feed, matches, scan
+from tradeflow.sources.formats import FEEDS, Feed, literal, matches, scan
 from tradeflow.workspace import read_or_empty
 
 _BATCH = StructField("_batch", LongType())
@@ -35,11 +37,15 @@ LOAD_LOG = StructType(
         StructField("file_size", LongType()),
         StructField("row_count", LongType()),
         StructField("last_load_time", TimestampType()),
+        StructField("status", StringType()),  # LOADED or FAILED
+        StructField("error", StringType()),
         _BATCH,  # the folder's name
     ]
 )
 # Fixed value: what Spark's binaryFile source offers of each file.
 _LISTING = "path string, modificationTime timestamp, length bigint, content binary"
+# Inside a micro-batch, failures of the JVM arrive as they are.
+_FAILURES = (PySparkException, Py4JJavaError)
 # Keeps the paths one micro-batch sends through the driver bounded.
 FILES_PER_BATCH = 1000
 # Files older than this are neither remembered nor loaded. The default of a
@@ -65,23 +71,56 @@ def latest_batch(spark: SparkSession, root: str, table: str) -> int:
     return -1 if newest is None else newest
 
 
-def _load_batch(spark: SparkSession, feed: Feed, stage: str, root: str, found: DataFrame, batch: int):
+def _store(spark: SparkSession, feed: Feed, stage: str, files: list[str], target: str) -> None:
+    rows = scan(spark, feed, stage, files=files)
+    rows.withColumn("_load_ts", F.current_timestamp()).write.mode("overwrite").parquet(target)
+
+
+def _unreadable(spark: SparkSession, feed: Feed, stage: str, files: list[str]) -> dict[str, str]:
+    """Files that can't be read to their end, with the reason; halves the list to find them."""
+    for _ in range(2):  # a file counts as bad only if it fails again by itself
+        try:
+            scan(spark, feed, stage, files=files).write.format("noop").mode("overwrite").save()
+            return {}
+        except _FAILURES as failure:
+            reason = str(failure)
+            if len(files) > 1:
+                break
+    if len(files) == 1:
+        return {files[0]: reason[:1000]}
+    half = len(files) // 2
+    return _unreadable(spark, feed, stage, files[:half]) | _unreadable(spark, feed, stage, files[half:])
+
+
+def _load_batch(spark: SparkSession, feed: Feed, stage: str, root: str, found: DataFrame, batch: int,
+                skip_bad_files: bool) -> bool:
+    """Load the batch's files; False if it has none of the feed."""
     wanted = found.where(matches(stage, feed.pattern, F.col("file_name")))
-    files = wanted.select("path", "file_name", "file_size").collect()
+    files = wanted.select("file_name", "file_size").collect()
     if not files:
-        return
+        return False
     target = f"{raw_path(root, feed.table)}/_batch={batch}"
-    rows = scan(spark, feed, stage, files=[f["path"] for f in files])
-    rows.withColumn("_load_ts", F.current_timestamp()).write.mode("overwrite").parquet(target)
+    names, bad = [f["file_name"] for f in files], {}
+    try:
+        _store(spark, feed, stage, names, target)
+    except _FAILURES:
+        bad = _unreadable(spark, feed, stage, names) if skip_bad_files else {}
+        if not bad:
+            raise
+        _store(spark, feed, stage, [n for n in names if n not in bad], target)
 
     # Counted from what was stored, reading one column of it. A file without
     # rows is in the listing only, and is logged with none.
     stored = spark.read.schema(LINEAGE).parquet(target)
     counts = {r["_src_file"]: r["count"] for r in stored.groupBy("_src_file").count().collect()}
     now = datetime.now(timezone.utc)
-    entries = [(f["file_name"], f["file_size"], counts.get(f["file_name"], 0), now) for f in files]
+    entries = [
+        (name, size, counts.get(name, 0), now, "FAILED" if name in bad else "LOADED", bad.get(name))
+        for name, size in files
+    ]
     log = spark.createDataFrame(entries, StructType(LOAD_LOG.fields[:-1])).coalesce(1)
     log.write.mode("overwrite").parquet(f"{load_log_path(root, feed.table)}/_batch={batch}")
+    return True
 
 
 def start_pipe(
@@ -93,9 +132,14 @@ def start_pipe(
     every: str | None = None,
     files_per_batch: int = FILES_PER_BATCH,
     then: Callable[[SparkSession, str, int], None] | None = None,
+    skip_bad_files: bool | None = None,
 ) -> StreamingQuery:
     """Start loading a feed: once over what is there, or again ``every`` interval.
 
+    A file that can't be read stops a single load. A repeated one enters it in
+    the load log as FAILED, and loads the others whole; no row of a file is
+    ever left out by itself. ``skip_bad_files`` says otherwise.
+
     ``then(spark, root, batch)`` runs after each batch that brought files, so a
     step that depends on new data needs no polling.
     """
@@ -111,9 +155,8 @@ def start_pipe(
             maxFilesPerTrigger=files_per_batch,
             maxFileAge=REMEMBERED,
         )
-        .load(stage)
+        .load(literal(stage))
         .select(
-            "path",
             F.col("_metadata.file_path").alias("file_name"),
             F.col("length").alias("file_size"),
         )
@@ -121,8 +164,8 @@ def start_pipe(
 
     def on_batch(new_files: DataFrame, batch: int) -> None:
         session = new_files.sparkSession
-        _load_batch(session, feed, stage, root, new_files, batch)
-        if then is not None:
+        skip = every is not None if skip_bad_files is None else skip_bad_files
+        if _load_batch(session, feed, stage, root, new_files, batch, skip) and then is not None:
             then(session, root, batch)
 
     writer = (

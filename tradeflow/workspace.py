@@ -8,9 +8,11 @@ folder.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
+from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -22,7 +24,8 @@ def shared_root(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     if not _local_root:
         _local_root.append(tempfile.mkdtemp(prefix="tradeflow-"))
@@ -34,6 +37,33 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/tradeflow/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def open_store(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path as Spark writes it, and the path there."""
+    if "://" not in path and not path.startswith("file:"):
+        return fs.LocalFileSystem(), path
+    return fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
+
+
+def subfolders(path: str) -> list[str]:
+    """Names of the folders in a folder; none if it does not exist."""
+    store, base = open_store(path)
+    found = store.get_file_info(fs.FileSelector(base, allow_not_found=True))
+    return [f.base_name for f in found if f.type == fs.FileType.Directory]
+
+
+def remove_folder(path: str) -> None:
+    store, base = open_store(path)
+    if store.get_file_info(base).type == fs.FileType.Directory:
+        store.delete_dir(base)
+
+
+def replace_folder(new: str, old: str) -> None:
+    """Put a finished folder in another's place."""
+    remove_folder(old)
+    store, source = open_store(new)
+    store.move(source, open_store(old)[1])
+
+
 def settled(df: DataFrame, folder: str) -> DataFrame:
     """Write ``df`` and return the written table.
 
