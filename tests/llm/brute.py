@@ -1,0 +1,101 @@
+"""The contracts said plainly, row by row, for small inputs."""
+
+import hashlib
+import re
+from collections import Counter
+
+WORD = re.compile("[^\x20\x09-\x0d]+")
+TERM = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+LATE = 1 << 63
+
+
+def digest(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def substring_dedup(rows, window=20):
+    """(doc_id, n_words, n_removed, kept_sha256) of (doc_id, text) rows with different ids."""
+    order = sorted(rows, key=lambda r: LATE if r[0] is None else r[0])
+    seen, out = set(), []
+    for doc_id, text in order:
+        words = WORD.findall(text or "")
+        gone = [False] * len(words)
+        for p in range(len(words) - window + 1):
+            gram = tuple(words[p : p + window])
+            if gram in seen:
+                gone[p : p + window] = [True] * window
+            seen.add(gram)
+        kept = " ".join(w for w, g in zip(words, gone, strict=True) if not g)
+        out.append((doc_id, len(words), sum(gone), digest(kept)))
+    return out
+
+
+def shingles(text, size=5):
+    words = WORD.findall(text or "")
+    if len(words) < size:
+        return {tuple(words)} if words else set()
+    return {tuple(words[p : p + size]) for p in range(len(words) - size + 1)}
+
+
+def near_duplicates(rows, threshold=0.8):
+    """(doc_id, class_id, n_links) of (doc_id, text) rows."""
+    sets = [shingles(text) for _, text in rows]
+    root, links = list(range(len(rows))), [0] * len(rows)
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    holders = {}
+    for i, own in enumerate(sets):
+        common = Counter(j for s in own for j in holders.get(s, ()))
+        for j, n in common.items():
+            if n >= threshold * (len(own) + len(sets[j]) - n) - 1e-9:
+                links[i] += 1
+                links[j] += 1
+                root[find(i)] = find(j)
+        for s in own:
+            holders.setdefault(s, []).append(i)
+    members = {}
+    for i, (doc_id, _) in enumerate(rows):
+        members.setdefault(find(i), []).append(doc_id)
+    return [(doc_id, min(members[find(i)]), links[i]) for i, (doc_id, _) in enumerate(rows)]
+
+
+def contamination(docs, items, size=10):
+    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated)."""
+    owners = {}
+    for item, text in items:
+        words = TERM.findall((text or "").translate(LOWER))
+        n = min(size, len(words))
+        for p in range(len(words) - n + 1) if n else ():
+            owners.setdefault(tuple(words[p : p + n]), set()).add(str(item))
+    lengths, out = {len(k) for k in owners}, []
+    for doc_id, text in docs:
+        words = TERM.findall((text or "").translate(LOWER))
+        hit, found = [False] * len(words), set()
+        for n in lengths:
+            for p in range(len(words) - n + 1):
+                if own := owners.get(tuple(words[p : p + n])):
+                    found |= own
+                    hit[p : p + n] = [True] * n
+        out.append((doc_id, len(words), sum(hit), len(found), digest(",".join(sorted(found))), any(hit)))
+    return out
+
+
+def measures(text):
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed."""
+    text = text or ""
+    words, seen, again = WORD.findall(text), set(), 0
+    for line in text.split("\n"):
+        if WORD.search(line):
+            again += line in seen
+            seen.add(line)
+    grams = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    times = Counter(grams)
+    covered = {i + k for i, g in enumerate(grams) if times[g] > 1 for k in range(3)}
+    n = len(words)
+    return (n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), again, len(covered),
+            n < 50 or 100 * len(covered) > 50 * n)
