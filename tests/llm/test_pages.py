@@ -209,7 +209,6 @@ def fold_plainly(events):
             own[1] = "" if kind == "regenerate" else text or ""
         if kind == "regenerate":
             for other in [k for k in state if k[0] == conv and k[1] > turn and begun[k] < seq]:
-                state[other][1], begun[other] = None, begun[other]
                 state[other].append("dropped")
     return Counter((c, t, s[0], s[1]) for (c, t), s in state.items() if "dropped" not in s)
 
