@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 from check_oracles import connect, difference
-from tradeflow.llm import licence_texts, licences, near_duplicates, packing, phrases, quality, substrings
+from tradeflow.llm import licence_texts, licences, near_duplicates, packing, phrases, quality, queries, substrings
 from tradeflow.llm.components import components
 from tradeflow.llm.text import gram_hashes, split_words, word_hashes
 from tradeflow.workspace import new_folder
@@ -248,7 +248,7 @@ def test_licences(spark, odd_docs, no_docs):
     assert licences.scanned(no_docs).count() == 0
 
 
-@pytest.mark.parametrize("name", ["op1_license_scan", "op9_url_filters"])
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_equals_sql(spark, sf_dir, name):
     assert difference(spark, connect(sf_dir), name, sf_dir) is None
 

@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 
 BEGIN, END = "<|turn|>", "<|end|>\n"
 # What models and common templates take as control strings; a backslash may follow the first character.
-_CONTROL = r"(/?s>|/?INST\]|</?SYS>>|\|[a-zA-Z0-9_]+\|>)"
-_ESCAPE = rf"([<\[])(\\*){_CONTROL}"
-_UNESCAPE = re.compile(rf"([<\[])\\(\\*){_CONTROL}")
+CONTROL = r"(/?s>|/?INST\]|</?SYS>>|\|[a-zA-Z0-9_]+\|>)"
+_ESCAPE = rf"([<\[])(\\*){CONTROL}"
+_UNESCAPE = re.compile(rf"([<\[])\\(\\*){CONTROL}")
 _TURN = re.compile(r"<\|turn\|>([^\n]*)\n(.*)<\|end\|>\n", re.DOTALL)
 
 

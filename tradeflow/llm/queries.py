@@ -8,13 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeflow.llm import chat, html_text, licence_texts, licences, near_duplicates, packing, phrases, quality, substrings, url_rules, warc
+from tradeflow.llm import chat, html_text, licence_texts, licences, near_duplicates, oracles, packing, phrases, quality, substrings, url_rules, warc
 from tradeflow.workspace import new_folder
 
 TOKENIZER = "word_bpe_49k.json"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(oracles.ORACLES)
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]):
