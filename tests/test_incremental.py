@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from tradeflow.operators import enrich, rollups
 from tradeflow.plans import jobs, reports
 from tradeflow.streaming import changes, ingest, maintained, refresh
+from tradeflow.streaming.runs import logged_run, run_log
 from tradeflow.workspace import subfolders
 
 ENRICHED = refresh.TRADES_ENRICHED_DT
@@ -293,6 +294,17 @@ def test_chain_replaces_instead_of_appending(spark, root, tmp_path):
         assert not jobs.run_chain(spark, root)
         assert bag(jobs.read_metrics(spark, root)) == bag(rollups.TRADE_METRICS.query(union(every)))
     assert ENRICHED.read(spark, root).count() == 120
+    runs = reports.usage(run_log(spark, root), ["transform"], n=3)
+    assert [r["step"].split()[1] for r in runs.collect()] == ["trade_metrics_dt", "trades_enriched_dt", "trade_metrics_dt"]
+    recent = reports.recent_activity(run_log(spark, root), ["transform"]).collect()
+    assert [r["status"] for r in recent] == ["SUCCEEDED"] * 4
+    assert all(r["end_time"] >= r["start_time"] and r["elapsed_sec"] > 0 for r in recent)
+
+
+def test_failed_run_is_logged(spark, root):
+    with pytest.raises(ZeroDivisionError), logged_run(spark, root, "transform", "x"):
+        1 / 0
+    assert [r["status"] for r in run_log(spark, root).collect()] == ["FAILED"]
 
 
 def test_upsert(spark, root):

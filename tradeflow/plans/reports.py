@@ -1,4 +1,7 @@
-"""Reports over run, load and refresh logs."""
+"""Reports over run, load and refresh logs.
+
+Those of runs take any table with the columns of ``streaming.runs.RUN_LOG``.
+"""
 
 from __future__ import annotations
 
@@ -35,6 +38,7 @@ def recent_activity(
     recent = runs.where(F.col("unit").isin(list(units)) & (F.col("start_time") >= since))
     timed = recent.select(
         "run_id", "unit", "start_time",
+        *[c for c in ("end_time", "step", "status") if c in recent.columns],
         (F.col("total_elapsed_ms") / 1000).alias("elapsed_sec"),
         (F.col("execution_ms") / 1000).alias("exec_sec"),
     )
