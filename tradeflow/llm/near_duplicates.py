@@ -16,7 +16,8 @@ Scale: a trie node links its members to its least one (no pairs), after the
 texts of one chunk have met. Candidates of one component are verified together;
 a component of more than ``BLOCK_TEXTS`` or ``BLOCK_BYTES`` is cut to blocks and
 each two blocks meet in a task of their own, so that no task holds more than two.
-Only counts and class roots leave a task.
+Only counts and class roots leave a task. Hand over a table that reads the same
+way each time, as a written one does.
 """
 
 from __future__ import annotations

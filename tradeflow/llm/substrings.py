@@ -16,6 +16,8 @@ an anchor held by a third of all texts reaches its partition once per chunk.
 Anchors spread by hash; no pairs are made, each window is compared with the
 earliest one only. Memory is a partition's anchors, so partitions
 (``spark.sql.shuffle.partitions``) must grow with the input, as for any shuffle.
+Hand over a table that reads the same way each time, as a written one does: a
+task that is run again must meet the same texts.
 """
 
 from __future__ import annotations
