@@ -39,6 +39,7 @@ NOISE = [
     "<form action='/x'><label>Your name, please.</label><input><button>Go</button></form>",
     "<section class='comments'><article class='comment'><p>I agree, really, with all of this text, yes.</p></article></section>",
     "<!-- <p>not shown, not at all, never.</p> -->", "<div role='navigation'>More, links, here.</div>",
+    "<div id='site-header'><h1>Site, the best of all.</h1><p>A slogan, long, with marks.</p></div>",
     "<noscript><p>Turn on scripts, please, now.</p></noscript>", "<p hidden>Not seen, at all, by anyone here.</p>",
 ]
 
@@ -155,7 +156,7 @@ def test_foreign_transactions(spark, tmp_path):
     (tmp_path / "a.warc").write_bytes(text.encode())
     rows = {r["capture_id"]: r for r in warc.assembled(warc.read_records(spark, str(tmp_path))).collect()}
     assert rows["<q>"]["request"]["record_id"] == "<q>" and bytes(rows["<q>"]["response"]["payload"]) == "payé".encode()
-    assert rows["<m>"]["response"] is None
+    assert rows["<m>"]["response"]["type"] is None and rows["<m>"]["request"] is None
     (tmp_path / "a.warc").write_bytes(text.encode()[:-9])
     with pytest.raises(Exception, match="cut short"):
         warc.read_records(spark, str(tmp_path)).collect()

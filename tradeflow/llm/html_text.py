@@ -55,7 +55,9 @@ _ASIDE_WORDS = frozenset(
     "newsletter subscribe subscription signup share sharing social comment comments commentlist disqus replies reply "
     "respond discussion sidebar sidebars menu menus navbar nav navigation breadcrumb breadcrumbs pagination pager related "
     "recommended recommendations recommendation trending popular widget widgets footer masthead login toolbar topbar "
-    "skip search searchform alert hidden outbrain taboola".split())
+    "skip search searchform alert hidden copyright crumbs responses feedback".split())
+# The head of an article is content, that of a site is not.
+_ARTICLE_WORDS = frozenset("article content entry post story".split())
 _COMMENT_WORDS = frozenset("comment comments commentlist disqus reply replies respond discussion".split())
 _ROOTS = frozenset("html body main article".split())
 
@@ -92,15 +94,15 @@ class Block:
     text: str
 
 
+def _in_article(node: Node | None) -> bool:
+    while node and node.tag not in ("article", "main"):
+        node = node.parent
+    return node is not None
+
+
 def _is_aside(tag: str, attributes: str, parent: Node | None) -> bool:
-    if tag in _ASIDE_TAGS:
+    if tag in _ASIDE_TAGS or tag == "header" and not _in_article(parent):
         return True
-    if tag == "header":
-        node = parent
-        while node and node.tag not in ("article", "main"):
-            node = node.parent
-        if node is None:
-            return True
     if not attributes.strip():
         return False
     names = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
@@ -111,7 +113,9 @@ def _is_aside(tag: str, attributes: str, parent: Node | None) -> bool:
     if names.get("role", "").lower() in _ASIDE_ROLES:
         return True
     words = {w.lower() for w in _WORD.findall(f"{names.get('class', '')} {names.get('id', '')}")}
-    return bool(words & (_COMMENT_WORDS if tag in _ROOTS else _ASIDE_WORDS)) if tag not in ("html", "body") else False
+    if tag in _ROOTS:
+        return tag not in ("html", "body") and bool(words & _COMMENT_WORDS)
+    return bool(words & _ASIDE_WORDS) or "header" in words and not words & _ARTICLE_WORDS and not _in_article(parent)
 
 
 def blocks_of(page: str) -> list[Block]:
