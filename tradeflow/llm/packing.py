@@ -18,6 +18,7 @@ result does not depend on tasks that are run again.
 
 from __future__ import annotations
 
+import os
 import zlib
 from bisect import bisect_right
 from collections import Counter
@@ -34,6 +35,8 @@ from tradeflow.workspace import new_folder, settled
 CAPACITY = 4096
 END = 1  # closes each document
 CACHED_WORDS = 1_000_000
+ENCODED_WORDS = 4096  # words given to the tokenizer at once
+CHUNK_BYTES = 4 << 20
 
 _PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -50,6 +53,12 @@ class WordIds:
         self.begin, self.count = np.empty(0, np.int64), np.empty(0, np.int64)
         self.ids = np.empty(0, np.uint32)
 
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each text has, and all of them; an encoding is large, so few are held."""
+        coded = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        count = np.fromiter(map(len, coded), np.int64, len(coded))
+        return count, np.fromiter((i for x in coded for i in x), np.uint32, int(count.sum()))
+
     def of(self, words) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words one after the other, and how many each word has."""
         hashes, first, which = np.unique(words.hashes(), return_index=True, return_inverse=True)
@@ -60,10 +69,10 @@ class WordIds:
         if len(new):
             data = words.data
             texts = [data[a:b].tobytes().decode() for a, b in zip(words.starts[first[new]], words.ends[first[new]], strict=True)]
-            coded = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            count = np.fromiter(map(len, coded), np.int64, len(coded))
+            coded = [self._encode(texts[i : i + ENCODED_WORDS]) for i in range(0, len(texts), ENCODED_WORDS)]
+            count = np.concatenate([c for c, _ in coded])
             begin = len(self.ids) + np.cumsum(count) - count
-            self.ids = np.append(self.ids, np.fromiter((i for x in coded for i in x), np.uint32, int(count.sum())))
+            self.ids = np.concatenate([self.ids, *[ids for _, ids in coded]])
             order = np.argsort(known := np.append(self.known, hashes[new]), kind="stable")
             self.known = known[order]
             self.begin, self.count = np.append(self.begin, begin)[order], np.append(self.count, count)[order]
@@ -74,6 +83,7 @@ class WordIds:
 
 def _word_ids(model: str) -> WordIds:
     """One per worker process: tasks that follow each other share what they know."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     import tokenizers
 
     held = vars(tokenizers).setdefault("_word_ids_by_model", {})
@@ -85,7 +95,7 @@ def _word_ids(model: str) -> WordIds:
 
 def _pieces(batches: Iterable[pa.RecordBatch], model: str, capacity: int, end: int) -> Iterator[pa.RecordBatch]:
     coder = _word_ids(model)
-    for batch in chunks(batches, "text"):
+    for batch in chunks(batches, "text", CHUNK_BYTES):
         words = split_words(batch.column("text"))
         own, per_word = coder.of(words)
         sums = np.append(0, np.cumsum(per_word))
