@@ -130,35 +130,33 @@ def write_archive(records: DataFrame, folder: str) -> None:
 
 
 def read_records(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per record: ``type, record_id, concurrent_to, uri, date, fields, http, payload, payload_bytes, payload_digest``."""
-    rows = spark.read.option("lineSep", END + VERSION).text(folder)
-    record = F.regexp_replace(F.col("value"), r"^WARC/1\.1\r\n", "")
-    rows = rows.select(record.alias("r")).where(F.length("r") > 0).withColumn("cut", F.instr("r", END))
-    rows = rows.select(F.expr("substr(r, 1, cut - 1)").alias("head"), F.encode(F.expr("substr(r, cut + 4)"), "UTF-8").alias("rest"))
-
-    def header(block: str, name: str) -> Column:
-        found = F.regexp_extract(F.concat(F.lit("\r\n"), F.col(block), F.lit("\r\n")), rf"(?i)\r\n{name}:[ \t]*([^\r\n]*?)[ \t]*\r\n", 1)
+    """One row per record: ``type, record_id, concurrent_to, uri, date, refers_to, http, payload, payload_bytes, payload_digest``."""
+    rows = spark.read.option("lineSep", END + VERSION).text(folder).where(F.length("value") > 0)
+    # Header, then for HTTP its header, then what is left: only the first two ends are looked for.
+    rows = rows.withColumn("parts", F.split("value", END, 3)).withColumn("head", F.get("parts", F.lit(0)))
+
+    def header(block: Column, name: str) -> Column:
+        found = F.regexp_extract(F.concat(F.lit("\r\n"), block, F.lit("\r\n")), rf"(?i)\r\n{name}:[ \t]*([^\r\n]*?)[ \t]*\r\n", 1)
         return F.when(found != "", found)
 
-    size = header("head", "Content-Length").cast("int")
-    whole = F.when(F.length("rest") >= size, F.col("rest")).otherwise(F.raise_error(F.concat(
-        F.lit("a record is cut short: "), F.col("head"))))
-    rows = rows.select("head", F.substring(whole, F.lit(1), size).alias("block"))
-    is_http = F.coalesce(header("head", "Content-Type"), F.lit("")).startswith("application/http")
-    at = F.instr(F.decode("block", "UTF-8"), END)
-    rows = rows.withColumn("at", F.when(is_http, at).otherwise(0)).withColumn(
-        "http", F.when(F.col("at") > 0, F.expr("decode(substring(block, 1, at - 1), 'UTF-8')")))
-    body = F.when(F.col("at") > 0, F.expr("substring(block, at + 4)")).otherwise(F.col("block"))
-    rows = rows.withColumn("type", header("head", "WARC-Type")).withColumn("body", body)
-    chunked = F.lower(F.coalesce(header("http", "Transfer-Encoding"), F.lit(""))) == "chunked"
-    rows = rows.withColumn("payload", F.when(chunked, _unchunked(F.col("body"))).otherwise(F.col("body")))
+    head = F.col("head")
+    rows = rows.withColumn("size", F.coalesce(header(head, "Content-Length").cast("int"), F.lit(0))).withColumn(
+        "http", F.when(header(head, "Content-Type").startswith("application/http"), F.get("parts", F.lit(1))))
+    before = F.octet_length("head") + 4
+    inner = F.coalesce(F.octet_length("http") + 4, F.lit(0))
+    body = F.substring(F.encode("value", "UTF-8"), before + inner + 1, F.greatest(F.col("size") - inner, F.lit(0)))
+    whole = F.when(F.octet_length("value") >= before + F.col("size"), body).otherwise(
+        F.raise_error(F.concat(F.lit("a record is cut short: "), head)))
+    chunked = F.lower(F.coalesce(header(F.col("http"), "Transfer-Encoding"), F.lit(""))) == "chunked"
+    rows = rows.select("head", "http", whole.alias("body")).withColumn(
+        "payload", F.when(chunked, _unchunked(F.col("body"))).otherwise(F.col("body"))).withColumn("type", header(head, "WARC-Type"))
     revisit = F.col("type") == "revisit"
-    told = F.regexp_replace(header("head", "WARC-Payload-Digest"), "^sha1:", "")
+    told = F.regexp_replace(header(head, "WARC-Payload-Digest"), "^sha1:", "")
     return rows.select(
-        "type", header("head", "WARC-Record-ID").alias("record_id"), header("head", "WARC-Concurrent-To").alias("concurrent_to"),
-        header("head", "WARC-Target-URI").alias("uri"), header("head", "WARC-Date").alias("date"),
-        header("head", "X-Refers-To-Page").alias("refers_to"), "http", "payload",
-        F.when(revisit, header("http", "Content-Length").cast("bigint")).otherwise(F.length("payload").cast("bigint")).alias("payload_bytes"),
+        "type", header(head, "WARC-Record-ID").alias("record_id"), header(head, "WARC-Concurrent-To").alias("concurrent_to"),
+        header(head, "WARC-Target-URI").alias("uri"), header(head, "WARC-Date").alias("date"),
+        header(head, "X-Refers-To-Page").alias("refers_to"), "http", "payload",
+        F.when(revisit, header(F.col("http"), "Content-Length").cast("bigint")).otherwise(F.length("payload").cast("bigint")).alias("payload_bytes"),
         F.when(revisit, told).otherwise(base32_sha1(F.col("payload"))).alias("payload_digest"))
 
 
@@ -166,17 +164,19 @@ def assembled(records: DataFrame) -> DataFrame:
     """One row per capture: ``capture_id`` and the nested ``response``, ``request`` and ``metadata``.
 
     A record that nothing belongs to is a capture of its own, with nulls for
-    what it lacks. Records told twice count once.
+    what it lacks: a response of nulls, no request or no metadata. Records told twice count once. What a reader does not ask
+    for, the payload above all, is not carried through the joins.
     """
     keyed = records.withColumn("capture_id", F.coalesce("concurrent_to", "record_id"))
-    answers = keyed.where("type in ('response', 'revisit', 'resource')").dropDuplicates(["record_id"]).select(
-        "capture_id", F.struct("type", "record_id", "uri", "date", "refers_to", "http", "payload", "payload_bytes",
-                               "payload_digest").alias("response"))
+    told = ["type", "record_id", "uri", "date", "refers_to", "http", "payload", "payload_bytes", "payload_digest"]
+    answers = keyed.where("type in ('response', 'revisit', 'resource')").repartition("capture_id").dropDuplicates(
+        ["capture_id", "record_id"]).select("capture_id", *told)
     asked = keyed.where("type = 'request'").groupBy("capture_id").agg(
         F.min(F.struct("record_id", "uri", F.col("http"))).alias("request"))
     about = keyed.where("type = 'metadata'").groupBy("capture_id").agg(
         F.min(F.struct("record_id", F.decode("payload", "UTF-8").alias("fields"))).alias("metadata"))
-    return answers.join(asked, "capture_id", "full_outer").join(about, "capture_id", "full_outer")
+    joined = answers.join(asked, "capture_id", "full_outer").join(about, "capture_id", "full_outer")
+    return joined.select("capture_id", F.struct(*told).alias("response"), "request", "metadata")
 
 
 def metadata_field(fields: Column, name: str) -> Column:
