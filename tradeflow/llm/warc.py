@@ -6,7 +6,7 @@ archives in which the response names the request are read as well.
 
 Records are text, so Spark's text files carry them: the end of a record is the
 end of a line. Reading splits at the end of a record followed by the start of
-the next, so large archives are read in parallel and a record at a time. What
+the next, a record at a time, and plain archives in parallel. What
 was written never holds that separator: a payload that holds its second half is
 sent in chunks that cut it. Foreign archives are checked by Content-Length, and
 one that breaks the rule stops the read.
@@ -124,9 +124,9 @@ def captures_to_write(pages: DataFrame, id_col: str = "page_id", url_col: str =
     return told.select(F.explode(F.array(request, answer, metadata)).alias("record"))
 
 
-def write_archive(records: DataFrame, folder: str) -> None:
-    """Archives below ``folder``; each record is ended as the format asks."""
-    records.write.mode("overwrite").option("lineSep", END).text(folder)
+def write_archive(records: DataFrame, folder: str, compression: str = "gzip") -> None:
+    """Archives below ``folder``, one a task; each record is ended as the format asks."""
+    records.write.mode("overwrite").options(lineSep=END, compression=compression).text(folder)
 
 
 def read_records(spark: SparkSession, folder: str) -> DataFrame:
