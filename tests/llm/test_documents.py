@@ -68,6 +68,31 @@ def test_substrings_keep_columns_and_rewrite(odd_docs, no_docs):
     assert tuple(spans) == (0, 60)
 
 
+def test_windows_that_share_anchor_and_half_a_hash_are_told_apart(spark):
+    common = " ".join(f"c{i}" for i in range(19))
+    rows = [(n, f"u{n} {common}") for n in (69557, 94293, 194097, 220379, 185173, 250123)]
+    found = substrings.without_repeats(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3))
+    assert [r["doc_id"] for r in found.where("n_removed > 0").collect()] == []
+
+
+def test_windows_of_hot_anchors_are_spread(spark, monkeypatch):
+    common = " ".join(f"c{i}" for i in range(19))
+    rows = [(n, f"u{n % 400} {common} v{n % 3} w{n % 5}") for n in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    monkeypatch.setattr(substrings, "SAMPLE", 1.0)
+    keyed = substrings._keyed(docs, "doc_id", "text", {})
+    hot = substrings._hot_anchors(keyed, 8, 20, 8)
+    assert len(hot) >= 1
+    parts = list(substrings._anchored(keyed.select("_id", "_row", "text").toArrow().to_batches(), 8, 20, 8, hot))
+    sizes = Counter()
+    for part in parts:
+        for r in part.to_pylist():
+            sizes[r["target"]] += len(r["windows"] or b"")
+    assert len(sizes) == 8 and max(sizes.values()) < sum(sizes.values()) / 4
+    found = substrings.without_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
+    assert Counter(map(tuple, found)) == Counter(brute.substring_dedup(rows))
+
+
 def test_near_duplicates_equal_brute_force(spark, small_docs, monkeypatch):
     r = random.Random(3)
     base = [f"w{i}" for i in range(160)]

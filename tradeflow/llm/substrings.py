@@ -11,10 +11,14 @@ window have no spans. Repeated identical rows are one document and don't make
 each other a copy; rows of one id with other texts come in order of a text
 hash. Rows with a null id come last.
 
+Windows are equal if their 64-bit hashes and the upper half of their anchors' are.
+
 Scale: equal windows of one chunk of texts meet before anything is shuffled, so
 an anchor held by a third of all texts reaches its partition once per chunk.
 Anchors spread by hash; no pairs are made, each window is compared with the
-earliest one only. Memory is a partition's anchors, so partitions
+earliest one only. An anchor that holds more than an even partition's share of a
+1 % sample has its windows spread by their own hashes; the sample only picks
+these anchors. Memory is a partition's anchors, so partitions
 (``spark.sql.shuffle.partitions``) must grow with the input, as for any shuffle.
 Hand over a table that reads the same way each time, as a written one does: a
 task that is run again must meet the same texts.
@@ -35,8 +39,9 @@ from tradeflow.llm.text import Words, chunks, dealt, gathered, gram_hashes, mix,
 WINDOW = 20
 ANCHOR = 8
 LAST_ID = (1 << 63) - 1  # stands for a null id inside this module
+SAMPLE = 0.01
 
-_RUN = {"anchor": np.uint64, "doc": np.int64, "row": np.int32, "start": np.int32, "size": np.uint8}
+_RUN = {"anchor": np.uint32, "doc": np.int64, "row": np.int32, "start": np.int32, "size": np.uint8}
 _SPAN = {"known_doc": np.int64, "known_row": np.int32, "known_start": np.int32, "known_size": np.int32}
 _DEALT = "target int, anchor binary, doc binary, row binary, start binary, size binary, windows binary, " \
          "known_doc binary, known_row binary, known_start binary, known_size binary"
@@ -71,10 +76,13 @@ def _windows(words: Words, window: int, anchor: int) -> tuple[np.ndarray, np.nda
     return starts, chosen[starts], mix(gram_hashes(hashes, window))[starts]
 
 
-def _later_copies(key: np.ndarray, doc: np.ndarray, row: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """Whether each window also starts earlier; the arrays come in order of doc, row, start."""
-    order = np.argsort(key, kind="stable")
+def _later_copies(key: np.ndarray, doc: np.ndarray, row: np.ndarray, start: np.ndarray,
+                  group: np.ndarray | None = None) -> np.ndarray:
+    """Whether each window also starts earlier (in its group); the arrays come in order of doc, row, start."""
+    order = np.argsort(key, kind="stable") if group is None else np.lexsort((key, group))
     new = np.append(True, np.diff(key[order]) != 0) if len(key) else np.empty(0, bool)
+    if group is not None and len(key):
+        new[1:] |= np.diff(group[order]) != 0
     first = order[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))]
     late = np.zeros(len(key), dtype=bool)
     late[order] = (doc[order] != doc[first]) | (row[order] != row[first]) | (start[order] != start[first])
@@ -90,7 +98,30 @@ def _spans(doc: np.ndarray, row: np.ndarray, start: np.ndarray) -> tuple[np.ndar
     return first, np.diff(np.append(first, len(start))).astype(np.int32)
 
 
-def _anchored(batches: Iterable[pa.RecordBatch], targets: int, window: int, anchor: int) -> Iterator[pa.RecordBatch]:
+def _anchor_counts(batches: Iterable[pa.RecordBatch], window: int, anchor: int) -> Iterator[pa.RecordBatch]:
+    """How many windows chose each anchor, and (null) how many there are."""
+    for batch in chunks(batches, "text"):
+        words = split_words(batch.column("text"))
+        _, chosen, _ = _windows(words, window, anchor)
+        if len(chosen):
+            found, times = np.unique(mix(gram_hashes(words.hashes(), anchor))[chosen], return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([None, *found.view(np.int64).tolist()], pa.int64()), pa.array(np.append(len(chosen), times))],
+                names=["anchor", "n"])
+
+
+def _hot_anchors(keyed: DataFrame, targets: int, window: int, anchor: int) -> np.ndarray:
+    """Anchors above an even partition's share of a sample's windows: at most ``targets``, sorted."""
+    counts = keyed.select("text").sample(SAMPLE, seed=7).mapInArrow(
+        lambda batches: _anchor_counts(batches, window, anchor), "anchor bigint, n bigint")
+    top = counts.groupBy("anchor").agg(F.sum("n").alias("n")).orderBy(
+        F.col("anchor").isNotNull(), F.col("n").desc()).limit(targets + 1).collect()
+    hot = [r["anchor"] for r in top[1:] if r["n"] * targets > top[0]["n"]]
+    return np.sort(np.array(hot, dtype=np.int64).view(np.uint64))
+
+
+def _anchored(batches: Iterable[pa.RecordBatch], targets: int, window: int, anchor: int,
+              hot: np.ndarray) -> Iterator[pa.RecordBatch]:
     names = [field.split()[0] for field in _DEALT.split(", ")]
     types = pa.schema([(n, pa.int32() if n == "target" else pa.binary()) for n in names])
     for batch in chunks(batches, "text"):
@@ -109,19 +140,22 @@ def _anchored(batches: Iterable[pa.RecordBatch], targets: int, window: int, anch
             out += dealt((mix(doc[late][first].astype(np.uint64)) % np.uint64(targets)).astype(np.int64), known)
         at, chosen, doc, row, start, whole = (x[~late] for x in (at, chosen, doc, row, start, whole))
         if len(at):
-            new = np.append(True, (np.diff(chosen) != 0) | (np.diff(at) != 1))
+            grams = mix(gram_hashes(words.hashes(), anchor))[chosen]
+            apart = np.isin(grams, hot)
+            new = np.append(True, (np.diff(chosen) != 0) | (np.diff(at) != 1) | apart[1:])
             first = np.flatnonzero(new)
             sizes = np.diff(np.append(first, len(at)))
-            grams = mix(gram_hashes(words.hashes(), anchor))[chosen[first]]
-            runs = dict(zip(_RUN, (grams, doc[first], row[first], start[first], sizes.astype(np.uint8)), strict=True))
-            out += dealt((grams % np.uint64(targets)).astype(np.int64), runs, sizes,
-                         {"windows": (whole >> np.uint64(32)).astype(np.uint32)})
+            grams = grams[first]
+            place = np.where(apart[first], mix(grams ^ whole[first]), grams)
+            upper = (grams >> np.uint64(32)).astype(np.uint32)
+            runs = dict(zip(_RUN, (upper, doc[first], row[first], start[first], sizes.astype(np.uint8)), strict=True))
+            out += dealt((place % np.uint64(targets)).astype(np.int64), runs, sizes, {"windows": whole})
         if out:
             yield pa.RecordBatch.from_pylist(out, schema=types)
 
 
 def _extended(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    got = gathered(batches, _RUN | {"windows": np.uint32} | _SPAN)
+    got = gathered(batches, _RUN | {"windows": np.uint64} | _SPAN)
     _, which, times = np.unique(got["anchor"], return_inverse=True, return_counts=True)
     seed = times[which] > 1
     size = got["size"].astype(np.int64)
@@ -129,9 +163,9 @@ def _extended(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kept = np.flatnonzero(seed)
     kept = kept[np.lexsort((got["start"][kept], got["row"][kept], got["doc"][kept]))]
     runs, inner = np.repeat(kept, size[kept]), slices(size[kept])
-    key = (which[runs].astype(np.uint64) << np.uint64(32)) | got["windows"][before[runs] + inner]
+    key = got["windows"][before[runs] + inner]
     doc, row, start = got["doc"][runs], got["row"][runs], (got["start"][runs] + inner).astype(np.int32)
-    late = _later_copies(key, doc, row, start)
+    late = _later_copies(key, doc, row, start, which[runs])
     first, length = _spans(doc[late], row[late], start[late])
     columns = [
         np.concatenate([doc[late][first], got["known_doc"]]), np.concatenate([row[late][first], got["known_row"]]),
@@ -155,8 +189,9 @@ def _late_windows(keyed: DataFrame, window: int, anchor: int) -> DataFrame:
     if not 1 <= anchor <= window:
         raise ValueError("an anchor must fit into a window")
     targets = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = _hot_anchors(keyed, targets, window, anchor)
     parts = keyed.select("_id", "_row", "text").mapInArrow(
-        lambda batches: _anchored(batches, targets, window, anchor), _DEALT
+        lambda batches: _anchored(batches, targets, window, anchor, hot), _DEALT
     )
     return parts.repartitionById(targets, "target").mapInArrow(_extended, _SPANS)
 
