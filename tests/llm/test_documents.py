@@ -113,6 +113,17 @@ def test_near_duplicates_equal_brute_force(spark, small_docs, monkeypatch):
     assert sorted(x["doc_id"] for x in kept.collect()) == sorted({c for _, c, _ in want})
 
 
+def test_links_are_counted_once_where_a_block_is_empty(spark, monkeypatch):
+    rows = []
+    for pair in range(8):
+        words = [f"p{pair}w{i}" for i in range(400)]
+        rows += [(2 * pair, " ".join(words)), (2 * pair + 1, " ".join(words[:-1] + ["end"]))]
+    monkeypatch.setattr(near_duplicates, "BLOCK_BYTES", 4000)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = near_duplicates.near_duplicates(docs).select("doc_id", "class_id", "n_links").collect()
+    assert Counter(map(tuple, found)) == Counter((i, i - i % 2, 1) for i in range(16))
+
+
 def test_near_duplicates_of_odd_rows(odd_docs, no_docs):
     rows = near_duplicates.near_duplicates(odd_docs).collect()
     assert len(rows) == 12

@@ -143,8 +143,8 @@ def candidates(texts: DataFrame, *, size: int = SHINGLE, threshold: float = THRE
     return parts.repartitionById(targets, "target").mapInArrow(_trie_nodes, "a bigint, b bigint")
 
 
-def _alike(words: Words, side: np.ndarray, size: int, threshold: float) -> np.ndarray:
-    """Whether each two texts reach the threshold; texts of one side aren't compared when there are two."""
+def _alike(words: Words, side: np.ndarray | None, size: int, threshold: float) -> np.ndarray:
+    """Whether each two texts reach the threshold; given sides, only texts of different sides are compared."""
     of, values = shingles(words, size)
     m = len(words.counts)
     order = np.lexsort((of, values))
@@ -164,7 +164,7 @@ def _alike(words: Words, side: np.ndarray, size: int, threshold: float) -> np.nd
     both = sizes[:, None] + sizes[None, :] - common
     alike = common >= threshold * both - 1e-6
     np.fill_diagonal(alike, False)
-    return alike & (side[:, None] != side[None, :]) if side.any() and not side.all() else alike
+    return alike if side is None else alike & (side[:, None] != side[None, :])
 
 
 def _roots(alike: np.ndarray) -> np.ndarray:
@@ -185,7 +185,9 @@ def _verified(batches: Iterable[pa.RecordBatch], size: int, threshold: float) ->
         _, once = np.unique(rows.column("_hash").to_numpy(), return_index=True)
         rows = rows.take(pa.array(once))
         text, copies = rows.column("_hash").to_numpy(), rows.column("copies").to_numpy()
-        alike = _alike(split_words(rows.column("text")), rows.column("second").to_numpy(zero_copy_only=False), size, threshold)
+        one_block = rows.column("low")[0] == rows.column("high")[0]
+        side = None if one_block else rows.column("second").to_numpy(zero_copy_only=False)
+        alike = _alike(split_words(rows.column("text")), side, size, threshold)
         linked = alike.any(axis=1)
         links = alike @ copies
         return pa.RecordBatch.from_arrays(
