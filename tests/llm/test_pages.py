@@ -68,6 +68,20 @@ def test_main_text_of_odd_pages():
     assert html_text.main_text(deep) == "in here."
 
 
+@pytest.mark.parametrize("wrap", ["<div class='content no-sidebar'>{}</div>", "<div class='with-menu'>{}</div>", "<div class='sidebar-right'>{}</div>",
+                                  "<form action='./a.aspx'><div>{}</div></form>", "<div class='comments-open'><article>{}</article></div>"])
+def test_main_text_in_doubtful_places(wrap):
+    assert html_text.main_text(page(wrap.format(paragraphs()))) == WANT
+    assert html_text.main_text(page(wrap.format(paragraphs()), NOISE[0] + NOISE[4], NOISE[7] + NOISE[8])) == WANT
+
+
+def test_headings_and_sections_named_by_their_titles():
+    parts = "".join(f"<section id='{i}'><h2 id='{i}'>{i}</h2><p>{PARAGRAPHS[0]}</p></section>" for i in ("discussion", "search", "related-work"))
+    text = html_text.main_text(page(f"<article>{paragraphs()}<h2 id='comments'>About comments</h2><p>{PARAGRAPHS[1]}</p>{parts}</article>"))
+    assert text.startswith(WANT + "\nAbout comments\n") and all(f"\n{i}\n" in text for i in ("discussion", "search", "related-work"))
+    assert text.count("First words") == 4
+
+
 def test_extraction_keeps_columns(spark):
     pages = spark.createDataFrame([(None, "u", "<p>a</p>", "t"), (1, None, None, None)], "page_id bigint, url string, html string, text string")
     rows = html_text.extracted(pages)

@@ -2,7 +2,9 @@
 
 A page is read as blocks: runs of text between block-level tags, each with its
 path of tags from the root. Blocks in places that are never content (menus,
-adverts, forms, comments, told by tag, role and class words) are left out. For
+adverts, told by tag and role) are left out. Forms and elements whose class or
+id has a word such as "comments" are doubtful: they are left out only if they
+hold little of the page's text or punctuation, and if anything is left. For
 the others, text length and punctuation are summed per path and divided by the
 path's blocks. These ratios are smoothed along the page, fused with the path's
 own, and paths above a threshold are content. The element that holds nearly all
@@ -45,9 +47,9 @@ _HOLDERS = frozenset("ul ol dl table article section div body main aside nav for
 
 # Never content, by tag, by role, and by words in class and id.
 _ASIDE_TAGS = frozenset(
-    "head nav aside footer form script style noscript template iframe svg math button select textarea object canvas dialog "
+    "head nav aside footer script style noscript template iframe svg math button select textarea object canvas dialog "
     "menu audio video map title input datalist".split())
-_ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog menu menubar alert "
+_ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog menu menubar alert "
                          "status toolbar tablist".split())
 _ASIDE_WORDS = frozenset(
     "ad ads adbox adsense advert adverts advertisement advertising advertorial banner sponsor sponsored sponsors promo "
@@ -60,17 +62,29 @@ _ASIDE_WORDS = frozenset(
 _ARTICLE_WORDS = frozenset("article content entry post story".split())
 _COMMENT_WORDS = frozenset("comment comments commentlist disqus reply replies respond discussion".split())
 _ROOTS = frozenset("html body main article".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# A word after one of these says how the page is laid out, not what the element is.
+_LAYOUT_WORDS = frozenset("no not with without has".split())
 
 SHARE = 0.9
+# A doubtful element with so much of the page's text and punctuation is content; comments may outgrow an article.
+LARGE, LARGE_COMMENTS = 0.5, 0.8
 
 
 @dataclass
 class Node:
-    """An open or closed element; ``text`` is the content text of all blocks in it."""
+    """An open or closed element; ``text`` is the content text of all blocks in it.
+
+    ``doubt`` is the share of the page from which a doubtful element is content.
+    """
 
     tag: str
     parent: Node | None
     aside: bool
+    doubt: float = 0.0
+    doubt_above: Node | None = None
+    article: Node | None = None
+    open: bool = True
     text: float = 0.0
     children: list[Node] = field(default_factory=list)
 
@@ -81,6 +95,13 @@ class Node:
             node = node.parent
         return "/".join(reversed(tags))
 
+    def doubtful(self) -> Iterator[Node]:
+        """This element and those around it that are doubtful."""
+        node: Node | None = self if self.doubt else self.doubt_above
+        while node:
+            yield node
+            node = node.doubt_above
+
     def inside(self, other: Node) -> bool:
         node: Node | None = self
         while node and node is not other:
@@ -112,10 +133,62 @@ def _is_aside(tag: str, attributes: str, parent: Node | None) -> bool:
         return True
     if names.get("role", "").lower() in _ASIDE_ROLES:
         return True
-    words = {w.lower() for w in _WORD.findall(f"{names.get('class', '')} {names.get('id', '')}")}
+    return False
+
+
+def _words(value: str) -> set[str]:
+    found = set()
+    for token in value.split():
+        before = ""
+        for word in map(str.lower, _WORD.findall(token)):
+            if before not in _LAYOUT_WORDS:
+                found.add(word)
+            before = word
+    return found
+
+
+def _doubt(tag: str, attributes: str, parent: Node) -> float:
+    """Above 0 for an element that is left out if it holds less than this share of the page."""
+    names = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)} if attributes.strip() else {}
+    if tag == "form" or names.get("role", "").lower() == "form":
+        return LARGE
+    if not names or tag in ("html", "body") or tag in _HEADINGS and _in_article(parent):
+        return 0.0
+    words = _words(names.get("class", ""))
+    if not (tag in _HEADINGS or tag == "section" and _in_article(parent)):  # their ids are made from titles
+        words |= _words(names.get("id", ""))
+    if words & _COMMENT_WORDS:
+        return LARGE_COMMENTS
     if tag in _ROOTS:
-        return tag not in ("html", "body") and bool(words & _COMMENT_WORDS)
-    return bool(words & _ASIDE_WORDS) or "header" in words and not words & _ARTICLE_WORDS and not _in_article(parent)
+        return 0.0
+    site_header = "header" in words and not words & _ARTICLE_WORDS and not _in_article(parent)
+    return LARGE if words & _ASIDE_WORDS or site_header else 0.0
+
+
+def _settled(blocks: list[Block]) -> list[Block]:
+    """``blocks`` without those in doubtful elements that hold little."""
+    if not any(True for b in blocks for _ in b.node.doubtful()):
+        return blocks
+    held: dict[int, list[int]] = {}
+
+    def around(node: Node) -> list[Node]:  # an advert that was never closed ends where an article begins
+        ended = {id(n) for n in node.article.doubtful() if n.open} if node.article else set()
+        return [n for n in node.doubtful() if id(n) not in ended]
+
+    all_text = all_marks = 0
+    for block in blocks:
+        length, marks = len(block.text), len(_PUNCTUATION.findall(block.text))
+        all_text, all_marks = all_text + length, all_marks + marks
+        for node in around(block.node):
+            sums = held.setdefault(id(node), [0, 0])
+            sums[0] += length
+            sums[1] += marks
+
+    def little(node: Node) -> bool:
+        text, marks = held[id(node)]
+        return text < node.doubt * all_text or marks < node.doubt * all_marks
+
+    return [b for b in blocks if not any(little(n) for n in around(b.node))] or blocks
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -128,7 +201,7 @@ def blocks_of(page: str) -> list[Block]:
         text = " ".join(html.unescape("".join(parts)).split())
         parts.clear()
         if text:
-            node = next(n for n in reversed(stack) if n.tag not in _INLINE)
+            node = next(n for n in reversed(stack) if n.tag not in _INLINE or n.doubt)
             found.append(Block(node, text))
 
     def close(depth: int) -> None:
@@ -162,6 +235,7 @@ def blocks_of(page: str) -> list[Block]:
         if token[1]:
             depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
             if depth:
+                stack[depth].open = False
                 close(depth)
             continue
         if tag == "body" or (stack[-1].tag == "head" and tag not in ("meta", "link", "title", "script", "style", "base", "noscript", "template")):
@@ -187,8 +261,15 @@ def blocks_of(page: str) -> list[Block]:
                 break
         if tag in _VOID:
             continue
-        node = Node(tag, stack[-1], stack[-1].aside or _is_aside(tag, token[3] or "", stack[-1]))
-        stack[-1].children.append(node)
+        above = stack[-1]
+        aside = above.aside or _is_aside(tag, token[3] or "", above)
+        node = Node(tag, above, aside, 0.0 if aside else _doubt(tag, token[3] or "", above), above if above.doubt else above.doubt_above)
+        above.children.append(node)
+        node.article = above.article
+        if tag in ("article", "main") and not node.doubt:  # what holds an article is no list of comments
+            for around in node.doubtful():
+                around.doubt = min(around.doubt, LARGE)
+            node.article = node
         if tag in _RAW:
             stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)", re.IGNORECASE).search(page, at)
             at = page.find(">", stop.start()) + 1 or end if stop else end
@@ -196,7 +277,7 @@ def blocks_of(page: str) -> list[Block]:
         if not token[0].rstrip(">").endswith("/") or tag not in ("svg", "math", "path"):
             stack.append(node)
     flush()
-    return [b for b in found if not b.node.aside]
+    return _settled([b for b in found if not b.node.aside])
 
 
 def content_paths(blocks: list[Block]) -> set[str]:
