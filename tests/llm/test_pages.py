@@ -82,6 +82,18 @@ def test_headings_and_sections_named_by_their_titles():
     assert text.count("First words") == 4
 
 
+def test_nothing_above_the_threshold_is_dropped():
+    body = "".join(f"<p>Sentence {i}, which is long enough, and goes on and on.</p>" for i in range(30))
+    lead = "<div class='intro'><p>A lead, of a sentence or two, that stands beside the text.</p></div>"
+    rows = "".join(f"<li>Item {i}, described with care, and at some length.</li>" for i in range(40))
+    text = html_text.main_text(f"<div>{lead}<div class='text'>{body}</div></div>")
+    assert text.startswith("A lead,") and text.count("\n") == 30
+    text = html_text.main_text(f"<div><ul>{rows}</ul><p>At the end, some words, and a few more of them.</p></div>")
+    assert text.endswith("a few more of them.") and text.count("\n") == 40
+    text = html_text.main_text(f"<div><h1>Top</h1><h2>Below</h2><div class='text'>{body}</div></div>")
+    assert text.startswith("Top\nBelow\nSentence 0,")
+
+
 def test_extraction_keeps_columns(spark):
     pages = spark.createDataFrame([(None, "u", "<p>a</p>", "t"), (1, None, None, None)], "page_id bigint, url string, html string, text string")
     rows = html_text.extracted(pages)

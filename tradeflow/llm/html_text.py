@@ -8,7 +8,9 @@ hold little of the page's text or punctuation, and if anything is left. For
 the others, text length and punctuation are summed per path and divided by the
 path's blocks. These ratios are smoothed along the page, fused with the path's
 own, and paths above a threshold are content. The element that holds nearly all
-of their text is the article; all its blocks are its text, short ones included.
+of their text is the article; all its blocks are its text, short ones included,
+and so are headings right before a kept block and, on pages where it is in no
+<article> or <main>, the blocks of content paths elsewhere.
 
 Each page is read by itself in one pass over its tags, so a page of any length
 takes memory in proportion to it. A null or empty page has an empty text. What
@@ -323,10 +325,12 @@ def main_text(page: str | None) -> str:
     while above and above.tag not in ("article", "main"):
         above = above.parent
     place = above or place
-    kept = [b for b in blocks if b.node.inside(place)]
+    keep = [b.node.inside(place) or not above and b.node.path() in chosen for b in blocks]
+    for i in range(len(blocks) - 2, -1, -1):
+        keep[i] = keep[i] or keep[i + 1] and blocks[i].node.tag in _HEADINGS
+    kept = [b for b, k in zip(blocks, keep, strict=True) if k]
     if not any(b.node.tag == "h1" for b in kept):
-        first = next(i for i, b in enumerate(blocks) if b is kept[0])
-        kept = [b for b in blocks[:first] if b.node.tag == "h1"][-1:] + kept
+        kept = [b for b in blocks[: keep.index(True)] if b.node.tag == "h1"][-1:] + kept
     return "\n".join(b.text for b in kept)
 
 
