@@ -284,6 +284,21 @@ def test_licences(spark, odd_docs, no_docs):
     assert licences.scanned(no_docs).count() == 0
 
 
+def test_licences_as_published_and_added_ones(spark):
+    bsd, long = licence_texts.TEXTS["BSD-3-Clause"], "Long Licence\n1. You may copy it.\nCopyright holders may not.\n2. And so on."
+    rows = [
+        (1, "BSD 3-Clause License\n\nCopyright (c) 2020, Jane Doe\nAll rights reserved.\n\n" + bsd),
+        (2, "MIT License\n\nCopyright Jane Doe\n\n" + licence_texts.TEXTS["MIT"]),
+        (3, "Copyright Jane Doe and others. All rights reserved.\n" + bsd.replace("the above copyright notice,", "the above\n    copyright notice,")),
+        (4, "Copyright Jane Doe\n" + long), (5, long.replace("Copyright holders may not.\n", "")),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    known = licences.known_table(spark).union(spark.createDataFrame([("Long-1.0", "text", long)], "licence string, kind string, wording string"))
+    found = {r["doc_id"]: r["licence"] for r in licences.scanned(docs, texts=known).collect()}
+    assert found == {1: "BSD-3-Clause", 2: "MIT", 3: "BSD-3-Clause", 4: "Long-1.0", 5: None}
+    assert licences.scanned(docs).where("doc_id = 4 and licence is null").count() == 1
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_equals_sql(spark, sf_dir, name):
     assert difference(spark, connect(sf_dir), name, sf_dir) is None

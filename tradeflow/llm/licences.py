@@ -1,13 +1,15 @@
 """Licence scans by digests of canonical texts.
 
-A text is made canonical by lower-casing A-Z, dropping copyright lines,
-spelling some words one way and turning everything that is neither letter nor
+A text is made canonical by lower-casing A-Z, dropping copyright lines and
+lines that reserve all rights, spelling some words one way and turning everything that is neither letter nor
 digit into single spaces. Its SHA-256 is joined with those of known licences.
 Whole documents are looked up as texts, and each line as a notice.
 
 Everything is expressions. A digest is taken only where a known text has that
 canonical length, which loses nothing. Only ids and digests are shuffled. The
-known texts are a list in the driver; how they are joined is left to Spark.
+known texts are a small list or a table; how they are joined is left to Spark.
+The built-in list has short licences and notices only, no full text of a long
+licence: callers add those they hold to ``known_table``.
 
 Null and empty texts match nothing. Rows that repeat are told apart by id and
 text; identical rows get the same result.
@@ -22,6 +24,12 @@ from tradeflow.llm.licence_texts import known_texts
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 COPYRIGHT_LINE = r"^[ \t\r*#/;-]*(portions )?(copyright|\(c\)|©).*([0-9]{4}|\(c\)|©|year|yyyy)"
+# More lines that published texts have and the SQL's pattern lets stand: copyright lines without a year, and reserved rights.
+# A line of prose may begin with "copyright", so what follows must be a name.
+RIGHTS_LINE = (
+    r"^[ \t\r*#/;-]*(((portions )?copyright:?[ \t]+(by[ \t]+)?(?!(notices?|holders?|owners?|laws?|licen[cs]\w*|and|or|in|to|of|is|are|as|on|"
+    r"for|with|by|interests?|statements?|protection|permission|acts?|treat\w*|infringement|disclaimer|status|terms|information|"
+    r"the copyright)\b)|©)[^.;:]{1,80}([.][ \t\r]*)?([ \t]*all rights reserved[. \t\r*#/;-]*)?|all rights reserved[. \t\r*#/;-]*)$")
 NOT_WORD = r"[^a-z0-9\x{80}-\x{10FFFF}]+"
 # Spellings that count as the same.
 SPELLINGS = (
@@ -33,24 +41,31 @@ SPELLINGS = (
 
 def canonical(text: Column) -> Column:
     lower = F.translate(text, _UPPER, _LOWER)
-    lines = F.filter(F.split(lower, "\n"), lambda line: ~line.rlike(COPYRIGHT_LINE))
+    lines = F.filter(F.split(lower, "\n"), lambda line: ~line.rlike(COPYRIGHT_LINE) & ~line.rlike(RIGHTS_LINE))
     words = F.regexp_replace(F.array_join(lines, " "), NOT_WORD, " ")
     for spelling, same in SPELLINGS:
         words = F.regexp_replace(words, spelling, same + "$1")
     return F.trim(words)
 
 
-def known_digests(spark: SparkSession, texts: list[tuple[str, str, str]] | None = None) -> DataFrame:
+def known_table(spark: SparkSession, texts: DataFrame | list[tuple[str, str, str]] | None = None) -> DataFrame:
+    """``licence, kind, wording``: the given known texts, or else the built-in ones, to which callers may add by a union."""
+    if isinstance(texts, DataFrame):
+        return texts.select("licence", "kind", "wording")
+    return spark.createDataFrame(texts or known_texts(), "licence string, kind string, wording string")
+
+
+def known_digests(spark: SparkSession, texts: DataFrame | list[tuple[str, str, str]] | None = None) -> DataFrame:
     """``kind, digest, licence``; wordings that are canonically equal are one, of the least id."""
-    rows = spark.createDataFrame(texts or known_texts(), "licence string, kind string, wording string")
+    rows = known_table(spark, texts)
     return rows.groupBy("kind", F.sha2(canonical(F.col("wording")), 256).alias("digest")).agg(F.min("licence").alias("licence"))
 
 
 def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-            texts: list[tuple[str, str, str]] | None = None) -> DataFrame:
+            texts: DataFrame | list[tuple[str, str, str]] | None = None) -> DataFrame:
     """Per row: ``doc_id``, the ``licence`` its whole text is, and its ``notices`` (ids, sorted, comma-joined)."""
     spark = docs.sparkSession
-    wordings = spark.createDataFrame(texts or known_texts(), "licence string, kind string, wording string")
+    wordings = known_table(spark, texts)
     sizes = {k: [r["n"] for r in wordings.where(F.col("kind") == k).select(
         F.length(canonical(F.col("wording"))).alias("n")).distinct().collect()] for k in ("text", "notice")}
     keyed = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
