@@ -253,3 +253,16 @@ def test_folding_equals_replaying(spark, seed):
     found = chat.folded(log, ["turn"]).select("conv_id", "turn", "role", "text").collect()
     assert Counter(map(tuple, found)) == fold_plainly(events)
     assert chat.folded(log.limit(0), ["turn"]).count() == 0
+
+
+def test_messages_told_anew_after_a_regenerate_stay(spark):
+    events = [
+        (1, 1, "message", 1, "user", "q"), (1, 3, "message", 2, "assistant", "a"), (1, 5, "message", 3, "user", "old"),
+        (1, 6, "regenerate", 2, None, None), (1, 7, "delta", 2, None, "b"), (1, 8, "message", 3, "user", "new"),
+        (1, 9, "delta", 3, None, "er"), (2, 1, "message", 1, "user", "q"), (2, 2, "message", 2, "assistant", "gone"),
+        (2, 3, "regenerate", 1, None, None),
+    ]
+    log = spark.createDataFrame(events, "conv_id bigint, seq bigint, kind string, turn bigint, role string, text string")
+    found = chat.folded(log, ["turn"]).select("conv_id", "turn", "role", "text").collect()
+    assert Counter(map(tuple, found)) == Counter(
+        [(1, 1, "user", "q"), (1, 2, "assistant", "b"), (1, 3, "user", "newer"), (2, 1, "user", "")])

@@ -2,7 +2,8 @@
 
 A log is events of conversations in order of ``seq``: ``message`` starts a
 message over, ``delta`` adds text to it, ``edit`` replaces its text, and
-``regenerate`` empties it and drops all later messages begun before.
+``regenerate`` empties it and drops what later messages were told up to then. A
+later message told anew after that stays, with what it was told since.
 
 Rendering marks each turn and escapes control strings in roles and texts by a
 backslash after their first character; one that is there already gets one more,
@@ -45,18 +46,16 @@ def folded(events: DataFrame, message: list[str], conv_col: str = "conv_id", seq
             F.col(seq_col).alias("seq"), "kind", "role", F.coalesce("text", F.lit("")).alias("text"))))).alias("_log"))
     last = lambda kinds: F.array_max(F.transform(F.filter(
         "_log", lambda e: e["kind"].isin(*kinds)), lambda e: e["seq"]))
-    known = known.withColumn("_from", last(["message", "edit", "regenerate"])).withColumn("_again", last(["regenerate"]))
+    before = Window.partitionBy(conv_col).orderBy(*message).rowsBetween(Window.unboundedPreceding, -1)
+    known = known.withColumn("_cut", F.max(last(["regenerate"])).over(before)).withColumn(
+        "_log", F.filter("_log", lambda e: F.col("_cut").isNull() | (e["seq"] > F.col("_cut")))).where(F.size("_log") > 0)
+    known = known.withColumn("_from", last(["message", "edit", "regenerate"]))
     live = F.filter("_log", lambda e: F.col("_from").isNull() | (e["seq"] >= F.col("_from")))
     # Of events of one seq the one that starts the text over comes first.
     text = F.aggregate(live, F.lit(""), lambda s, e: F.when(
         e["kind"] == "delta", F.concat(s, e["text"])).when(e["kind"] == "regenerate", F.lit("")).otherwise(e["text"]))
     roles = F.filter(F.transform("_log", lambda e: e["role"]), lambda r: r.isNotNull())
-    known = known.select(
-        conv_col, *message, F.coalesce(F.try_element_at(roles, F.lit(-1)), F.lit("")).alias("role"), text.alias("text"),
-        F.get("_log", F.lit(0))["seq"].alias("_begun"), "_again")
-    before = Window.partitionBy(conv_col).orderBy(*message).rowsBetween(Window.unboundedPreceding, -1)
-    return known.withColumn("_cut", F.max("_again").over(before)).where(
-        "_cut is null or _begun > _cut").drop("_begun", "_again", "_cut")
+    return known.select(conv_col, *message, F.coalesce(F.try_element_at(roles, F.lit(-1)), F.lit("")).alias("role"), text.alias("text"))
 
 
 def escaped(text: Column) -> Column:
