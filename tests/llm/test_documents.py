@@ -167,6 +167,31 @@ def test_proximity(spark):
     assert hits(0) == set() and hits(1) == {1} and hits(2) == {1, 2} and hits(4) == {1, 2, 3}
 
 
+def near_plainly(text, phrase, slop):
+    """Whether the phrase's terms stand near their places, counted from some place of the first."""
+    spots = lambda term: [i for i, w in enumerate(text) if w == term]
+    return any(all(any(abs(p - start - i) <= slop for p in spots(term)) for i, term in enumerate(phrase)) for start in spots(phrase[0]))
+
+
+def test_proximity_tries_all_places_in_every_text(spark):
+    r = random.Random(4)
+    texts = ["z b", "a b"] + [" ".join(r.choice("abcdez") for _ in range(r.randrange(9))) for _ in range(150)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    items = ["a b", "a b c", "c a e d", "d", "e z"]
+    for parts, slop in ((1, 3), (1, 1), (4, 2)):
+        folder = new_folder(spark, "near-index")
+        phrases.write_index(docs.coalesce(1) if parts == 1 else docs.repartition(parts), folder)
+        found = phrases.search(spark, folder, spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string"), slop=slop).collect()
+        want = {(d, str(i)) for d, t in enumerate(texts) for i, p in enumerate(items) if near_plainly(t.split(), p.split(), slop)}
+        assert {(x["doc_id"], m["item"]) for x in found for m in x["matches"]} == want
+
+
+def test_long_items_are_split_to_blocks(spark):
+    items = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(3000))), (2, "a b")], "item_id bigint, text string")
+    blocks = list(phrases.phrase_blocks(items, block=20))
+    assert sum(len(b.sizes) for b in blocks) == 2992 and max(len(b.sizes) for b in blocks) == phrases.PIECE
+
+
 def test_empty_index(spark, no_docs):
     folder = new_folder(spark, "empty-index")
     phrases.write_index(no_docs, folder)

@@ -4,7 +4,8 @@ The index is a Parquet table of shards. A shard holds a few megabytes of texts:
 its terms in order, and for each the positions it stands at. A phrase is looked
 up shard by shard: its terms' lists are taken from the rarest one on, adjusted
 by the term's place in the phrase, and intersected. With a slop, a term may
-stand up to so many words beside its place.
+stand up to so many words beside its place, counted from where the first term
+stands; of several such places the nearest is taken, the earlier of two.
 
 Terms are runs of letters, digits and all characters beyond ASCII; A-Z are
 lower-cased. They are compared by 64-bit hashes; a phrase matches only where all
@@ -12,8 +13,8 @@ its terms do.
 
 Scale: a shard is built and searched where its texts are read, and nothing is
 shuffled, so a frequent term or passage is spread over all shards that hold it.
-Phrases travel to the tasks in blocks of at most ``BLOCK`` (a stated query set),
-each block a pass over the index.
+Phrases are made in tasks. They are collected and sent to the search in blocks
+of at most ``BLOCK`` (a stated query set), each block a pass over the index.
 
 Null or empty texts are in the index with no terms. Items without terms match
 nothing. Repeated rows are indexed once each.
@@ -35,6 +36,7 @@ from tradeflow.workspace import new_folder
 
 WINDOW = 10
 BLOCK = 50_000  # phrases sent to the tasks at once: 4 MB of terms
+PIECE = 1000  # an item of no more phrases is not split, however small the blocks
 
 _SHARD = "shard bigint, ids array<bigint>, sizes binary, terms binary, times binary, steps binary"
 _MATCH = pa.struct([("item", pa.string()), ("start", pa.int64()), ("length", pa.int64())])
@@ -84,24 +86,50 @@ def write_index(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
 
 def phrase_blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text", size: int = WINDOW,
                   block: int = BLOCK) -> Iterator[Phrases]:
-    """Every ``size`` consecutive terms of each item; an item of fewer is one phrase."""
-    terms, sizes, owner, names, waiting = [], [], [], [], 0
-    for row in items.select(F.col(id_col), F.col(text_col)).toLocalIterator():
-        hashes = split_words(pa.array([row[1]], pa.string()), ALNUM, lower=True).hashes()
-        n = min(len(hashes), size)
-        if not n:
-            continue
-        own = np.lib.stride_tricks.sliding_window_view(hashes, n)
-        terms.append(np.pad(own, ((0, 0), (0, size - n))))
-        sizes.append(np.full(len(own), n))
-        owner.append(np.full(len(own), len(names)))
-        names.append(None if row[0] is None else str(row[0]))
+    """Every ``size`` consecutive terms of each item, at most ``block`` (or ``PIECE``) at once; an item of fewer is one phrase."""
+    rows = items.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).alias("text"))
+    made = rows.mapInArrow(lambda batches: _phrases(batches, size, block), "item string, n int, terms binary")
+    held: list[tuple[str | None, np.ndarray]] = []
+    waiting = 0
+    for item, n, data in made.toLocalIterator():
+        own = np.frombuffer(bytes(data), np.uint64).reshape(-1, n)
+        if waiting and waiting + len(own) > block:
+            yield _block(held, size)
+            held, waiting = [], 0
+        held.append((item, own))
         waiting += len(own)
-        if waiting >= block:
-            yield Phrases(np.concatenate(terms), np.concatenate(sizes), np.concatenate(owner), names)
-            terms, sizes, owner, names, waiting = [], [], [], [], 0
     if waiting:
-        yield Phrases(np.concatenate(terms), np.concatenate(sizes), np.concatenate(owner), names)
+        yield _block(held, size)
+
+
+def _phrases(batches: Iterable[pa.RecordBatch], size: int, block: int) -> Iterator[pa.RecordBatch]:
+    for batch in chunks(batches, "text"):
+        words = split_words(batch.column("text"), ALNUM, lower=True)
+        hashes = words.hashes()
+        for i, count in enumerate(words.counts.tolist()):
+            if not count:
+                continue
+            n, at = min(count, size), int(words.bounds[i])
+            own = np.lib.stride_tricks.sliding_window_view(hashes[at : at + count], n)
+            step = max(block, PIECE)
+            for first in range(0, len(own), step):
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("item").slice(i, 1), pa.array([n], pa.int32()), pa.array([own[first : first + step].tobytes()], pa.binary())],
+                    names=["item", "n", "terms"])
+
+
+def _block(held: list[tuple[str | None, np.ndarray]], size: int) -> Phrases:
+    counts = [len(own) for _, own in held]
+    return Phrases(
+        np.concatenate([np.pad(own, ((0, 0), (0, size - own.shape[1]))) for _, own in held]),
+        np.repeat([own.shape[1] for _, own in held], counts), np.repeat(np.arange(len(held)), counts), [item for item, _ in held])
+
+
+def _ranges(keys: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each range of keys (both ends included) its number, and the place of each key in it."""
+    first = np.searchsorted(keys, low)
+    counts = np.maximum(np.searchsorted(keys, high, "right") - first, 0)
+    return np.repeat(np.arange(len(low)), counts), np.repeat(first, counts) + slices(counts)
 
 
 def _lookup(terms: np.ndarray, times: np.ndarray, steps: np.ndarray, starts: np.ndarray, phrases: Phrases,
@@ -126,15 +154,29 @@ def _lookup(terms: np.ndarray, times: np.ndarray, steps: np.ndarray, starts: np.
     row = np.repeat(np.arange(len(alive)), many)
     begin = place[np.repeat(first[lead_term], many) + slices(many)] - np.repeat(lead, many)
     text = np.searchsorted(starts, begin + lead[row], "right") - 1
-    low, high = begin + lead[row], begin + lead[row]
-    for step in range(1, width):
+    ends = np.append(starts[1:], place.max() + 2) - 2  # last position of each text
+    if slop:  # from the lead's places to all places of the first term that it allows
+        of = at[row, 0] << 32
+        which, hit = _ranges(keys, of | np.maximum(begin - slop, starts[text]),
+                             of | np.maximum(np.minimum(begin + slop, ends[text]), 0))
+        row, begin = np.unique(np.stack([row[which], keys[hit] & 0xFFFFFFFF]), axis=1)
+        text = np.searchsorted(starts, begin, "right") - 1
+        low, high = begin, begin
+    else:
+        low, high = begin + lead[row], begin + lead[row]
+    for step in range(0 if slop else 1, width):
         which = rarest[row, step]
-        live = used[row, which]
-        want = (at[row, which] << 32) | np.maximum(begin + which - slop, 0)
-        hit = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
-        found = keys[hit] & 0xFFFFFFFF
-        good = (keys[hit] >= want) & (keys[hit] >> 32 == at[row, which]) & (found <= begin + which + slop)
-        good &= np.searchsorted(starts, found, "right") - 1 == text
+        live = used[row, which] & ((which > 0) | (slop == 0))
+        least, most = np.maximum(begin + which - slop, starts[text]), np.minimum(begin + which + slop, ends[text])
+        wished = np.clip(begin + which, starts[text], ends[text])
+        of = at[row, which] << 32
+        hit = np.searchsorted(keys, of | wished)
+        after, prior = keys[np.minimum(hit, len(keys) - 1)], keys[np.maximum(hit - 1, 0)]
+        good = (hit < len(keys)) & (after >= of | least) & (after <= of | most) & (least <= most)
+        back = (hit > 0) & (prior >= of | least) & (prior <= of | most) & (least <= most) if slop else np.zeros(len(hit), bool)
+        nearer = back & (~good | (wished - (prior & 0xFFFFFFFF) <= (after & 0xFFFFFFFF) - wished))
+        found = np.where(nearer, prior, after) & 0xFFFFFFFF
+        good |= back
         low, high = np.where(live & good, np.minimum(low, found), low), np.where(live & good, np.maximum(high, found), high)
         keep = good | ~live
         row, begin, text, low, high = (x[keep] for x in (row, begin, text, low, high))
