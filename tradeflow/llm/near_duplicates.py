@@ -1,10 +1,10 @@
-"""Texts whose sets of five-word shingles are alike, by a MinHash LSH forest.
+"""Texts whose sets of five-word shingles are alike, by MinHash banding.
 
-Each text has a signature per tree. Texts that share a prefix of a tree's
-signature are neighbours in that tree's sorted order: a node of its prefix trie.
-The prefix starts at full depth and is shortened until a pair at the threshold
-meets in some tree with the target recall. Candidates are then verified exactly,
-so no reported link is wrong.
+Each text has a signature per tree, of fixed length: a band. The length is the
+longest at which a pair at the threshold meets in some band with the target
+recall; it is computed once from the threshold, not shortened by what is found.
+Texts with equal bands are candidates, "trie nodes" below. They are then
+verified exactly, so no reported link is wrong.
 
 A word is a run of characters other than ASCII white space. A text of fewer
 words than a shingle is one shingle; a text without words (null included) is
