@@ -1,6 +1,7 @@
 """The contracts said plainly, row by row, for small inputs."""
 
 import hashlib
+import math
 import re
 from collections import Counter
 
@@ -99,3 +100,83 @@ def measures(text):
     n = len(words)
     return (n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), again, len(covered),
             n < 50 or 100 * len(covered) > 50 * n)
+
+
+def exact_copies(rows, largest=True):
+    """(doc_id, keep_id, group_size, kept, text_sha256) of (doc_id, text) rows with different ids."""
+    groups = {}
+    for doc_id, text in rows:
+        groups.setdefault((text or "").translate(LOWER), []).append(doc_id)
+    out = []
+    for text, ids in groups.items():
+        known = [i for i in ids if i is not None]
+        keep = (max if largest else min)(known) if known else None
+        out += [(i, keep, len(ids), i == keep, digest(text)) for i in ids]
+    return out
+
+
+def nearest(part, book):
+    """Number and squared distance of the nearest entry; ties go to the lower number."""
+    far = [sum((x - c) ** 2 for x, c in zip(part, entry, strict=True)) for entry in book]
+    return far.index(min(far)), min(far)
+
+
+def vector_codes(rows, parts=16, entries=64, rounds=2, scale=256):
+    """(vec_id, code, error, label_error, codebooks_sha256) of (vec_id, vector, label) rows."""
+    kept = [(i, [math.floor(scale * x) for x in v], label) for i, v, label in rows
+            if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    kept.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    width = len(kept[0][1]) // parts if kept else 0
+    cut = [[v[p * width : (p + 1) * width] for p in range(parts)] for _, v, _ in kept]
+    books = [[c[p] for c in cut[:entries]] for p in range(parts)]
+    for _ in range(rounds):
+        for p, book in enumerate(books):
+            near = [nearest(c[p], book)[0] for c in cut]
+            for e in range(len(book)):
+                own = [c[p] for c, n in zip(cut, near, strict=True) if n == e]
+                if own:
+                    book[e] = [sum(xs) // len(own) for xs in zip(*own, strict=True)]
+    found = [[nearest(c[p], books[p]) for p in range(parts)] for c in cut]
+    errors, by_label = [sum(far for _, far in f) for f in found], Counter()
+    for (_, _, label), error in zip(kept, errors, strict=True):
+        by_label[label] += error
+    told = digest(",".join(str(x) for book in books for entry in book for x in entry))
+    return [(i, "".join(f"{e:02x}" for e, _ in f), error, by_label[label], told)
+            for (i, _, label), f, error in zip(kept, found, errors, strict=True)]
+
+
+def alignment(rows, a, b):
+    """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256); a and b give (id, bytes) of a text's tokens."""
+    aligned, counts = [], Counter()
+    for _, text in rows:
+        ours, theirs = (a(text), b(text)) if text else ([], [])
+        told = (" " + (text or "")).encode()
+        if not ours or b"".join(x for _, x in ours) != told or b"".join(x for _, x in theirs) != told:
+            aligned.append(None)
+            continue
+        spans = [[], []]
+        for side, tokens in zip(spans, (ours, theirs), strict=True):
+            at = 0
+            for token, data in tokens:
+                side.append((token, at, at + len(data)))
+                at += len(data)
+        links = [(x, y) for x, s, e in spans[0] for y, t, f in spans[1] if max(s, t) < min(e, f)]
+        ends = sorted({e for _, _, e in spans[0]} & {e for _, _, e in spans[1]})
+        groups, at = [], 0
+        for end in ends:
+            groups.append("|".join(",".join(str(x) for x, s, e in side if at <= s and e <= end) for side in spans))
+            at = end
+        aligned.append((len(ours), len(theirs), groups, links))
+        counts.update(links)
+    best = {}
+    for (_, y), n in counts.items():
+        best[y] = max(best.get(y, 0), n)
+    out = []
+    for (doc_id, _), found in zip(rows, aligned, strict=True):
+        if found is None:
+            out.append((doc_id, 0, 0, 0, 0, 0, 0, ""))
+        else:
+            n_a, n_b, groups, links = found
+            out.append((doc_id, n_a, n_b, len(groups), len(links), sum(counts[x] == best[x[1]] for x in links),
+                        sum(counts[x] for x in links), digest(";".join(groups))))
+    return out

@@ -81,7 +81,56 @@ SELECT page_id, CAST(bytes AS BIGINT) AS payload_bytes, digest AS payload_digest
 FROM digests WINDOW same AS (PARTITION BY digest)
 """
 
+EXACT_COPIES = f"""
+WITH normal AS (SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS text FROM documents)
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(text) AS text_sha256
+FROM normal WINDOW same AS (PARTITION BY text)
+"""
+
+
+def _vector_codes(rounds: int = 2) -> str:
+    """Assign and move, written out once per round."""
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""far{k} AS (
+  SELECT p.row, p.part, b.entry, list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i]))) AS far
+  FROM parts p JOIN book{k} b USING (part)
+), near{k} AS (
+  SELECT row, part, arg_min(entry, far * 64 + entry) AS entry, min(far) AS far FROM far{k} GROUP BY ALL
+)""")
+        if k < rounds:
+            steps.append(f"""mean{k} AS (
+  SELECT part, entry, list(m ORDER BY i) AS c FROM (
+    SELECT part, entry, i, CAST(floor(sum(x[i]) / CAST(count(*) AS DOUBLE)) AS BIGINT) AS m
+    FROM near{k} JOIN parts USING (row, part), (SELECT unnest(range(1, (SELECT max(len(x)) FROM parts) + 1)) AS i) GROUP BY ALL
+  ) GROUP BY ALL
+), book{k + 1} AS (
+  SELECT part, entry, coalesce(n.c, o.c) AS c FROM book{k} o LEFT JOIN mean{k} n USING (part, entry)
+)""")
+    return f"""
+WITH whole AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS row, vec_id, label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS (
+  SELECT row, part, v[part * (len(v) // 16) + 1 : (part + 1) * (len(v) // 16)] AS x FROM whole, (SELECT unnest(range(16)) AS part)
+), book0 AS (SELECT part, row - 1 AS entry, x AS c FROM parts WHERE row <= 64),
+{", ".join(steps)},
+codes AS (
+  SELECT row, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(far) AS BIGINT) AS error FROM near{rounds} GROUP BY row
+), book AS (
+  SELECT sha256(string_agg(m, ',' ORDER BY part, entry)) AS digest
+  FROM (SELECT part, entry, array_to_string(c, ',') AS m FROM book{rounds})
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, digest AS codebooks_sha256
+FROM whole JOIN codes USING (row), book
+"""
+
+
 ORACLES = {
+    "op12_vector_code_compression": _vector_codes(),
+    "op13_exact_dedup": EXACT_COPIES,
     "op3_substring_dedup": SUBSTRINGS,
     "op5_benchmark_decontamination": DECONTAMINATION,
     "op6_chat_formatting": CHAT,

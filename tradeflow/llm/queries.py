@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeflow.llm import chat, html_text, licence_texts, licences, near_duplicates, oracles, packing, phrases, quality, substrings, url_rules, warc
+from tradeflow.llm import alignment, chat, exact_copies, html_text, licence_texts, licences, near_duplicates, oracles, packing, phrases, quality, substrings, url_rules, vector_codes, warc
 from tradeflow.workspace import new_folder
 
 TOKENIZER = "word_bpe_49k.json"
@@ -157,3 +157,19 @@ known AS (
 )
 SELECT doc_id, licence, coalesce(notices, '') AS notices FROM documents LEFT JOIN found USING (doc_id)
 """
+
+
+@query
+def op11_cross_tokenizer_alignment(spark, sf_dir):
+    return alignment.aligned_documents(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op12_vector_code_compression(spark, sf_dir):
+    return vector_codes.compressed(_table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_exact_dedup(spark, sf_dir):
+    return exact_copies.exact_copies(_table(spark, sf_dir, "documents"))
