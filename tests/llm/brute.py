@@ -4,6 +4,7 @@ import hashlib
 import math
 import re
 from collections import Counter
+from html.parser import HTMLParser
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 TERM = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -180,3 +181,149 @@ def alignment(rows, a, b):
             out.append((doc_id, n_a, n_b, len(groups), len(links), sum(counts[x] == best[x[1]] for x in links),
                         sum(counts[x] for x in links), digest(";".join(groups))))
     return out
+
+
+class _Tree(HTMLParser):
+    """Well-formed pages as nested lists: [tag, attributes, children]."""
+
+    def __init__(self, page):
+        super().__init__(convert_charrefs=True)
+        self.open = [["", {}, []]]
+        self.feed(page)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        self.open[-1][2].append([tag, dict(attrs), []])
+        self.open.append(self.open[-1][2][-1])
+
+    def handle_endtag(self, tag):
+        self.open.pop()
+
+    def handle_data(self, data):
+        self.open[-1][2].append(data)
+
+
+def main_text(page, lists):
+    """The main text of a well-formed page; ``lists`` is the module whose tag and word lists hold."""
+    marks = lambda text: sum(c in ".,;:!?…。，；：！？" for c in text)
+    blocks = []  # (elements from the root to the block's own, text)
+
+    def article_above(line):
+        return any(e[0] in ("article", "main") for e in line)
+
+    def words(value):
+        out = set()
+        for token in value.split():
+            found = [w.lower() for w in re.findall("[A-Z]?[a-z]+|[A-Z]+", token)]
+            out |= {w for before, w in zip(["", *found], found) if before not in lists._LAYOUT_WORDS}
+        return out
+
+    def aside(line, i):
+        tag, attrs, _ = line[i]
+        return tag in lists._ASIDE_TAGS or tag == "header" and not article_above(line[:i]) or attrs.get("role") in lists._ASIDE_ROLES
+
+    def doubt(line, i):
+        """None, or whether it is one of comments."""
+        tag, attrs, _ = line[i]
+        if tag == "form":
+            return False
+        if tag in ("html", "body") or tag in lists._HEADINGS and article_above(line[:i]):
+            return None
+        own = words(attrs.get("class", ""))
+        if tag not in lists._HEADINGS and not (tag == "section" and article_above(line[:i])):
+            own |= words(attrs.get("id", ""))
+        if own & lists._COMMENT_WORDS:
+            return True
+        if tag in ("main", "article"):
+            return None
+        header = "header" in own and not own & lists._ARTICLE_WORDS and not article_above(line[:i])
+        return False if own & lists._ASIDE_WORDS or header else None
+
+    def walk(line, parts, flush):
+        for child in line[-1][2]:
+            if isinstance(child, str):
+                parts.append(child)
+            else:
+                below = [*line, child]
+                if child[0] not in lists._INLINE:
+                    flush(line)
+                walk(below, parts, flush)
+                if child[0] not in lists._INLINE:
+                    flush(below)
+
+    parts = []
+
+    def flush(line):
+        text = " ".join("".join(parts).split())
+        parts.clear()
+        while line[-1][0] in lists._INLINE and doubt(line, len(line) - 1) is None:
+            line = line[:-1]
+        if text and not any(aside(line, i) for i in range(1, len(line))):
+            blocks.append((line, text))
+
+    root = _Tree(page).open[0]
+    walk([root], parts, flush)
+    flush([root])
+    frame = set()
+
+    def doubts(line):
+        kinds = [doubt(line, i) for i in range(1, len(line)) if id(line[i]) not in frame]
+        return sum(k is True for k in kinds), sum(k is not None for k in kinds)
+
+    def article_of(line):
+        for i in range(len(line) - 1, 0, -1):
+            if line[i][0] in ("article", "main") and doubt(line, i) is None:
+                return line[: i + 1]
+        return None
+
+    def make_frame(lines):
+        lines = [x for x in lines if doubts(x) == min(map(doubts, lines))]
+        for line in [x for x in lines if x[-1][0] == "h1"] or lines:
+            found.update(map(id, line))
+        frame.update(found)
+
+    found = set()
+    held = {id(a[-1]): a for line, _ in blocks if (a := article_of(line))}
+    if held and all(doubts(a) > (0, 0) for a in held.values()):
+        titled = {id(article_of(line)[-1]) for line, _ in blocks if line[-1][0] == "h1" and article_of(line)}
+        if able := [a for k, a in held.items() if a[-1][0] == "main" or k in titled or len(held) == 1 and not doubts(a)[0]]:
+            make_frame(able)
+    if blocks and all(doubts(line) > (0, 0) for line, _ in blocks):
+        found = set()
+        make_frame([line for line, _ in blocks])
+    blocks = [(line, text) for line, text in blocks if doubts(line) == (0, 0)]
+    if not blocks:
+        return ""
+
+    paths = [tuple(e[0] for e in line) for line, _ in blocks]
+    ratio = {}
+    for path in set(paths):
+        own = [text for p, (_, text) in zip(paths, blocks, strict=True) if p == path]
+        ratio[path] = sum(map(len, own)) / len(own) * (1 + sum(map(marks, own)) / len(own))
+    near = [[ratio[p] for p in paths[max(0, i - 1) : i + 2]] for i in range(len(paths))]
+    smooth = [sum(x) / len(x) for x in near]
+    fused = {}
+    for path in dict.fromkeys(paths):
+        own = [s for p, s in zip(paths, smooth, strict=True) if p == path]
+        fused[path] = math.sqrt(sum(s / len(own) for s in own) * ratio[path])
+    chosen = {p for p, v in fused.items() if v >= sum(fused.values()) / len(fused) / 2}
+    content = [line for line, _ in blocks]
+    weight = [len(text) if p in chosen else 0 for p, (_, text) in zip(paths, blocks, strict=True)]
+    place = [root]
+    while True:
+        for child in place[-1][2]:
+            if not isinstance(child, str) and child[0] in lists._HOLDERS:
+                if sum(w for w, line in zip(weight, content, strict=True) if any(e is child for e in line)) >= 0.9 * sum(weight):
+                    place = [*place, child]
+                    break
+        else:
+            break
+    tops = [i for i, e in enumerate(place) if e[0] in ("article", "main")]
+    place = place[: tops[-1] + 1] if tops else place
+    keep = [any(e is place[-1] for e in line) or not tops and p in chosen for p, line in zip(paths, content, strict=True)]
+    for i in reversed(range(len(blocks) - 1)):
+        keep[i] = keep[i] or keep[i + 1] and content[i][-1][0] in lists._HEADINGS
+    kept = [i for i, k in enumerate(keep) if k]
+    if not any(content[i][-1][0] == "h1" for i in kept):
+        kept = [i for i in range(kept[0]) if content[i][-1][0] == "h1"][-1:] + kept
+    return "\n".join(blocks[i][1] for i in kept)

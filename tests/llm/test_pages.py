@@ -3,8 +3,10 @@
 import base64
 import hashlib
 import random
+import time
 from collections import Counter
 
+import brute
 import pytest
 from pyspark.sql import functions as F
 
@@ -75,6 +77,65 @@ def test_main_text_in_doubtful_places(wrap):
     assert html_text.main_text(page(wrap.format(paragraphs()), NOISE[0] + NOISE[4], NOISE[7] + NOISE[8])) == WANT
 
 
+BIG_NOISE = ["<div class='sidebar'>{}</div>", "<div class='cookie-consent'>{}</div>", "<div class='advert'>{}</div>", "<form action='/x'>{}</form>",
+             "<div id='menu'>{}</div>", "<div id='comments'>{}</div>", "<section class='comment-list'>{}</section>", "<div role='search'>{}</div>",
+             "<div class='related'><div class='teaser'>{}</div></div>", "<footer>{}</footer>", "<aside>{}</aside>", "<nav>{}</nav>"]
+
+
+@pytest.mark.parametrize("noise", BIG_NOISE)
+@pytest.mark.parametrize("wrap", ["<article>{}</article>", "<main>{}</main>", "<div id='content'>{}</div>"])
+def test_noise_of_any_size_is_left_out(noise, wrap):
+    much = noise.format("".join(f"<p>Noise number {i}, which is long; it has marks, and goes on, and on.</p>" for i in range(60)))
+    own = "<h1>Head line</h1>" + "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+    assert html_text.main_text(page(wrap.format(own), much)) == WANT
+    assert html_text.main_text(page(wrap.format(own), "", much)) == WANT
+    assert html_text.main_text(page(wrap.format(own + much))) == WANT
+
+
+def test_comments_as_articles_are_left_out():
+    many = "".join(f"<article class='comment'><p>I agree, number {i}, with all of it, really.</p></article>" for i in range(30))
+    for comments in (f"<div class='comments'>{many}</div>", "<div id='comments'><article><p>A lone one, but long, with marks, and more.</p></article></div>"):
+        for wrap in ("<article>{}</article>", "<div class='text'>{}</div>"):
+            assert html_text.main_text(page(wrap.format(paragraphs()), "", comments)) == WANT
+
+
+def some_page(r):
+    """A random well-formed page; an article in a menu would end it, so there is none."""
+    names = ["", "", "", "content", "sidebar", "comments", "no-sidebar", "ad", "header", "related", "post comment"]
+
+    def words():
+        return " ".join(r.choice(["word", "and, more", "end.", "x &amp; y", "é"]) for _ in range(r.randrange(1, 12)))
+
+    def part(depth, menu=False):
+        if depth == 0 or r.random() < 0.25:
+            tag = r.choice(["p", "p", "p", "h1", "h2", "li"])
+            return f"<{tag}>{words()} <b>{words()}</b></{tag}>" if r.random() < 0.9 else words()
+        tag = r.choice(["div"] * 6 + ["section", "article", "main", "form", "ul", "nav", "header", "footer", "aside", "span"])
+        tag = "div" if menu and tag in ("article", "main") else tag
+        menu = menu or tag in ("nav", "header", "footer", "aside")
+        own = f' class="{r.choice(names)}"' if r.random() < 0.5 else f' id="{r.choice(names)}"'
+        return f"<{tag}{own}>" + "".join(part(depth - 1, menu) for _ in range(r.randrange(1, 5))) + f"</{tag}>"
+
+    return "<html><body>" + "".join(part(r.randrange(1, 5)) for _ in range(r.randrange(1, 4))) + "</body></html>"
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_main_text_equals_plain_form(seed):
+    r = random.Random(seed)
+    for _ in range(250):
+        shown = some_page(r)
+        assert html_text.main_text(shown) == brute.main_text(shown, html_text), shown
+
+
+@pytest.mark.parametrize("shown", ["<b>" * 100_000 + "<p>x, y.</p>" * 1000, "<b><p>a, b.</p>" * 8000, "<span>word<p>text, t.</p>" * 8000,
+                                   "<div class='ad'>" * 50_000 + "<p>a, b.</p>" * 2000, "</x>" * 100_000, "< " * 100_000,
+                                   "<article>" * 50_000 + "a, b.", "<li>a, b." * 50_000, "<tbody>" * 50_000 + "<tr>" * 50_000])
+def test_open_tags_take_linear_time(shown):
+    started = time.process_time()
+    html_text.main_text(shown)
+    assert time.process_time() - started < 10  # below 2 s by itself; a quadratic walk takes minutes
+
+
 def test_headings_and_sections_named_by_their_titles():
     parts = "".join(f"<section id='{i}'><h2 id='{i}'>{i}</h2><p>{PARAGRAPHS[0]}</p></section>" for i in ("discussion", "search", "related-work"))
     text = html_text.main_text(page(f"<article>{paragraphs()}<h2 id='comments'>About comments</h2><p>{PARAGRAPHS[1]}</p>{parts}</article>"))
@@ -223,21 +284,21 @@ def test_chat_round_trip(spark, seed):
 
 
 def fold_plainly(events):
-    """One event after the other."""
-    state, begun = {}, {}
-    for conv, seq, kind, turn, role, text in sorted(set(events), key=lambda e: e[1]):
-        begun.setdefault((conv, turn), seq)
-        own = state.setdefault((conv, turn), ["", ""])
-        if role is not None:
-            own[0] = role
-        if kind == "delta":
-            own[1] += text or ""
-        else:
-            own[1] = "" if kind == "regenerate" else text or ""
+    """One event after the other; a regenerate forgets what later messages were told so far."""
+    logs = {}
+    for conv, _, kind, turn, role, text in sorted(set(events), key=lambda e: e[1]):
+        logs.setdefault((conv, turn), []).append((kind, role, text or ""))
         if kind == "regenerate":
-            for other in [k for k in state if k[0] == conv and k[1] > turn and begun[k] < seq]:
-                state[other].append("dropped")
-    return Counter((c, t, s[0], s[1]) for (c, t), s in state.items() if "dropped" not in s)
+            for later in [k for k in logs if k[0] == conv and k[1] > turn]:
+                del logs[later]
+    found = Counter()
+    for (conv, turn), log in logs.items():
+        own = ["", ""]
+        for kind, role, text in log:
+            own[0] = own[0] if role is None else role
+            own[1] = own[1] + text if kind == "delta" else "" if kind == "regenerate" else text
+        found[(conv, turn, *own)] += 1
+    return found
 
 
 @pytest.mark.parametrize("seed", range(3))
@@ -266,3 +327,15 @@ def test_messages_told_anew_after_a_regenerate_stay(spark):
     found = chat.folded(log, ["turn"]).select("conv_id", "turn", "role", "text").collect()
     assert Counter(map(tuple, found)) == Counter(
         [(1, 1, "user", "q"), (1, 2, "assistant", "b"), (1, 3, "user", "newer"), (2, 1, "user", "")])
+
+
+def test_nested_regenerates(spark):
+    events = [
+        (1, 1, "message", 1, "user", "q"), (1, 2, "message", 2, "assistant", "a"), (1, 3, "message", 3, "user", "b"),
+        (1, 4, "message", 4, "assistant", "c"), (1, 5, "regenerate", 3, None, None), (1, 6, "message", 4, None, "again"),
+        (1, 7, "regenerate", 2, "assistant", None), (1, 8, "delta", 3, None, "later"), (1, 9, "delta", 2, None, "new"),
+    ]
+    log = spark.createDataFrame(events, "conv_id bigint, seq bigint, kind string, turn bigint, role string, text string")
+    found = chat.folded(log, ["turn"]).select("conv_id", "turn", "role", "text").collect()
+    want = Counter([(1, 1, "user", "q"), (1, 2, "assistant", "new"), (1, 3, "", "later")])
+    assert Counter(map(tuple, found)) == want == fold_plainly(events)

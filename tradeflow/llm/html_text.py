@@ -2,19 +2,25 @@
 
 A page is read as blocks: runs of text between block-level tags, each with its
 path of tags from the root. Blocks in places that are never content (menus,
-adverts, told by tag and role) are left out. Forms and elements whose class or
-id has a word such as "comments" are doubtful: they are left out only if they
-hold little of the page's text or punctuation, and if anything is left. For
-the others, text length and punctuation are summed per path and divided by the
-path's blocks. These ratios are smoothed along the page, fused with the path's
-own, and paths above a threshold are content. The element that holds nearly all
-of their text is the article; all its blocks are its text, short ones included,
+adverts, told by tag and role) are left out. Forms, and elements whose class or
+id has a word such as "comments", are doubtful. They are left out whatever their
+size, but for those that hold the article: if every <article> and <main> lies in
+doubtful elements, the ones around the least doubtful of them are taken for the
+page's frame (a lone one that is not among comments, a <main>, or one with an
+<h1>), and if nothing else is left, the ones around the least doubtful blocks, the
+<h1> first. Comments are more doubtful than anything else.
+
+For the other blocks, text length and punctuation are summed per path and divided
+by the path's blocks. These ratios are smoothed along the page, fused with the
+path's own, and paths above a threshold are content. The element that holds nearly
+all of their text is the article; all its blocks are its text, short ones included,
 and so are headings right before a kept block and, on pages where it is in no
 <article> or <main>, the blocks of content paths elsewhere.
 
-Each page is read by itself in one pass over its tags, so a page of any length
-takes memory in proportion to it. A null or empty page has an empty text. What
-is not markup is text; a tag that the end of the page cuts off is dropped.
+Each page is read by itself in one pass over its tags, in time and memory in
+proportion to it, however its tags are nested or left open. A null or empty page
+has an empty text. What is not markup is text; a tag that the end of the page cuts
+off is dropped.
 """
 
 from __future__ import annotations
@@ -22,7 +28,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -69,46 +75,41 @@ _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _LAYOUT_WORDS = frozenset("no not with without has".split())
 
 SHARE = 0.9
-# A doubtful element with so much of the page's text and punctuation is content; comments may outgrow an article.
-LARGE, LARGE_COMMENTS = 0.5, 0.8
+ASIDE, COMMENT = 1, 2  # kinds of doubtful elements
+# Where the walks back over open elements stop: see ``_Reader``.
+_ENDS_P = frozenset({"p"}) | _HOLDERS
+_ENDS_OWN = frozenset().union(*_CLOSES_OWN.values()) | {"ul", "ol", "dl", "table", "select"}
 
 
-@dataclass
+@dataclass(eq=False)
 class Node:
-    """An open or closed element; ``text`` is the content text of all blocks in it.
-
-    ``doubt`` is the share of the page from which a doubtful element is content.
-    """
+    """An element. What depends on the elements around it is noted when it opens."""
 
     tag: str
     parent: Node | None
-    aside: bool
-    doubt: float = 0.0
-    doubt_above: Node | None = None
-    article: Node | None = None
+    aside: bool = False
+    doubt: int = 0
+    number: int = 0  # in order of opening
+    path: int = 0  # equal for equal tag paths
+    article: Node | None = None  # the innermost <article> or <main> that is not doubtful
+    in_article: bool = False  # in any <article> or <main>, itself included
+    aside_at: int = 0  # depth of the outermost aside element that is no template
     open: bool = True
-    text: float = 0.0
-    children: list[Node] = field(default_factory=list)
+    last: int = 0  # number of the last element in it
+    text: int = 0  # content text of all blocks in it
+    frame: bool = False  # holds the article, so its doubt doesn't count
+    doubts: tuple[int, int] = (0, 0)  # doubtful elements around: comments, all
 
-    def path(self) -> str:
-        tags, node = [], self
-        while node:
-            tags.append(node.tag)
-            node = node.parent
-        return "/".join(reversed(tags))
+    @property
+    def holder(self) -> Node:
+        return self._holder
 
-    def doubtful(self) -> Iterator[Node]:
-        """This element and those around it that are doubtful."""
-        node: Node | None = self if self.doubt else self.doubt_above
-        while node:
-            yield node
-            node = node.doubt_above
+    def __post_init__(self) -> None:
+        above = self.parent
+        self._holder = self if above is None or self.tag not in _INLINE or self.doubt else above.holder
 
     def inside(self, other: Node) -> bool:
-        node: Node | None = self
-        while node and node is not other:
-            node = node.parent
-        return node is other
+        return other.number <= self.number <= other.last
 
 
 @dataclass
@@ -117,14 +118,8 @@ class Block:
     text: str
 
 
-def _in_article(node: Node | None) -> bool:
-    while node and node.tag not in ("article", "main"):
-        node = node.parent
-    return node is not None
-
-
-def _is_aside(tag: str, attributes: str, parent: Node | None) -> bool:
-    if tag in _ASIDE_TAGS or tag == "header" and not _in_article(parent):
+def _is_aside(tag: str, attributes: str, parent: Node) -> bool:
+    if tag in _ASIDE_TAGS or tag == "header" and not parent.in_article:
         return True
     if not attributes.strip():
         return False
@@ -149,79 +144,158 @@ def _words(value: str) -> set[str]:
     return found
 
 
-def _doubt(tag: str, attributes: str, parent: Node) -> float:
-    """Above 0 for an element that is left out if it holds less than this share of the page."""
+def _doubt(tag: str, attributes: str, parent: Node) -> int:
     names = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)} if attributes.strip() else {}
     if tag == "form" or names.get("role", "").lower() == "form":
-        return LARGE
-    if not names or tag in ("html", "body") or tag in _HEADINGS and _in_article(parent):
-        return 0.0
+        return ASIDE
+    if not names or tag in ("html", "body") or tag in _HEADINGS and parent.in_article:
+        return 0
     words = _words(names.get("class", ""))
-    if not (tag in _HEADINGS or tag == "section" and _in_article(parent)):  # their ids are made from titles
+    if not (tag in _HEADINGS or tag == "section" and parent.in_article):  # their ids are made from titles
         words |= _words(names.get("id", ""))
     if words & _COMMENT_WORDS:
-        return LARGE_COMMENTS
+        return COMMENT
     if tag in _ROOTS:
-        return 0.0
-    site_header = "header" in words and not words & _ARTICLE_WORDS and not _in_article(parent)
-    return LARGE if words & _ASIDE_WORDS or site_header else 0.0
-
-
-def _settled(blocks: list[Block]) -> list[Block]:
-    """``blocks`` without those in doubtful elements that hold little."""
-    if not any(True for b in blocks for _ in b.node.doubtful()):
-        return blocks
-    held: dict[int, list[int]] = {}
+        return 0
+    site_header = "header" in words and not words & _ARTICLE_WORDS and not parent.in_article
+    return ASIDE if words & _ASIDE_WORDS or site_header else 0
+
+
+def _count_doubts(nodes: list[Node]) -> None:
+    """Doubtful elements around each, itself included. One that was never closed ends where an article begins."""
+    total: list[tuple[int, int, int, int]] = []  # of closed ones, then of open ones: comments, all
+    for node in nodes:
+        closed_comments, closed, open_comments, opened = total[node.parent.number] if node.parent else (0, 0, 0, 0)
+        if node.doubt and not node.frame:
+            comment = node.doubt == COMMENT
+            if node.open:
+                open_comments, opened = open_comments + comment, opened + 1
+            else:
+                closed_comments, closed = closed_comments + comment, closed + 1
+        total.append((closed_comments, closed, open_comments, opened))
+        ended = total[node.article.number] if node.article else (0, 0, 0, 0)
+        node.doubts = (closed_comments + open_comments - ended[2], closed + opened - ended[3])
+
+
+def _frame(places: list[Node]) -> None:
+    """What lies around the least doubtful of these is the page's frame; around its title, if one is among them."""
+    least = min(n.doubts for n in places)
+    places = [n for n in places if n.doubts == least]
+    for place in [n for n in places if n.tag == "h1"] or places:
+        node: Node | None = place
+        while node and not node.frame:
+            node.frame = True
+            node = node.parent
 
-    def around(node: Node) -> list[Node]:  # an advert that was never closed ends where an article begins
-        ended = {id(n) for n in node.article.doubtful() if n.open} if node.article else set()
-        return [n for n in node.doubtful() if id(n) not in ended]
 
-    all_text = all_marks = 0
-    for block in blocks:
-        length, marks = len(block.text), len(_PUNCTUATION.findall(block.text))
-        all_text, all_marks = all_text + length, all_marks + marks
-        for node in around(block.node):
-            sums = held.setdefault(id(node), [0, 0])
-            sums[0] += length
-            sums[1] += marks
+def _settled(blocks: list[Block], nodes: list[Node]) -> list[Block]:
+    """``blocks`` without those in doubtful elements."""
+    _count_doubts(nodes)
+    held = {b.node.article.number: b.node.article for b in blocks if b.node.article}
+    titled = {b.node.article.number for b in blocks if b.node.article and b.node.tag == "h1"}
+    if held and all(n.doubts > (0, 0) for n in held.values()):
+        # A lone <article> may be a comment or a teaser, unless it has the page's title.
+        articles = [n for n in held.values() if n.tag == "main" or n.number in titled or len(held) == 1 and not n.doubts[0]]
+        if articles:
+            _frame(articles)
+            _count_doubts(nodes)
+    if blocks and all(b.node.doubts > (0, 0) for b in blocks):
+        _frame([b.node for b in blocks])
+        _count_doubts(nodes)
+    return [b for b in blocks if b.node.doubts == (0, 0)]
+
+
+class _Reader:
+    """Open elements of a page. Where each tag is open is kept, so that no step walks over all of them."""
+
+    def __init__(self) -> None:
+        self.nodes = [Node("", None)]
+        self.stack = [self.nodes[0]]
+        self.at: dict[str, list[int]] = {}  # depths at which a tag is open
+        self.ends_p: list[int] = []
+        self.ends_own: list[int] = []
+        self.paths: dict[tuple[int, str], int] = {}
+
+    def depth(self, tag: str) -> int:
+        """The innermost depth at which the tag is open, or 0."""
+        found = self.at.get(tag)
+        return found[-1] if found else 0
+
+    def close(self, depth: int) -> None:
+        for node in self.stack[depth:]:
+            self.at[node.tag].pop()
+        del self.stack[depth:]
+        for ends in (self.ends_p, self.ends_own):
+            while ends and ends[-1] >= depth:
+                ends.pop()
+
+    def close_implied(self, tag: str) -> None:
+        """What a new element of this tag ends."""
+        if tag == "body" or (self.stack[-1].tag == "head" and tag not in (
+                "meta", "link", "title", "script", "style", "base", "noscript", "template")):
+            if head := self.at.get("head"):
+                self.close(head[0])
+        if tag in ("article", "main"):  # an advert or menu that was never closed ends here
+            depth = self.stack[-1].aside_at
+            if depth and self.depth("aside") < depth:
+                self.close(depth)
+        if tag in _CLOSES_P and self.ends_p and self.stack[self.ends_p[-1]].tag == "p":
+            self.close(self.ends_p[-1])
+        if tag in _CLOSES_OWN:
+            for depth in reversed(self.ends_own):  # few: each of these tags ends the one before it
+                if self.stack[depth].tag in _CLOSES_OWN[tag]:
+                    self.close(depth)
+                    break
+                if self.stack[depth].tag in ("ul", "ol", "dl", "table", "select"):
+                    break
 
-    def little(node: Node) -> bool:
-        text, marks = held[id(node)]
-        return text < node.doubt * all_text or marks < node.doubt * all_marks
+    def element(self, tag: str, attributes: str) -> Node:
+        above = self.stack[-1]
+        aside = above.aside or _is_aside(tag, attributes, above)
+        doubt = 0 if aside else _doubt(tag, attributes, above)
+        node = Node(tag, above, aside, doubt, len(self.nodes), self.paths.setdefault((above.path, tag), len(self.paths) + 1))
+        self.nodes.append(node)
+        node.article, node.in_article = above.article, above.in_article or tag in ("article", "main")
+        if tag in ("article", "main") and not doubt and not aside:
+            node.article = node
+        node.aside_at = above.aside_at or (len(self.stack) if aside and tag not in ("template", "noscript") else 0)
+        return node
 
-    return [b for b in blocks if not any(little(n) for n in around(b.node))] or blocks
+    def open(self, node: Node) -> None:
+        depth = len(self.stack)
+        self.at.setdefault(node.tag, []).append(depth)
+        if node.tag in _ENDS_P:
+            self.ends_p.append(depth)
+        if node.tag in _ENDS_OWN:
+            self.ends_own.append(depth)
+        self.stack.append(node)
 
 
-def blocks_of(page: str) -> list[Block]:
-    """The page's text blocks outside places that are never content."""
-    root = Node("", None, False)
-    stack, found, parts = [root], [], []
-    at, end = 0, len(page)
+def blocks_of(page: str) -> tuple[list[Block], list[Node]]:
+    """The page's text blocks outside places that are no content, and all its elements."""
+    reader = _Reader()
+    found, parts = [], []
+    at, end, last_close = 0, len(page), page.rfind(">")
 
     def flush() -> None:
         text = " ".join(html.unescape("".join(parts)).split())
         parts.clear()
         if text:
-            node = next(n for n in reversed(stack) if n.tag not in _INLINE or n.doubt)
-            found.append(Block(node, text))
-
-    def close(depth: int) -> None:
-        del stack[depth:]
+            found.append(Block(reader.stack[-1].holder, text))
 
     while at < end:
         sign = page.find("<", at)
         if sign < 0:
             sign = end
-        if sign > at and not stack[-1].aside:
+        if sign > at and not reader.stack[-1].aside:
             parts.append(page[at:sign])
         if sign == end:
             break
         token = _TOKEN.match(page, sign)
         if not token:
-            if page.find(">", sign) < 0 and re.match(r"</?[a-zA-Z!?]", page[sign : sign + 3]):
+            if last_close < sign and re.match(r"</?[a-zA-Z!?]", page[sign : sign + 3]):
                 break
-            if not stack[-1].aside:
+            if not reader.stack[-1].aside:
                 parts.append("<")
             at = sign + 1
             continue
@@ -229,63 +303,33 @@ def blocks_of(page: str) -> list[Block]:
         if token[2] is None:
             continue
         tag = token[2].lower()
-        inline = tag in _INLINE
-        if not inline:
+        if tag not in _INLINE:
             flush()
-        elif tag == "br" and not stack[-1].aside:
+        elif tag == "br" and not reader.stack[-1].aside:
             parts.append(" ")
         if token[1]:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
-            if depth:
-                stack[depth].open = False
-                close(depth)
+            if depth := reader.depth(tag):
+                reader.stack[depth].open = False
+                reader.close(depth)
             continue
-        if tag == "body" or (stack[-1].tag == "head" and tag not in ("meta", "link", "title", "script", "style", "base", "noscript", "template")):
-            depth = next((i for i, n in enumerate(stack) if n.tag == "head"), 0)
-            if depth:
-                close(depth)
-        if tag in ("article", "main"):  # an advert or menu that was never closed ends here
-            depth = next((i for i, n in enumerate(stack) if n.aside and n.tag not in ("template", "noscript")), 0)
-            if depth and not any(n.tag == "aside" for n in stack[depth:]):
-                close(depth)
-        if tag in _CLOSES_P:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == "p":
-                    close(i)
-                    break
-                if stack[i].tag in _HOLDERS:
-                    break
-        for i in range(len(stack) - 1, 0, -1) if tag in _CLOSES_OWN else ():
-            if stack[i].tag in _CLOSES_OWN[tag]:
-                close(i)
-                break
-            if stack[i].tag in ("ul", "ol", "dl", "table", "select"):
-                break
+        reader.close_implied(tag)
         if tag in _VOID:
             continue
-        above = stack[-1]
-        aside = above.aside or _is_aside(tag, token[3] or "", above)
-        node = Node(tag, above, aside, 0.0 if aside else _doubt(tag, token[3] or "", above), above if above.doubt else above.doubt_above)
-        above.children.append(node)
-        node.article = above.article
-        if tag in ("article", "main") and not node.doubt:  # what holds an article is no list of comments
-            for around in node.doubtful():
-                around.doubt = min(around.doubt, LARGE)
-            node.article = node
+        node = reader.element(tag, token[3] or "")
         if tag in _RAW:
             stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)", re.IGNORECASE).search(page, at)
             at = page.find(">", stop.start()) + 1 or end if stop else end
             continue
         if not token[0].rstrip(">").endswith("/") or tag not in ("svg", "math", "path"):
-            stack.append(node)
+            reader.open(node)
     flush()
-    return _settled([b for b in found if not b.node.aside])
+    return _settled([b for b in found if not b.node.aside], reader.nodes), reader.nodes
 
 
-def content_paths(blocks: list[Block]) -> set[str]:
+def content_paths(blocks: list[Block]) -> set[int]:
     """Paths whose fused ratio is above the page's threshold."""
-    paths = [b.node.path() for b in blocks]
-    sums: dict[str, list[float]] = {}
+    paths = [b.node.path for b in blocks]
+    sums: dict[int, list[float]] = {}
     for path, block in zip(paths, blocks, strict=True):
         total = sums.setdefault(path, [0, 0, 0])
         total[0] += len(block.text)
@@ -294,7 +338,7 @@ def content_paths(blocks: list[Block]) -> set[str]:
     ratio = {p: (length / n) * (1 + marks / n) for p, (length, marks, n) in sums.items()}
     along = [ratio[p] for p in paths]
     smooth = [sum(along[max(0, i - 1) : i + 2]) / len(along[max(0, i - 1) : i + 2]) for i in range(len(along))]
-    fused: dict[str, float] = {}
+    fused: dict[int, float] = {}
     for path, value in zip(paths, smooth, strict=True):
         fused[path] = fused.get(path, 0) + value / sums[path][2]
     fused = {p: (value * ratio[p]) ** 0.5 for p, value in fused.items()}
@@ -302,30 +346,40 @@ def content_paths(blocks: list[Block]) -> set[str]:
     return {p for p, value in fused.items() if value >= threshold}
 
 
+def _place(nodes: list[Node], total: int) -> tuple[Node, bool]:
+    """The element that holds nearly all content text, or the article around it, and whether it is one."""
+    below: dict[int, Node] = {}  # the first child that holds so much
+    for node in reversed(nodes):
+        if node.parent:
+            node.parent.text += node.text
+            if node.tag in _HOLDERS and node.text >= SHARE * total:
+                below[node.parent.number] = node
+    place = nodes[0]
+    while place.number in below:
+        place = below[place.number]
+    around: Node | None = place
+    while around and around.tag not in ("article", "main"):
+        around = around.parent
+    return around or place, around is not None
+
+
 def main_text(page: str | None) -> str:
     """The article's blocks in page order, joined by line ends."""
-    blocks = blocks_of(page or "")
+    blocks, nodes = blocks_of(page or "")
     if not blocks:
         return ""
     chosen = content_paths(blocks)
+    for node in reversed(nodes):
+        node.last = max(node.last, node.number)
+        if node.parent:
+            node.parent.last = max(node.parent.last, node.last)
     total = 0
     for block in blocks:
-        if block.node.path() in chosen:
+        if block.node.path in chosen:
             total += len(block.text)
-            node: Node | None = block.node
-            while node:
-                node.text += len(block.text)
-                node = node.parent
-    place = blocks[0].node
-    while place.parent:
-        place = place.parent
-    while down := next((c for c in place.children if c.tag in _HOLDERS and c.text >= SHARE * total), None):
-        place = down
-    above = place
-    while above and above.tag not in ("article", "main"):
-        above = above.parent
-    place = above or place
-    keep = [b.node.inside(place) or not above and b.node.path() in chosen for b in blocks]
+            block.node.text += len(block.text)
+    place, article = _place(nodes, total)
+    keep = [b.node.inside(place) or not article and b.node.path in chosen for b in blocks]
     for i in range(len(blocks) - 2, -1, -1):
         keep[i] = keep[i] or keep[i + 1] and blocks[i].node.tag in _HEADINGS
     kept = [b for b, k in zip(blocks, keep, strict=True) if k]
@@ -336,16 +390,15 @@ def main_text(page: str | None) -> str:
 
 def _extracted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = [main_text(x) for x in batch.column("_html").to_pylist()]
-        carried = [n for n in batch.schema.names if n != "_html"]
+        texts = [main_text(x) for x in batch.column(batch.num_columns - 1).to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(n) for n in carried] + [pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())],
-            names=carried + ["text", "n_chars"])
+            batch.columns[:-1] + [pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())],
+            names=batch.schema.names[:-1] + ["text", "n_chars"])
 
 
 def extracted(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """``pages`` without its html, with ``text`` and ``n_chars``; columns of these names are replaced."""
     carried = [c for c in pages.columns if c not in (html_col, "text", "n_chars")]
-    rows = pages.select(*[F.col(c) for c in carried], F.col(html_col).alias("_html"))
-    schema = rows.drop("_html").schema.add("text", "string").add("n_chars", "long")
+    rows = pages.select(*carried, F.col(html_col).alias("html"))
+    schema = pages.select(*carried).schema.add("text", "string").add("n_chars", "long")
     return rows.mapInArrow(_extracted, schema)
