@@ -39,6 +39,56 @@ def test_words_and_hashes_do_not_depend_on_their_place():
         assert all((grams[i] == grams[j]) == ((i - j) % 13 == 0) for i in range(5) for j in range(20 if size < 20 else 15))
 
 
+def test_numbers_are_those_of_the_bytes():
+    texts = ["a bb\x0bccc a", None, "", "bb x" + "y" * 100 + " x" + "y" * 100 + " x" + "y" * 99 + "z", "aaaaaaaab aaaaaaaaa aaaaaaaa"]
+    for same_hash in (False, True):
+        words = split_words(pa.array(texts))
+        if same_hash:
+            words.hashes = lambda n=len(words.starts): np.zeros(n, np.uint64)
+        told = [words.data[a:b].tobytes() for a, b in zip(words.starts, words.ends, strict=True)]
+        numbers = words.numbers().tolist()
+        assert len(set(zip(told, numbers, strict=True))) == len(set(told)) == len(set(numbers))
+
+
+def opposites(length):
+    """Two words that any sum of powers modulo 2**64 gives one hash, from 1,024 letters on."""
+    letters = [bin(i).count("1") % 2 for i in range(length)]
+    return "".join("ab"[x] for x in letters), "".join("ba"[x] for x in letters)
+
+
+def opposite_rows(length):
+    one, other = opposites(length)
+    shared = " ".join(f"w{i}" for i in range(19))
+    return [(1, f"{one} {shared}"), (2, f"{other} {shared}"), (3, " ".join([one] * 12)), (4, " ".join([other] * 12)), (5, one), (6, other)]
+
+
+@pytest.mark.parametrize("length", [1024, 4096])
+def test_words_with_opposite_letters_are_told_apart(spark, length):
+    rows = opposite_rows(length)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2)
+    found = substrings.without_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
+    assert Counter(map(tuple, found)) == Counter(brute.substring_dedup(rows))
+    found = near_duplicates.near_duplicates(docs).select("doc_id", "class_id", "n_links").collect()
+    assert Counter(map(tuple, found)) == Counter(brute.near_duplicates(rows))
+    items = [(1, rows[0][1]), (2, opposites(length)[0])]
+    folder = new_folder(spark, "test-index")
+    phrases.write_index(docs, folder)
+    found = phrases.contamination(phrases.search(spark, folder, spark.createDataFrame(items, "item_id bigint, text string"))).collect()
+    assert Counter(map(tuple, found)) == Counter(brute.contamination(rows, items))
+    coder = Tokenizer.from_file(MODEL)
+    crc = lambda text: zlib.crc32(np.array([*coder.encode(text, add_special_tokens=False).ids, 1], dtype="<u4").tobytes())
+    short = [r for r in rows if r[0] in (1, 2, 5, 6)]
+    packed = packing.pack_documents(docs.where("doc_id in (1, 2, 5, 6)"), MODEL).collect()
+    assert {r["doc_id"]: r["ids_crc32"] for r in packed if r["piece"] == 0 and r["length"] < 4096} == {i: crc(t) for i, t in short}
+
+
+def test_rows_without_ids_keep_apart(spark):
+    rows = [(None, " ".join(f"u{i}x{k}" for k in range(25))) for i in range(3000)]
+    found = substrings.without_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert found.agg(F.sum("n_removed")).first()[0] == 0
+    assert substrings._keyed(spark.createDataFrame(rows, "doc_id bigint, text string"), "doc_id", "text", {}).schema["_row"].dataType.simpleString() == "bigint"
+
+
 def test_substrings_equal_brute_force(spark, small_docs, odd_docs):
     for rows in (small_docs, [r for r in dict(pairs(odd_docs)).items()]):
         docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
@@ -331,4 +381,4 @@ def test_query_equals_sql(spark, sf_dir, name):
 
 def test_every_operator_has_a_query():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))

@@ -4,7 +4,7 @@ Each text has a signature per tree, of fixed length: a band. The length is the
 longest at which a pair at the threshold meets in some band with the target
 recall; it is computed once from the threshold, not shortened by what is found.
 Texts with equal bands are candidates, "trie nodes" below. They are then
-verified exactly, so no reported link is wrong.
+verified by the words of their shingles, so no reported link is wrong.
 
 A word is a run of characters other than ASCII white space. A text of fewer
 words than a shingle is one shingle; a text without words (null included) is
@@ -70,6 +70,38 @@ def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     return of[order], values[order]
 
 
+def _numbered(parts: np.ndarray, size: int) -> np.ndarray:
+    """Equal numbers for equal runs of ``size`` parts, by doubling."""
+    def joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        return np.unique(left * np.int64(right.max(initial=0) + 1) + right, return_inverse=True)[1]
+
+    result, covered, block, width, left = None, 0, parts, 1, size
+    while left:
+        if left & 1:
+            part = block[covered : covered + len(parts) - size + 1]
+            result = part if result is None else joined(result, part)
+            covered += width
+        left >>= 1
+        if left:
+            block = joined(block[:-width], block[width:])
+            width *= 2
+    return result
+
+
+def exact_shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Text number and shingle of every shingle; shingles are equal if their words are, byte by byte."""
+    number, counts, left = words.numbers(), words.counts, words.left()
+    texts, values = [], []
+    for n in range(1, size + 1):
+        at = np.flatnonzero(left >= size) if n == size else words.bounds[np.flatnonzero(counts == n)]
+        if len(at):
+            texts.append(np.searchsorted(words.bounds, at, "right") - 1)
+            values.append(_numbered(number, n)[at] * size + n - 1)
+    if not texts:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    return np.concatenate(texts), np.concatenate(values)
+
+
 def _signatures(of: np.ndarray, values: np.ndarray, numbers: int) -> tuple[np.ndarray, np.ndarray]:
     """Texts that have shingles, and ``numbers`` minimum hashes of each."""
     seeds = mix(np.arange(1, 2 * numbers + 1, dtype=np.uint64))
@@ -145,7 +177,7 @@ def candidates(texts: DataFrame, *, size: int = SHINGLE, threshold: float = THRE
 
 def _alike(words: Words, side: np.ndarray | None, size: int, threshold: float) -> np.ndarray:
     """Whether each two texts reach the threshold; given sides, only texts of different sides are compared."""
-    of, values = shingles(words, size)
+    of, values = exact_shingles(words, size)
     m = len(words.counts)
     order = np.lexsort((of, values))
     of, values = of[order], values[order]

@@ -29,12 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradeflow.llm.text import chunks, slices, split_words
+from tradeflow.llm.text import chunks, slices
 from tradeflow.workspace import new_folder, settled
 
 CAPACITY = 4096
 END = 1  # closes each document
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 500_000
+CACHED_BYTES = 32 << 20
 ENCODED_WORDS = 4096  # words given to the tokenizer at once
 CHUNK_BYTES = 4 << 20
 
@@ -42,16 +43,17 @@ _PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigi
 
 
 class WordIds:
-    """Token ids of words, remembered by word hash; starts anew when full."""
+    """Token ids of words, remembered by the word; starts anew when full."""
 
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
         self.clear()
 
     def clear(self) -> None:
-        self.known = np.empty(0, np.uint64)
+        self.known: dict[bytes, int] = {}
         self.begin, self.count = np.empty(0, np.int64), np.empty(0, np.int64)
         self.ids = np.empty(0, np.uint32)
+        self.held = 0
 
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """How many ids each text has, and all of them; an encoding is large, so few are held."""
@@ -59,26 +61,30 @@ class WordIds:
         count = np.fromiter(map(len, coded), np.int64, len(coded))
         return count, np.fromiter((i for x in coded for i in x), np.uint32, int(count.sum()))
 
-    def of(self, words) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all words one after the other, and how many each word has."""
-        hashes, first, which = np.unique(words.hashes(), return_index=True, return_inverse=True)
-        if len(self.known) > CACHED_WORDS:
+    def _learn(self, words: set[bytes]) -> None:
+        new = list(words - self.known.keys())
+        if not new:
+            return
+        texts = [w.decode() for w in new]
+        coded = [self._encode(texts[i : i + ENCODED_WORDS]) for i in range(0, len(texts), ENCODED_WORDS)]
+        count = np.concatenate([c for c, _ in coded])
+        begin = len(self.ids) + np.cumsum(count) - count
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+        self.begin, self.count = np.append(self.begin, begin), np.append(self.count, count)
+        self.ids = np.concatenate([self.ids, *[ids for _, ids in coded]])
+        self.held += sum(map(len, new))
+
+    def of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words one after the other, and how many ids each text has."""
+        if len(self.known) > CACHED_WORDS or self.held > CACHED_BYTES:
             self.clear()
-        at = np.minimum(np.searchsorted(self.known, hashes), max(0, len(self.known) - 1))
-        new = np.flatnonzero(self.known[at] != hashes) if len(self.known) else np.arange(len(hashes))
-        if len(new):
-            data = words.data
-            texts = [data[a:b].tobytes().decode() for a, b in zip(words.starts[first[new]], words.ends[first[new]], strict=True)]
-            coded = [self._encode(texts[i : i + ENCODED_WORDS]) for i in range(0, len(texts), ENCODED_WORDS)]
-            count = np.concatenate([c for c, _ in coded])
-            begin = len(self.ids) + np.cumsum(count) - count
-            self.ids = np.concatenate([self.ids, *[ids for _, ids in coded]])
-            order = np.argsort(known := np.append(self.known, hashes[new]), kind="stable")
-            self.known = known[order]
-            self.begin, self.count = np.append(self.begin, begin)[order], np.append(self.count, count)[order]
-        at = np.searchsorted(self.known, hashes)[which]
+        words = [text.split() for text in texts]  # at the ASCII white space
+        self._learn(set().union(*words))
+        each = np.fromiter(map(len, words), np.int64, len(words))
+        at = np.fromiter((self.known[w] for own in words for w in own), np.int64, int(each.sum()))
         count = self.count[at]
-        return self.ids[np.repeat(self.begin[at], count) + slices(count)], count
+        ends = np.append(0, np.cumsum(count))[np.append(0, np.cumsum(each))]
+        return self.ids[np.repeat(self.begin[at], count) + slices(count)], np.diff(ends)
 
 
 def _word_ids(model: str) -> WordIds:
@@ -96,10 +102,9 @@ def _word_ids(model: str) -> WordIds:
 def _pieces(batches: Iterable[pa.RecordBatch], model: str, capacity: int, end: int) -> Iterator[pa.RecordBatch]:
     coder = _word_ids(model)
     for batch in chunks(batches, "text", CHUNK_BYTES):
-        words = split_words(batch.column("text"))
-        own, per_word = coder.of(words)
-        sums = np.append(0, np.cumsum(per_word))
-        sizes = np.diff(sums[words.bounds]) + 1
+        texts = batch.column("text").cast(pa.large_binary()).to_pylist()
+        own, sizes = coder.of([text or b"" for text in texts])
+        sizes = sizes + 1
         ends = np.cumsum(sizes)
         ids = np.full(ends[-1] if len(ends) else 0, end, dtype="<u4")
         inner = np.ones(len(ids), dtype=bool)

@@ -41,11 +41,11 @@ ANCHOR = 8
 LAST_ID = (1 << 63) - 1  # stands for a null id inside this module
 SAMPLE = 0.01
 
-_RUN = {"anchor": np.uint32, "doc": np.int64, "row": np.int32, "start": np.int32, "size": np.uint8}
-_SPAN = {"known_doc": np.int64, "known_row": np.int32, "known_start": np.int32, "known_size": np.int32}
+_RUN = {"anchor": np.uint32, "doc": np.int64, "row": np.int64, "start": np.int32, "size": np.uint8}
+_SPAN = {"known_doc": np.int64, "known_row": np.int64, "known_start": np.int32, "known_size": np.int32}
 _DEALT = "target int, anchor binary, doc binary, row binary, start binary, size binary, windows binary, " \
          "known_doc binary, known_row binary, known_start binary, known_size binary"
-_SPANS = "_id bigint, _row int, start int, length int"
+_SPANS = "_id bigint, _row bigint, start int, length int"
 
 
 def _least(values: np.ndarray, width: int) -> np.ndarray:
@@ -179,7 +179,7 @@ def _extended(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _keyed(docs: DataFrame, id_col: str, text_col: str, carried: dict[str, str]) -> DataFrame:
     return docs.select(
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(LAST_ID)).alias("_id"),
-        F.shiftrightunsigned(F.xxhash64(text_col), 33).cast("int").alias("_row"),
+        F.xxhash64(text_col).alias("_row"),
         F.col(text_col).alias("text"), *[F.col(c).alias(name) for c, name in carried.items()],
     )
 

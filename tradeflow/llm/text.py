@@ -1,11 +1,14 @@
 """Words of many texts at once, as numpy arrays over their UTF-8 bytes.
 
 A word is a run of word bytes. Its hash depends on its bytes alone, so equal
-words have equal hashes in every task. Hashes have 64 bits.
+words have equal hashes in every task. Hashes have 64 bits and are mixed after
+every eight bytes and every pair of words: a sum of powers modulo 2**64 would
+give a Thue-Morse string and its complement one hash, whatever its base.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -14,7 +17,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CHUNK_BYTES = 8 << 20
-_SEGMENT = 1 << 20
+_SEGMENT_WORDS = 1 << 17
+_LONG = 64  # words of more bytes are hashed one by one
 
 # Words between ASCII white space, unchanged: [^\x20\x09-\x0D]+
 NOT_SPACE = np.ones(256, dtype=bool)
@@ -38,42 +42,40 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-_BASE = 0x5851F42D4C957F2D  # odd, so it has an inverse modulo 2**64
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 _GRAM = np.uint64(0x2545F4914F6CDD1D)
-_powers: list[np.ndarray] = []
-
-
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _powers or len(_powers[0]) <= n:
-        size = max(n + 1, _SEGMENT + 1)
-        tables = []
-        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
-            steps = np.full(size, base, dtype=np.uint64)
-            steps[0] = 1
-            tables.append(np.multiply.accumulate(steps))
-        _powers[:] = tables
-    return _powers[0], _powers[1]
+_LEAST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(8)] + [(1 << 64) - 1], dtype=np.uint64)
 
 
 def ascii_lower(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
+def _eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, as a number; zeros follow the last byte."""
+    padded = np.append(data, np.zeros(8, np.uint8))
+    return np.ndarray(len(data) + 1, dtype="<u8", buffer=padded, strides=(1,))
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """One hash per word; works in segments, so that memory follows the words, not the bytes."""
-    out = np.empty(len(starts), dtype=np.uint64)
-    first = 0
-    while first < len(starts):
-        base = starts[first]
-        last = max(first + 1, int(np.searchsorted(ends, base + _SEGMENT, "right")))
-        s, e = starts[first:last] - base, ends[first:last] - base
-        power, inverse = _power_tables(int(e[-1]))
-        sums = np.zeros(int(e[-1]) + 1, dtype=np.uint64)
-        np.cumsum(_BYTE[data[base : base + e[-1]]] * power[: e[-1]], out=sums[1:])
-        out[first:last] = (sums[e] - sums[s]) * inverse[s]
-        first = last
-    return mix(out)
+    out = mix((ends - starts).astype(np.uint64) * _ODD)
+    for first in range(0, len(starts), _SEGMENT_WORDS):
+        last = min(first + _SEGMENT_WORDS, len(starts))
+        base = int(starts[first])
+        eights = _eights(data[base : ends[last - 1]])
+        live, length = np.arange(first, last), (ends - starts)[first:last]
+        for at in range(0, _LONG, 8):
+            more = length > at
+            live, length = live[more], length[more]
+            if not len(live):
+                break
+            piece = eights[starts[live] - base + at] & _LEAST_BYTES[np.minimum(length - at, 8)]
+            out[live] = mix(out[live] + piece * _ODD)
+    for i in np.flatnonzero(ends - starts > _LONG):
+        digest = hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest()
+        out[i] = int.from_bytes(digest, "little")
+    return out
 
 
 def gram_hashes(words: np.ndarray, size: int) -> np.ndarray:
@@ -85,19 +87,23 @@ def gram_hashes(words: np.ndarray, size: int) -> np.ndarray:
     while left:
         if left & 1:
             part = block[covered : covered + len(words) - size + 1]
-            with np.errstate(over="ignore"):
-                shift = np.uint64(pow(int(_GRAM), width, 1 << 64))
-                result = part.copy() if result is None else result * shift + part
+            result = part.copy() if result is None else _joined(result, part, width)
             covered += width
         left >>= 1
         if left:
-            with np.errstate(over="ignore"):
-                shift = np.uint64(pow(int(_GRAM), width, 1 << 64))
-                block = block[:-width] * shift + block[width:]
+            block = _joined(block[:-width], block[width:], width)
             width *= 2
     return result
 
 
+def _joined(left: np.ndarray, right: np.ndarray, width: int) -> np.ndarray:
+    shift = np.uint64(pow(int(_GRAM), width, 1 << 64))
+    both = left * shift + right
+    both ^= both >> np.uint64(29)
+    both *= _ODD
+    return both
+
+
 @dataclass
 class Words:
     """Words of a run of texts; those of text i are ``bounds[i]`` to ``bounds[i + 1]``."""
@@ -115,6 +121,27 @@ class Words:
     def hashes(self) -> np.ndarray:
         return word_hashes(self.data, self.starts, self.ends)
 
+    def numbers(self) -> np.ndarray:
+        """Equal numbers for equal words, told apart by their bytes."""
+        _, first, which = np.unique(self.hashes(), return_index=True, return_inverse=True)
+        length, to = self.ends - self.starts, first[which]
+        same = length == length[to]
+        eights = _eights(self.data)
+        live = np.flatnonzero(same & (to != np.arange(len(to))))
+        for at in range(0, _LONG, 8):
+            live = live[length[live] > at]
+            if not len(live):
+                break
+            keep = _LEAST_BYTES[np.minimum(length[live] - at, 8)]
+            same[live] &= (eights[self.starts[live] + at] & keep) == (eights[self.starts[to[live]] + at] & keep)
+        word = lambda i: self.data[self.starts[i] : self.ends[i]].tobytes()
+        for i in live[length[live] > _LONG]:
+            same[i] &= word(i) == word(to[i])
+        others: dict[bytes, int] = {}
+        for i in np.flatnonzero(~same):
+            which[i] = len(first) + others.setdefault(word(i), len(others))
+        return which
+
     def text_of_word(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.bounds) - 1), self.counts)
 
