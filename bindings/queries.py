@@ -15,6 +15,7 @@ from tradeflow.plans import jobs, reports
 from tradeflow.schemas import POSITIONS, TRADE_METRICS, TRADES, conform
 from tradeflow.sources.driver_tables import raw_table
 from tradeflow.sources.formats import FEEDS, scan
+from tradeflow.sources.versions import read_table
 from tradeflow.streaming import changes, ingest, refresh
 from tradeflow.workspace import new_folder
 
@@ -149,7 +150,7 @@ def sink_overwrite(spark, sf_dir):
     enriched = enrich.enrich_trades(_trades(spark, sf_dir), _positions(spark, sf_dir))
     jobs.overwrite(enriched, target)
     jobs.overwrite(enriched, target)
-    return spark.read.parquet(target)
+    return read_table(spark, target)
 
 
 @query
@@ -199,7 +200,7 @@ def enrich_procedure(spark, sf_dir):
     """What the procedure reports, and the rows it left in its target."""
     target = new_folder(spark, "procedure")
     message = jobs.enrich_job(spark, _trades(spark, sf_dir), _positions(spark, sf_dir), target)
-    written = spark.read.parquet(target)
+    written = read_table(spark, target)
     return written.agg(
         F.lit(message).alias("status"),
         F.count(F.lit(1)).alias("row_count"),

@@ -125,7 +125,7 @@ def test_position_change_writes_no_trade(spark, root, tmp_path):
     land_positions(stage, "positions_1.parquet", random_positions(rng, 40))
     load(spark, "positions", stage, root)
     assert ENRICHED.refresh(spark, root)
-    assert subfolders(f"{root}/stage/trades_enriched_dt") == []
+    assert subfolders(spark, f"{root}/stage/trades_enriched_dt") == []
     assert ENRICHED.table.last_refresh(spark, root)["rows_taken"] == 40
 
 
@@ -178,8 +178,8 @@ def test_replaced_folders_are_deleted(spark, root, tmp_path):
         land(spark, "trades", stage, batch, rng)
         load(spark, "trades", stage, root)
         table.refresh(spark, root)
-        counts.append(sum(len(subfolders(f"{data}/{v}")) for v in subfolders(data)))
-    assert max(counts) <= 2 * counts[0] + 2 and len(subfolders(data)) <= 3
+        counts.append(sum(len(subfolders(spark, f"{data}/{v}")) for v in subfolders(spark, data)))
+    assert max(counts) <= 2 * counts[0] + 2 and len(subfolders(spark, data)) <= 3
     assert table.read(spark, root).agg(F.sum("trade_count")).first()[0] == 8 * 60
 
 

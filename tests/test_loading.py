@@ -237,34 +237,111 @@ def test_pipe_skips_bad_files_and_says_so(spark, stage, root, feed, good, bad):
     assert f"{word}_2" in failed["file_name"] and failed["row_count"] == 0 and failed["error"]
 
 
-def elements(text, size):
+def cut(text, size, borders=()):
+    """Elements of an array read in parts of about ``size`` bytes, in ranges that begin at ``borders``."""
     data = text.encode()
-    pieces = [data[i : i + size] for i in range(0, len(data), size)]
-    return [x.decode() for found in json_arrays.elements(pieces) for x in found]
+    ends = [i + 1 for i, b in enumerate(data) if b == ord("}")]
+    starts = [0] + [min((e for e in ends if e >= b), default=len(data)) for b in borders] + [len(data)]
+    shape, found, fragments = json_arrays.Shape(), [], []
+    for number, (a, b) in enumerate(zip(starts[:-1], starts[1:])):
+        own = json_arrays.Cutter("x", bool(shape.flips), shape.nests[0])
+        at = a
+        while at < b:
+            to = min((e for e in ends if e >= at + size and e <= b), default=b)
+            found += own.elements(data[at:to])
+            shape.add(data[at:to])
+            at = to
+        own.end(b == len(data))
+        fragments += [(number, *f) for f in own.fragments]
+        if b == len(data) and not own.arrays and not number:
+            raise own.malformed("not an array")
+    whole, open_parts = [], []
+    for _, kind, part, *_ in fragments:
+        open_parts = [part] if kind == json_arrays.BEGINS else [*open_parts, part]
+        if kind == json_arrays.ENDS and (text := b"".join(open_parts).strip()):
+            whole.append(text)
+    return [json.loads(x) for x in found + whole]
+
+
+VALUES = [{"a": 'x,]}"\\'}, [1, [2, "}"]], "a\\\"[b", None, 3.5, {"é漢": {"b": []}}, "\\\\", {}, {"k": "}{}[,]"}, {"n": {"m": {"o": "\\\\\""}}}]
 
 
 @pytest.mark.parametrize("size", [1, 2, 3, 7, 1000])
-def test_array_elements_in_pieces(size):
-    values = [{"a": 'x,]}"\\'}, [1, [2, "}"]], "a\\\"[b", None, 3.5, {"é漢": {"b": []}}, "\\\\", {}]
-    for text in (json.dumps(values), json.dumps(values, indent=2, ensure_ascii=False), "\ufeff " + json.dumps(values) + "\n "):
-        assert [json.loads(x) for x in elements(text, size)] == values
-    assert elements(" [ ] ", size) == []
-    for broken in ("", " ", "{}", "[1", "[1] 2", "[1]]", '["a]'):
+def test_array_elements_in_parts(size):
+    for text in (json.dumps(VALUES), json.dumps(VALUES, indent=2, ensure_ascii=False), "\ufeff " + json.dumps(VALUES) + "\n "):
+        assert cut(text, size) == VALUES
+    assert cut(" [ ] ", size) == [] and cut("[1]\n [] [2, 3]\n", size) == [1, 2, 3]
+    for broken in ("", " ", "{}", "[1", "[1] 2", "[1]]", '["a]', "[1,]", "[,1]", "[1}", "[1] ,[2]", '[{"a": 1]}'):
         with pytest.raises(ValueError, match="malformed"):
-            elements(broken, size)
+            cut(broken, size)
 
 
-def test_large_array_takes_little_memory(tmp_path):
-    """A reader's memory follows the piece, not the file."""
-    import resource
+@pytest.mark.parametrize("seed", range(3))
+def test_arrays_cut_anywhere(seed):
+    rng = random.Random(seed)
+    text = json.dumps(VALUES * 3, indent=rng.choice([None, 1]))
+    key = lambda x: json.dumps(x, sort_keys=True)
+    for _ in range(60):
+        borders = sorted(rng.randrange(len(text)) for _ in range(rng.randrange(5)))
+        assert sorted(cut(text, rng.randrange(1, 60), borders), key=key) == sorted(VALUES * 3, key=key)
+
+
+@pytest.fixture
+def small_ranges(spark):
+    """Ranges of a few thousand bytes, as a large file has of many megabytes."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {n: spark.conf.get(n) for n in names}
+    for n in names:
+        spark.conf.set(n, "4k")
+    yield
+    for n, value in before.items():
+        spark.conf.set(n, value)
+
+
+def events_with_borders(rng, n):
+    """Events whose strings hold brackets, quotes and commas, so that ranges begin in the middle of them."""
+    return [{"EVENT_TYPE": f"e{i}", "SYMBOL": rng.choice(['a"}],[{', "}" * rng.randrange(300), "\\", "\\\"}", "plain"]),
+             "EVENT_ATTR": {"k": {"l": [{"m": "}" * rng.randrange(50)}]}, "n": i}} for i in range(n)]
+
+
+def test_one_array_in_many_ranges(spark, stage, small_ranges):
+    rng = random.Random(8)
+    rows = events_with_borders(rng, 3000)
+    Path(stage, "events_big.json").write_text(json.dumps(rows))
+    Path(stage, "events_marked.json").write_text("\ufeff" + json.dumps(rows[:300], indent=3) + "\n")
+    Path(stage, "events_closed.json").write_text("[" + json.dumps(rows[:40]).removeprefix("[") + "\n[" + json.dumps(rows[40:90]).removeprefix("["))
+    Path(stage, "events_small.json").write_text(json.dumps(rows[:3]))
+    found = scan(spark, FEEDS["market_events"], stage)
+    assert found.rdd.getNumPartitions() > 100
+    got = bag(found.select(F.element_at(F.split("_src_file", "/"), -1), "event_type", "symbol", F.expr("try_variant_get(event_attr, '$.n', 'int')")))
+    want = {}
+    for name, some in (("big", rows), ("marked", rows[:300]), ("closed", rows[:90]), ("small", rows[:3])):
+        for r in some:
+            key = (f"events_{name}.json", r["EVENT_TYPE"], r["SYMBOL"], r["EVENT_ATTR"]["n"])
+            want[key] = want.get(key, 0) + 1
+    assert got == want
+
+
+@pytest.mark.parametrize("text", [" ", "[1", "{}", '[{"EVENT_TYPE": "x}"}', "[{}]]", "[{}] x", '[{"EVENT_TYPE": "x"}, {"EVENT'])
+@pytest.mark.parametrize("rows", [0, 400])
+def test_malformed_arrays_stop_the_read(spark, stage, small_ranges, text, rows):
+    before = json.dumps(events_with_borders(random.Random(1), rows))[:-1] + ", " if rows else ""
+    text = text.removeprefix("[") if rows else text
+    Path(stage, "events_1.json").write_text(before + text)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        scan(spark, FEEDS["market_events"], stage).collect()
 
-    def pieces():
-        yield b"["
-        part = b",".join(b'{"EVENT_TYPE": "x", "EVENT_ATTR": {"k": [1, 2, 3]}}' for _ in range(80_000))
-        for i in range(150):
-            yield (b"," if i else b"") + part
-        yield b"]"
 
+def test_large_array_takes_little_memory():
+    """A task's memory follows the batch of pieces, not the file."""
+    import resource
+
+    part = b",".join(b'{"EVENT_TYPE": "x", "EVENT_ATTR": {"k": [1, 2, 3]}}' for _ in range(80_000))
+    own, n = json_arrays.Cutter("x"), 0
     before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
-    assert sum(len(x) for x in json_arrays.elements(pieces())) == 150 * 80_000
+    for i in range(150):
+        n += len(own.elements((b"," if i else b"[") + part))
+    n += len(own.elements(b"]"))
+    own.end(True)
+    assert n == 150 * 80_000
     assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 400_000

@@ -3,20 +3,22 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import reduce
 from urllib.parse import unquote
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+from py4j.protocol import Py4JJavaError
+from pyarrow import fs
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tradeflow.schemas import MARKET_EVENTS, POSITIONS, TRADES, conform
-from tradeflow.sources.json_arrays import read_elements
-from tradeflow.workspace import open_store
+from tradeflow.sources.json_arrays import array_elements
 
 
 @dataclass(frozen=True)
@@ -33,7 +35,7 @@ FORMATS = {
         "csv",
         {"header": True, "enforceSchema": True, "quote": '"', "escape": '"', "mode": "FAILFAST"},
     ),
-    # One array per file, decoded piece by piece. Each element is parsed as a
+    # Arrays, read by as many tasks as a file has ranges. Each element is parsed as a
     # variant, because Spark matches JSON keys by exact case and the feed may
     # spell them in any.
     "json_events": FileFormat("json"),
@@ -54,6 +56,9 @@ class Feed:
     schema: StructType
 
 
+# How Spark names types of two files that have no common one.
+_UNMERGED = ("CANNOT_MERGE_SCHEMAS", "CANNOT_MERGE_INCOMPATIBLE_DATA_TYPE")
+
 # The path pattern of each feed below a shared stage.
 FEEDS = {
     "trades": Feed("trades_raw", "csv_trades", ".*trades.*[.]csv", "*.csv", TRADES),
@@ -111,11 +116,15 @@ def _events(elements: DataFrame, schema: StructType) -> DataFrame:
     return rows.select(*columns, "_src_file")
 
 
-def list_files(spark: SparkSession, feed: Feed, stage: str, pattern: str | None = None) -> DataFrame:
-    """``_src_file`` of the feed's files below ``stage``; no file is opened."""
-    listing = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter=feed.name_glob)
-    rows = listing.load(literal(stage)).select(F.col("_metadata.file_path").alias("_src_file"))
-    return rows.where(matches(stage, pattern or feed.pattern, F.col("_src_file")))
+def _reading(spark: SparkSession, feed: Feed, stage: str, files: list[str] | None,
+             pattern: str | None) -> tuple[Callable[[str, dict], DataFrame], Column]:
+    """How to read the files wanted in any of Spark's formats, and a condition on their metadata."""
+    if files is not None:
+        paths = [literal(_plain(f)) for f in files]
+        return lambda kind, options: spark.read.format(kind).options(**options).load(paths), F.lit(True)
+    found = {"recursiveFileLookup": True, "pathGlobFilter": feed.name_glob}
+    wanted = matches(stage, pattern or feed.pattern, F.col("_metadata.file_path"))
+    return lambda kind, options: spark.read.format(kind).options(**found, **options).load(literal(stage)), wanted
 
 
 def _plain(path: str) -> str:
@@ -123,26 +132,44 @@ def _plain(path: str) -> str:
     return unquote(path)
 
 
+# Hadoop's names of stores next to those of the library that reads footers.
+_SAME_STORE = {"s3a": "s3", "s3n": "s3"}
+
+
 def _footers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         paths = batch.column("_src_file").to_pylist()
         kinds = []
         for path in paths:
-            store, local = open_store(path)
+            scheme, _, rest = _plain(path).partition(":")
+            store, local = fs.FileSystem.from_uri(f"{_SAME_STORE.get(scheme, scheme)}://{rest.lstrip('/') if scheme != 'file' else '/' + rest.lstrip('/')}")
             with store.open_input_file(local) as file:
                 found = pq.read_schema(file).remove_metadata()
             kinds.append("\n".join(sorted(f"{f.name} {f.type}" for f in found)))
         yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(kinds, pa.string())], names=["_src_file", "kind"])
 
 
-def _parquet_rows(spark: SparkSession, files: DataFrame, schema: StructType) -> DataFrame:
-    """Rows of Parquet files whose columns differ in presence or type."""
+def _parquet_rows(spark: SparkSession, feed: Feed, read: Callable[[str, dict], DataFrame], wanted: Column) -> DataFrame:
+    """Rows of Parquet files that may differ in their columns, and in the types of them.
+
+    Spark merges the files' schemas. Only where types can't be merged are footers
+    looked at one by one (in tasks), and files of one kind read together.
+    """
+    path = F.col("_metadata.file_path").alias("_src_file")
+    declared = StructType([*feed.schema.fields, StructField("_src_file", StringType())])
+    try:
+        return conform(read("parquet", {"mergeSchema": True}).where(wanted).select("*", path), declared)
+    except (PySparkException, Py4JJavaError) as failure:  # inside a micro-batch the JVM's failures arrive as they are
+        if "UNABLE_TO_INFER_SCHEMA" in str(failure):  # there are no files
+            return spark.createDataFrame([], declared)
+        if not any(name in str(failure) for name in _UNMERGED):
+            raise
+    files = read("binaryFile", {}).where(wanted).select(path)
     kinds = files.mapInArrow(_footers, "_src_file string, kind string").groupBy("kind").agg(F.collect_list("_src_file"))
     groups = [
         spark.read.parquet(*[literal(_plain(path)) for path in paths]).select("*", F.col("_metadata.file_path").alias("_src_file"))
         for _, paths in sorted(kinds.collect())
     ]
-    declared = StructType([*schema.fields, StructField("_src_file", StringType())])
     rows = [conform(group, declared) for group in groups]
     return reduce(DataFrame.unionByName, rows) if rows else spark.createDataFrame([], declared)
 
@@ -172,10 +199,6 @@ def scan(
         if files is None:
             rows = rows.where(matches(stage, pattern or feed.pattern, F.col("_src_file")))
         return conform(rows, StructType(feed.schema.fields + [rows.schema["_src_file"]]))
-    if files is None:
-        named = list_files(spark, feed, stage, pattern)
-    else:
-        named = spark.createDataFrame([(f,) for f in files], "_src_file string").repartition(max(1, len(files)))
     if fmt.kind == "json":
-        return _events(named.mapInArrow(read_elements, "element string, _src_file string"), feed.schema)
-    return _parquet_rows(spark, named, feed.schema)
+        return _events(array_elements(spark, *_reading(spark, feed, stage, files, pattern)), feed.schema)
+    return _parquet_rows(spark, feed, *_reading(spark, feed, stage, files, pattern))

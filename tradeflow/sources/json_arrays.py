@@ -1,29 +1,51 @@
-"""Elements of JSON arrays, one array a file, read in pieces of bounded size.
+"""Elements of JSON arrays, read by many tasks whatever the size of a file.
 
-A file is decoded from start to end by one task, which keeps a piece and at most
-one unfinished element in memory, whatever the size of the file. Elements leave
-as text; what they hold is parsed by Spark.
+Spark's text reader cuts a file into ranges and a range into pieces that end at a
+closing brace. Whether a range begins inside a string, and how deep, depends on
+all text before it. So files that may have several ranges are read in three steps,
+a parallel prefix scan:
+
+1. each range says whether it flips between string and not, and how much it
+   nests, for both ways it may begin;
+2. these are added up per file, in order, which gives each range its true start;
+3. each range is cut at the commas of depth one. What is open at a border comes as
+   fragments, which are put together by file and order.
+
+Files that Spark never splits are read once. A task holds one batch of pieces and
+one unfinished element. Elements leave as text; what they hold is parsed by Spark.
+
+A file holds one array or several one after the other; an empty array has no
+elements. Anything else stops the read, but for files of no bytes, which Spark
+doesn't list.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import re
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-from tradeflow.workspace import open_store
+from tradeflow.operators.joins import fits_broadcast
+from tradeflow.workspace import new_folder, settled
 
-PIECE_BYTES = 4 << 20
+_END = b"}"
 _SPACE = b" \t\r\n"
 _MARK = b"\xef\xbb\xbf"
+_QUOTE, _SLASH, _COMMA, _OPEN, _CLOSE = b'"\\,[]'
 _NEST = np.zeros(256, dtype=np.int8)
 _NEST[[ord("["), ord("{")]], _NEST[[ord("]"), ord("}")]] = 1, -1
+# Pieces of an open element: it begins in the range, runs through it, or ends in it.
+BEGINS, RUNS, ENDS = 2, 1, 0
 
 
 def _unescaped_quotes(data: np.ndarray) -> np.ndarray:
-    quotes = data == ord('"')
-    slashes = np.flatnonzero(data == ord("\\"))
+    quotes = data == _QUOTE
+    slashes = np.flatnonzero(data == _SLASH)
     if len(slashes):
         # An odd number of backslashes before a quote makes it part of the string.
         first = np.append(True, np.diff(slashes) > 1)
@@ -34,57 +56,270 @@ def _unescaped_quotes(data: np.ndarray) -> np.ndarray:
     return quotes
 
 
-def elements(pieces: Iterable[bytes], name: str = "") -> Iterator[list[bytes]]:
-    """The elements of one array, list by list; ValueError where the text is not one array."""
-    held, opened, closed, seen = b"", False, False, 0
-    for piece in pieces:
-        held += piece
-        if not opened:
-            if _MARK.startswith(held):  # no more than the start of a byte order mark, or nothing
-                continue
-            held = held.removeprefix(_MARK).lstrip(_SPACE)
-            if not held:
-                continue
-            if held[:1] != b"[":
-                raise ValueError(f"malformed JSON, not an array: {name}")
-            held, opened = held[1:], True
-        if not closed:
-            data = np.frombuffer(held, dtype=np.uint8)
-            quotes = _unescaped_quotes(data)
-            outside = (np.cumsum(quotes) % 2 == 0) & ~quotes
-            depth = 1 + np.cumsum(np.where(outside, _NEST[data], 0))
-            ends = np.flatnonzero(outside & ((data == ord(",")) & (depth == 1) | (depth == 0)))
-            last = np.flatnonzero(depth[ends] == 0)
-            if len(last):
-                ends, closed = ends[: last[0] + 1], True
-            if not len(ends):
-                continue
-            found = [held[a:b].strip(_SPACE) for a, b in zip(np.append(0, ends[:-1] + 1), ends, strict=True)]
-            if closed and found == [b""] and not seen:
-                found = []  # an empty array
-            seen += len(found)
-            yield found
-            held = held[ends[-1] + 1 :]
-        if closed and held.strip(_SPACE):
-            raise ValueError(f"malformed JSON, text after the array: {name}")
-    if not closed:
-        raise ValueError(f"malformed JSON, the array is cut off: {name}")
-
-
-def _pieces(path: str) -> Iterator[bytes]:
-    store, local = open_store(path)
-    with store.open_input_stream(local) as file:
-        while piece := file.read(PIECE_BYTES):
-            yield piece
-
-
-def read_elements(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``element`` and ``_src_file`` for each element of the files named by ``_src_file``."""
+@dataclass
+class Shape:
+    """What a text does to the state it is met in: outside a string (0) or inside (1)."""
+
+    flips: int = 0
+    nests: list[int] = field(default_factory=lambda: [0, 0])
+    size: int = 0
+
+    def add(self, text: bytes) -> None:
+        data = np.frombuffer(text, dtype=np.uint8)
+        quotes = np.cumsum(_unescaped_quotes(data), dtype=np.uint8)
+        apart, nest = quotes & 1 == 0, _NEST[data]
+        sums = int(nest[apart].sum(dtype=np.int64)), int(nest[~apart].sum(dtype=np.int64))
+        self.nests = [self.nests[s] + sums[s ^ self.flips] for s in (0, 1)]
+        self.flips ^= int(quotes[-1]) & 1 if len(quotes) else 0
+        self.size += len(text)
+
+
+@dataclass
+class Cutter:
+    """Cuts the text of one range, part by part, into elements and fragments.
+
+    Parts must not end within an escape; those that end after a brace don't.
+    """
+
+    name: str
+    inside: bool = False
+    depth: int = 0
+    held: list[bytes] = field(default_factory=list)
+    begun: bool = False  # the open element began in this range
+    opened: bool = False  # it is the first of its array
+    arrays: int = 0
+    fragments: list[tuple[int, bytes, bool, bool]] = field(default_factory=list)  # kind, text, first, last
+
+    def malformed(self, what: str) -> ValueError:
+        return ValueError(f"malformed JSON, {what}: {self.name}")
+
+    def elements(self, text: bytes) -> list[bytes]:
+        data = np.frombuffer(text, dtype=np.uint8)
+        quotes = _unescaped_quotes(data)
+        outside = ((np.cumsum(quotes, dtype=np.uint8) & 1) ^ self.inside == 0) & ~quotes
+        nest = np.where(outside, _NEST[data], 0)
+        depth = self.depth + np.cumsum(nest, dtype=np.int64)
+        if len(depth) and depth.min() < 0:
+            raise self.malformed("a bracket closes nothing")
+        marks = np.flatnonzero(outside & ((data == _COMMA) & (depth == 1) | (depth == 0) & (nest < 0) | (depth == 1) & (nest > 0)))
+        found, at = [], 0
+        for mark in marks.tolist():
+            sign, part = data[mark], text[at:mark]
+            if depth[mark] == 1 and sign != _COMMA:
+                if sign != _OPEN:
+                    raise self.malformed("not an array")
+                self.gap(part)
+                self.begun = self.opened = True
+                self.arrays += 1
+            else:
+                if depth[mark] == 0 and sign != _CLOSE:
+                    raise self.malformed("an array ends with a brace")
+                self.held.append(part)
+                self.close(found, last=sign == _CLOSE)
+                self.begun, self.opened = sign == _COMMA, False
+            at = mark + 1
+        self.inside ^= bool(quotes.sum() & 1)
+        self.depth = int(depth[-1]) if len(depth) else self.depth
+        if self.depth:
+            self.held.append(text[at:])
+        else:
+            self.gap(text[at:])
+        return found
+
+    def gap(self, text: bytes) -> None:
+        if text.removeprefix(_MARK).strip(_SPACE):
+            raise self.malformed("text outside an array")
+
+    def close(self, found: list[bytes], last: bool) -> None:
+        element = b"".join(self.held)
+        self.held = []
+        if not self.begun:
+            self.fragments.append((ENDS, element, False, last))
+        elif element := element.strip(_SPACE):
+            found.append(element)
+        elif not (self.opened and last):
+            raise self.malformed("an element is missing")
+
+    def end(self, last: bool) -> None:
+        """The range is over; ``last`` if the file is."""
+        if last and (self.depth or self.inside):
+            raise self.malformed("the array is cut off")
+        if self.depth:
+            kind = BEGINS if self.begun else RUNS
+            self.fragments.append((kind, b"".join(self.held), self.opened and self.begun, False))
+
+
+def _ranges(batches: Iterable[pa.RecordBatch], part: Callable[[tuple, bytes], Iterable], end: Callable[[tuple], Iterable]) -> Iterator:
+    """Calls ``part`` with the text of each range, bit by bit, then ``end``. Ranges of a task come one after the other.
+
+    A piece lost its brace; the last one of a file may have had none.
+    """
+    names, now, pieces = None, None, 0
     for batch in batches:
-        for path in batch.column("_src_file").to_pylist():
-            for found in elements(_pieces(path), path):
-                for at in range(0, len(found), 10_000):
-                    part = found[at : at + 10_000]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(part, pa.binary()).cast(pa.string()), pa.array([path] * len(part))],
-                        names=["element", "_src_file"])
+        names = batch.schema.names[1:]
+        keys = list(zip(*[batch.column(n).to_pylist() for n in names], strict=True))
+        values = batch.column(0).to_pylist()
+        cuts = [0, *[i for i in range(1, len(keys)) if keys[i] != keys[i - 1]], len(keys)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if a == b:
+                continue
+            if keys[a] != now:
+                if now is not None:
+                    yield from end(now)
+                now, pieces = keys[a], 0
+            text = _END.join(values[a:b])
+            yield from part(now, _END + text if pieces else text)
+            pieces += b - a
+    if now is not None:
+        yield from end(now)
+
+
+def _shapes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    shapes: dict[tuple, Shape] = {}
+
+    def part(key, text):
+        shapes.setdefault(key, Shape()).add(text)
+        return ()
+
+    def end(key):
+        shape = shapes.pop(key)
+        size = shape.size + 1
+        shape.add(_END)  # as if there were one; the file's size tells whether there is
+        row = (*key, size, shape.flips, *shape.nests)
+        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in row], names=["path", "start", "size", "bytes", "flips", "nests0", "nests1"])
+
+    yield from _ranges(batches, part, end)
+
+
+def _cut(batches: Iterable[pa.RecordBatch], fragments: bool) -> Iterator[pa.RecordBatch]:
+    """Elements, or fragments, of ranges whose start is known."""
+    held: dict[tuple, Cutter] = {}
+
+    def cutter(key) -> Cutter:
+        path, start, inside, depth = key[:4]
+        if depth is None:
+            raise ValueError(f"changed while it was read: {path}")
+        if key not in held:
+            held[key] = Cutter(path, bool(inside), depth)
+        return held[key]
+
+    def part(key, text):
+        found = cutter(key).elements(text)
+        if not fragments:
+            yield from _rows(found, key[0])
+
+    def end(key):
+        path, start, _, _, last, closed = key
+        cut = held.pop(key)
+        found = cut.elements(_END) if closed else []
+        cut.end(last)
+        if last and not cut.arrays and not cut.fragments and start == 0:
+            raise cut.malformed("not an array")
+        if not fragments:
+            yield from _rows(found, path)
+        elif cut.fragments:
+            kinds, texts, firsts, lasts = zip(*cut.fragments, strict=True)
+            n = len(kinds)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([path] * n), pa.array([start] * n, pa.int64()), pa.array(kinds, pa.int32()),
+                 pa.array(texts, pa.binary()).cast(pa.string()), pa.array(firsts), pa.array(lasts)],
+                names=["path", "start", "kind", "text", "first", "last"])
+
+    yield from _ranges(batches, part, end)
+
+
+def _rows(found: list[bytes], path: str) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(found), 10_000):
+        some = found[at : at + 10_000]
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.binary()).cast(pa.string()), pa.array([path] * len(some))],
+                                         names=["element", "_src_file"])
+
+
+def _pieces(read: Callable[[str, dict], DataFrame], wanted: Column) -> DataFrame:
+    text = read("text", {"lineSep": _END.decode()}).where(wanted)
+    about = [F.col(f"_metadata.{n}").alias(m) for n, m in (("file_path", "path"), ("file_block_start", "start"), ("file_size", "size"))]
+    return text.select(F.col("value").cast("binary"), *about)
+
+
+def _starts(spark: SparkSession, pieces: DataFrame) -> DataFrame:
+    """How each range begins, and whether it is the last one and ends with a brace."""
+    shapes = pieces.mapInArrow(_shapes, "path string, start bigint, size bigint, bytes bigint, flips bigint, nests0 bigint, nests1 bigint")
+    shapes = settled(shapes, new_folder(spark, "json-ranges"))
+    before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    file = Window.partitionBy("path")
+    inside = F.coalesce(F.sum("flips").over(before), F.lit(0)) % 2
+    change = F.when(F.col("inside") == 1, F.col("nests1")).otherwise(F.col("nests0"))
+    last = F.col("start") == F.max("start").over(file)
+    # ``bytes`` is as if each piece had ended with a brace; a mark of three bytes may have been taken off.
+    closed = ~last | (F.col("size") - F.sum("bytes").over(file)).isin(0, len(_MARK))
+    known = shapes.withColumn("inside", inside).withColumn("depth", F.coalesce(F.sum(change).over(before), F.lit(0)))
+    known = known.select("path", "start", "inside", "depth", last.alias("last"), closed.alias("closed"))
+    return settled(known, new_folder(spark, "json-starts"))
+
+
+def _put_together(fragments: DataFrame) -> DataFrame:
+    """Elements that lie in several ranges. A range has two fragments at most."""
+    order = Window.partitionBy("path").orderBy("start", "kind")
+    number = F.sum((F.col("kind") == BEGINS).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    parts = fragments.withColumn("number", number).groupBy("path", "number").agg(
+        F.sort_array(F.collect_list(F.struct("start", "kind", "text"))).alias("parts"), F.max("first").alias("first"), F.max("last").alias("last"))
+    text = F.trim(F.array_join(F.transform("parts", lambda p: p["text"]), ""), F.lit(_SPACE.decode()))
+    missing = F.raise_error(F.concat(F.lit("malformed JSON, an element is missing: "), "path")).cast("string")
+    whole = parts.select("path", "first", "last", text.alias("element"))
+    kept = whole.where((F.col("element") != "") | ~(F.col("first") & F.col("last")))
+    return kept.select(F.when(F.col("element") == "", missing).otherwise(F.col("element")).alias("element"), F.col("path").alias("_src_file"))
+
+
+def _bytes(spark: SparkSession, name: str) -> int:
+    number, unit = re.fullmatch(r"(\d+)([kmgt]?)b?", spark.conf.get(name).lower()).groups()
+    return int(number) << 10 * " kmgt".index(unit or " ")
+
+
+def never_split(spark: SparkSession) -> int:
+    """The size up to which Spark reads a file in one range."""
+    return min(_bytes(spark, "spark.sql.files.openCostInBytes"), _bytes(spark, "spark.sql.files.maxPartitionBytes"))
+
+
+def array_elements(spark: SparkSession, read: Callable[[str, dict], DataFrame], wanted: Column) -> DataFrame:
+    """``element, _src_file`` of all arrays in the files that ``read(format, options)`` finds and ``wanted`` lets in.
+
+    ``wanted`` may use the files' metadata only.
+    """
+    size, schema = F.col("_metadata.file_size"), "element string, _src_file string"
+    most = never_split(spark)
+    small = _pieces(read, wanted & (size <= most)).select("value", "path", "start", "size")
+    found = small.mapInArrow(_cut_whole, schema)
+    if not read("binaryFile", {}).where(wanted & (F.col("length") > most)).limit(1).count():
+        return found
+    large = _pieces(read, wanted & (size > most))
+    starts = _starts(spark, large)
+    if not fits_broadcast(starts):
+        raise ValueError("the files have too many ranges; raise spark.sql.files.maxPartitionBytes")
+    # One row per range, of a size that was counted. The join keeps the pieces of a range together and in order.
+    placed = large.join(F.broadcast(starts), ["path", "start"], "left").select("value", "path", "start", "inside", "depth", "last", "closed")
+    parts = placed.mapInArrow(lambda batches: _cut(batches, True), "path string, start bigint, kind int, text string, first boolean, last boolean")
+    return found.unionByName(placed.mapInArrow(lambda batches: _cut(batches, False), schema)).unionByName(_put_together(parts))
+
+
+def _cut_whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Elements of files that are one range each."""
+    held: dict[str, list] = {}
+
+    def part(key, text):
+        path, start, _ = key
+        if start:
+            raise ValueError(f"read in several ranges: {path}")
+        cut = held.setdefault(path, [Cutter(path), 0])
+        cut[1] += len(text)
+        yield from _rows(cut[0].elements(text), path)
+
+    def end(key):
+        path, _, size = key
+        cut, told = held.pop(path)
+        if told < size and told + len(_MARK) != size:
+            yield from _rows(cut.elements(_END), path)
+        cut.end(True)
+        if not cut.arrays:
+            raise cut.malformed("not an array")
+
+    yield from _ranges(batches, part, end)

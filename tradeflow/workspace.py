@@ -8,11 +8,9 @@ folder.
 
 from __future__ import annotations
 
-import re
 import tempfile
 import uuid
 
-from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -37,31 +35,41 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/tradeflow/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def open_store(path: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a path as Spark writes it, and the path there."""
-    if "://" not in path and not path.startswith("file:"):
-        return fs.LocalFileSystem(), path
-    return fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
+class Store:
+    """The file system of a path as Spark itself resolves it: by scheme, or the session's default."""
 
+    def __init__(self, spark: SparkSession, path: str):
+        self._hadoop = spark._jvm.org.apache.hadoop.fs
+        self._base = self._hadoop.Path(path)
+        self._files = self._base.getFileSystem(spark._jsc.hadoopConfiguration())
 
-def subfolders(path: str) -> list[str]:
-    """Names of the folders in a folder; none if it does not exist."""
-    store, base = open_store(path)
-    found = store.get_file_info(fs.FileSelector(base, allow_not_found=True))
-    return [f.base_name for f in found if f.type == fs.FileType.Directory]
+    def _entries(self, path):
+        if not self._files.exists(path):
+            return []
+        return list(self._files.listStatus(path))
+
+    def folders(self) -> list[str]:
+        """Names of the folders in it; none if it does not exist."""
+        return [e.getPath().getName() for e in self._entries(self._base) if e.isDirectory()]
+
+    def sizes(self) -> dict[str, int]:
+        """Names and bytes of the files in it."""
+        return {e.getPath().getName(): e.getLen() for e in self._entries(self._base) if e.isFile()}
 
+    def has(self, name: str) -> bool:
+        return self._files.exists(self._hadoop.Path(self._base, name))
 
-def remove_folder(path: str) -> None:
-    store, base = open_store(path)
-    if store.get_file_info(base).type == fs.FileType.Directory:
-        store.delete_dir(base)
+    def remove(self) -> None:
+        self._files.delete(self._base, True)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if it does not exist."""
+    return Store(spark, path).folders()
 
 
-def replace_folder(new: str, old: str) -> None:
-    """Put a finished folder in another's place."""
-    remove_folder(old)
-    store, source = open_store(new)
-    store.move(source, open_store(old)[1])
+def remove_folder(spark: SparkSession, path: str) -> None:
+    Store(spark, path).remove()
 
 
 def settled(df: DataFrame, folder: str) -> DataFrame:
