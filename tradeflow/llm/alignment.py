@@ -33,6 +33,8 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -40,14 +42,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeflow.llm.text import chunks
+from tradeflow.llm.text import chunks, slices
 from tradeflow.operators.joins import lookup_join
 from tradeflow.workspace import new_folder, settled
 
 CHUNK_BYTES = 4 << 20
-HELD_UNITS = 500_000
+HELD_UNITS = 700_000
 HELD_BYTES = 64 << 20
-ENCODED = 4096  # units given to a tokenizer at once
+ENCODED = 16_384  # units aligned at once
+TOGETHER = 256  # units in one text given to a tokenizer
+_WHITE = [chr(c) for c in range(0x3001) if chr(c).isspace()]
 SPACE = "▁"  # how sentencepiece writes a space
 
 _MEASURES = ("n_a", "n_b", "n_groups", "n_links")
@@ -81,12 +85,12 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
         letters = byte_of_letter()
-        self.a_bytes = [b""] * self.a.get_vocab_size()
+        a_bytes = [b""] * self.a.get_vocab_size()
         for token, number in self.a.get_vocab().items():
-            self.a_bytes[number] = bytes(letters[c] for c in token) if all(c in letters for c in token) else b""
+            a_bytes[number] = bytes(letters[c] for c in token) if all(c in letters for c in token) else b""
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode()
-                        for i, p in enumerate(pieces)]
+        b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
+        self.sides = (_Side(a_bytes, "|"), _Side(b_bytes, ";"))
         self.splits = self._splits(json.loads(a_model), pieces)
         self.clear()
 
@@ -95,24 +99,25 @@ class Aligner:
         before = a.get("pre_tokenizer") or {}
         words_apart = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
         probe = self.b.encode("a  b \n c")
-        told = b"".join(self.b_bytes[i] for i in probe)
+        told = b"".join(self.sides[1].bytes[probe])
         return bool(words_apart and a.get("normalizer") is None and not any(SPACE in p.lstrip(SPACE) for p in pieces)
                     and told == b" a  b \n c")
 
     def clear(self) -> None:
         self.known: dict[str, int] = {}
-        self.held = 0
-        self.valid: list[bool] = []
         self.groups: list[str] = []
-        self.pairs: list[np.ndarray] = []  # a << 32 | b of each link
-        self.counts = {m: [] for m in _MEASURES}
+        self.valid = np.empty(0, bool)
+        self.counts = np.empty((len(_MEASURES), 0), np.int64)
+        self.begin = np.empty(0, np.int64)
+        self.pairs = np.empty(0, np.int64)  # a << 32 | b of each link, unit by unit
+        self.held = 0
 
     def units(self, text: str) -> list[str]:
         """The units of a space and the text, each without its first space."""
         if not self.splits:
             return [text]
         words = text.split(" ")
-        if "" not in words and not any(w[-1].isspace() for w in words):
+        if "" not in words and not any(c + " " in text for c in _WHITE):
             return words
         out, now = [], words[0]
         for before, word in zip(words, words[1:], strict=False):
@@ -127,43 +132,111 @@ class Aligner:
 
     def learn(self, units: Iterable[str]) -> None:
         """Align the units not known yet."""
-        new = [u for u in units if u not in self.known]
-        for at in range(0, len(new), ENCODED):
-            self._align(new[at : at + ENCODED])
-
-    def _align(self, new: list[str]) -> None:
-        coded_a = [x.ids for x in self.a.encode_batch_fast([" " + u for u in new], add_special_tokens=False)]
-        coded_b = self.b.encode(new, num_threads=1)
-        for unit, a, b in zip(new, coded_a, coded_b, strict=True):
-            told = (" " + unit).encode()
-            a_parts, b_parts = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-            valid = b"".join(a_parts) == told == b"".join(b_parts)
-            groups, pairs = _links(a, b, a_parts, b_parts) if valid else ([], np.empty(0, np.int64))
-            self.known[unit] = len(self.valid)
-            self.valid.append(valid)
-            self.groups.append(";".join(groups))
-            self.pairs.append(pairs)
-            for name, n in zip(_MEASURES, (len(a), len(b), len(groups), len(pairs)) if valid else (0, 0, 0, 0), strict=True):
-                self.counts[name].append(n)
-            self.held += 2 * len(told) + len(self.groups[-1]) + pairs.nbytes + 300
+        new = sorted((u for u in units if u not in self.known), key=_stands_alone)
+        found = [self._aligned(new[at : at + ENCODED]) for at in range(0, len(new), ENCODED)]
+        if not found:
+            return
+        valid, counts, pairs, groups = zip(*found, strict=True)
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+        links = np.concatenate([c[-1] for c in counts])
+        self.begin = np.append(self.begin, len(self.pairs) + np.cumsum(links) - links)
+        self.valid = np.concatenate([self.valid, *valid])
+        self.counts = np.concatenate([self.counts, *counts], axis=1)
+        self.pairs = np.concatenate([self.pairs, *pairs])
+        for some in groups:
+            self.groups += some
+        self.held += sum(map(len, new)) + sum(len(g) for some in groups for g in some)
+
+    def _aligned(self, units: list[str], together: int = TOGETHER) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
+        """Whether the tokens give each unit back, its measures, the id pairs of all links, and its groups as text.
+
+        Units are tokenized in runs, as in a text. If one isn't given back, they are again, one by one.
+        """
+        if not self.splits:
+            together = 1
+        alone = next((i for i, u in enumerate(units) if _stands_alone(u)), len(units))
+        runs = [units[i : min(i + together, alone)] for i in range(0, alone, together)] + [[u] for u in units[alone:]]
+        texts = ["".join([" " + u for u in run]) for run in runs]
+        told = [text.encode() for text in texts]
+        coded = ([x.ids for x in self.a.encode_batch_fast(texts, add_special_tokens=False)],
+                 self.b.encode([text[1:] for text in texts], num_threads=1))
+        valid = np.ones(len(runs), bool)
+        for side, ids in zip(self.sides, coded, strict=True):
+            valid &= side.gives_back(ids, told)
+        if len(runs) == len(units):
+            sizes = np.where(valid, np.fromiter(map(len, told), np.int64, len(told)), 0)
+        elif not valid.all():
+            return self._aligned(units, together=1)
+        else:
+            valid, sizes = np.ones(len(units), bool), 1 + np.fromiter((len(u.encode()) for u in units), np.int64, len(units))
+        kept = valid.tolist() if len(runs) == len(units) else [True] * len(runs)
+        spans = [_Spans.of(side, ids, kept) for side, ids in zip(self.sides, coded, strict=True)]
+        unit_ends = np.cumsum(sizes)
+        both = np.sort(np.concatenate([span.ends for span in spans]), kind="stable")
+        twice = np.append(both[1:] == both[:-1], False) if len(both) else np.empty(0, bool)
+        shared, cuts = both[twice], both[~twice]
+        # Between two neighbouring ends of either side lies one token of each: a link.
+        a, b = (span.ids[np.searchsorted(span.ends, cuts)] for span in spans)
+        of = lambda ends: np.bincount(np.searchsorted(unit_ends, ends), minlength=len(units))
+        counts = np.stack([*[of(span.ends) for span in spans], of(shared), of(cuts)])
+        return valid, counts, a << 32 | b, self._group_texts(spans, shared, unit_ends)
+
+    def _group_texts(self, spans: list[_Spans], shared: np.ndarray, unit_ends: np.ndarray) -> list[str]:
+        """``a1,a2|b1;a3|b2`` of each unit."""
+        parts, groups, sides = [], [], []
+        for number, (side, span) in enumerate(zip(self.sides, spans, strict=True)):
+            groups.append(np.searchsorted(shared, span.ends))
+            last = shared[groups[-1]] == span.ends if len(shared) else np.empty(0, bool)
+            parts.append(np.where(last, side.ending[span.ids], side.going_on[span.ids]))
+            sides.append(np.full(len(span.ids), number))
+        group = np.concatenate(groups)
+        order = np.lexsort((np.concatenate(sides), group))  # stable, so tokens of a side stay in order
+        texts = np.concatenate(parts)[order].tolist()
+        ends = np.append(0, np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts))))
+        done = np.searchsorted(group[order], np.searchsorted(shared, unit_ends, "right"))  # tokens up to each unit's end
+        whole, places = "".join(texts), ends[done].tolist()
+        return [whole[x : max(x, y - 1)] for x, y in zip([0, *places[:-1]], places, strict=True)]
 
     def full(self) -> bool:
-        return len(self.valid) > HELD_UNITS or self.held > HELD_BYTES
+        return len(self.known) > HELD_UNITS or self.held + self.pairs.nbytes > HELD_BYTES
+
+
+def _stands_alone(unit: str) -> bool:
+    """Whether a unit must not be followed by another: they would not be units of their own."""
+    return not unit or unit[-1].isspace()
+
+
+class _Side:
+    """One tokenizer's tokens, as bytes and as numbers with what follows them in a group."""
+
+    def __init__(self, data: list[bytes], end: str):
+        self.bytes = np.array(data, object)
+        self.sizes = np.array(list(map(len, data)), np.int64)
+        self.going_on = np.array([f"{i}," for i in range(len(data))], object)
+        self.ending = np.array([f"{i}{end}" for i in range(len(data))], object)
+
+    def gives_back(self, coded: list[list[int]], told: list[bytes]) -> np.ndarray:
+        """For each unit whether its tokens' bytes are those of the text."""
+        counts = np.fromiter(map(len, coded), np.int64, len(coded))
+        ids = np.fromiter(chain.from_iterable(coded), np.int64, int(counts.sum()))
+        ends = np.append(0, np.cumsum(self.sizes[ids]))[np.append(0, np.cumsum(counts))]
+        if np.diff(ends).tolist() == list(map(len, told)) and b"".join(self.bytes[ids].tolist()) == b"".join(told):
+            return np.ones(len(told), bool)
+        texts = [b"".join(self.bytes[own].tolist()) for own in coded]
+        return np.fromiter(map(bytes.__eq__, texts, told), bool, len(told))
+
+
+@dataclass
+class _Spans:
+    """Tokens of the valid units one after the other, and where each ends."""
 
+    ids: np.ndarray
+    ends: np.ndarray
 
-def _links(a: list[int], b: list[int], a_parts: list[bytes], b_parts: list[bytes]) -> tuple[list[str], np.ndarray]:
-    """Groups as text, and the id pair of each link."""
-    a_ends, b_ends = np.cumsum(list(map(len, a_parts))), np.cumsum(list(map(len, b_parts)))
-    # Between two neighbouring ends of either side lies one token of each: a link.
-    cuts = np.union1d(a_ends, b_ends)
-    a_ids, b_ids = np.array(a, np.int64), np.array(b, np.int64)
-    pairs = a_ids[np.searchsorted(a_ends, cuts)] << 32 | b_ids[np.searchsorted(b_ends, cuts)]
-    shared = np.intersect1d(a_ends, b_ends)
-    groups, i, j = [], 0, 0
-    for k, m in zip(np.searchsorted(a_ends, shared, "right").tolist(), np.searchsorted(b_ends, shared, "right").tolist(), strict=True):
-        groups.append(",".join(map(str, a[i:k])) + "|" + ",".join(map(str, b[j:m])))
-        i, j = k, m
-    return groups, pairs
+    @classmethod
+    def of(cls, side: _Side, coded: list[list[int]], kept: list[bool]) -> _Spans:
+        ids = np.fromiter(chain.from_iterable(compress(coded, kept)), np.int64)
+        return cls(ids, np.cumsum(side.sizes[ids]))
 
 
 def _aligner(a_model: str, b_model: bytes) -> Aligner:
@@ -188,12 +261,11 @@ def _aligned_chunks(batches: Iterable[pa.RecordBatch], a_model: str, b_model: by
             aligner.clear()
         texts = batch.column("text").to_pylist()
         units = [aligner.units(text) for text in texts]
-        aligner.learn({u for own in units for u in own})
+        aligner.learn(set(chain.from_iterable(units)))
         sizes = np.fromiter(map(len, units), np.int64, len(units))
-        known = aligner.known
-        held = np.fromiter((known[u] for own in units for u in own), np.int64, int(sizes.sum()))
+        held = np.fromiter(map(aligner.known.__getitem__, chain.from_iterable(units)), np.int64, int(sizes.sum()))
         begin = np.cumsum(sizes) - sizes
-        valid = np.add.reduceat(~np.array([aligner.valid[i] for i in held.tolist()], bool), begin) == 0 if len(held) else sizes > 0
+        valid = np.logical_and.reduceat(aligner.valid[held], begin) if len(held) else sizes > 0
         texts = [t for t, v in zip(texts, valid, strict=True) if v]
         if not texts:
             continue
@@ -207,15 +279,14 @@ def _chunk_row(aligner: Aligner, number: int, texts: list[str], times: np.ndarra
     own, unit = np.unique(held, return_inverse=True)
     ends = np.append(0, np.cumsum(sizes))
     row = {"chunk": number, "digests": [hashlib.sha256(t.encode()).hexdigest() for t in texts]}
-    for name in _MEASURES:
-        counts = np.array([aligner.counts[name][i] for i in own], np.int64)
-        row[name] = np.add.reduceat(counts[unit], ends[:-1])
+    for name, counts in zip(_MEASURES, aligner.counts, strict=True):
+        row[name] = np.add.reduceat(counts[held], ends[:-1])
     groups, places = aligner.groups, held.tolist()
     row["groups"] = [hashlib.sha256(";".join([groups[i] for i in places[a:b]]).encode()).hexdigest()
                      for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
-    links = [aligner.pairs[i] for i in own]
-    link_counts = np.array([len(x) for x in links], np.int64)
-    pairs, which = np.unique(np.concatenate(links), return_inverse=True)
+    link_counts = aligner.counts[-1][own]
+    links = aligner.pairs[np.repeat(aligner.begin[own], link_counts) + slices(link_counts)]
+    pairs, which = np.unique(links, return_inverse=True)
     of_unit = np.zeros(len(own), np.int64)
     np.add.at(of_unit, unit, np.repeat(times, sizes))
     total = np.zeros(len(pairs), np.int64)
