@@ -249,6 +249,47 @@ def test_foreign_transactions(spark, tmp_path):
         warc.read_records(spark, str(tmp_path)).collect()
 
 
+def archive(*records):
+    text = b""
+    for kind, own, block, *named in records:
+        head = [b"WARC/1.1", b"WARC-Type: " + kind.encode(), b"WARC-Record-ID: <" + own.encode() + b">"]
+        head += [b"WARC-Concurrent-To: <" + n.encode() + b">" for n in named]
+        kind = b"application/warc-fields" if kind == "metadata" else b"application/http"
+        text += b"\r\n".join([*head, b"Content-Type: " + kind, b"Content-Length: %d" % len(block)]) + b"\r\n\r\n" + block + b"\r\n\r\n"
+    return text
+
+
+ASK, ANSWER = b"GET / HTTP/1.1\r\n\r\n", b"HTTP/1.1 200 OK\r\n\r\n"
+
+
+@pytest.mark.parametrize("links", [
+    (["r"], [], ["r"]), ([], ["q"], ["r"]), (["r", "m"], ["q"], ["q"]), (["x"], ["y", "x"], ["y"]), (["m"], ["m", "q"], ["q", "r", "gone"])])
+def test_linked_records_are_one_capture(spark, tmp_path, links):
+    ask, answer, about = links
+    (tmp_path / "a.warc").write_bytes(archive(
+        ("request", "q", ASK, *ask), ("response", "r", ANSWER + b"pay\xff\xfe", *answer), ("metadata", "m", b"page-id: 7\r\n", *about),
+        ("response", "alone", ANSWER), ("request", "q2", ASK, "r2"), ("response", "r2", ANSWER + b"x")))
+    rows = warc.assembled(warc.read_records(spark, str(tmp_path))).collect()
+    found = {r["response"]["record_id"]: r for r in rows}
+    assert len(rows) == 3 and found["<alone>"]["request"] is None and found["<r2>"]["request"]["record_id"] == "<q2>"
+    row = found["<r>"]
+    assert (row["request"]["record_id"], row["metadata"]["record_id"]) == ("<q>", "<m>")
+    assert row["capture_id"] == "<r>"
+    payload = row["response"]["payload"]
+    assert bytes(payload) == b"pay\xff\xfe" and row["response"]["payload_bytes"] == 5
+    assert row["response"]["payload_digest"] == base64.b32encode(hashlib.sha1(payload).digest()).decode()
+
+
+def test_revisits_name_the_record_they_refer_to(spark):
+    pages = spark.createDataFrame([(1, "http://a/x y", "same"), (2, None, "same"), (3, "http://c/", "other")], "page_id bigint, url string, html string")
+    folder = new_folder(spark, "archive")
+    warc.write_archive(warc.captures_to_write(pages), folder)
+    records = warc.read_records(spark, folder)
+    captures = {r["response"]["type"] + (r["response"]["uri"] or "").removeprefix("http://"): r["response"] for r in warc.assembled(records, payloads=False).collect()}
+    assert captures["revisita/x%20y"]["refers_to_record"] == captures["response"]["record_id"]
+    assert captures["revisita/x%20y"]["refers_to"] == "2" and captures["responsec/"]["refers_to_record"] is None
+
+
 def test_empty_archive(spark):
     folder = new_folder(spark, "archive")
     warc.write_archive(warc.captures_to_write(spark.createDataFrame([], "page_id bigint, url string, html string")), folder)

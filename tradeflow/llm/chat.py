@@ -136,10 +136,20 @@ def digests(turns: DataFrame, message: list[str], conv_col: str = "conv_id") ->
     return ordered.select("conv_id", "formatted", "loss_start", "loss_length").mapInArrow(_digested, _DIGESTS)
 
 
-def log_of_turns(conversations: DataFrame) -> DataFrame:
-    """A table of finished turns as a log; rows of one turn are messages told apart by text, then by ``copy``."""
+def log_of_turns(conversations: DataFrame, deltas: int = 2) -> DataFrame:
+    """A table of finished turns as the log that led to them: a message, then ``deltas`` of what is left of its text.
+
+    Rows of one turn are messages told apart by text, then by ``copy``. A null turn comes first.
+    """
     rows = conversations.select("conv_id", "turn", "role", "text").groupBy("conv_id", "turn", "role", "text").agg(
         F.count(F.lit(1)).alias("_times"))
     rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_times")))).drop("_times")
-    return rows.select("conv_id", F.col("turn").alias("seq"), F.lit("message").alias("kind"), "turn",
-                       F.xxhash64("role", "text").alias("version"), "copy", "role", "text")
+    size = F.ceil(F.length(F.coalesce("text", F.lit(""))) / (deltas + 1)).cast("int")
+    rows = rows.withColumn("version", F.xxhash64("role", "text")).withColumn("_size", size)
+    step = F.explode(F.sequence(F.lit(0), F.lit(deltas))).alias("_step")
+    rows = rows.select("*", step)
+    part = F.substring(F.col("text"), F.col("_step") * F.col("_size") + 1, F.col("_size"))
+    before = F.coalesce(F.col("turn").cast("decimal(19,0)"), F.lit(-(1 << 63)).cast("decimal(19,0)")) * (deltas + 1)
+    return rows.select(
+        "conv_id", (before + F.col("_step")).alias("seq"), F.when(F.col("_step") == 0, "message").otherwise("delta").alias("kind"),
+        "turn", "version", "copy", F.when(F.col("_step") == 0, F.col("role")).alias("role"), part.alias("text"))

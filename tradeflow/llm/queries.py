@@ -114,7 +114,7 @@ FROM ruled
 def op10_warc(spark, sf_dir):
     folder = new_folder(spark, "warc")
     warc.write_archive(warc.captures_to_write(_table(spark, sf_dir, "pages")), folder)
-    captures = warc.assembled(warc.read_records(spark, folder))
+    captures = warc.assembled(warc.read_records(spark, folder), payloads=False)
     page = warc.metadata_field(F.col("metadata.fields"), "page-id").cast("bigint")
     return captures.select(
         page.alias("page_id"), F.col("response.payload_bytes").alias("payload_bytes"),

@@ -1,8 +1,9 @@
 """Web archives: writing captures as WARC records, and assembling records to captures.
 
 A capture is a transaction: a response (or a revisit of an equal payload), its
-request and its metadata. The latter two name the first by WARC-Concurrent-To;
-archives in which the response names the request are read as well.
+request and its metadata, linked by WARC-Concurrent-To. Usually the latter two
+name the first. Where a record names several, or one that names another in turn,
+whatever is linked is one capture, in whichever direction.
 
 Records are text, so Spark's text files carry them: the end of a record is the
 end of a line. Reading splits at the end of a record followed by the start of
@@ -12,7 +13,9 @@ sent in chunks that cut it. Foreign archives are checked by Content-Length, and
 one that breaks the rule stops the read.
 
 A null payload is empty, a null page id is written as an empty field. Identical
-rows are one capture. Control characters in a url are percent-coded.
+rows are one capture. Control characters in a url are percent-coded. Payloads are
+read as the bytes they are, whether or not they are UTF-8; header lines that
+aren't are read with replacement characters.
 """
 
 from __future__ import annotations
@@ -20,23 +23,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradeflow.llm.components import components
 from tradeflow.workspace import new_folder, settled
 
 END = "\r\n\r\n"
 VERSION = "WARC/1.1\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+_BYTES = "ISO-8859-1"  # one character a byte
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 
 def base32_sha1(data: Column) -> Column:
     """The SHA-1 of bytes as 32 letters."""
-    def letter(digest: Column, i: Column) -> Column:
-        group = F.conv(F.substr(digest, F.floor(i / 4) * 5 + 1, F.lit(5)), 16, 10).cast("int")
-        value = F.floor(group / F.pow(F.lit(2), 15 - 5 * F.pmod(i, F.lit(4)))).cast("int").bitwiseAND(F.lit(31))
-        return F.substr(F.lit(_BASE32), value + 1, F.lit(1))
+    def letters(group: Column) -> Column:
+        """Five hexadecimal digits, 20 bits, are four letters."""
+        number = F.conv(group, 16, 10).cast("int")
+        values = [F.shiftright(number, 15 - 5 * i).bitwiseAND(F.lit(31)) for i in range(4)]
+        return F.concat(*[F.substr(F.lit(_BASE32), value + 1, F.lit(1)) for value in values])
 
     digests = F.transform(F.array(F.sha1(data)), lambda d: F.array_join(
-        F.transform(F.sequence(F.lit(0), F.lit(31)), lambda i: letter(d, i.cast("int"))), ""))
+        F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: letters(F.substr(d, i * 5 + 1, F.lit(5)))), ""))
     return F.get(digests, F.lit(0))
 
 
@@ -65,13 +71,13 @@ def _chunked(payload: Column) -> Column:
 def _unchunked(block: Column) -> Column:
     """The bytes that HTTP chunks hold."""
     def step(s: Column, _: Column) -> Column:
-        line = F.instr(F.decode(s["rest"], "UTF-8"), "\r\n")
-        size = F.conv(F.decode(F.substring(s["rest"], F.lit(1), line - 1), "UTF-8"), 16, 10).cast("int")
+        line = F.instr(F.decode(s["rest"], _BYTES), "\r\n")
+        size = F.conv(F.decode(F.substring(s["rest"], F.lit(1), line - 1), _BYTES), 16, 10).cast("int")
         more = F.struct(F.substring(s["rest"], line + 2 + size + 2, F.length(s["rest"])).alias("rest"),
                         F.concat(s["out"], F.substring(s["rest"], line + 2, size)).alias("out"))
         return F.when(F.length(s["rest"]) > 0, more).otherwise(s)
 
-    most = F.regexp_count(F.decode(block, "UTF-8"), F.lit("\r\n"))
+    most = F.regexp_count(F.decode(block, _BYTES), F.lit("\r\n"))
     none = F.lit(b"")
     return F.aggregate(F.sequence(F.lit(0), most), F.struct(block.alias("rest"), none.alias("out")), step, lambda s: s["out"])
 
@@ -87,13 +93,18 @@ def captures_to_write(pages: DataFrame, id_col: str = "page_id", url_col: str =
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), payload.alias("payload")).withColumn(
         "digest", base32_sha1(F.encode("payload", "UTF-8"))).withColumn("bytes", F.octet_length("payload"))
     # What decides is small; payloads meet the decision by the row's own id, which no group shares.
-    keys = settled(rows.select("id", "digest", "bytes"), new_folder(pages.sparkSession, "payload-keys"))
-    first = keys.where(F.col("bytes") >= least_bytes).groupBy("digest", "bytes").agg(F.max("id").alias("first_id"))
-    again = keys.join(first, ["digest", "bytes"]).where("id < first_id or (id is null and first_id is not null)").select(
-        F.col("id").alias("again_id"), F.col("digest").alias("again_digest"), "first_id").distinct()
+    keys = settled(rows.select("id", "url", "digest", "bytes"), new_folder(pages.sparkSession, "payload-keys"))
+    first = keys.where((F.col("bytes") >= least_bytes) & F.col("id").isNotNull()).groupBy("digest", "bytes").agg(
+        F.max(F.struct("id", "url")).alias("first"))
+    again = keys.join(first, ["digest", "bytes"]).where("id < first.id or id is null").select(
+        F.col("id").alias("again_id"), F.col("digest").alias("again_digest"), F.col("first.id").alias("first_id"),
+        F.col("first.url").alias("first_url")).distinct()
     told = rows.join(again, rows["id"].eqNullSafe(again["again_id"]) & (rows["digest"] == again["again_digest"]), "left")
 
-    url = F.regexp_replace(F.coalesce(F.col("url"), F.lit("")), r"[\x00-\x20\x7F]", "%20")
+    def coded(column: str) -> Column:
+        return F.regexp_replace(F.coalesce(F.col(column), F.lit("")), r"[\x00-\x20\x7F]", "%20")
+
+    url = coded("url")
     own = _record_id(F.lit("capture"), F.col("id"), F.col("url"), F.col("digest"))
     shared = [("WARC-Target-URI", url), ("WARC-Date", F.lit(date))]
     about = [("WARC-Concurrent-To", own), *shared]
@@ -109,7 +120,8 @@ def captures_to_write(pages: DataFrame, id_col: str = "page_id", url_col: str =
         F.concat(http, F.when(cut, _chunked(F.col("payload"))).otherwise(F.col("payload"))))
     revisit = _record(
         [("WARC-Type", F.lit("revisit")), ("WARC-Record-ID", own), *shared, digest, ("WARC-Profile", F.lit(PROFILE)),
-         ("WARC-Refers-To-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
+         ("WARC-Refers-To", _record_id(F.lit("capture"), F.col("first_id"), F.col("first_url"), F.col("digest"))),
+         ("WARC-Refers-To-Target-URI", coded("first_url")), ("WARC-Refers-To-Date", F.lit(date)), ("WARC-Refers-To-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
          ("X-Refers-To-Page", F.col("first_id").cast("string")), ("Content-Type", F.lit("application/http;msgtype=response"))],
         http)
     request = _record(
@@ -130,7 +142,10 @@ def write_archive(records: DataFrame, folder: str, compression: str = "gzip") ->
 
 
 def read_records(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per record: ``type, record_id, concurrent_to, uri, date, refers_to, http, payload, payload_bytes, payload_digest``."""
+    """One row per record: ``type, record_id, concurrent_to, uri, date, refers_to_record, refers_to, http, payload, payload_bytes, payload_digest``.
+
+    ``concurrent_to`` lists the records named; ``refers_to`` is the page, where the writer said so.
+    """
     rows = spark.read.option("lineSep", END + VERSION).text(folder).where(F.length("value") > 0)
     # Header, then for HTTP its header, then what is left: only the first two ends are looked for.
     rows = rows.withColumn("parts", F.split("value", END, 3)).withColumn("head", F.get("parts", F.lit(0)))
@@ -144,7 +159,7 @@ def read_records(spark: SparkSession, folder: str) -> DataFrame:
         "http", F.when(header(head, "Content-Type").startswith("application/http"), F.get("parts", F.lit(1))))
     before = F.octet_length("head") + 4
     inner = F.coalesce(F.octet_length("http") + 4, F.lit(0))
-    body = F.substring(F.encode("value", "UTF-8"), before + inner + 1, F.greatest(F.col("size") - inner, F.lit(0)))
+    body = F.substring(F.col("value").cast("binary"), before + inner + 1, F.greatest(F.col("size") - inner, F.lit(0)))
     whole = F.when(F.octet_length("value") >= before + F.col("size"), body).otherwise(
         F.raise_error(F.concat(F.lit("a record is cut short: "), head)))
     chunked = F.lower(F.coalesce(header(F.col("http"), "Transfer-Encoding"), F.lit(""))) == "chunked"
@@ -153,30 +168,57 @@ def read_records(spark: SparkSession, folder: str) -> DataFrame:
     revisit = F.col("type") == "revisit"
     told = F.regexp_replace(header(head, "WARC-Payload-Digest"), "^sha1:", "")
     return rows.select(
-        "type", header(head, "WARC-Record-ID").alias("record_id"), header(head, "WARC-Concurrent-To").alias("concurrent_to"),
+        "type", header(head, "WARC-Record-ID").alias("record_id"),
+        F.array_distinct(F.regexp_extract_all(F.concat(head, F.lit("\r\n")), F.lit(r"(?i)\r\nWARC-Concurrent-To:[ \t]*([^\r\n]*?)[ \t]*(?=\r\n)"))).alias("concurrent_to"),
         header(head, "WARC-Target-URI").alias("uri"), header(head, "WARC-Date").alias("date"),
-        header(head, "X-Refers-To-Page").alias("refers_to"), "http", "payload",
+        header(head, "WARC-Refers-To").alias("refers_to_record"), header(head, "X-Refers-To-Page").alias("refers_to"), "http", "payload",
         F.when(revisit, header(F.col("http"), "Content-Length").cast("bigint")).otherwise(F.length("payload").cast("bigint")).alias("payload_bytes"),
         F.when(revisit, told).otherwise(base32_sha1(F.col("payload"))).alias("payload_digest"))
 
 
-def assembled(records: DataFrame) -> DataFrame:
+_TOLD = ["type", "record_id", "uri", "date", "refers_to_record", "refers_to", "http", "payload_bytes", "payload_digest"]
+
+
+def _with_capture(records: DataFrame) -> DataFrame:
+    """``records``, a written table, with the ``capture_id`` of each."""
+    named = F.get("concurrent_to", F.lit(0))
+    linked = records.where("size(concurrent_to) > 0").select("record_id", "concurrent_to")
+    chained = linked.where("size(concurrent_to) > 1").select("record_id").union(
+        linked.select(named.alias("record_id")).join(linked.select("record_id"), "record_id", "left_semi"))
+    if not chained.limit(1).count():
+        return records.withColumn("capture_id", F.coalesce(named, "record_id"))
+    edges = linked.select(F.col("record_id").alias("a"), F.explode("concurrent_to").alias("b"))
+    found = settled(components(edges), new_folder(records.sparkSession, "transactions"))
+    known = records.join(found.select(F.col("node").alias("record_id"), "component"), "record_id", "left")
+    known = known.withColumn("component", F.coalesce("component", "record_id"))
+    # As in the usual case, a capture goes by its answer's id.
+    answers = known.where(_ANSWER).groupBy("component").agg(F.min("record_id").alias("_answer"))
+    return known.join(answers, "component", "left").withColumn("capture_id", F.coalesce("_answer", "component")).drop("_answer", "component")
+
+
+_ANSWER = "type in ('response', 'revisit', 'resource')"
+
+
+def assembled(records: DataFrame, payloads: bool = True) -> DataFrame:
     """One row per capture: ``capture_id`` and the nested ``response``, ``request`` and ``metadata``.
 
     A record that nothing belongs to is a capture of its own, with nulls for
-    what it lacks: a response of nulls, no request or no metadata. Records told twice count once. What a reader does not ask
-    for, the payload above all, is not carried through the joins.
+    what it lacks: a response of nulls, no request or no metadata. Records told
+    twice count once. The archive is read once, and what is small of each record
+    written; with ``payloads`` it is read again for those, which meet their capture
+    by record id.
     """
-    keyed = records.withColumn("capture_id", F.coalesce("concurrent_to", "record_id"))
-    told = ["type", "record_id", "uri", "date", "refers_to", "http", "payload", "payload_bytes", "payload_digest"]
-    answers = keyed.where("type in ('response', 'revisit', 'resource')").repartition("capture_id").dropDuplicates(
-        ["capture_id", "record_id"]).select("capture_id", *told)
+    small = records.select("concurrent_to", *_TOLD, F.when(F.col("type") == "metadata", F.col("payload").cast("string")).alias("fields"))
+    keyed = _with_capture(settled(small, new_folder(records.sparkSession, "archive-records")))
+    answers = keyed.where(_ANSWER).dropDuplicates(["capture_id", "record_id"]).select("capture_id", *_TOLD)
+    if payloads:
+        bodies = records.where(_ANSWER).repartition("record_id").dropDuplicates(["record_id"])
+        answers = answers.join(bodies.select("record_id", "payload"), "record_id", "left")
     asked = keyed.where("type = 'request'").groupBy("capture_id").agg(
         F.min(F.struct("record_id", "uri", F.col("http"))).alias("request"))
-    about = keyed.where("type = 'metadata'").groupBy("capture_id").agg(
-        F.min(F.struct("record_id", F.decode("payload", "UTF-8").alias("fields"))).alias("metadata"))
+    about = keyed.where("type = 'metadata'").groupBy("capture_id").agg(F.min(F.struct("record_id", "fields")).alias("metadata"))
     joined = answers.join(asked, "capture_id", "full_outer").join(about, "capture_id", "full_outer")
-    return joined.select("capture_id", F.struct(*told).alias("response"), "request", "metadata")
+    return joined.select("capture_id", F.struct(*_TOLD, *["payload"] * payloads).alias("response"), "request", "metadata")
 
 
 def metadata_field(fields: Column, name: str) -> Column:
