@@ -157,11 +157,13 @@ _TAKEN = f"""WITH {_TRADES}, {_POSITIONS}, taken AS (
 ORACLES: dict[str, str] = {
     "scan_csv_trades": _ALL_TRADES,
     "scan_json_events": _ALL_EVENTS,
+    "scan_json_ranges": _ALL_EVENTS,
     "scan_parquet_positions": _ALL_POSITIONS,
     "scan_pattern": f"""WITH {_TRADES}, {_POSITIONS}, {_EVENTS}, {_DELIVERED}
 SELECT feed, delivery, count(*) AS row_count FROM delivered GROUP BY feed, delivery""",
     "copy_into_once": _ALL_TRADES,
     "pipe_batches": _ALL_POSITIONS,
+    "pipe_notices": _ALL_TRADES,
     "pipe_refresh": _ALL_EVENTS,
     "stop_resume": _ALL_TRADES,
     "sink_overwrite": _ALL_ENRICHED,
@@ -220,6 +222,9 @@ SELECT side, count(*) AS trade_count, CAST(1 AS INTEGER) AS times_run FROM trade
     "metrics_incremental": _ALL_METRICS,
     "event_summary_incremental": _EVENT_SUMMARY,
     "position_summary_incremental": _POSITION_SUMMARY,
+    "event_counts_live": _EVENT_SUMMARY,
+    "account_counts_live": f"""WITH {_POSITIONS}
+SELECT symbol, count(DISTINCT account_id) AS account_count FROM positions GROUP BY symbol""",
     "full_refresh": _POSITION_SUMMARY,
     "upsert_enriched": f"""WITH {_TRADES}, {_POSITIONS}, {_AGG}, {_ENRICHED}
 SELECT * REPLACE (CASE status WHEN 'F' THEN 'filled' ELSE status END AS status) FROM enriched""",
@@ -244,10 +249,15 @@ FROM delivered GROUP BY feed, delivery""",
     "pipe_usage": f"""WITH {_TRADES}, {_POSITIONS}, {_EVENTS}, {_DELIVERED}
 SELECT feed || '_pipe' AS pipe_name, count(DISTINCT delivery) AS runs, count(*) AS rows_inserted
 FROM delivered GROUP BY feed""",
-    "pipe_status": f"""WITH {_TRADES}
+    "load_history_sql": f"""WITH {_TRADES}, {_POSITIONS}, {_EVENTS}, {_DELIVERED}
+SELECT feed || '_raw' AS table_name, delivery, 'LOADED' AS status,
+       CAST(count(*) AS BIGINT) AS row_count
+FROM delivered GROUP BY feed, delivery""",
+    "pipe_status": f"""WITH {_TRADES}, {_POSITIONS}, {_EVENTS}, {_DELIVERED}
 SELECT 'trades_pipe' AS pipe_name, 'STOPPED' AS execution_state, true AS healthy,
-       count(*) AS rows_inserted, true AS all_files_logged
-FROM trades""",
+       count(*) AS rows_inserted, count(DISTINCT delivery) AS triggers, CAST(0 AS BIGINT) AS files_failed,
+       CAST(0 AS BIGINT) AS files_pending, true AS all_files_logged
+FROM delivered WHERE feed = 'trades'""",
     "refresh_history": f"""WITH {_POSITIONS}, {_BATCHES}
 SELECT name, CAST(version AS BIGINT) AS version, 'INCREMENTAL' AS refresh_action,
        CAST(upto AS BIGINT) AS upto_batch, true AS finished,

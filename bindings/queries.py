@@ -16,8 +16,8 @@ from tradeflow.schemas import POSITIONS, TRADE_METRICS, TRADES, conform
 from tradeflow.sources.driver_tables import raw_table
 from tradeflow.sources.formats import FEEDS, scan
 from tradeflow.sources.versions import read_table
-from tradeflow.streaming import changes, ingest, refresh
-from tradeflow.workspace import new_folder
+from tradeflow.streaming import changes, ingest, live, refresh
+from tradeflow.workspace import new_folder, settled
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -67,6 +67,15 @@ def scan_json_events(spark, sf_dir):
     return _attributes_as_columns(scan(spark, FEEDS["market_events"], stage))
 
 
+@query
+def scan_json_ranges(spark, sf_dir):
+    """Events with every array read by many tasks, in ranges of 64 kB."""
+    stage, own = deliveries.stage_with_everything(spark, sf_dir), spark.newSession()
+    for name in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+        own.conf.set(name, "64k")
+    return _attributes_as_columns(scan(own, FEEDS["market_events"], stage))
+
+
 @query
 def scan_parquet_positions(spark, sf_dir):
     stage = deliveries.stage_with_everything(spark, sf_dir)
@@ -113,6 +122,18 @@ def pipe_batches(spark, sf_dir):
     return ingest.raw_rows(spark, root, "positions_raw").select(*POSITIONS.names)
 
 
+@query
+def pipe_notices(spark, sf_dir):
+    """Trades by a pipe that is told of files, of some twice, and is started anew in between."""
+    stage, root = deliveries.stage_with_everything(spark, sf_dir), new_folder(spark, "told")
+    notices, files = f"{root}/notices", ingest.list_stage(spark, FEEDS["trades"], stage)
+    for deliveries_told in ([1, 2], [2, 3]):
+        told = files.where(_delivery("file_name").isin(deliveries_told))
+        ingest.announce(told, notices, files_per_notice=deliveries.files_per_delivery(spark))
+        ingest.load_new_files(spark, "trades", stage, root, notices=notices)
+    return ingest.raw_rows(spark, root, "trades_raw").select(*TRADES.names)
+
+
 @query
 def pipe_refresh(spark, sf_dir):
     """Events of a first delivery, then a backfill of those that came later."""
@@ -363,6 +384,26 @@ def position_summary_incremental(spark, sf_dir):
     return _maintained(spark, sf_dir, refresh.POSITION_SUMMARY_DT, "positions")
 
 
+@query
+def event_counts_live(spark, sf_dir):
+    """Event counts by streaming state: the query ends after each batch and goes on from its checkpoint."""
+    root = new_folder(spark, "events-live")
+    deliveries.load_by_delivery(spark, sf_dir, "market_events", root, then=live.following(live.count_events))
+    live.count_events(spark, root)  # nothing new
+    return live.read(spark, root, live.EVENT_COUNTS)
+
+
+@query
+def account_counts_live(spark, sf_dir):
+    """Different accounts per symbol by streaming state, with a batch stored anew in between."""
+    root = new_folder(spark, "accounts-live")
+    deliveries.load_by_delivery(spark, sf_dir, "positions", root, then=live.following(live.count_accounts))
+    again = ingest.raw_rows(spark, root, "positions_raw", after=0, upto=1).drop("_batch")
+    settled(again, new_folder(spark, "again")).write.mode("overwrite").parquet(f"{ingest.raw_path(root, 'positions_raw')}/_batch=1")
+    live.count_accounts(spark, root)
+    return live.read(spark, root, live.ACCOUNT_COUNTS)
+
+
 @query
 def full_refresh(spark, sf_dir):
     """Position summary: one incremental refresh, a full one, and a compaction."""
@@ -380,11 +421,13 @@ def upsert_enriched(spark, sf_dir):
     """Enriched trades, then the filled ones again with their status spelled out."""
     root = new_folder(spark, "upserted")
     enriched = enrich.enrich_trades(_trades(spark, sf_dir), _positions(spark, sf_dir))
-    jobs.upsert_enriched(spark, root, enriched, version=0, parts=8)
+    table = jobs.UpsertTable(parts=8, merge_after=2)
+    table.upsert(spark, root, enriched, version=0)
     filled = enriched.where(F.col("status") == "F").withColumn("status", F.lit("filled"))
-    jobs.upsert_enriched(spark, root, filled, version=1, parts=8)
-    jobs.upsert_enriched(spark, root, filled, version=1, parts=8)
-    return jobs.upsert_table(8).read(spark, root)
+    table.upsert(spark, root, filled, version=1)
+    table.upsert(spark, root, filled, version=1)
+    table.upsert(spark, root, filled.where("pmod(hash(trade_id), 3) = 0"), version=2)
+    return table.read(spark, root)
 
 
 # --- reports -------------------------------------------------------------------
@@ -439,17 +482,28 @@ def pipe_usage(spark, sf_dir):
 
 @query
 def pipe_status(spark, sf_dir):
-    """The state of a trades pipe that has finished, next to what it loaded."""
+    """The state of a trades pipe that has ended, as another session reads it."""
     stage, root = deliveries.stage_with_everything(spark, sf_dir), new_folder(spark, "status")
-    pipe = ingest.load_new_files(spark, "trades", stage, root)
-    status = reports.pipe_status(spark, root, pipe).first()
-    return ingest.load_log(spark, root, "trades_raw").agg(
-        F.lit(status["pipe_name"]).alias("pipe_name"),
-        F.lit(status["execution_state"]).alias("execution_state"),
-        F.lit(status["healthy"]).alias("healthy"),
-        F.sum("row_count").alias("rows_inserted"),
-        (F.count(F.lit(1)) == status["files_seen"]).alias("all_files_logged"),
-    )
+    ingest.load_new_files(spark, "trades", stage, root, files_per_batch=deliveries.files_per_delivery(spark))
+    other, until = spark.newSession(), time.monotonic() + 60
+    while True:  # the end of a query is told a moment later
+        status = reports.pipe_status(other, root, "trades", stage)
+        if status.first()["execution_state"] == "STOPPED" or time.monotonic() > until:
+            break
+        time.sleep(0.2)
+    return status.select(
+        "pipe_name", "execution_state", "healthy", "rows_inserted", "triggers", "files_failed", "files_pending",
+        (F.col("files_per_trigger") * F.col("triggers") == F.col("files_seen")).alias("all_files_logged"))
+
+
+@query
+def load_history_sql(spark, sf_dir):
+    """The load history by its SQL function, summed up per delivery."""
+    own = spark.newSession()
+    reports.register_load_history(own, deliveries.loaded_root(spark, sf_dir))
+    parts = [f"SELECT * FROM load_history(n => 1000000, tbl => '{f.table}', since => TIMESTAMP'2000-01-01')" for f in FEEDS.values()]
+    files = own.sql(" UNION ALL ".join(parts))
+    return files.groupBy("table_name", _delivery("file_name").alias("delivery"), "status").agg(F.sum("row_count").alias("row_count"))
 
 
 def _root_with_lagging_tables(spark, sf_dir) -> str:

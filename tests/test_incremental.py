@@ -311,16 +311,39 @@ def test_upsert(spark, root):
     def enriched(*rows):
         return enrich.enrich_trades(trades(spark, *rows), positions(spark))
 
+    table, want = jobs.UpsertTable(parts=4, merge_after=3), {}
     a, b = trade(trade_id="A"), trade(trade_id="B")
-    jobs.upsert_enriched(spark, root, enriched(a, b), version=0, parts=4)
-    changed, new = trade(trade_id="B", status="cancelled"), trade(trade_id="C")
-    for _ in range(2):
-        jobs.upsert_enriched(spark, root, enriched(changed, new), version=1, parts=4)
-    assert bag(jobs.upsert_table(4).read(spark, root), "trade_id", "status") == {
-        ("A", "filled"): 1, ("B", "cancelled"): 1, ("C", "filled"): 1,
-    }
+    table.upsert(spark, root, enriched(a, b, trade(trade_id=None)), version=0)
+    want = {("A", "filled"): 1, ("B", "filled"): 1, (None, "filled"): 1}
+    for version in range(1, 9):  # gathers, moves to the parts, and gathers again
+        changed, new = trade(trade_id="B", status=f"s{version}"), trade(trade_id=f"C{version}")
+        for _ in range(2):
+            table.upsert(spark, root, enriched(changed, new, trade(trade_id=None)), version=version)
+        want = {k: n for k, n in want.items() if k[0] != "B"} | {("B", f"s{version}"): 1, (f"C{version}", "filled"): 1}
+        want[(None, "filled")] = version + 1
+        assert bag(table.read(spark, root), "trade_id", "status") == want
     with pytest.raises(ValueError, match="occurs twice"):
-        jobs.upsert_enriched(spark, root, enriched(a, a), version=2, parts=4)
+        table.upsert(spark, root, enriched(a, a), version=9)
+    with pytest.raises(ValueError, match="occurs twice"):
+        table.upsert(spark, root, enriched(a, a), version=9)
+
+
+def test_upsert_of_scattered_ids_costs_what_it_brings(spark, root):
+    table = jobs.UpsertTable(parts=16)
+    many = spark.range(40_000).selectExpr("concat('T', id) AS trade_id", "cast(id AS string) AS account_id", "cast(rand(1) AS string) AS exchange")
+    table.upsert(spark, root, many, version=0)
+    data = f"{root}/stage/{table.table.name}"
+
+    def stored():
+        found = [f for f in spark.read.parquet(data).select("_metadata.file_path", "_metadata.file_size").distinct().collect()]
+        return {f["file_path"]: f["file_size"] for f in found}
+
+    before = stored()
+    table.upsert(spark, root, many.where("pmod(hash(trade_id), 40) = 0"), version=1)
+    after = stored()
+    assert set(before) <= set(after)  # nothing was rewritten
+    assert sum(after[f] for f in set(after) - set(before)) < sum(before.values()) / 8
+    assert table.read(spark, root).count() == 40_000
 
 
 def test_reports_on_empty_and_lagging_tables(spark, root, tmp_path):

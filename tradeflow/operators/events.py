@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradeflow.operators.joins import lookup_join
+from tradeflow.workspace import new_folder, settled
 
 # The attribute keys events carry, and the type each is read as.
 ATTRIBUTES = {
@@ -47,7 +48,11 @@ def order_events_with_trades(events: DataFrame, trades: DataFrame) -> DataFrame:
         "event_type",
         F.try_variant_get("event_attr", "$.trade_id", "string").alias("trade_id"),
     )
+    spark = events.sparkSession
+    # Both sides are read, and events parsed, once; what decides on the join looks at what was written.
+    orders = settled(orders, new_folder(spark, "order-events"))
     # A trade delivered twice must not double its events.
     columns = ["symbol", "side", "quantity", "amount", "status"]
     known = trades.groupBy("trade_id").agg(F.max(F.struct(*columns)).alias("t")).select("trade_id", "t.*")
+    known = settled(known, new_folder(spark, "known-trades"))
     return lookup_join(orders, known, "trade_id", "left", spread_by="event_ts")

@@ -11,12 +11,16 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from tradeflow.functions import before
 from tradeflow.sources.formats import FEEDS
-from tradeflow.streaming.ingest import load_log
+from tradeflow.schemas import RAW_TABLES
+from tradeflow.streaming.ingest import LOAD_LOG, list_stage, load_log, load_log_path
 from tradeflow.streaming.maintained import MaintainedTable
+from tradeflow.streaming.progress import FAILED, STARTED, TOOK_IN, UNIT
+from tradeflow.streaming.runs import run_log
+from tradeflow.workspace import subfolders
 
 
 def newest(rows: DataFrame, at: str, n: int, *tie_breaks: str) -> DataFrame:
@@ -33,7 +37,10 @@ def recent_activity(
     runs: DataFrame, units: Iterable[str], as_of: datetime | Column | None = None,
     days: int = 1, n: int = 200,
 ) -> DataFrame:
-    """Runs of the last day with their milliseconds as seconds."""
+    """Runs of the last day with their milliseconds as seconds.
+
+    For the run log, hand over ``run_log(spark, root, since)``: then only the days since then are opened.
+    """
     since = before(as_of, days=days)
     recent = runs.where(F.col("unit").isin(list(units)) & (F.col("start_time") >= since))
     timed = recent.select(
@@ -76,15 +83,62 @@ def pipe_usage(
     return rows if n is None else newest(rows, "start_time", n, "pipe_name", "_batch")
 
 
-def pipe_status(spark: SparkSession, root: str, query: StreamingQuery) -> DataFrame:
-    """A pipe's state and all files it has taken in, by the load log, as one row."""
-    feed = FEEDS[query.name.removesuffix("_pipe")]
-    return load_log(spark, root, feed.table).agg(
-        F.lit(query.name).alias("pipe_name"),
-        F.lit("RUNNING" if query.isActive else "STOPPED").alias("execution_state"),
-        F.lit(query.exception() is None).alias("healthy"),
-        F.count(F.lit(1)).alias("files_seen"),
-    )
+def pipe_status(spark: SparkSession, root: str, feed_name: str, stage: str | None = None) -> DataFrame:
+    """A pipe's state as one row, from the logs alone: the pipe may run in another session, or no more.
+
+    Files per trigger are those of the triggers that found any. With ``stage``,
+    ``files_pending`` are those in it that are in no load yet.
+    """
+    feed, name = FEEDS[feed_name], f"{feed_name}_pipe"
+    log = load_log(spark, root, feed.table)
+    told = run_log(spark, root).where((F.col("unit") == UNIT) & (F.col("step") == name))
+    last = lambda c: F.max_by(c, F.struct("end_time", (F.col("status") != STARTED).cast("int")))
+    took = F.col("status") == TOOK_IN
+    runs = told.agg(
+        last("status").alias("last"), F.max_by("detail", F.when(F.col("status") == FAILED, F.col("end_time"))).alias("last_error"),
+        F.count(F.when(took, 1)).alias("triggers"), F.avg(F.when(took, F.col("row_count"))).alias("files_per_trigger"),
+        F.max_by("row_count", F.when(took, F.col("end_time"))).alias("files_in_last_trigger"),
+        F.max(F.when(took, F.col("end_time"))).alias("last_trigger_time")).first()
+    pending = None
+    if stage is not None:
+        pending = list_stage(spark, feed, stage).join(log.select("file_name"), "file_name", "left_anti").count()
+    state = "NEVER_STARTED" if runs["last"] is None else "RUNNING" if runs["last"] in (STARTED, TOOK_IN) else "STOPPED"
+    return log.agg(
+        F.lit(name).alias("pipe_name"), F.lit(state).alias("execution_state"), F.lit(runs["last"] != FAILED).alias("healthy"),
+        F.lit(runs["last_error"]).cast("string").alias("last_error"), F.lit(runs["triggers"]).alias("triggers"),
+        F.lit(runs["files_per_trigger"]).cast("double").alias("files_per_trigger"),
+        F.lit(runs["files_in_last_trigger"]).cast("bigint").alias("files_in_last_trigger"),
+        F.lit(runs["last_trigger_time"]).cast("timestamp").alias("last_trigger_time"), F.count(F.lit(1)).alias("files_seen"),
+        F.coalesce(F.sum((F.col("status") == "FAILED").cast("long")), F.lit(0)).alias("files_failed"),
+        F.lit(pending).cast("bigint").alias("files_pending"), F.sum("row_count").alias("rows_inserted"))
+
+
+_HISTORY = "table_name STRING, file_name STRING, file_size BIGINT, row_count BIGINT, last_load_time TIMESTAMP, status STRING, error STRING"
+
+
+def register_load_history(spark: SparkSession, root: str, name: str = "load_history") -> None:
+    """Make the load history a SQL table function with named arguments.
+
+    ``SELECT * FROM load_history(tbl => 'trades_raw', since => TIMESTAMP'...', n => 20)``: the newest files of
+    a table, by default 20 of the last 24 hours. A call reads the logs as they are then.
+    """
+    columns = [c.split()[0] for c in _HISTORY.split(", ")]
+    parts = []
+    for table in RAW_TABLES:
+        path = load_log_path(root, table)
+        if not subfolders(spark, path):  # so that the function can name it; it holds no rows
+            spark.createDataFrame([], StructType(LOAD_LOG.fields[:-1])).write.parquet(f"{path}/_batch=-1")
+        quoted = path.replace("`", "``")
+        parts.append(f"SELECT '{table}' AS table_name, {', '.join(columns[1:])} FROM parquet.`{quoted}`")
+    spark.sql(f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION {name}(
+            tbl STRING, since TIMESTAMP DEFAULT current_timestamp() - INTERVAL 24 HOURS, n INT DEFAULT 20)
+        RETURNS TABLE ({_HISTORY})
+        RETURN SELECT {', '.join(columns)} FROM (
+            SELECT *, row_number() OVER (ORDER BY last_load_time DESC, file_name) AS place
+            FROM ({' UNION ALL '.join(parts)}) logs
+            WHERE logs.table_name = lower({name}.tbl) AND logs.last_load_time >= {name}.since
+        ) WHERE place <= {name}.n""")
 
 
 def refresh_history(

@@ -10,37 +10,40 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from functools import reduce
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tradeflow.streaming.ingest import latest_batch, raw_rows
-from tradeflow.workspace import read_or_empty
+from tradeflow.workspace import Store
 
-_MARKS = StructType(
-    [
-        StructField("consumer", StringType()),
-        StructField("table_name", StringType()),
-        StructField("batch", LongType()),
-    ]
-)
+_SEEN = "seen-"
+
+
+def _marks(spark: SparkSession, root: str, consumer: str, table: str) -> Store:
+    return Store(spark, f"{root}/logs/marks/{quote(consumer, safe='')}/{table}")
 
 
-def _marks_path(root: str) -> str:
-    return f"{root}/logs/marks"
+def _numbers(marks: Store) -> list[int]:
+    return sorted(int(n.removeprefix(_SEEN)) for n in marks.sizes() if n.startswith(_SEEN))
 
 
 def seen(spark: SparkSession, root: str, consumer: str, table: str) -> int:
-    marks = read_or_empty(spark, _marks_path(root), _MARKS)
-    mine = marks.where((F.col("consumer") == consumer) & (F.col("table_name") == table))
-    newest = mine.agg(F.max("batch")).first()[0]
-    return -1 if newest is None else newest
+    """The last batch the consumer is done with; a mark is a file's name, so nothing is read."""
+    return max(_numbers(_marks(spark, root, consumer, table)), default=-1)
 
 
 def mark_seen(spark: SparkSession, root: str, consumer: str, marks: Mapping[str, int]) -> None:
-    rows = [(consumer, table, batch) for table, batch in marks.items()]
-    spark.createDataFrame(rows, _MARKS).coalesce(1).write.mode("append").parquet(_marks_path(root))
+    """Move the marks. Older ones go once the new one is there, so there are two at most."""
+    for table, batch in marks.items():
+        held = _marks(spark, root, consumer, table)
+        before = _numbers(held)
+        if batch < 0 or batch in before:
+            continue
+        held.touch(f"{_SEEN}{batch}")
+        for number in before:
+            held.drop(f"{_SEEN}{number}")
 
 
 def changes(spark: SparkSession, root: str, consumer: str, table: str) -> DataFrame:

@@ -6,11 +6,17 @@ pipe of a table share. Each micro-batch then reads its files with the ordinary
 batch scan and writes them as one ``_batch`` folder, which a replay of the same
 micro-batch replaces. Only after that is the batch entered in the load log, and
 readers look no further than the log.
+
+Where a store tells of new files, a pipe can follow these notices instead of
+listing the stage. Notices are small files that are deleted once their batch is
+done, and which files were told of is state of the query, kept on the executors.
+So neither the driver's memory nor a trigger's time grows with the files loaded.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import datetime, timezone
 
 from py4j.protocol import Py4JJavaError
@@ -28,6 +34,7 @@ from pyspark.sql.types import (
 
 from tradeflow.schemas import LINEAGE, RAW_TABLES
 from tradeflow.sources.formats import FEEDS, Feed, literal, matches, scan
+from tradeflow.streaming.progress import follow_progress
 from tradeflow.workspace import read_or_empty
 
 _BATCH = StructField("_batch", LongType())
@@ -53,6 +60,47 @@ FILES_PER_BATCH = 1000
 REMEMBERED = "36500d"
 
 
+NOTICE = "file_name string, file_size bigint"
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STORES = "spark.sql.streaming.stateStore.providerClass"
+
+
+def announce(files: DataFrame, notices: str, files_per_notice: int = FILES_PER_BATCH) -> None:
+    """Tell pipes that follow ``notices`` of ``file_name`` (as in file metadata) and ``file_size``.
+
+    A file may be told of more than once.
+    """
+    files.select("file_name", "file_size").write.mode("append").option("maxRecordsPerFile", files_per_notice).json(notices)
+
+
+def list_stage(spark: SparkSession, feed: Feed, stage: str) -> DataFrame:
+    """``file_name, file_size`` of the feed's files below ``stage``; no file is opened."""
+    listing = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter=feed.name_glob)
+    rows = listing.load(literal(stage)).select(F.col("_metadata.file_path").alias("file_name"), F.col("length").alias("file_size"))
+    return rows.where(matches(stage, feed.pattern, F.col("file_name")))
+
+
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state in RocksDB, unless the session names another store."""
+    named = spark.conf.get(_STORES, None)
+    if named is not None and "RocksDB" not in named and not named.endswith("HDFSBackedStateStoreProvider"):
+        yield
+        return
+    spark.conf.set(_STORES, _ROCKS)
+    try:
+        yield
+    finally:
+        spark.conf.unset(_STORES) if named is None else spark.conf.set(_STORES, named)
+
+
+def _told(spark: SparkSession, notices: str) -> DataFrame:
+    """Files told of, each once, however often and in however many runs."""
+    # One notice a trigger, as it names as many files as a batch may hold.
+    rows = spark.readStream.schema(NOTICE).options(maxFilesPerTrigger=1, cleanSource="delete", maxFileAge=REMEMBERED).json(literal(notices))
+    return rows.dropDuplicates(["file_name"])
+
+
 def raw_path(root: str, table: str) -> str:
     return f"{root}/raw/{table}"
 
@@ -123,6 +171,25 @@ def _load_batch(spark: SparkSession, feed: Feed, stage: str, root: str, found: D
     return True
 
 
+def _listed(spark: SparkSession, feed: Feed, stage: str, files_per_batch: int) -> DataFrame:
+    # Listing files needs no bytes of them: content is never selected.
+    return (
+        spark.readStream.format("binaryFile")
+        .schema(_LISTING)
+        .options(
+            recursiveFileLookup=True,
+            pathGlobFilter=feed.name_glob,
+            maxFilesPerTrigger=files_per_batch,
+            maxFileAge=REMEMBERED,
+        )
+        .load(literal(stage))
+        .select(
+            F.col("_metadata.file_path").alias("file_name"),
+            F.col("length").alias("file_size"),
+        )
+    )
+
+
 def start_pipe(
     spark: SparkSession,
     feed_name: str,
@@ -133,6 +200,7 @@ def start_pipe(
     files_per_batch: int = FILES_PER_BATCH,
     then: Callable[[SparkSession, str, int], None] | None = None,
     skip_bad_files: bool | None = None,
+    notices: str | None = None,
 ) -> StreamingQuery:
     """Start loading a feed: once over what is there, or again ``every`` interval.
 
@@ -140,27 +208,14 @@ def start_pipe(
     the load log as FAILED, and loads the others whole; no row of a file is
     ever left out by itself. ``skip_bad_files`` says otherwise.
 
+    ``notices`` is a folder of notices (see ``announce``) to follow; the stage is
+    not listed then. A pipe keeps to one way of finding files for its life.
+
     ``then(spark, root, batch)`` runs after each batch that brought files, so a
     step that depends on new data needs no polling.
     """
     feed = FEEDS[feed_name]
-
-    # Listing files needs no bytes of them: content is never selected.
-    found = (
-        spark.readStream.format("binaryFile")
-        .schema(_LISTING)
-        .options(
-            recursiveFileLookup=True,
-            pathGlobFilter=feed.name_glob,
-            maxFilesPerTrigger=files_per_batch,
-            maxFileAge=REMEMBERED,
-        )
-        .load(literal(stage))
-        .select(
-            F.col("_metadata.file_path").alias("file_name"),
-            F.col("length").alias("file_size"),
-        )
-    )
+    found = _listed(spark, feed, stage, files_per_batch) if notices is None else _told(spark, notices)
 
     def on_batch(new_files: DataFrame, batch: int) -> None:
         session = new_files.sparkSession
@@ -174,7 +229,9 @@ def start_pipe(
         .foreachBatch(on_batch)
     )
     trigger = {"processingTime": every} if every else {"availableNow": True}
-    return writer.trigger(**trigger).start()
+    follow_progress(spark, root, f"{feed_name}_pipe")
+    with state_on_disk(spark):
+        return writer.trigger(**trigger).start()
 
 
 def load_new_files(

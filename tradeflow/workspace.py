@@ -56,6 +56,13 @@ class Store:
         """Names and bytes of the files in it."""
         return {e.getPath().getName(): e.getLen() for e in self._entries(self._base) if e.isFile()}
 
+    def touch(self, name: str) -> None:
+        """An empty file."""
+        self._files.create(self._hadoop.Path(self._base, name), True).close()
+
+    def drop(self, name: str) -> None:
+        self._files.delete(self._hadoop.Path(self._base, name), False)
+
     def has(self, name: str) -> bool:
         return self._files.exists(self._hadoop.Path(self._base, name))
 
