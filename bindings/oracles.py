@@ -186,6 +186,7 @@ FROM lineitem""",
     "positions_agg": f"WITH {_POSITIONS}, {_AGG} SELECT * FROM positions_agg",
     "enrich_trades": _ALL_ENRICHED,
     "enrich_trades_sql": _ALL_ENRICHED,
+    "enrich_stored": _ALL_ENRICHED,
     "enrich_procedure": f"""WITH {_TRADES}, {_POSITIONS}, {_AGG}, {_ENRICHED}
 SELECT 'TRADES_ENRICHED refreshed' AS status, count(*) AS row_count,
        count(avg_market_price) AS rows_with_context

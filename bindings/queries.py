@@ -216,6 +216,14 @@ def enrich_trades_sql(spark, sf_dir):
     return enrich.enrich_trades_sql(_trades(spark, sf_dir), _positions(spark, sf_dir))
 
 
+@query
+def enrich_stored(spark, sf_dir):
+    """Enriched trades from tables that lie in matching buckets."""
+    name = f"enriched_{uuid.uuid4().hex[:8]}"
+    enrich.store_enriched(_trades(spark, sf_dir), _positions(spark, sf_dir), name, buckets=8)
+    return enrich.read_enriched(spark, name)
+
+
 @query
 def enrich_procedure(spark, sf_dir):
     """What the procedure reports, and the rows it left in its target."""

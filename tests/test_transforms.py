@@ -231,3 +231,25 @@ def bag_of(rows):
     from collections import Counter
 
     return Counter(tuple(row) for row in rows)
+
+
+def test_stored_by_key_joins_without_a_shuffle(spark):
+    rng = random.Random(21)
+    rows = trades(spark, *random_trades(rng, 3000, 1, hot="QRX"))
+    held = positions(spark, *random_positions(rng, 40))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        enrich.store_enriched(rows, held, "kept", 8)
+        found = enrich.read_enriched(spark, "kept")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert bag(found) == bag(enrich.enrich_trades(rows, held))
+        salts = spark.table("kept_trades").where("symbol = 'QRX'").select("_salt").distinct().count()
+        assert salts > 8 and spark.table("kept_trades").where("symbol is null").select("_salt").distinct().count() > 8
+        more = held.unionByName(positions(spark, position(symbol="UNHELD"), position(symbol="NEW")))
+        enrich.store_context(more, "kept", 8)
+        assert bag(enrich.read_enriched(spark, "kept")) == bag(enrich.enrich_trades(rows, more))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for table in ("kept_trades", "kept_trades_salts", "kept_context"):
+            spark.sql(f"DROP TABLE IF EXISTS {table}")

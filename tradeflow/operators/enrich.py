@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeflow.operators.joins import BROADCAST_BYTES, lookup_join
+from tradeflow.operators.joins import BROADCAST_BYTES, lookup_join, store_lookup, store_rows, stored_join
 from tradeflow.operators.rollups import POSITION_CONTEXT
 from tradeflow.schemas import POSITION_CONTEXT as CONTEXT_COLUMNS
 from tradeflow.schemas import TRADES
@@ -47,6 +47,22 @@ def enrich_trades_sql(trades: DataFrame, positions: DataFrame) -> DataFrame:
     )
 
 
+def store_enriched(trades: DataFrame, positions: DataFrame, name: str, buckets: int) -> None:
+    """Trades and the context of their symbols as two tables, ``<name>_trades`` and ``<name>_context``, in matching buckets."""
+    store_rows(trades.select(*TRADES.names), "symbol", f"{name}_trades", spread_by="trade_id", buckets=buckets)
+    store_context(positions, name, buckets)
+
+
+def store_context(positions: DataFrame, name: str, buckets: int) -> None:
+    """A new context beside the stored trades, which stay as they are."""
+    store_lookup(positions_agg(positions), "symbol", f"{name}_context", beside=f"{name}_trades", buckets=buckets)
+
+
+def read_enriched(spark: SparkSession, name: str) -> DataFrame:
+    """Every stored trade with its context; no side is shuffled, however large."""
+    return stored_join(spark, f"{name}_trades", f"{name}_context", "symbol").select(*TRADES.names, *CONTEXT_COLUMNS.names)
+
+
 def latest_price(positions: DataFrame) -> DataFrame:
     """Each symbol's price at its newest update; the higher one if two tie.
 
