@@ -38,14 +38,14 @@ from tradeflow.llm.text import Words, chunks, dealt, gathered, gram_hashes, mix,
 
 WINDOW = 20
 ANCHOR = 8
-LAST_ID = (1 << 63) - 1  # stands for a null id inside this module
+CHUNK_BYTES = 4 << 20
 SAMPLE = 0.01
 
-_RUN = {"anchor": np.uint32, "doc": np.int64, "row": np.int64, "start": np.int32, "size": np.uint8}
-_SPAN = {"known_doc": np.int64, "known_row": np.int64, "known_start": np.int32, "known_size": np.int32}
+_RUN = {"anchor": np.uint32, "doc": np.int64, "row": np.int32, "start": np.int32, "size": np.uint8}
+_SPAN = {"known_doc": np.int64, "known_row": np.int32, "known_start": np.int32, "known_size": np.int32}
 _DEALT = "target int, anchor binary, doc binary, row binary, start binary, size binary, windows binary, " \
          "known_doc binary, known_row binary, known_start binary, known_size binary"
-_SPANS = "_id bigint, _row bigint, start int, length int"
+_SPANS = "_id bigint, _row int, start int, length int"
 
 
 def _least(values: np.ndarray, width: int) -> np.ndarray:
@@ -124,8 +124,9 @@ def _anchored(batches: Iterable[pa.RecordBatch], targets: int, window: int, anch
               hot: np.ndarray) -> Iterator[pa.RecordBatch]:
     names = [field.split()[0] for field in _DEALT.split(", ")]
     types = pa.schema([(n, pa.int32() if n == "target" else pa.binary()) for n in names])
-    for batch in chunks(batches, "text"):
-        batch = batch.sort_by([("_id", "ascending"), ("_row", "ascending")])
+    for batch in chunks(batches, "text", CHUNK_BYTES):
+        keys = batch.column("_row").to_numpy(), batch.column("_id").to_numpy()
+        batch = batch.take(pa.array(np.lexsort((*keys, keys[0] < 0))))
         words = split_words(batch.column("text"))
         at, chosen, whole = _windows(words, window, anchor)
         of = np.searchsorted(words.bounds, at, "right") - 1
@@ -161,7 +162,7 @@ def _extended(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     size = got["size"].astype(np.int64)
     before = np.cumsum(size) - size
     kept = np.flatnonzero(seed)
-    kept = kept[np.lexsort((got["start"][kept], got["row"][kept], got["doc"][kept]))]
+    kept = kept[np.lexsort((got["start"][kept], got["row"][kept], got["doc"][kept], got["row"][kept] < 0))]
     runs, inner = np.repeat(kept, size[kept]), slices(size[kept])
     key = got["windows"][before[runs] + inner]
     doc, row, start = got["doc"][runs], got["row"][runs], (got["start"][runs] + inner).astype(np.int32)
@@ -177,9 +178,11 @@ def _extended(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str, carried: dict[str, str]) -> DataFrame:
+    """Rows told apart by ``_id`` and ``_row``, 31 bits of a text hash; without an id, by 95 bits of it and a sign."""
+    texts = F.shiftrightunsigned(F.xxhash64(F.lit(1), text_col), 33).cast("int")
     return docs.select(
-        F.coalesce(F.col(id_col).cast("bigint"), F.lit(LAST_ID)).alias("_id"),
-        F.xxhash64(text_col).alias("_row"),
+        F.coalesce(F.col(id_col).cast("bigint"), F.xxhash64(text_col)).alias("_id"),
+        F.when(F.col(id_col).cast("bigint").isNull(), -1 - texts).otherwise(texts).alias("_row"),
         F.col(text_col).alias("text"), *[F.col(c).alias(name) for c, name in carried.items()],
     )
 
@@ -204,7 +207,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Spans of one text may touch or overlap; together they are the words to remove.
     """
     return _late_windows(_keyed(docs, id_col, text_col, {}), window, anchor).select(
-        F.when(F.col("_id") != LAST_ID, F.col("_id")).alias("doc_id"), F.col("_row").alias("text_hash"),
+        F.when(F.col("_row") >= 0, F.col("_id")).alias("doc_id"), F.col("_row").alias("text_hash"),
         F.col("start").cast("bigint").alias("start"), (F.col("length") + window - 1).cast("bigint").alias("length"),
     )
 
@@ -234,7 +237,7 @@ def _kept_texts(words: Words, removed: np.ndarray) -> tuple[bytes, np.ndarray]:
 
 
 def _cut(batches: Iterable[pa.RecordBatch], window: int, carried: list[str], added: list[str]) -> Iterator[pa.RecordBatch]:
-    for batch in chunks(batches, "text"):
+    for batch in chunks(batches, "text", CHUNK_BYTES):
         words = split_words(batch.column("text"))
         removed = _removed_words(words, batch.column("_starts").to_pylist(), batch.column("_lengths").to_pylist(), window)
         gone = np.diff(np.append(0, np.cumsum(removed))[words.bounds])
