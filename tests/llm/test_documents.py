@@ -46,7 +46,8 @@ def test_numbers_are_those_of_the_bytes():
         if same_hash:
             words.hashes = lambda n=len(words.starts): np.zeros(n, np.uint64)
         told = [words.data[a:b].tobytes() for a, b in zip(words.starts, words.ends, strict=True)]
-        numbers = words.numbers().tolist()
+        places, numbers = (x.tolist() for x in words.distinct())
+        assert told == [words.word(places[n]) for n in numbers]
         assert len(set(zip(told, numbers, strict=True))) == len(set(told)) == len(set(numbers))
 
 
@@ -86,7 +87,16 @@ def test_rows_without_ids_keep_apart(spark):
     rows = [(None, " ".join(f"u{i}x{k}" for k in range(25))) for i in range(3000)]
     found = substrings.without_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"))
     assert found.agg(F.sum("n_removed")).first()[0] == 0
-    assert substrings._keyed(spark.createDataFrame(rows, "doc_id bigint, text string"), "doc_id", "text", {}).schema["_row"].dataType.simpleString() == "bigint"
+    keyed = substrings._keyed(spark.createDataFrame([*rows, (7, "x"), (2**63 - 1, "y")], "doc_id bigint, text string"), "doc_id", "text", {})
+    assert keyed.select("_id", "_row").distinct().count() == 3002 and keyed.where("_row < 0").count() == 3000
+
+
+def test_rows_without_ids_come_last(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(None, text), (2**63 - 1, text), (None, text + " more")]
+    found = substrings.without_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert {r["doc_id"]: r["n_removed"] for r in found.collect() if r["doc_id"]} == {2**63 - 1: 0}
+    assert sorted(r["n_removed"] for r in found.collect()) == [0, 30, 30]
 
 
 def test_substrings_equal_brute_force(spark, small_docs, odd_docs):

@@ -61,3 +61,14 @@ def test_stages_take_empty_and_odd_tables(spark, sf_dir):
     for docs in (odd, odd.limit(0)):
         for _, stage in corpus_pipeline.STAGES:
             stage(spark, docs, sf_dir).count()
+
+
+def test_columns_with_names_the_stages_use(spark, sf_dir):
+    columns = "doc_id bigint, text string, lang string, source string, n_chars bigint, N_Words string, n_removed int, _kept_id int, _KEPT_HASH int, _hit int"
+    body = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, body, "en", "a", 1, "x", 2, 3, 4, 5), (2, body + " more", "en", "a", 1, "y", 2, 3, 4, 5)]
+    docs = spark.createDataFrame(rows, columns)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, docs, sf_dir)
+        assert found.columns == docs.columns
+        assert all(tuple(r)[5:] in {t[5:] for t in rows} for r in found.collect())

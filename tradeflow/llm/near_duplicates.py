@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradeflow.llm.components import components
-from tradeflow.llm.text import Words, chunks, dealt, gathered, gram_hashes, mix, split_words
+from tradeflow.llm.text import Words, chunks, dealt, free_names, gathered, gram_hashes, mix, split_words
 from tradeflow.workspace import new_folder, settled
 
 SHINGLE = 5
@@ -90,7 +90,7 @@ def _numbered(parts: np.ndarray, size: int) -> np.ndarray:
 
 def exact_shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Text number and shingle of every shingle; shingles are equal if their words are, byte by byte."""
-    number, counts, left = words.numbers(), words.counts, words.left()
+    number, counts, left = words.distinct()[1], words.counts, words.left()
     texts, values = [], []
     for n in range(1, size + 1):
         at = np.flatnonzero(left >= size) if n == size else words.bounds[np.flatnonzero(counts == n)]
@@ -297,7 +297,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
     """The rows of ``docs`` that stand for their class, with their columns."""
+    kept_id, kept_hash = free_names(docs.columns, "_kept_id", "_kept_hash")
     kept = near_duplicates(docs, id_col, text_col, **settings).where("is_kept").select(
-        F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash"))
-    same = F.col(id_col).eqNullSafe(F.col("_kept_id")) & (F.xxhash64(text_col) == F.col("_kept_hash"))
+        F.col("doc_id").alias(kept_id), F.col("text_hash").alias(kept_hash))
+    same = F.col(id_col).eqNullSafe(F.col(kept_id)) & (F.xxhash64(text_col) == F.col(kept_hash))
     return docs.join(kept, same, "left_semi")

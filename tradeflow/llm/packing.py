@@ -29,13 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradeflow.llm.text import chunks, slices
+from tradeflow.llm.text import Words, chunks, slices, split_words
 from tradeflow.workspace import new_folder, settled
 
 CAPACITY = 4096
 END = 1  # closes each document
-CACHED_WORDS = 500_000
-CACHED_BYTES = 32 << 20
+CACHED_WORDS = 1_000_000
+CACHED_BYTES = 64 << 20
 ENCODED_WORDS = 4096  # words given to the tokenizer at once
 CHUNK_BYTES = 4 << 20
 
@@ -61,10 +61,7 @@ class WordIds:
         count = np.fromiter(map(len, coded), np.int64, len(coded))
         return count, np.fromiter((i for x in coded for i in x), np.uint32, int(count.sum()))
 
-    def _learn(self, words: set[bytes]) -> None:
-        new = list(words - self.known.keys())
-        if not new:
-            return
+    def _learn(self, new: list[bytes]) -> None:
         texts = [w.decode() for w in new]
         coded = [self._encode(texts[i : i + ENCODED_WORDS]) for i in range(0, len(texts), ENCODED_WORDS)]
         count = np.concatenate([c for c, _ in coded])
@@ -74,17 +71,17 @@ class WordIds:
         self.ids = np.concatenate([self.ids, *[ids for _, ids in coded]])
         self.held += sum(map(len, new))
 
-    def of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all words one after the other, and how many ids each text has."""
+    def of(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words one after the other, and how many each word has."""
         if len(self.known) > CACHED_WORDS or self.held > CACHED_BYTES:
             self.clear()
-        words = [text.split() for text in texts]  # at the ASCII white space
-        self._learn(set().union(*words))
-        each = np.fromiter(map(len, words), np.int64, len(words))
-        at = np.fromiter((self.known[w] for own in words for w in own), np.int64, int(each.sum()))
+        places, which = words.distinct()
+        told = [words.word(i) for i in places]
+        if new := [w for w in told if w not in self.known]:
+            self._learn(new)
+        at = np.fromiter(map(self.known.__getitem__, told), np.int64, len(told))[which]
         count = self.count[at]
-        ends = np.append(0, np.cumsum(count))[np.append(0, np.cumsum(each))]
-        return self.ids[np.repeat(self.begin[at], count) + slices(count)], np.diff(ends)
+        return self.ids[np.repeat(self.begin[at], count) + slices(count)], count
 
 
 def _word_ids(model: str) -> WordIds:
@@ -102,9 +99,10 @@ def _word_ids(model: str) -> WordIds:
 def _pieces(batches: Iterable[pa.RecordBatch], model: str, capacity: int, end: int) -> Iterator[pa.RecordBatch]:
     coder = _word_ids(model)
     for batch in chunks(batches, "text", CHUNK_BYTES):
-        texts = batch.column("text").cast(pa.large_binary()).to_pylist()
-        own, sizes = coder.of([text or b"" for text in texts])
-        sizes = sizes + 1
+        words = split_words(batch.column("text"))
+        own, per_word = coder.of(words)
+        sums = np.append(0, np.cumsum(per_word))
+        sizes = np.diff(sums[words.bounds]) + 1
         ends = np.cumsum(sizes)
         ids = np.full(ends[-1] if len(ends) else 0, end, dtype="<u4")
         inner = np.ones(len(ids), dtype=bool)

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeflow.llm.text import ALNUM, chunks, slices, split_words
+from tradeflow.llm.text import ALNUM, chunks, slices, split_words, free_names
 from tradeflow.workspace import new_folder
 
 WINDOW = 10
@@ -276,4 +276,5 @@ def without_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "tex
     folder = new_folder(docs.sparkSession, "phrase-index")
     write_index(docs.select(F.xxhash64(text_col).alias("_hash"), F.col(text_col).alias("text")), folder, "_hash")
     hit = search(docs.sparkSession, folder, items, item_col, item_text_col).where(F.size("matches") > 0)
-    return docs.join(hit.select(F.col("doc_id").alias("_hit")), F.xxhash64(text_col) == F.col("_hit"), "left_anti")
+    (name,) = free_names(docs.columns, "_hit")
+    return docs.join(hit.select(F.col("doc_id").alias(name)), F.xxhash64(text_col) == F.col(name), "left_anti")

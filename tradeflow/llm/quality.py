@@ -27,6 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tradeflow.llm.text import free_names
 from tradeflow.workspace import new_folder, settled
 
 SPACE = r"[\x20\x09-\x0D]"
@@ -169,7 +170,8 @@ def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def kept_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    stratum_col: str = "lang", **settings) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their columns."""
+    kept_id, kept_hash = free_names(docs.columns, "_kept_id", "_kept_hash")
     verdict = judged(docs, labels, id_col, text_col, stratum_col, **settings).where("kept").select(
-        F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash"))
-    same = F.col(id_col).eqNullSafe(F.col("_kept_id")) & (F.xxhash64(text_col) == F.col("_kept_hash"))
+        F.col("doc_id").alias(kept_id), F.col("text_hash").alias(kept_hash))
+    same = F.col(id_col).eqNullSafe(F.col(kept_id)) & (F.xxhash64(text_col) == F.col(kept_hash))
     return docs.join(verdict, same, "left_semi")

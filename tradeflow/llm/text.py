@@ -121,8 +121,8 @@ class Words:
     def hashes(self) -> np.ndarray:
         return word_hashes(self.data, self.starts, self.ends)
 
-    def numbers(self) -> np.ndarray:
-        """Equal numbers for equal words, told apart by their bytes."""
+    def distinct(self) -> tuple[np.ndarray, np.ndarray]:
+        """A place of each different word, told apart by bytes, and which of them every word is."""
         _, first, which = np.unique(self.hashes(), return_index=True, return_inverse=True)
         length, to = self.ends - self.starts, first[which]
         same = length == length[to]
@@ -134,13 +134,19 @@ class Words:
                 break
             keep = _LEAST_BYTES[np.minimum(length[live] - at, 8)]
             same[live] &= (eights[self.starts[live] + at] & keep) == (eights[self.starts[to[live]] + at] & keep)
-        word = lambda i: self.data[self.starts[i] : self.ends[i]].tobytes()
         for i in live[length[live] > _LONG]:
-            same[i] &= word(i) == word(to[i])
+            same[i] &= self.word(i) == self.word(to[i])
         others: dict[bytes, int] = {}
-        for i in np.flatnonzero(~same):
-            which[i] = len(first) + others.setdefault(word(i), len(others))
-        return which
+        more: list[int] = []
+        for i in np.flatnonzero(~same):  # words of one hash
+            number = others.setdefault(self.word(i), len(others))
+            if number == len(more):
+                more.append(i)
+            which[i] = len(first) + number
+        return np.append(first, np.array(more, first.dtype)), which
+
+    def word(self, i: int) -> bytes:
+        return self.data[self.starts[i] : self.ends[i]].tobytes()
 
     def text_of_word(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.bounds) - 1), self.counts)
@@ -213,3 +219,15 @@ def gathered(batches: Iterable[pa.RecordBatch], kinds: dict[str, type]) -> dict[
         for name in kinds:
             parts[name] += [x for x in batch.column(name).to_pylist() if x]
     return {name: np.frombuffer(b"".join(parts[name]), dtype=kind) for name, kind in kinds.items()}
+
+
+def free_names(taken: Iterable[str], *wanted: str) -> list[str]:
+    """``wanted``, with underscores added where a column of that name is taken, whatever its case."""
+    taken = {name.lower() for name in taken}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
