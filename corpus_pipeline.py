@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeflow.llm import near_duplicates, packing, phrases, quality, substrings
+from tradeflow.llm.text import free_names
 from tradeflow.workspace import new_folder, settled
 
 TOKENIZER = "word_bpe_49k.json"
@@ -31,12 +32,14 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that an earlier document has are cut; a document of which no word is left goes."""
-    cut = substrings.without_repeats(docs, rewrite=True)
+    own = [c for c in docs.columns if c.lower() in ("n_words", "n_removed", "kept_text")]  # names the operator gives
+    aside = dict(zip(own, free_names(docs.columns, *[f"_own_{c}" for c in own]), strict=True))
+    cut = substrings.without_repeats(docs.withColumnsRenamed(aside), rewrite=True)
     left = cut.where("n_removed = 0 or n_removed < n_words")
     changed = F.col("n_removed") > 0
-    return left.withColumn("text", F.col("kept_text")).withColumn(
-        "n_chars", F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    ).select(docs.columns)
+    left = left.withColumn("text", F.col("kept_text")).withColumn(
+        "n_chars", F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return left.select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
