@@ -47,9 +47,9 @@ from tradeflow.operators.joins import lookup_join
 from tradeflow.workspace import new_folder, settled
 
 CHUNK_BYTES = 4 << 20
-HELD_UNITS = 700_000
-HELD_BYTES = 64 << 20
-ENCODED = 16_384  # units aligned at once
+HELD_UNITS = 400_000
+HELD_BYTES = 40 << 20
+ENCODED = 8192  # units aligned at once
 TOGETHER = 256  # units in one text given to a tokenizer
 _WHITE = [chr(c) for c in range(0x3001) if chr(c).isspace()]
 SPACE = "▁"  # how sentencepiece writes a space
