@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from bindings.landing import deliver
+from bindings.landing import deliver, whole_files
 from tradeflow.sources.driver_tables import raw_table
 from tradeflow.sources.formats import FEEDS
 from tradeflow.streaming.ingest import load_new_files
@@ -13,8 +13,9 @@ from tradeflow.workspace import new_folder
 
 DELIVERIES = 3
 
-_stages: dict[tuple[str, str], str] = {}
-_roots: dict[tuple[str, str], str] = {}
+# Folder and the feeds that are in it, by application and tables.
+_stages: dict[tuple[str, str], tuple[str, set[str]]] = {}
+_roots: dict[tuple[str, str], tuple[str, set[str]]] = {}
 
 
 def delivery_of(feed: str) -> Column:
@@ -29,36 +30,36 @@ def files_per_delivery(spark: SparkSession) -> int:
 
 
 def deliver_feed(spark: SparkSession, sf_dir: str, feed: str, stage: str, batches=range(1, DELIVERIES + 1)):
-    rows = raw_table(spark, sf_dir, FEEDS[feed].table)
+    rows = whole_files(raw_table(spark, sf_dir, FEEDS[feed].table))
     for batch in batches:
         deliver(rows.where(delivery_of(feed) == batch), feed, stage, batch, files_per_delivery(spark))
 
 
-def stage_with_everything(spark: SparkSession, sf_dir: str) -> str:
-    """One stage holding every delivery of all three feeds, written once."""
+def stage_with(spark: SparkSession, sf_dir: str, *feeds: str) -> str:
+    """The stage all feeds share, with every delivery of at least ``feeds``; each feed is put there once."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _stages:
-        stage = new_folder(spark, "stage")
-        for feed in FEEDS:
+    stage, there = _stages.setdefault(key, (new_folder(spark, "stage"), set()))
+    for feed in feeds:
+        if feed not in there:
             deliver_feed(spark, sf_dir, feed, stage)
-        _stages[key] = stage
-    return _stages[key]
+            there.add(feed)
+    return stage
 
 
 def load_by_delivery(spark: SparkSession, sf_dir: str, feed: str, root: str, then=None):
     """Load a feed's deliveries as one micro-batch each."""
-    stage = stage_with_everything(spark, sf_dir)
+    stage = stage_with(spark, sf_dir, feed)
     return load_new_files(
         spark, feed, stage, root, files_per_batch=files_per_delivery(spark), then=then
     )
 
 
-def loaded_root(spark: SparkSession, sf_dir: str) -> str:
-    """A root with all feeds loaded, three batches each. Only to be read."""
+def loaded_root(spark: SparkSession, sf_dir: str, *feeds: str) -> str:
+    """A root with at least ``feeds`` loaded, three batches each. Only to be read."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _roots:
-        root = new_folder(spark, "loaded")
-        for feed in FEEDS:
+    root, there = _roots.setdefault(key, (new_folder(spark, "loaded"), set()))
+    for feed in feeds:
+        if feed not in there:
             load_by_delivery(spark, sf_dir, feed, root)
-        _roots[key] = root
-    return _roots[key]
+            there.add(feed)
+    return root

@@ -12,53 +12,63 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tradeflow.workspace import Store
+
 # Fixed value: how a delivery is named; parts of one share a folder.
 _DELIVERY = "{feed}_20260108_0930{batch:02d}_batch{batch:03d}"
 
-ROWS_PER_FILE = 200_000
-
-
 def _array_files(folder: str):
-    """A task that writes its partition's JSON objects as array files.
+    """A task that writes its partition's JSON objects as one array file.
 
-    Spark's JSON writer only makes one object per line. A file's rows are
-    bounded. It is written under a name of its own and renamed, so a copy of the task can't spoil it; the final name depends on
-    the partition alone, so a task run again replaces its own files.
+    Spark's JSON writer only makes one object per line. A task holds one batch of rows, whatever the
+    size of its file. It is written under a name of its own and renamed, so a copy of the task can't spoil it; the final name depends on
+    the partition alone, so a task run again replaces its own file.
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         store, base = fs.FileSystem.from_uri(re.sub("^file:/+", "/", folder))
         store.create_dir(base)
-        held, n, number = [], 0, 0
-
-        def put() -> None:
-            own = f"{base}/_{uuid.uuid4().hex}"
-            with store.open_output_stream(own) as out:
-                out.write(("[\n" + ",\n".join(held) + "\n]\n").encode())
-            store.move(own, f"{base}/part-{part:05d}-{number:05d}.json")
-
-        for batch in batches:
-            held += batch.column(0).to_pylist()
-            n += batch.num_rows
-            if len(held) >= ROWS_PER_FILE:
-                put()
-                held, number = [], number + 1
-        if held or not n:
-            put()
+        own, n = f"{base}/_{uuid.uuid4().hex}", 0
+        with store.open_output_stream(own) as out:
+            out.write(b"[\n")
+            for batch in batches:
+                if batch.num_rows:
+                    out.write(((",\n" if n else "") + ",\n".join(batch.column(0).to_pylist())).encode())
+                    n += batch.num_rows
+            out.write(b"\n]\n")
+        store.move(own, f"{base}/part-{part:05d}-00000.json")
         yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
 
     return write
 
 
+def whole_files(table: DataFrame) -> DataFrame:
+    """A written table, read by one task a file."""
+    own = table.sparkSession.newSession()
+    for name in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+        own.conf.set(name, "1t")
+    return own.read.schema(table.schema).parquet(*table.inputFiles())
+
+
 def deliver(rows: DataFrame, feed: str, stage: str, batch: int, files: int | None = None) -> str:
-    """Write ``rows`` as delivery number ``batch`` of ``feed`` below ``stage``."""
-    rows = rows if files is None else rows.repartition(files)
+    """Write ``rows`` as delivery number ``batch`` of ``feed`` below ``stage``, in ``files`` files if there are as many rows.
+
+    Where as many tasks read the rows, these are put together, which shuffles nothing.
+    """
+    gathered = files is not None and rows.rdd.getNumPartitions() >= files
+    folder = _write(rows if files is None else rows.coalesce(files) if gathered else rows.repartition(files), feed, stage, batch)
+    if gathered and sum(not n.startswith(("_", ".")) for n in Store(rows.sparkSession, folder).sizes()) < files:
+        _write(rows.repartition(files), feed, stage, batch)  # a task had no row of this delivery
+    return folder
+
+
+def _write(rows: DataFrame, feed: str, stage: str, batch: int) -> str:
     folder = f"{stage}/{_DELIVERY.format(feed=feed, batch=batch)}"
     if feed == "trades":
         # A timestamp becomes text by cast, which no session zone can shift.
         text = rows.select([F.col(c).cast("string").alias(c.upper()) for c in rows.columns])
-        text.write.options(header=True, quote='"', escape='"').csv(folder)
+        text.write.mode("overwrite").options(header=True, quote='"', escape='"').csv(folder)
     elif feed == "market_events":
         objects = rows.select(
             F.to_json(
@@ -75,5 +85,5 @@ def deliver(rows: DataFrame, feed: str, stage: str, batch: int, files: int | Non
         numbers = {"quantity": "bigint", "updated_at": "string"}
         kinds = {c: numbers.get(c, "double") for c in rows.columns}
         kinds.update(symbol="string", account_id="string")
-        rows.select([F.col(c).cast(kinds[c]).alias(c) for c in rows.columns]).write.parquet(folder)
+        rows.select([F.col(c).cast(kinds[c]).alias(c) for c in rows.columns]).write.mode("overwrite").parquet(folder)
     return folder
