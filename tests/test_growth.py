@@ -58,3 +58,26 @@ def test_a_query_stages_its_own_feeds(spark):
     assert all("positions" in n for n in subfolders(spark, stage)) and len(subfolders(spark, stage)) == deliveries.DELIVERIES
     assert deliveries.stage_with(spark, mine, "positions", "trades") == stage
     assert len(subfolders(spark, stage)) == 2 * deliveries.DELIVERIES
+
+
+@pytest.fixture
+def small_ranges(spark):
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {n: spark.conf.get(n) for n in names}
+    for n in names:
+        spark.conf.set(n, "2k")
+    yield
+    for n, value in before.items():
+        spark.conf.set(n, value)
+
+
+def test_many_small_ranges_take_few_tasks(spark, tmp_path, small_ranges, monkeypatch):
+    monkeypatch.setattr(json_arrays, "RANGES_AT_ONCE", 50)  # their starts don't fit one broadcast
+    rows = [{"EVENT_TYPE": f"e{i}", "SYMBOL": "}" * (i % 90), "EVENT_ATTR": {"n": i}} for i in range(9000)]
+    for k in range(3):
+        Path(tmp_path, f"events_{k}.json").write_text(json.dumps(rows[k * 3000:(k + 1) * 3000]))
+    pieces = spark.read.text(str(tmp_path), lineSep="}")
+    assert pieces.rdd.getNumPartitions() > 300
+    assert json_arrays._gathered(pieces).rdd.getNumPartitions() <= 16 * spark.sparkContext.defaultParallelism
+    found = scan(spark, FEEDS["market_events"], str(tmp_path))
+    assert bag(found, "event_type", "symbol") == {(r["EVENT_TYPE"], r["SYMBOL"]): 1 for r in rows}

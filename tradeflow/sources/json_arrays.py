@@ -11,8 +11,8 @@ a parallel prefix scan:
 3. each range is cut at the commas of depth one. What is open at a border comes as
    fragments, which are put together by file and order.
 
-Files that Spark never splits are read once. A task holds one batch of pieces and
-one unfinished element. Elements leave as text; what they hold is parsed by Spark.
+Files that Spark never splits are read once. A task reads one range after the other, and
+holds one batch of pieces and one unfinished element. Elements leave as text; what they hold is parsed by Spark.
 
 A file holds one array or several one after the other; an empty array has no
 elements. Anything else stops the read, but for files of no bytes, which Spark
@@ -21,16 +21,17 @@ doesn't list.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tradeflow.operators.joins import fits_broadcast
 from tradeflow.workspace import new_folder, settled
 
 _END = b"}"
@@ -39,6 +40,14 @@ _MARK = b"\xef\xbb\xbf"
 _QUOTE, _SLASH, _COMMA, _OPEN, _CLOSE = b'"\\,[]'
 _NEST = np.zeros(256, dtype=np.int8)
 _NEST[[ord("["), ord("{")]], _NEST[[ord("]"), ord("}")]] = 1, -1
+# All bytes but quotes, brackets and braces; a table of those and commas; what a backslash takes its meaning from.
+_PLAIN = bytes(b for b in range(256) if b not in b'"[]{}')
+_MARKED = bytes(b in b'",[]{}' for b in range(256))
+_ESCAPES = re.compile(rb'\\[\\"]')
+# A task reads so much at least where its ranges are smaller, and there are ranges enough for all cores.
+TASK_BYTES = 16 * 1024 * 1024
+# So many ranges' starts are broadcast at once: a path and five numbers each.
+RANGES_AT_ONCE = 200_000
 # Pieces of an open element: it begins in the range, runs through it, or ends in it.
 BEGINS, RUNS, ENDS = 2, 1, 0
 
@@ -56,6 +65,17 @@ def _unescaped_quotes(data: np.ndarray) -> np.ndarray:
     return quotes
 
 
+def _signs(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the text has commas, brackets, braces and quotes that are not escaped, and which."""
+    data = np.frombuffer(text, dtype=np.uint8)
+    places = np.flatnonzero(np.frombuffer(text.translate(_MARKED), dtype=np.bool_))
+    signs = data[places]
+    if b"\\" in text:
+        kept = (signs != _QUOTE) | _unescaped_quotes(data)[places]
+        places, signs = places[kept], signs[kept]
+    return places, signs
+
+
 @dataclass
 class Shape:
     """What a text does to the state it is met in: outside a string (0) or inside (1)."""
@@ -65,13 +85,17 @@ class Shape:
     size: int = 0
 
     def add(self, text: bytes) -> None:
-        data = np.frombuffer(text, dtype=np.uint8)
-        quotes = np.cumsum(_unescaped_quotes(data), dtype=np.uint8)
+        if b"\\" in text:
+            text, size = _ESCAPES.sub(b"", text), len(text)
+        else:
+            size = len(text)
+        data = np.frombuffer(text.translate(None, _PLAIN), dtype=np.uint8)
+        quotes = np.cumsum(data == _QUOTE, dtype=np.uint8)
         apart, nest = quotes & 1 == 0, _NEST[data]
         sums = int(nest[apart].sum(dtype=np.int64)), int(nest[~apart].sum(dtype=np.int64))
         self.nests = [self.nests[s] + sums[s ^ self.flips] for s in (0, 1)]
         self.flips ^= int(quotes[-1]) & 1 if len(quotes) else 0
-        self.size += len(text)
+        self.size += size
 
 
 @dataclass
@@ -94,25 +118,25 @@ class Cutter:
         return ValueError(f"malformed JSON, {what}: {self.name}")
 
     def elements(self, text: bytes) -> list[bytes]:
-        data = np.frombuffer(text, dtype=np.uint8)
-        quotes = _unescaped_quotes(data)
+        places, signs = _signs(text)
+        quotes = signs == _QUOTE
         outside = ((np.cumsum(quotes, dtype=np.uint8) & 1) ^ self.inside == 0) & ~quotes
-        nest = np.where(outside, _NEST[data], 0)
+        nest = np.where(outside, _NEST[signs], 0)
         depth = self.depth + np.cumsum(nest, dtype=np.int64)
         if len(depth) and depth.min() < 0:
             raise self.malformed("a bracket closes nothing")
-        marks = np.flatnonzero(outside & ((data == _COMMA) & (depth == 1) | (depth == 0) & (nest < 0) | (depth == 1) & (nest > 0)))
+        marks = np.flatnonzero(outside & ((signs == _COMMA) & (depth == 1) | (depth == 0) & (nest < 0) | (depth == 1) & (nest > 0)))
         found, at = [], 0
-        for mark in marks.tolist():
-            sign, part = data[mark], text[at:mark]
-            if depth[mark] == 1 and sign != _COMMA:
+        for mark, sign, level in zip(places[marks].tolist(), signs[marks].tolist(), depth[marks].tolist(), strict=True):
+            part = text[at:mark]
+            if level == 1 and sign != _COMMA:
                 if sign != _OPEN:
                     raise self.malformed("not an array")
                 self.gap(part)
                 self.begun = self.opened = True
                 self.arrays += 1
             else:
-                if depth[mark] == 0 and sign != _CLOSE:
+                if level == 0 and sign != _CLOSE:
                     raise self.malformed("an array ends with a brace")
                 self.held.append(part)
                 self.close(found, last=sign == _CLOSE)
@@ -149,25 +173,33 @@ class Cutter:
             self.fragments.append((kind, b"".join(self.held), self.opened and self.begun, False))
 
 
+def _borders(batch: pa.RecordBatch) -> list[int]:
+    """Where runs of one range begin in a batch, and its end. Path and start tell ranges apart."""
+    n = batch.num_rows
+    if not n:
+        return [0]
+    path = batch.column("path").dictionary_encode().indices.to_numpy()
+    start = batch.column("start").to_numpy()
+    new = np.flatnonzero((path[1:] != path[:-1]) | (start[1:] != start[:-1])) + 1
+    return [0, *new.tolist(), n]
+
+
 def _ranges(batches: Iterable[pa.RecordBatch], part: Callable[[tuple, bytes], Iterable], end: Callable[[tuple], Iterable]) -> Iterator:
     """Calls ``part`` with the text of each range, bit by bit, then ``end``. Ranges of a task come one after the other.
 
     A piece lost its brace; the last one of a file may have had none.
     """
-    names, now, pieces = None, None, 0
+    now, pieces = None, 0
     for batch in batches:
-        names = batch.schema.names[1:]
-        keys = list(zip(*[batch.column(n).to_pylist() for n in names], strict=True))
-        values = batch.column(0).to_pylist()
-        cuts = [0, *[i for i in range(1, len(keys)) if keys[i] != keys[i - 1]], len(keys)]
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            if a == b:
-                continue
-            if keys[a] != now:
+        cuts = _borders(batch)
+        runs = pc.binary_join(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), batch.column(0)), _END)
+        for a, b, run in zip(cuts[:-1], cuts[1:], runs, strict=True):
+            key = tuple(batch.column(i)[a].as_py() for i in range(1, batch.num_columns))
+            if key != now:
                 if now is not None:
                     yield from end(now)
-                now, pieces = keys[a], 0
-            text = _END.join(values[a:b])
+                now, pieces = key, 0
+            text = run.as_py()
             yield from part(now, _END + text if pieces else text)
             pieces += b - a
     if now is not None:
@@ -231,7 +263,7 @@ def _cut(batches: Iterable[pa.RecordBatch], fragments: bool) -> Iterator[pa.Reco
 def _rows(found: list[bytes], path: str) -> Iterator[pa.RecordBatch]:
     for at in range(0, len(found), 10_000):
         some = found[at : at + 10_000]
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.binary()).cast(pa.string()), pa.array([path] * len(some))],
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.binary()).cast(pa.string()), pa.repeat(pa.scalar(path), len(some))],
                                          names=["element", "_src_file"])
 
 
@@ -291,14 +323,29 @@ def array_elements(spark: SparkSession, read: Callable[[str, dict], DataFrame],
     found = small.mapInArrow(_cut_whole, schema)
     if not read("binaryFile", {}).where(wanted & (F.col("length") > most)).limit(1).count():
         return found
-    large = _pieces(read, wanted & (size > most))
-    starts = _starts(spark, large)
-    if not fits_broadcast(starts):
-        raise ValueError("the files have too many ranges; raise spark.sql.files.maxPartitionBytes")
-    # One row per range, of a size that was counted. The join keeps the pieces of a range together and in order.
-    placed = large.join(F.broadcast(starts), ["path", "start"], "left").select("value", "path", "start", "inside", "depth", "last", "closed")
-    parts = placed.mapInArrow(lambda batches: _cut(batches, True), "path string, start bigint, kind int, text string, first boolean, last boolean")
-    return found.unionByName(placed.mapInArrow(lambda batches: _cut(batches, False), schema)).unionByName(_put_together(parts))
+    starts = _starts(spark, _gathered(_pieces(read, wanted & (size > most))))
+    # The starts of as many ranges as may be broadcast at once; ranges of a file stay together.
+    groups = max(1, math.ceil(starts.count() / RANGES_AT_ONCE))
+    for group in range(groups):
+        def own(path: Column) -> Column:
+            return F.lit(True) if groups == 1 else F.pmod(F.xxhash64(path), F.lit(groups)) == group
+
+        pieces = _gathered(_pieces(read, wanted & (size > most) & own(F.col("_metadata.file_path"))))
+        # One row per range. The join keeps the pieces of a range together and in order.
+        known = F.broadcast(starts.where(own(F.col("path"))))
+        placed = pieces.join(known, ["path", "start"], "left").select("value", "path", "start", "inside", "depth", "last", "closed")
+        parts = placed.mapInArrow(lambda batches: _cut(batches, True), "path string, start bigint, kind int, text string, first boolean, last boolean")
+        found = found.unionByName(placed.mapInArrow(lambda batches: _cut(batches, False), schema)).unionByName(_put_together(parts))
+    return found
+
+
+def _gathered(pieces: DataFrame) -> DataFrame:
+    """Small ranges are read by tasks of several; one range stays one task where it is large, or where they are few."""
+    spark = pieces.sparkSession
+    ranges = pieces.rdd.getNumPartitions()
+    most = max(1, TASK_BYTES // _bytes(spark, "spark.sql.files.maxPartitionBytes"))
+    tasks = max(math.ceil(ranges / most), min(ranges, 16 * spark.sparkContext.defaultParallelism))
+    return pieces.coalesce(tasks) if tasks < ranges else pieces
 
 
 def _cut_whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
