@@ -81,3 +81,23 @@ def test_many_small_ranges_take_few_tasks(spark, tmp_path, small_ranges, monkeyp
     assert json_arrays._gathered(pieces).rdd.getNumPartitions() <= 16 * spark.sparkContext.defaultParallelism
     found = scan(spark, FEEDS["market_events"], str(tmp_path))
     assert bag(found, "event_type", "symbol") == {(r["EVENT_TYPE"], r["SYMBOL"]): 1 for r in rows}
+
+
+def test_a_batch_of_events_is_published_by_slot_and_once(spark, tmp_path, root, monkeypatch):
+    monkeypatch.setattr(live, "ROWS_PER_SLOT", 50)
+    rng = random.Random(4)
+    land_events(str(tmp_path), "events_1.json", [
+        {"EVENT_TS": "2025-11-03 09:00:00", "SYMBOL": str(rng.randrange(90)), "EVENT_TYPE": "x", "EVENT_ATTR": {}} for _ in range(300)])
+    ingest.load_new_files(spark, "market_events", str(tmp_path), root)
+    live.count_events(spark, root)
+    batch = f"{live._published(root)}/_batch=0"
+    slots = subfolders(spark, batch)
+    assert len(slots) > 3 and all(len([n for n in Store(spark, f"{batch}/{s}").sizes() if n.endswith(".parquet")]) == 1 for s in slots)
+    # A publication that was lost before its last slots were in place.
+    Store(spark, batch).drop("_SUCCESS")
+    Store(spark, f"{batch}/{slots[0]}").remove()
+    assert live.publish_events(spark, root) == [0] and live.publish_events(spark, root) == []
+    assert sorted(subfolders(spark, batch)) == sorted(slots)
+    assert all(len([n for n in Store(spark, f"{batch}/{s}").sizes() if n.endswith(".parquet")]) == 1 for s in slots)
+    whole = spark.read.schema(rollups.EVENT_SUMMARY.schema).option("recursiveFileLookup", True).parquet(batch)
+    assert bag(whole) == bag(rollups.EVENT_SUMMARY.query(ingest.raw_rows(spark, root, "market_events_raw")))

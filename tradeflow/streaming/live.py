@@ -4,8 +4,8 @@ Both follow loaded batches, and each run takes in what has been published since
 the last one; the checkpoint goes on from there after a restart. State lies in
 RocksDB on the executors, and has no watermark: a row that comes late counts.
 
-* Event counts: every loaded batch is published once as partial counts, in one
-  file named by the batch. The stream adds them up per group.
+* Event counts: every loaded batch is published once as partial counts, dealt by
+  group over slots of one file each. The stream adds them up per group.
 * Distinct accounts: loaded positions are reduced to (symbol, account) pairs met
   for the first time, which feed a count per symbol. A batch that is stored anew
   brings no new pairs, so replays change nothing.
@@ -16,6 +16,7 @@ replaces. Totals only grow, so a reader takes the greatest of each group.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +35,8 @@ ACCOUNT_COUNTS = MaintainedTable(
     "account_counts_live", "curated",
     StructType([StructField("symbol", StringType()), StructField("account_count", LongType())]), "0")
 _KEYS = {EVENT_COUNTS.name: ["event_hour", "symbol", "event_type"], ACCOUNT_COUNTS.name: ["symbol"]}
+# A batch is published in a slot for each so many of its rows.
+ROWS_PER_SLOT = 500_000
 # After so many triggers what they wrote is put together.
 FOLD_AFTER = 32
 
@@ -46,19 +49,32 @@ def _updates(root: str, table: MaintainedTable) -> str:
     return f"{root}/updates/{table.name}"
 
 
+def _files(spark: SparkSession, folder: str) -> bool:
+    return any(f.endswith(".parquet") for f in Store(spark, folder).sizes())
+
+
 def publish_events(spark: SparkSession, root: str) -> list[int]:
     """Publish the loaded batches of events that are not yet; their numbers.
 
-    One file a batch: Spark moves it to its place when it is complete, so it is
-    there as a whole or not at all, and a batch is never published twice.
+    A slot has one file, written by one task: Spark moves it to its place when it is complete, so it is
+    there as a whole or not at all. Which slot a group is in follows from the load log alone, so a batch
+    whose publication was lost gets the slots it lacks, and nothing is published twice.
     """
-    there = {int(n.removeprefix("_batch=")) for n in subfolders(spark, _published(root))
-             if any(f.endswith(".parquet") for f in Store(spark, f"{_published(root)}/{n}").sizes())}
-    loaded = {r["_batch"] for r in load_log(spark, root, "market_events_raw").select("_batch").distinct().collect()}
-    for batch in sorted(loaded - there):
+    log = load_log(spark, root, "market_events_raw").groupBy("_batch").agg(F.sum("row_count").alias("n"))
+    new = []
+    for batch, n in sorted((r["_batch"], r["n"] or 0) for r in log.collect()):
+        folder = f"{_published(root)}/_batch={batch}"
+        if Store(spark, folder).has("_SUCCESS") or _files(spark, folder):  # or published as one file
+            continue
+        slots = max(1, math.ceil(n / ROWS_PER_SLOT))
+        there = [int(s.removeprefix("_slot=")) for s in subfolders(spark, folder) if s.startswith("_slot=") and _files(spark, f"{folder}/{s}")]
         rows = raw_rows(spark, root, "market_events_raw", after=batch - 1, upto=batch).where(F.col("_batch") == batch)
-        EVENT_SUMMARY.partial(rows).coalesce(1).write.mode("overwrite").parquet(f"{_published(root)}/_batch={batch}")
-    return sorted(loaded - there)
+        counts = EVENT_SUMMARY.partial(rows).withColumn("_slot", F.pmod(F.xxhash64(*EVENT_SUMMARY.keys), F.lit(slots)))
+        lacking = counts.where(~F.col("_slot").isin(there)).repartition(slots, "_slot")
+        options = {"maxRecordsPerFile": 0, "mapreduce.fileoutputcommitter.marksuccessfuljobs": "true"}
+        lacking.write.mode("append").options(**options).partitionBy("_slot").parquet(folder)
+        new.append(batch)
+    return new
 
 
 def _advance(spark: SparkSession, root: str, table: MaintainedTable, totals: DataFrame) -> None:
