@@ -101,3 +101,17 @@ def test_a_batch_of_events_is_published_by_slot_and_once(spark, tmp_path, root,
     assert all(len([n for n in Store(spark, f"{batch}/{s}").sizes() if n.endswith(".parquet")]) == 1 for s in slots)
     whole = spark.read.schema(rollups.EVENT_SUMMARY.schema).option("recursiveFileLookup", True).parquet(batch)
     assert bag(whole) == bag(rollups.EVENT_SUMMARY.query(ingest.raw_rows(spark, root, "market_events_raw")))
+
+
+def test_a_full_refresh_writes_its_rows_once(spark, tmp_path, root):
+    table = refresh.POSITION_SUMMARY_DT
+    rows = spark.createDataFrame(random_positions(random.Random(7), 60), POSITIONS)
+    landing.deliver(rows, "positions", str(tmp_path), 1, 2)
+    ingest.load_new_files(spark, "positions", str(tmp_path), root)
+    table.refresh(spark, root)
+    table.refresh_fully(spark, root)
+    table.compact(spark, root)
+    assert not subfolders(spark, f"{root}/scratch")
+    assert bag(table.read(spark, root)) == bag(table.rollup.query(rows))
+    at = table.table.last_refresh(spark, root)
+    assert set(at["first_version"].values()) == {3} and refresh.FRESH in at["first_version"]
