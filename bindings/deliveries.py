@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,8 @@ from tradeflow.streaming.ingest import load_new_files
 from tradeflow.workspace import new_folder
 
 DELIVERIES = 3
+# About so many events a file, which a pipe reads as one text.
+EVENTS_PER_FILE = 150_000
 
 # Folder and the feeds that are in it, by application and tables.
 _stages: dict[tuple[str, str], tuple[str, set[str]]] = {}
@@ -31,8 +35,16 @@ def files_per_delivery(spark: SparkSession) -> int:
 
 def deliver_feed(spark: SparkSession, sf_dir: str, feed: str, stage: str, batches=range(1, DELIVERIES + 1)):
     rows = whole_files(raw_table(spark, sf_dir, FEEDS[feed].table))
+    files = files_per_delivery(spark)
     for batch in batches:
-        deliver(rows.where(delivery_of(feed) == batch), feed, stage, batch, files_per_delivery(spark))
+        deliver(rows.where(delivery_of(feed) == batch), feed, stage, batch, files, files_a_task(spark, sf_dir, feed))
+
+
+def files_a_task(spark: SparkSession, sf_dir: str, feed: str) -> int:
+    """How many files each task of a delivery writes."""
+    if feed != "market_events":
+        return 1
+    return max(1, math.ceil(raw_table(spark, sf_dir, FEEDS[feed].table).count() / (DELIVERIES * files_per_delivery(spark) * EVENTS_PER_FILE)))
 
 
 def stage_with(spark: SparkSession, sf_dir: str, *feeds: str) -> str:
@@ -49,9 +61,8 @@ def stage_with(spark: SparkSession, sf_dir: str, *feeds: str) -> str:
 def load_by_delivery(spark: SparkSession, sf_dir: str, feed: str, root: str, then=None):
     """Load a feed's deliveries as one micro-batch each."""
     stage = stage_with(spark, sf_dir, feed)
-    return load_new_files(
-        spark, feed, stage, root, files_per_batch=files_per_delivery(spark), then=then
-    )
+    files = files_per_delivery(spark) * files_a_task(spark, sf_dir, feed)
+    return load_new_files(spark, feed, stage, root, files_per_batch=files, then=then)
 
 
 def loaded_root(spark: SparkSession, sf_dir: str, *feeds: str) -> str:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Iterator
+from contextlib import ExitStack
 
 import pyarrow as pa
 from pyarrow import fs
@@ -17,28 +18,32 @@ from tradeflow.workspace import Store
 # Fixed value: how a delivery is named; parts of one share a folder.
 _DELIVERY = "{feed}_20260108_0930{batch:02d}_batch{batch:03d}"
 
-def _array_files(folder: str):
-    """A task that writes its partition's JSON objects as one array file.
+def _array_files(folder: str, files: int = 1):
+    """A task that writes its partition's JSON objects as array files, dealt to them by batches.
 
     Spark's JSON writer only makes one object per line. A task holds one batch of rows, whatever the
-    size of its file. It is written under a name of its own and renamed, so a copy of the task can't spoil it; the final name depends on
-    the partition alone, so a task run again replaces its own file.
+    size of its files. They are written under names of their own and renamed, so a copy of the task can't spoil them; the final
+    names depend on the partition alone, so a task run again replaces its own files.
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         store, base = fs.FileSystem.from_uri(re.sub("^file:/+", "/", folder))
         store.create_dir(base)
-        own, n = f"{base}/_{uuid.uuid4().hex}", 0
-        with store.open_output_stream(own) as out:
-            out.write(b"[\n")
-            for batch in batches:
-                if batch.num_rows:
-                    out.write(((",\n" if n else "") + ",\n".join(batch.column(0).to_pylist())).encode())
-                    n += batch.num_rows
-            out.write(b"\n]\n")
-        store.move(own, f"{base}/part-{part:05d}-00000.json")
-        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
+        own, n = f"{base}/_{uuid.uuid4().hex}", [0] * files
+        with ExitStack() as open_files:
+            out = [open_files.enter_context(store.open_output_stream(f"{own}-{k}")) for k in range(files)]
+            for file in out:
+                file.write(b"[\n")
+            for number, batch in enumerate(b for b in batches if b.num_rows):
+                k = number % files
+                out[k].write(((",\n" if n[k] else "") + ",\n".join(batch.column(0).to_pylist())).encode())
+                n[k] += batch.num_rows
+            for file in out:
+                file.write(b"\n]\n")
+        for k in range(files):
+            store.move(f"{own}-{k}", f"{base}/part-{part:05d}-{k:05d}.json")
+        yield pa.RecordBatch.from_arrays([pa.array([sum(n)], pa.int64())], ["n"])
 
     return write
 
@@ -51,19 +56,19 @@ def whole_files(table: DataFrame) -> DataFrame:
     return own.read.schema(table.schema).parquet(*table.inputFiles())
 
 
-def deliver(rows: DataFrame, feed: str, stage: str, batch: int, files: int | None = None) -> str:
+def deliver(rows: DataFrame, feed: str, stage: str, batch: int, files: int | None = None, files_a_task: int = 1) -> str:
     """Write ``rows`` as delivery number ``batch`` of ``feed`` below ``stage``, in ``files`` files if there are as many rows.
 
-    Where as many tasks read the rows, these are put together, which shuffles nothing.
+    Where as many tasks read the rows, these are put together, which shuffles nothing. Of events, a task may write several files.
     """
     gathered = files is not None and rows.rdd.getNumPartitions() >= files
-    folder = _write(rows if files is None else rows.coalesce(files) if gathered else rows.repartition(files), feed, stage, batch)
+    folder = _write(rows if files is None else rows.coalesce(files) if gathered else rows.repartition(files), feed, stage, batch, files_a_task)
     if gathered and sum(not n.startswith(("_", ".")) for n in Store(rows.sparkSession, folder).sizes()) < files:
-        _write(rows.repartition(files), feed, stage, batch)  # a task had no row of this delivery
+        _write(rows.repartition(files), feed, stage, batch, files_a_task)  # a task had no row of this delivery
     return folder
 
 
-def _write(rows: DataFrame, feed: str, stage: str, batch: int) -> str:
+def _write(rows: DataFrame, feed: str, stage: str, batch: int, files_a_task: int = 1) -> str:
     folder = f"{stage}/{_DELIVERY.format(feed=feed, batch=batch)}"
     if feed == "trades":
         # A timestamp becomes text by cast, which no session zone can shift.
@@ -80,7 +85,7 @@ def _write(rows: DataFrame, feed: str, stage: str, batch: int) -> str:
                 )
             ).alias("value")
         )
-        objects.mapInArrow(_array_files(folder), "n bigint").agg(F.sum("n")).collect()
+        objects.mapInArrow(_array_files(folder, files_a_task), "n bigint").agg(F.sum("n")).collect()
     else:
         numbers = {"quantity": "bigint", "updated_at": "string"}
         kinds = {c: numbers.get(c, "double") for c in rows.columns}

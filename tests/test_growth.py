@@ -71,6 +71,40 @@ def small_ranges(spark):
         spark.conf.set(n, value)
 
 
+def test_a_task_of_a_delivery_writes_several_files_of_events(spark, tmp_path):
+    rows = many_events(spark, 60_000).coalesce(2)
+    folder = landing.deliver(rows, "market_events", str(tmp_path), 1, 2, 3)
+    assert len(files_in(spark, folder)) == 6
+    assert bag(scan(spark, FEEDS["market_events"], str(tmp_path)), "symbol") == bag(rows, "symbol")
+    folder = landing.deliver(many_events(spark, 3), "market_events", str(tmp_path), 2, 1, 3)
+    assert len(files_in(spark, folder)) == 3  # some hold an empty array
+
+
+def test_files_of_a_pipe_are_read_as_one_text(spark, tmp_path, root, monkeypatch):
+    # More than Spark keeps in one range by default, with strings that hold all signs.
+    rows = [{"EVENT_TYPE": f'e{i}"\\}},[{{', "SYMBOL": "x" * 4000, "EVENT_ATTR": {"n": i}} for i in range(1200)]
+    land_events(str(tmp_path), "events_1.json", rows)
+    monkeypatch.setattr(json_arrays, "_starts", None)  # reading by ranges would fail
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    ingest.load_new_files(spark, "market_events", str(tmp_path), root)
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == before
+    assert bag(ingest.raw_rows(spark, root, "market_events_raw"), "event_type", "symbol") == {(r["EVENT_TYPE"], r["SYMBOL"]): 1 for r in rows}
+
+
+def test_a_session_that_names_a_size_keeps_it(spark, small_ranges):
+    with ingest.whole_texts(spark, FEEDS["market_events"]):
+        assert spark.conf.get("spark.sql.files.openCostInBytes") == "2k"
+
+
+def test_parts_of_a_text_end_after_a_brace(monkeypatch):
+    monkeypatch.setattr(json_arrays, "PART_BYTES", 5)
+    text = b'[{"a": "}]\\""}, {"b": {}}] []'
+    parts = list(json_arrays._parts(text))
+    assert b"".join(parts) == text and len(parts) > 2 and all(p.endswith(b"}") for p in parts[:-1])
+    cut = json_arrays.Cutter("t")
+    assert [e for p in parts for e in cut.elements(p)] == [b'{"a": "}]\\""}', b'{"b": {}}']
+
+
 def test_many_small_ranges_take_few_tasks(spark, tmp_path, small_ranges, monkeypatch):
     monkeypatch.setattr(json_arrays, "RANGES_AT_ONCE", 50)  # their starts don't fit one broadcast
     rows = [{"EVENT_TYPE": f"e{i}", "SYMBOL": "}" * (i % 90), "EVENT_ATTR": {"n": i}} for i in range(9000)]

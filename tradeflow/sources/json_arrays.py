@@ -11,8 +11,8 @@ a parallel prefix scan:
 3. each range is cut at the commas of depth one. What is open at a border comes as
    fragments, which are put together by file and order.
 
-Files that Spark never splits are read once. A task reads one range after the other, and
-holds one batch of pieces and one unfinished element. Elements leave as text; what they hold is parsed by Spark.
+Files that Spark never splits are read once, each as one text. For other files a task reads one range after the
+other, and holds one batch of pieces and one unfinished element. Elements leave as text; what they hold is parsed by Spark.
 
 A file holds one array or several one after the other; an empty array has no
 elements. Anything else stops the read, but for files of no bytes, which Spark
@@ -48,6 +48,8 @@ _ESCAPES = re.compile(rb'\\[\\"]')
 TASK_BYTES = 16 * 1024 * 1024
 # So many ranges' starts are broadcast at once: a path and five numbers each.
 RANGES_AT_ONCE = 200_000
+# A text that comes whole is cut in parts of about so many bytes.
+PART_BYTES = 1024 * 1024
 # Pieces of an open element: it begins in the range, runs through it, or ends in it.
 BEGINS, RUNS, ENDS = 2, 1, 0
 
@@ -302,14 +304,15 @@ def _put_together(fragments: DataFrame) -> DataFrame:
     return kept.select(F.when(F.col("element") == "", missing).otherwise(F.col("element")).alias("element"), F.col("path").alias("_src_file"))
 
 
-def _bytes(spark: SparkSession, name: str) -> int:
+def byte_size(spark: SparkSession, name: str) -> int:
+    """A size the session is set to."""
     number, unit = re.fullmatch(r"(\d+)([kmgt]?)b?", spark.conf.get(name).lower()).groups()
     return int(number) << 10 * " kmgt".index(unit or " ")
 
 
 def never_split(spark: SparkSession) -> int:
     """The size up to which Spark reads a file in one range."""
-    return min(_bytes(spark, "spark.sql.files.openCostInBytes"), _bytes(spark, "spark.sql.files.maxPartitionBytes"))
+    return min(byte_size(spark, "spark.sql.files.openCostInBytes"), byte_size(spark, "spark.sql.files.maxPartitionBytes"))
 
 
 def array_elements(spark: SparkSession, read: Callable[[str, dict], DataFrame], wanted: Column) -> DataFrame:
@@ -319,8 +322,8 @@ def array_elements(spark: SparkSession, read: Callable[[str, dict], DataFrame],
     """
     size, schema = F.col("_metadata.file_size"), "element string, _src_file string"
     most = never_split(spark)
-    small = _pieces(read, wanted & (size <= most)).select("value", "path", "start", "size")
-    found = small.mapInArrow(_cut_whole, schema)
+    small = read("text", {"wholetext": True}).where(wanted & (size <= most))
+    found = small.select(F.col("value").cast("binary"), F.col("_metadata.file_path").alias("path")).mapInArrow(_cut_whole, schema)
     if not read("binaryFile", {}).where(wanted & (F.col("length") > most)).limit(1).count():
         return found
     starts = _starts(spark, _gathered(_pieces(read, wanted & (size > most))))
@@ -343,30 +346,27 @@ def _gathered(pieces: DataFrame) -> DataFrame:
     """Small ranges are read by tasks of several; one range stays one task where it is large, or where they are few."""
     spark = pieces.sparkSession
     ranges = pieces.rdd.getNumPartitions()
-    most = max(1, TASK_BYTES // _bytes(spark, "spark.sql.files.maxPartitionBytes"))
+    most = max(1, TASK_BYTES // byte_size(spark, "spark.sql.files.maxPartitionBytes"))
     tasks = max(math.ceil(ranges / most), min(ranges, 16 * spark.sparkContext.defaultParallelism))
     return pieces.coalesce(tasks) if tasks < ranges else pieces
 
 
-def _cut_whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Elements of files that are one range each."""
-    held: dict[str, list] = {}
-
-    def part(key, text):
-        path, start, _ = key
-        if start:
-            raise ValueError(f"read in several ranges: {path}")
-        cut = held.setdefault(path, [Cutter(path), 0])
-        cut[1] += len(text)
-        yield from _rows(cut[0].elements(text), path)
+def _parts(text: bytes) -> Iterator[bytes]:
+    """The text in parts that end after a brace."""
+    at = 0
+    while at < len(text):
+        end = text.find(_END, at + PART_BYTES) + 1 or len(text)
+        yield text[at:end]
+        at = end
 
-    def end(key):
-        path, _, size = key
-        cut, told = held.pop(path)
-        if told < size and told + len(_MARK) != size:
-            yield from _rows(cut.elements(_END), path)
-        cut.end(True)
-        if not cut.arrays:
-            raise cut.malformed("not an array")
 
-    yield from _ranges(batches, part, end)
+def _cut_whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Elements of files that come as one text each."""
+    for batch in batches:
+        for text, path in zip(batch.column("value"), batch.column("path").to_pylist(), strict=True):
+            cut = Cutter(path)
+            for part in _parts(text.as_py()):
+                yield from _rows(cut.elements(part), path)
+            cut.end(True)
+            if not cut.arrays:
+                raise cut.malformed("not an array")

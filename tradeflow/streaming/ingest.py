@@ -33,7 +33,8 @@ from pyspark.sql.types import (
 )
 
 from tradeflow.schemas import LINEAGE, RAW_TABLES
-from tradeflow.sources.formats import FEEDS, Feed, literal, matches, scan
+from tradeflow.sources.formats import FEEDS, FORMATS, Feed, literal, matches, scan
+from tradeflow.sources.json_arrays import byte_size
 from tradeflow.streaming.progress import follow_progress
 from tradeflow.workspace import read_or_empty
 
@@ -63,6 +64,10 @@ REMEMBERED = "36500d"
 NOTICE = "file_name string, file_size bigint"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _STORES = "spark.sql.streaming.stateStore.providerClass"
+_OPEN_COST = "spark.sql.files.openCostInBytes"
+_OPEN_COST_DEFAULT = 4 * 1024 * 1024  # fixed value: Spark's
+# Files up to this size are not cut into ranges, which would be read three times.
+WHOLE_TEXT = 64 * 1024 * 1024
 
 
 def announce(files: DataFrame, notices: str, files_per_notice: int = FILES_PER_BATCH) -> None:
@@ -94,6 +99,20 @@ def state_on_disk(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(_STORES) if named is None else spark.conf.set(_STORES, named)
 
 
+@contextmanager
+def whole_texts(spark: SparkSession, feed: Feed) -> Iterator[None]:
+    """Pipes of JSON started inside read files of up to WHOLE_TEXT at once, unless the session names another size."""
+    if FORMATS[feed.file_format].kind != "json" or byte_size(spark, _OPEN_COST) != _OPEN_COST_DEFAULT:
+        yield
+        return
+    named = spark.conf.get(_OPEN_COST)
+    spark.conf.set(_OPEN_COST, WHOLE_TEXT)
+    try:
+        yield
+    finally:
+        spark.conf.set(_OPEN_COST, named)
+
+
 def _told(spark: SparkSession, notices: str) -> DataFrame:
     """Files told of, each once, however often and in however many runs."""
     # One notice a trigger, as it names as many files as a batch may hold.
@@ -230,7 +249,7 @@ def start_pipe(
     )
     trigger = {"processingTime": every} if every else {"availableNow": True}
     follow_progress(spark, root, f"{feed_name}_pipe")
-    with state_on_disk(spark):
+    with state_on_disk(spark), whole_texts(spark, feed):
         return writer.trigger(**trigger).start()
 
 
