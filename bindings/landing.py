@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeflow.workspace import Store
+from tradeflow.workspace import PACKED, Store
 
 # Fixed value: how a delivery is named; parts of one share a folder.
 _DELIVERY = "{feed}_20260108_0930{batch:02d}_batch{batch:03d}"
@@ -90,5 +90,5 @@ def _write(rows: DataFrame, feed: str, stage: str, batch: int, files_a_task: int
         numbers = {"quantity": "bigint", "updated_at": "string"}
         kinds = {c: numbers.get(c, "double") for c in rows.columns}
         kinds.update(symbol="string", account_id="string")
-        rows.select([F.col(c).cast(kinds[c]).alias(c) for c in rows.columns]).write.mode("overwrite").parquet(folder)
+        rows.select([F.col(c).cast(kinds[c]).alias(c) for c in rows.columns]).write.mode("overwrite").options(**PACKED).parquet(folder)
     return folder

@@ -4,6 +4,7 @@ import json
 import random
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from feeds import bag, land_events, random_positions
 from pyspark.sql import functions as F
@@ -105,6 +106,16 @@ def test_parts_of_a_text_end_after_a_brace(monkeypatch):
     assert [e for p in parts for e in cut.elements(p)] == [b'{"a": "}]\\""}', b'{"b": {}}']
 
 
+def test_written_tables_are_packed_tight(spark, tmp_path, root):
+    rows = spark.createDataFrame(random_positions(random.Random(5), 300), POSITIONS)
+    landing.deliver(rows, "positions", str(tmp_path), 1, 2)
+    ingest.load_new_files(spark, "positions", str(tmp_path), root)
+    refresh.POSITION_SUMMARY_DT.refresh(spark, root)
+    for folder in (str(tmp_path), f"{root}/raw", f"{root}/curated/position_summary_dt"):
+        files = [f for f in Path(folder).rglob("*.parquet") if f.is_file()]
+        assert files and all(pq.ParquetFile(f).metadata.row_group(0).column(0).compression == "ZSTD" for f in files)
+
+
 def test_many_small_ranges_take_few_tasks(spark, tmp_path, small_ranges, monkeypatch):
     monkeypatch.setattr(json_arrays, "RANGES_AT_ONCE", 50)  # their starts don't fit one broadcast
     rows = [{"EVENT_TYPE": f"e{i}", "SYMBOL": "}" * (i % 90), "EVENT_ATTR": {"n": i}} for i in range(9000)]
