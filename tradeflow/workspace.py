@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 _local_root: list[str] = []
-# How written tables are packed: half the bytes of Spark's default on ids and decimals.
+# How written tables are packed: a third to half fewer bytes than by Spark's default on trades.
 PACKED = {"compression": "zstd"}
 
 
