@@ -1,6 +1,7 @@
 """Operators on documents against the plain form of their contracts."""
 
 from collections import Counter, defaultdict
+import json
 import random
 import zlib
 
@@ -16,7 +17,7 @@ import __spark_entry__ as entry
 from check_oracles import connect, difference
 from tradeflow.llm import licence_texts, licences, near_duplicates, packing, phrases, quality, queries, substrings
 from tradeflow.llm.components import components
-from tradeflow.llm.text import gram_hashes, split_words, word_hashes
+from tradeflow.llm.text import gram_hashes, letter_runs, split_words, word_hashes
 from tradeflow.workspace import new_folder
 
 MODEL = public_tokenizers.path("word_bpe_49k.json")
@@ -309,6 +310,41 @@ def test_a_pair_replaces_the_smallest():
     assert fillings[0] == (Counter({60: 1, 21: 1, 19: 1}), 1)
 
 
+def _coded(coder, texts):
+    """Ids of each text, put together from what the coder remembers."""
+    words = split_words(pa.array(texts))
+    words = letter_runs(words, coder.whole) if coder.whole is not None else words
+    ids, per_word = coder.of(words)
+    ends = np.append(0, np.cumsum(per_word))[words.bounds]
+    return [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
+@pytest.mark.parametrize("by_runs", [True, False])
+def test_runs_have_the_ids_of_whole_texts(by_runs):
+    with open(MODEL, encoding="utf-8") as file:
+        model = file.read()
+    if not by_runs:  # a tokenizer that minds case goes by other rules
+        rules = json.loads(model)
+        del rules["normalizer"]["normalizers"][-1]
+        model = json.dumps(rules)
+    coder, whole, rng = packing.WordIds(model), Tokenizer.from_str(model), random.Random(7)
+    assert (coder.whole is not None) == by_runs
+    signs = [*map(chr, range(0x1, 0x250)), "\u0301", "\u0307", "\u00a0", "\u200b", "\u2019", "\u212a", "\u0130", "\u03a3", "\u4e2d", "\U0001f600",
+             "<|endoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "'s", "'LL", "it's", "Gr\u00f6\u00dfe,", "\u00c9T\u00c9.", "3.14", "2\u00d73", "...", " "]
+    texts = ["".join(rng.choice([*signs, "Ab", "c"]) for _ in range(rng.randint(1, 12))) for _ in range(4000)]
+    texts += [f"x{a}Y{b}" for a in signs for b in ("1", ".", a)] + ["", " \t", None]
+    assert _coded(coder, texts) == [whole.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert _coded(coder, texts[::-1]) == [whole.encode(t or "", add_special_tokens=False).ids for t in texts[::-1]]
+
+
+def test_forms_of_a_word_are_remembered_once():
+    with open(MODEL, encoding="utf-8") as file:
+        coder = packing.WordIds(file.read())
+    names = [f"{a}{b}ning" for a in "bcdfg" for b in "aeiou"]
+    _coded(coder, [" ".join(f"{n} {n.upper()} {n.title()}, ({n}) {n}." for n in names)])
+    assert len(coder.known) <= len(names) + 4  # and , ( ) .
+
+
 def test_packing_odd_rows(spark, odd_docs, no_docs):
     assert packing.pack_documents(no_docs, MODEL).count() == 0
     rows = packing.pack_documents(odd_docs, MODEL).collect()

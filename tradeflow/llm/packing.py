@@ -18,7 +18,9 @@ result does not depend on tasks that are run again.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from bisect import bisect_right
 from collections import Counter
@@ -29,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradeflow.llm.text import Words, chunks, slices, split_words
+from tradeflow.llm.text import Words, chunks, letter_runs, slices, split_words
 from tradeflow.workspace import new_folder, settled
 
 CAPACITY = 4096
@@ -42,11 +44,41 @@ CHUNK_BYTES = 4 << 20
 _PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
+# Tokenizers of these rules ignore case and cut words into runs of letters, single digits and runs of others.
+_IGNORES_CASE = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_CUTS_RUNS = {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+              "behavior": "Removed", "invert": True}
+_MAPS_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+_LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+_BORDER = "."
+
+
+def _whole(model: str) -> bytes | None:
+    """Which signs make a word one that only the tokenizer can cut; None if it goes by other rules than these."""
+    rules = json.loads(model)
+    cuts = {"type": "Sequence", "pretokenizers": [_CUTS_RUNS, _MAPS_BYTES]}
+    known = {"normalizer": _IGNORES_CASE, "pre_tokenizer": cuts, "truncation": None, "padding": None}
+    if any(rules.get(name) != rule for name, rule in known.items()) or rules["model"].get("type") != "BPE":
+        return None
+    added = [t["content"] for t in rules.get("added_tokens", [])]
+    signs = [{c for c in content if c.isascii() and c.isprintable() and not c.isalnum() and c != " "} for content in added]
+    return "".join(sorted({"'"}.union(*signs))).encode() if all(signs) else None
+
+
 class WordIds:
-    """Token ids of words, remembered by the word; starts anew when full."""
+    """Token ids of words, remembered by the word; starts anew when full.
+
+    By rules of runs, what is remembered are the runs, of which there are far fewer.
+    """
+
+    def __init__(self, model: str):
+        import tokenizers
 
-    def __init__(self, tokenizer):
-        self.tokenizer = tokenizer
+        self.tokenizer = tokenizers.Tokenizer.from_str(model)
+        self.whole = _whole(model)
+        border = self.tokenizer.encode(_BORDER, add_special_tokens=False).ids
+        self.border = border[0] if self.whole is not None and len(border) == 1 else None
         self.clear()
 
     def clear(self) -> None:
@@ -55,15 +87,29 @@ class WordIds:
         self.ids = np.empty(0, np.uint32)
         self.held = 0
 
-    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """How many ids each text has, and all of them; an encoding is large, so few are held."""
+    def _encode(self, texts: list[str], joined: bool) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each text has, and all of them; an encoding is large, so few are held.
+
+        ``joined`` texts are runs of letters, encoded as one text with a border in between, which takes less time.
+        """
+        if joined:
+            ids = np.array(self.tokenizer.encode_batch_fast([_BORDER.join(texts)], add_special_tokens=False)[0].ids, np.uint32)
+            own = ids != self.border
+            borders = np.flatnonzero(~own)
+            if len(borders) == len(texts) - 1:
+                return np.diff(borders, prepend=-1, append=len(ids)) - 1, ids[own]
         coded = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         count = np.fromiter(map(len, coded), np.int64, len(coded))
         return count, np.fromiter((i for x in coded for i in x), np.uint32, int(count.sum()))
 
     def _learn(self, new: list[bytes]) -> None:
-        texts = [w.decode() for w in new]
-        coded = [self._encode(texts[i : i + ENCODED_WORDS]) for i in range(0, len(texts), ENCODED_WORDS)]
+        letters, others, coded = [], [], []
+        for w in new:
+            (letters if self.border is not None and _LETTERS.fullmatch(w) else others).append(w)
+        for part, joined in ((letters, True), (others, False)):
+            texts = [w.decode() for w in part]
+            coded += [self._encode(texts[i : i + ENCODED_WORDS], joined) for i in range(0, len(texts), ENCODED_WORDS)]
+        new = letters + others
         count = np.concatenate([c for c, _ in coded])
         begin = len(self.ids) + np.cumsum(count) - count
         self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
@@ -76,7 +122,7 @@ class WordIds:
         if len(self.known) > CACHED_WORDS or self.held > CACHED_BYTES:
             self.clear()
         places, which = words.distinct()
-        told = [words.word(i) for i in places]
+        told = words.words(places)
         if new := [w for w in told if w not in self.known]:
             self._learn(new)
         at = np.fromiter(map(self.known.__getitem__, told), np.int64, len(told))[which]
@@ -92,7 +138,7 @@ def _word_ids(model: str) -> WordIds:
     held = vars(tokenizers).setdefault("_word_ids_by_model", {})
     if model not in held:
         held.clear()
-        held[model] = WordIds(tokenizers.Tokenizer.from_str(model))
+        held[model] = WordIds(model)
     return held[model]
 
 
@@ -100,6 +146,8 @@ def _pieces(batches: Iterable[pa.RecordBatch], model: str, capacity: int, end: i
     coder = _word_ids(model)
     for batch in chunks(batches, "text", CHUNK_BYTES):
         words = split_words(batch.column("text"))
+        if coder.whole is not None:
+            words = letter_runs(words, coder.whole)
         own, per_word = coder.of(words)
         sums = np.append(0, np.cumsum(per_word))
         sizes = np.diff(sums[words.bounds]) + 1

@@ -28,6 +28,17 @@ ALNUM = np.zeros(256, dtype=bool)
 ALNUM[list(b"0123456789abcdefghijklmnopqrstuvwxyz")] = True
 ALNUM[0x80:] = True
 
+# What text is cut into by rules of letters, digits and others: letters are those of ASCII, and U+00C0 to U+00FF in UTF-8.
+_SPACE, _LETTER, _DIGIT, _OTHER = range(4)
+_KINDS = np.full(256, _OTHER, dtype=np.uint8)
+_KINDS[~NOT_SPACE] = _SPACE
+_KINDS[list(b"0123456789")] = _DIGIT
+_KINDS[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")] = _LETTER
+_KINDS[0x80:0xC0] = _KINDS[0xC3] = _LETTER
+# Bytes of characters whose kind isn't known here, and control characters.
+_UNKNOWN = NOT_SPACE.copy()
+_UNKNOWN[0x21:0x7F] = _UNKNOWN[0x80:0xC0] = _UNKNOWN[0xC3] = False
+
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 
@@ -148,6 +159,10 @@ class Words:
     def word(self, i: int) -> bytes:
         return self.data[self.starts[i] : self.ends[i]].tobytes()
 
+    def words(self, places: np.ndarray) -> list[bytes]:
+        data = self.data.tobytes()
+        return [data[a:b] for a, b in zip(self.starts[places].tolist(), self.ends[places].tolist(), strict=True)]
+
     def text_of_word(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.bounds) - 1), self.counts)
 
@@ -171,6 +186,29 @@ def split_words(texts: pa.Array, word_bytes: np.ndarray = NOT_SPACE, lower: bool
     return Words(data, offsets, starts, ends, np.searchsorted(starts, offsets))
 
 
+def letter_runs(words: Words, whole: bytes = b"") -> Words:
+    """Words cut into runs of letters, single digits and runs of others, with A-Z lower-cased.
+
+    Words that hold a byte of ``whole`` or a character of unknown kind are left as they are.
+    """
+    data, keep = words.data, _UNKNOWN.copy()
+    keep[list(whole)] = True
+    signs = np.flatnonzero(data[:-1] == 0xC3)  # U+00D7 and U+00F7 are no letters
+    signs = signs[np.isin(data[signs + 1], (0x97, 0xB7))]
+    kept = np.unique(np.searchsorted(words.starts, np.append(np.flatnonzero(keep[data]), signs), "right") - 1)
+    edges = np.zeros(len(data) + 1, np.int8)
+    edges[words.starts[kept]] = 1
+    edges[words.ends[kept]] -= 1
+    inside = np.cumsum(edges[:-1], dtype=np.int8).view(bool)
+    kind = np.where(inside, np.uint8(_OTHER), _KINDS[data])
+    alone = kind == _DIGIT
+    cut = np.ones(len(kind) + 1, dtype=bool)
+    cut[1:-1] = (kind[1:] != kind[:-1]) | alone[1:]
+    some = kind != _SPACE
+    starts, ends = np.flatnonzero(some & cut[:-1]), np.flatnonzero(some & cut[1:]) + 1
+    return Words(np.where(inside, data, ascii_lower(data)), words.offsets, starts, ends, np.searchsorted(starts, words.offsets))
+
+
 def chunks(batches: Iterable[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of at most about ``limit`` text bytes; a longer text is a slice of its own."""
     for batch in batches:
