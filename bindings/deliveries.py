@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bindings.landing import deliver, whole_files
-from tradeflow.sources.driver_tables import raw_table
+from tradeflow.sources.driver_tables import built_rows, is_written, raw_table
 from tradeflow.sources.formats import FEEDS
 from tradeflow.streaming.ingest import load_new_files
 from tradeflow.workspace import new_folder
@@ -33,18 +33,26 @@ def files_per_delivery(spark: SparkSession) -> int:
     return spark.sparkContext.defaultParallelism
 
 
+def _feed_rows(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
+    """The feed's rows, from the RAW table if that is written; it is not written to be delivered alone."""
+    table = FEEDS[feed].table
+    if is_written(spark, sf_dir, table):
+        return whole_files(raw_table(spark, sf_dir, table))
+    return built_rows(spark, sf_dir, table)
+
+
 def deliver_feed(spark: SparkSession, sf_dir: str, feed: str, stage: str, batches=range(1, DELIVERIES + 1)):
-    rows = whole_files(raw_table(spark, sf_dir, FEEDS[feed].table))
-    files = files_per_delivery(spark)
+    gathered = None if is_written(spark, sf_dir, FEEDS[feed].table) else True
+    rows, files, a_task = _feed_rows(spark, sf_dir, feed), files_per_delivery(spark), files_a_task(spark, sf_dir, feed)
     for batch in batches:
-        deliver(rows.where(delivery_of(feed) == batch), feed, stage, batch, files, files_a_task(spark, sf_dir, feed))
+        deliver(rows.where(delivery_of(feed) == batch), feed, stage, batch, files, a_task, gathered)
 
 
 def files_a_task(spark: SparkSession, sf_dir: str, feed: str) -> int:
     """How many files each task of a delivery writes."""
     if feed != "market_events":
         return 1
-    return max(1, math.ceil(raw_table(spark, sf_dir, FEEDS[feed].table).count() / (DELIVERIES * files_per_delivery(spark) * EVENTS_PER_FILE)))
+    return max(1, math.ceil(_feed_rows(spark, sf_dir, feed).count() / (DELIVERIES * files_per_delivery(spark) * EVENTS_PER_FILE)))
 
 
 def stage_with(spark: SparkSession, sf_dir: str, *feeds: str) -> str:

@@ -56,15 +56,18 @@ def whole_files(table: DataFrame) -> DataFrame:
     return own.read.schema(table.schema).parquet(*table.inputFiles())
 
 
-def deliver(rows: DataFrame, feed: str, stage: str, batch: int, files: int | None = None, files_a_task: int = 1) -> str:
+def deliver(rows: DataFrame, feed: str, stage: str, batch: int, files: int | None = None, files_a_task: int = 1,
+            gathered: bool | None = None) -> str:
     """Write ``rows`` as delivery number ``batch`` of ``feed`` below ``stage``, in ``files`` files if there are as many rows.
 
     Where as many tasks read the rows, these are put together, which shuffles nothing. Of events, a task may write several files.
+    ``gathered`` says so beforehand, as asking for the tasks of rows that are joined or summed up would run their shuffles.
     """
-    gathered = files is not None and rows.rdd.getNumPartitions() >= files
+    if gathered is None:
+        gathered = files is not None and rows.rdd.getNumPartitions() >= files
     folder = _write(rows if files is None else rows.coalesce(files) if gathered else rows.repartition(files), feed, stage, batch, files_a_task)
-    if gathered and sum(not n.startswith(("_", ".")) for n in Store(rows.sparkSession, folder).sizes()) < files:
-        _write(rows.repartition(files), feed, stage, batch, files_a_task)  # a task had no row of this delivery
+    if gathered and sum(not n.startswith(("_", ".")) for n in Store(rows.sparkSession, folder).sizes()) < files * files_a_task:
+        _write(rows.repartition(files), feed, stage, batch, files_a_task)  # fewer tasks than files, or one had no row of this delivery
     return folder
 
 

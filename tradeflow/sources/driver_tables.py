@@ -6,6 +6,8 @@ and multiplied, so another engine computes the same digits.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,15 @@ _TRADE_TS = """l_shipdate + make_dt_interval(
 _FEED_TS = f"CASE WHEN l_orderkey % 97 <> 0 THEN {_TRADE_TS} END"
 
 
+# What has been written, by application, tables and name.
+_written: dict[tuple[str, str, str], str] = {}
+_ORDER_LINES = "order_lines"
+
+
+def _key(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, str, str]:
+    return spark.sparkContext.applicationId, sf_dir, name
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -35,6 +46,9 @@ def _spread(rows: DataFrame) -> DataFrame:
 
 def _orders_of_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines with their orders. What follows from a line's columns is made after its joins, so it is not shuffled."""
+    kept = _written.get(_key(spark, sf_dir, _ORDER_LINES))
+    if kept:
+        return spark.read.parquet(kept)
     lines = _spread(
         _table(spark, sf_dir, "lineitem").select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
@@ -160,15 +174,33 @@ _BUILDERS = {
     "positions_raw": positions,
     "market_events_raw": market_events,
 }
-_written: dict[tuple[str, str, str], str] = {}
+_SCHEMAS = {"trades_raw": TRADES, "positions_raw": POSITIONS, "market_events_raw": MARKET_EVENTS}
 
 
-def raw_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A RAW table as it would stand after loading, written once per application."""
-    key = (spark.sparkContext.applicationId, sf_dir, table)
+def _write_once(spark: SparkSession, sf_dir: str, name: str, rows: Callable[[SparkSession, str], DataFrame]) -> str:
+    key = _key(spark, sf_dir, name)
     if key not in _written:
-        folder = new_folder(spark, table)
-        settled(_BUILDERS[table](spark, sf_dir), folder)
+        folder = new_folder(spark, name)
+        settled(rows(spark, sf_dir), folder)
         _written[key] = folder
-    schema = {"trades_raw": TRADES, "positions_raw": POSITIONS, "market_events_raw": MARKET_EVENTS}
-    return spark.read.schema(schema[table]).parquet(_written[key])
+    return _written[key]
+
+
+def is_written(spark: SparkSession, sf_dir: str, table: str) -> bool:
+    return _key(spark, sf_dir, table) in _written
+
+
+def raw_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A RAW table as it would stand after loading, written once per application."""
+    folder = _write_once(spark, sf_dir, table, _BUILDERS[table])
+    return spark.read.schema(_SCHEMAS[table]).parquet(folder)
+
+
+def built_rows(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """The rows of a RAW table for a job that writes them elsewhere, in parts.
+
+    Only what the parts would each shuffle anew is written: lines with their orders, once for all tables made of them.
+    """
+    if table != "positions_raw":
+        _write_once(spark, sf_dir, _ORDER_LINES, _orders_of_lines)
+    return _BUILDERS[table](spark, sf_dir)
