@@ -18,7 +18,7 @@ DELIVERIES = 3
 EVENTS_PER_FILE = 150_000
 
 # Folder and the feeds that are in it, by application and tables.
-_stages: dict[tuple[str, str], tuple[str, set[str]]] = {}
+_stages: dict[tuple[str, str, bool], tuple[str, set[str]]] = {}
 _roots: dict[tuple[str, str], tuple[str, set[str]]] = {}
 
 
@@ -41,11 +41,11 @@ def _feed_rows(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
     return built_rows(spark, sf_dir, table)
 
 
-def deliver_feed(spark: SparkSession, sf_dir: str, feed: str, stage: str, batches=range(1, DELIVERIES + 1)):
+def deliver_feed(spark: SparkSession, sf_dir: str, feed: str, stage: str, batches=range(1, DELIVERIES + 1), packed: bool = True) -> list[str]:
+    """Put deliveries of a feed on the stage; their folders. Files of events are packed, unless they are to be cut into ranges."""
     gathered = None if is_written(spark, sf_dir, FEEDS[feed].table) else True
     rows, files, a_task = _feed_rows(spark, sf_dir, feed), files_per_delivery(spark), files_a_task(spark, sf_dir, feed)
-    for batch in batches:
-        deliver(rows.where(delivery_of(feed) == batch), feed, stage, batch, files, a_task, gathered)
+    return [deliver(rows.where(delivery_of(feed) == batch), feed, stage, batch, files, a_task, gathered, packed) for batch in batches]
 
 
 def files_a_task(spark: SparkSession, sf_dir: str, feed: str) -> int:
@@ -55,13 +55,16 @@ def files_a_task(spark: SparkSession, sf_dir: str, feed: str) -> int:
     return max(1, math.ceil(_feed_rows(spark, sf_dir, feed).count() / (DELIVERIES * files_per_delivery(spark) * EVENTS_PER_FILE)))
 
 
-def stage_with(spark: SparkSession, sf_dir: str, *feeds: str) -> str:
-    """The stage all feeds share, with every delivery of at least ``feeds``; each feed is put there once."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+def stage_with(spark: SparkSession, sf_dir: str, *feeds: str, packed: bool = True) -> str:
+    """The stage all feeds share, with every delivery of at least ``feeds``; each feed is put there once.
+
+    There is one of packed files, and another of files that are not.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, packed)
     stage, there = _stages.setdefault(key, (new_folder(spark, "stage"), set()))
     for feed in feeds:
         if feed not in there:
-            deliver_feed(spark, sf_dir, feed, stage)
+            deliver_feed(spark, sf_dir, feed, stage, packed=packed)
             there.add(feed)
     return stage
 

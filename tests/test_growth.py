@@ -2,9 +2,12 @@
 
 import json
 import random
+import time
+from collections import Counter
 from datetime import datetime, timedelta
 from pathlib import Path
 
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from feeds import bag, land_events, random_positions
@@ -16,7 +19,7 @@ from tradeflow.schemas import MARKET_EVENTS, POSITIONS
 from tradeflow.sources import driver_tables, json_arrays
 from tradeflow.sources.formats import FEEDS, scan
 from tradeflow.streaming import ingest, live, refresh
-from tradeflow.workspace import Store, subfolders
+from tradeflow.workspace import Store, settled, subfolders
 
 
 def many_events(spark, n):
@@ -211,3 +214,49 @@ def test_a_full_refresh_writes_its_rows_once(spark, tmp_path, root):
     assert bag(table.read(spark, root)) == bag(table.rollup.query(rows))
     at = table.table.last_refresh(spark, root)
     assert set(at["first_version"].values()) == {3} and refresh.FRESH in at["first_version"]
+
+
+def shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ")
+    return {n.split("/")[-1] for n in found.split() if "/shuffle_" in n}
+
+
+def test_a_written_step_leaves_no_shuffle_files(spark, root):
+    before, until = shuffle_files(spark), time.monotonic() + 20
+    rows = settled(spark.range(20_000).groupBy((F.col("id") % 5_000).alias("key")).count(), root)
+    assert rows.count() == 5_000
+    left = lambda: [n for n in shuffle_files(spark) - before if n.endswith(".data")]
+    while len(left()) > 1 and time.monotonic() < until:  # they go a moment later; the count's own file may stay
+        time.sleep(0.1)
+    assert len(left()) <= 1
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) in (None, "false")
+
+
+def test_staged_events_are_packed_unless_they_are_to_be_cut(spark, tables):
+    sizes = {}
+    for packed in (True, False):
+        stage = deliveries.stage_with(spark, tables, "market_events", packed=packed)
+        files = ingest.list_stage(spark, FEEDS["market_events"], stage).collect()
+        assert all(f["file_name"].endswith(".zst.json") == packed for f in files)
+        sizes[packed] = len(files), sum(f["file_size"] for f in files), _as_text(scan(spark, FEEDS["market_events"], stage), MARKET_EVENTS.names)
+    assert sizes[True][0] == sizes[False][0] and sizes[True][2] == sizes[False][2]
+    assert sizes[True][1] < sizes[False][1] / 2
+
+
+def test_packed_arrays_are_read_whole_beside_others(spark, tmp_path, small_ranges, monkeypatch):
+    monkeypatch.setattr(json_arrays, "PART_BYTES", 700)
+    rows = [{"EVENT_TYPE": f'e{i}"\\}},[{{', "SYMBOL": "é}" * (i % 900), "EVENT_ATTR": {"n": i}} for i in range(900)]
+    for k, ending in enumerate((".gz.json", ".zst.json", ".json")):
+        with pa.output_stream(str(tmp_path / f"events_{k}{ending}"), compression={0: "gzip", 1: "zstd"}.get(k)) as file:
+            file.write(json.dumps(rows[k::3], ensure_ascii=False).encode())
+    for name in ("events_small.json", "events_plain.gz.json"):  # the second is packed by its name only
+        land_events(str(tmp_path), name, rows[:2])
+    found = scan(spark, FEEDS["market_events"], str(tmp_path))
+    want = Counter((r["EVENT_TYPE"], r["SYMBOL"]) for r in [*rows, *rows[:2], *rows[:2]])
+    assert bag(found, "event_type", "symbol") == want
+    names = {f.rsplit("/", 1)[-1] for (f,) in bag(found, "_src_file")}
+    assert names == {"events_0.gz.json", "events_1.zst.json", "events_2.json", "events_small.json", "events_plain.gz.json"}
+    whole = Path(tmp_path, "events_1.zst.json").read_bytes()
+    Path(tmp_path, "events_1.zst.json").write_bytes(whole[: len(whole) // 2])
+    with pytest.raises(Exception, match="cut off|[Tt]runcated"):
+        scan(spark, FEEDS["market_events"], str(tmp_path)).collect()

@@ -11,7 +11,8 @@ a parallel prefix scan:
 3. each range is cut at the commas of depth one. What is open at a border comes as
    fragments, which are put together by file and order.
 
-Files that Spark never splits are read once, each as one text. For other files a task reads one range after the
+Files that Spark never splits are read once, each as one text; so are packed ones (``.gz.json``, ``.zst.json``), whatever
+their size, which are unpacked bit by bit. For other files a task reads one range after the
 other, and holds one batch of pieces and one unfinished element. Elements leave as text; what they hold is parsed by Spark.
 
 A file holds one array or several one after the other; an empty array has no
@@ -25,6 +26,7 @@ import math
 import re
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +52,9 @@ TASK_BYTES = 16 * 1024 * 1024
 RANGES_AT_ONCE = 200_000
 # A text that comes whole is cut in parts of about so many bytes.
 PART_BYTES = 1024 * 1024
+# How packed files are named, and how what unpacks them is told by their first bytes.
+PACKED_NAMES = (".gz.json", ".zst.json")
+_PACKINGS = {b"\x1f\x8b": "gzip", b"\x28\xb5\x2f\xfd": "zstd"}
 # Pieces of an open element: it begins in the range, runs through it, or ends in it.
 BEGINS, RUNS, ENDS = 2, 1, 0
 
@@ -321,10 +326,17 @@ def array_elements(spark: SparkSession, read: Callable[[str, dict], DataFrame],
     ``wanted`` may use the files' metadata only.
     """
     size, schema = F.col("_metadata.file_size"), "element string, _src_file string"
-    most = never_split(spark)
+    most, name, path = never_split(spark), F.lower(F.col("_metadata.file_name")), F.col("_metadata.file_path").alias("path")
+    packed = reduce(Column.__or__, [name.endswith(ending) for ending in PACKED_NAMES])
+    files = read("binaryFile", {}).where(wanted)
+    kinds = {r["kind"] for r in files.select(F.when(packed, "packed").when(F.col("length") > most, "large").otherwise("small").alias("kind")).distinct().collect()}
+    wanted &= ~packed
     small = read("text", {"wholetext": True}).where(wanted & (size <= most))
-    found = small.select(F.col("value").cast("binary"), F.col("_metadata.file_path").alias("path")).mapInArrow(_cut_whole, schema)
-    if not read("binaryFile", {}).where(wanted & (F.col("length") > most)).limit(1).count():
+    whole = [small.select(F.col("value").cast("binary"), path)] if "packed" not in kinds or "small" in kinds else []
+    if "packed" in kinds:
+        whole.append(files.where(packed).select(F.col("content").alias("value"), path))
+    found = reduce(DataFrame.unionByName, whole).mapInArrow(_cut_whole, schema)
+    if "large" not in kinds:
         return found
     starts = _starts(spark, _gathered(_pieces(read, wanted & (size > most))))
     # The starts of as many ranges as may be broadcast at once; ranges of a file stay together.
@@ -360,12 +372,28 @@ def _parts(text: bytes) -> Iterator[bytes]:
         at = end
 
 
+def _unpacked(content: pa.Buffer, packing: str) -> Iterator[bytes]:
+    """The packed text in parts that end after a brace, but for the last; nothing is held past the brace."""
+    held = []
+    with pa.input_stream(content, compression=packing) as text:
+        while more := text.read(PART_BYTES):
+            end = more.rfind(_END) + 1
+            if end:
+                yield b"".join([*held, more[:end]])
+                held = []
+            held.append(more[end:])
+    if any(held):
+        yield b"".join(held)
+
+
 def _cut_whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Elements of files that come as one text each."""
     for batch in batches:
         for text, path in zip(batch.column("value"), batch.column("path").to_pylist(), strict=True):
             cut = Cutter(path)
-            for part in _parts(text.as_py()):
+            data = text.as_buffer()
+            packing = next((p for first, p in _PACKINGS.items() if bytes(memoryview(data)[: len(first)]) == first), None)
+            for part in _unpacked(data, packing) if packing else _parts(text.as_py()):
                 yield from _rows(cut.elements(part), path)
             cut.end(True)
             if not cut.arrays:

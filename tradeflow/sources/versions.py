@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradeflow.workspace import Store, remove_folder, subfolders
+from tradeflow.workspace import Store, remove_folder, shuffles_dropped, subfolders
 
 _DONE = "_SUCCESS"  # fixed value: the file by which Spark says that a folder is complete
 
@@ -33,7 +33,8 @@ def replace_table(df: DataFrame, path: str) -> str:
     """Write ``df`` as the newest version; its folder."""
     spark = df.sparkSession
     target = _folder(path, max(_numbers(spark, path), default=0) + 1)
-    df.write.mode("errorifexists").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(target)
+    with shuffles_dropped(spark):
+        df.write.mode("errorifexists").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(target)
     keep = _finished(spark, path)[:2]
     for number in _numbers(spark, path):
         if number < keep[0] and number not in keep:
