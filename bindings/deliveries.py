@@ -11,7 +11,7 @@ from bindings.landing import deliver, whole_files
 from tradeflow.sources.driver_tables import built_rows, is_written, raw_table
 from tradeflow.sources.formats import FEEDS
 from tradeflow.streaming.ingest import load_new_files
-from tradeflow.workspace import new_folder
+from tradeflow.workspace import new_folder, remove_folder
 
 DELIVERIES = 3
 # About so many events a file, which a pipe reads as one text.
@@ -70,10 +70,22 @@ def stage_with(spark: SparkSession, sf_dir: str, *feeds: str, packed: bool = Tru
 
 
 def load_by_delivery(spark: SparkSession, sf_dir: str, feed: str, root: str, then=None):
-    """Load a feed's deliveries as one micro-batch each."""
-    stage = stage_with(spark, sf_dir, feed)
-    files = files_per_delivery(spark) * files_a_task(spark, sf_dir, feed)
-    return load_new_files(spark, feed, stage, root, files_per_batch=files, then=then)
+    """Load a feed's deliveries as one micro-batch each.
+
+    They come from the stage all share if the feed is there. Otherwise each is delivered when the one before has been
+    loaded, and deleted then, so that a feed never lies on a stage as a whole just to be loaded.
+    """
+    options = {"files_per_batch": files_per_delivery(spark) * files_a_task(spark, sf_dir, feed), "then": then}
+    shared, there = _stages.get((spark.sparkContext.applicationId, sf_dir, True), ("", set()))
+    if feed in there:
+        load_new_files(spark, feed, shared, root, **options)
+        return
+    stage = new_folder(spark, "passing-stage")
+    for batch in range(1, DELIVERIES + 1):
+        delivered = deliver_feed(spark, sf_dir, feed, stage, [batch])
+        load_new_files(spark, feed, stage, root, **options)
+        for folder in delivered:
+            remove_folder(spark, folder)
 
 
 def loaded_root(spark: SparkSession, sf_dir: str, *feeds: str) -> str:

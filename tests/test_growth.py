@@ -232,6 +232,29 @@ def test_a_written_step_leaves_no_shuffle_files(spark, root):
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) in (None, "false")
 
 
+@pytest.mark.parametrize("feed", FEEDS)
+def test_a_delivery_leaves_the_stage_before_the_next_comes(spark, tables, root, monkeypatch, feed):
+    there, stages, real = [], set(), ingest.load_new_files
+
+    def load(spark, name, stage, *a, **k):
+        stages.add(stage)
+        there.append(subfolders(spark, stage))
+        return real(spark, name, stage, *a, **k)
+
+    monkeypatch.setattr(deliveries, "load_new_files", load)
+    told = []
+    deliveries.load_by_delivery(spark, tables, feed, root, then=lambda session, at, batch: told.append(batch))
+    assert len(stages) == 1 and [len(folders) for folders in there] == [1] * deliveries.DELIVERIES and told == [0, 1, 2]
+    assert not any(subfolders(spark, stage) for stage in stages)
+    schema = FEEDS[feed].schema
+    found = _as_text(ingest.raw_rows(spark, root, FEEDS[feed].table), schema.names)
+    assert found == _as_text(driver_tables.raw_table(spark, tables, FEEDS[feed].table), schema.names)
+    deliveries.stage_with(spark, tables, feed)  # what all share stays where it is, and is loaded from there
+    deliveries.load_by_delivery(spark, tables, feed, f"{root}-again")
+    assert len(there[-1]) == deliveries.DELIVERIES == len(subfolders(spark, deliveries.stage_with(spark, tables, feed)))
+    assert found == _as_text(ingest.raw_rows(spark, f"{root}-again", FEEDS[feed].table), schema.names)
+
+
 def test_staged_events_are_packed_unless_they_are_to_be_cut(spark, tables):
     sizes = {}
     for packed in (True, False):
