@@ -10,12 +10,13 @@ from pathlib import Path
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
-from feeds import bag, land_events, random_positions
+from feeds import bag, land_events, random_positions, random_trades
 from pyspark.sql import functions as F
 
 from bindings import deliveries, landing
 from tradeflow.operators import rollups
-from tradeflow.schemas import MARKET_EVENTS, POSITIONS
+from tradeflow.plans import jobs
+from tradeflow.schemas import MARKET_EVENTS, POSITIONS, TRADES, TRADES_ENRICHED, conform
 from tradeflow.sources import driver_tables, json_arrays
 from tradeflow.sources.formats import FEEDS, scan
 from tradeflow.streaming import ingest, live, refresh
@@ -283,3 +284,17 @@ def test_packed_arrays_are_read_whole_beside_others(spark, tmp_path, small_range
     Path(tmp_path, "events_1.zst.json").write_bytes(whole[: len(whole) // 2])
     with pytest.raises(Exception, match="cut off|[Tt]runcated"):
         scan(spark, FEEDS["market_events"], str(tmp_path)).collect()
+
+
+def test_an_upserted_batch_is_written_once(spark, root):
+    table = jobs.UpsertTable(parts=4, merge_after=2)
+    rows = conform(spark.createDataFrame(random_trades(random.Random(3), 40, 1), TRADES), TRADES_ENRICHED)
+    table.upsert(spark, root, rows, version=0)
+    table.upsert(spark, root, rows.where("status = 'filled'"), version=1)
+    assert not subfolders(spark, f"{root}/scratch")
+    assert bag(table.read(spark, root)) == bag(rows)
+    before = table.table.last_refresh(spark, root)
+    with pytest.raises(ValueError, match="occurs twice"):
+        table.upsert(spark, root, rows.unionByName(rows.limit(1)), version=2)
+    assert table.table.last_refresh(spark, root) == before and bag(table.read(spark, root)) == bag(rows)
+    assert subfolders(spark, f"{root}/stage/trades_enriched_by_id") == ["_v=1", "_v=2"]
